@@ -239,8 +239,9 @@ def heat_dow_hour_pivot(df: DataFrame, ts: str, start_hour: int = 7, weeks: floa
     """Rows per weekday (one row each) and hour (one column each, from `start_hour` on), per week."""
     hours = [(start_hour + i) % 24 for i in range(24)]
     wide = (
-        df.groupBy(weekday0(F.col(ts)).alias("day_of_week"))
-        .pivot(F.hour(ts), hours)
+        df.select(weekday0(F.col(ts)).alias("day_of_week"), F.hour(ts).alias("__h"))
+        .groupBy("day_of_week")
+        .pivot("__h", hours)
         .agg(F.count(F.lit(1)))
         .toDF("day_of_week", *[f"h{h:02d}" for h in hours])
         .na.fill(0)

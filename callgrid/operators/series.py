@@ -110,7 +110,8 @@ def pacf(df: DataFrame, t: str, column: str, nlags: int = 40, group=None) -> Dat
         return out
 
     schema = ", ".join(p for p in (kinds, "lag int, pacf double") if p)
-    return (series.groupBy(*groups) if groups else series.groupBy(F.lit(1))).applyInPandas(recursion, schema)
+    keyed = series if groups else series.withColumn("__all", F.lit(1))
+    return keyed.groupBy(*(groups or ["__all"])).applyInPandas(recursion, schema)
 
 
 def granger_f(df: DataFrame, t: str, y: str, x: str, max_lag: int = 5) -> DataFrame:
