@@ -11,7 +11,7 @@ import itertools
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.base import as_list, flag
-from .ordered import exact_quantiles
+from .ordered import bucket_count, exact_quantiles
 
 # Parameter grids tried per classifier.
 CLASSIFIER_GRID = {
@@ -65,10 +65,12 @@ def one_hot(df: DataFrame, cats, keep_all=(), levels: dict[str, list] | None = N
 
 def impute_median(train: DataFrame, test: DataFrame, cols) -> tuple[DataFrame, DataFrame]:
     """NULLs replaced by the exact median of the train set, in both sets."""
-    names = as_list(cols)
-    medians = {}
-    for c in names:
-        medians[c] = exact_quantiles(train, c, {"m": 0.5}).first()[0]
+    names, n = as_list(cols), bucket_count(train)
+    if n <= 1:
+        row = train.agg(*[F.median(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(names)]).first()
+        medians = {c: row[f"m_{i}"] for i, c in enumerate(names)}
+    else:
+        medians = {c: exact_quantiles(train, c, {"m": 0.5}, n=n).first()[0] for c in names}
     known = {c: m for c, m in medians.items() if m is not None}
     fill = lambda df: df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in known.items()})
     return fill(train), fill(test)
@@ -243,7 +245,16 @@ def fit_per_group(
 
     `model` is LINEAR, RIDGE, LASSO or ELNET with the usual penalties (ridge: |y - Xw|^2 + alpha |w|^2; lasso and
     elastic net: |y - Xw|^2 / 2n + alpha (l1 |w|_1 + (1 - l1) |w|^2 / 2)). Rows with a NULL are left out.
-    The per-group work is the solution of a small system from its cross products; rows never meet in one place.
+    """
+    run = {"model": model, "params": {"alpha": alpha, "l1_ratio": l1_ratio}}
+    return fit_grid_per_group(df, group, label, features, [run]).drop("model", "params")
+
+
+def fit_grid_per_group(df: DataFrame, group, label: str, features, runs: list[dict]) -> DataFrame:
+    """The linear models of every run for every group, as rows (group, model, params, rows, intercept, ...).
+
+    The data is read once, into cross products per group; all models of a group are solved from these small sums, so
+    rows of a group never meet in one place.
     """
     groups, names = as_list(group), as_list(features)
     terms = [F.col(f).cast("double") for f in names] + [F.col(label).cast("double")]
@@ -252,21 +263,24 @@ def fit_per_group(
         subset=[f"__t{i}" for i in range(size)]
     )
     t = [F.col(f"__t{i}") for i in range(size)]
+    pairs = [(i, j) for i in range(size) for j in range(i + 1)]
     sums = rows.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.array(*[F.avg(x) for x in t]).alias("means"),
-        F.array(*[F.covar_pop(t[i], t[j]) for i in range(size) for j in range(size)]).alias("cov"),
+        F.array(*[F.avg(x) for x in t]).alias("__avg"),
+        F.array(*[F.covar_pop(t[i], t[j]) for i, j in pairs]).alias("__cov"),
     )
     kinds = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups)
-    schema = f"{kinds}, rows bigint, intercept double, coefficients array<double>, means array<double>, scales array<double>"
+    schema = (
+        f"{kinds}, rows bigint, model string, params string, intercept double, "
+        "coefficients array<double>, means array<double>, scales array<double>"
+    )
 
     def solve(batches):
         import numpy as np
+        import pandas as pd
 
-        def descent(q, r, n):
+        def descent(q, r, l1, l2):
             """Coordinate descent on the scaled covariances q = X'X/n, r = X'y/n."""
-            l1 = alpha * (1.0 if model == "LASSO" else l1_ratio)
-            l2 = 0.0 if model == "LASSO" else alpha * (1.0 - l1_ratio)
             w = np.zeros(len(r))
             for _ in range(10_000):
                 largest = 0.0
@@ -281,26 +295,39 @@ def fit_per_group(
                     break
             return w
 
+        def weights(q, r, n, kind, p):
+            alpha = float(p.get("alpha", 1.0))
+            if kind == "LINEAR":
+                return np.linalg.lstsq(q, r, rcond=1e-12)[0]
+            if kind == "RIDGE":
+                return np.linalg.solve(q + np.eye(len(r)) * alpha / n, r)
+            l1 = 1.0 if kind == "LASSO" else float(p.get("l1_ratio", 0.5))
+            return descent(q, r, alpha * l1, alpha * (1.0 - l1))
+
         for pdf in batches:
-            fitted = []
-            for _, row in pdf.iterrows():
-                cov = np.array(row["cov"], dtype=float).reshape(size, size)
+            found = []
+            for row in pdf.to_dict("records"):
+                cov = np.zeros((size, size))
+                for (i, j), c in zip(pairs, row.pop("__cov")):
+                    cov[i, j] = cov[j, i] = c
+                means = np.array(row.pop("__avg"), dtype=float)
                 scale = np.sqrt(np.clip(np.diag(cov)[:-1], 0, None))
                 scale[scale == 0] = 1.0
-                q = cov[:-1, :-1] / np.outer(scale, scale)
-                r = cov[:-1, -1] / scale
-                if model == "LINEAR":
-                    w = np.linalg.lstsq(q, r, rcond=1e-12)[0]
-                elif model == "RIDGE":
-                    w = np.linalg.solve(q + np.eye(len(r)) * alpha / row["rows"], r)
-                else:
-                    w = descent(q, r, row["rows"])
-                means = np.array(row["means"], dtype=float)
-                fitted.append((means[-1], w.tolist(), means[:-1].tolist(), scale.tolist()))
-            out = pdf[[*groups, "rows"]].copy()
-            for i, name in enumerate(("intercept", "coefficients", "means", "scales")):
-                out[name] = [f[i] for f in fitted]
-            yield out
+                q, r = cov[:-1, :-1] / np.outer(scale, scale), cov[:-1, -1] / scale
+                for run in runs:
+                    w = weights(q, r, row["rows"], run["model"], run["params"])
+                    found.append(
+                        {
+                            **row,
+                            "model": run["model"],
+                            "params": str(run["params"]),
+                            "intercept": means[-1],
+                            "coefficients": w.tolist(),
+                            "means": means[:-1].tolist(),
+                            "scales": scale.tolist(),
+                        }
+                    )
+            yield pd.DataFrame(found, columns=[*groups, "rows", "model", "params", "intercept", "coefficients", "means", "scales"])
 
     return sums.mapInPandas(solve, schema)
 

@@ -36,14 +36,20 @@ def bucket_count(df: DataFrame) -> int:
     return max(1, min(most, math.ceil(input_bytes(df) / per_bucket)))
 
 
+def _kind(df: DataFrame, c: Col) -> str:
+    return df.select(col(c).alias("v")).schema[0].dataType.typeName()
+
+
 def _as_double(df: DataFrame, c: Col) -> Column:
-    """An order column as a double that sorts the same way, NULL first."""
-    kind = df.select(col(c).alias("v")).schema[0].dataType.typeName()
+    """An order column as a double that never falls along its order, NULL first. Of text, the first 6 bytes count."""
+    kind = _kind(df, c)
     c = col(c)
     if kind.startswith("timestamp"):
         c = F.unix_micros(c.cast("timestamp"))
     elif kind == "date":
         c = F.unix_date(c)
+    elif kind == "string":
+        c = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10)
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
@@ -72,7 +78,8 @@ def with_buckets(df: DataFrame, order, n: int | None = None, out: str = _BUCKET)
     if n <= 1:
         return df.withColumn(out, F.lit(0))
     cuts = _cut_points(df, order[0], n)
-    heavy = sorted({x for x in cuts if cuts.count(x) > 1 and abs(x) < 2**53}) if len(order) > 1 else []
+    exact = len(order) > 1 and _kind(df, order[0]) != "string"
+    heavy = sorted({x for x in cuts if cuts.count(x) > 1 and abs(x) < 2**53}) if exact else []
     first = _bucketed(df, order[0], cuts + [math.nextafter(x, math.inf) for x in heavy], out)
     if not heavy:
         return first
@@ -180,11 +187,11 @@ def neighbour(
     )
     both = rows.withColumn(_SEED, F.lit(False)).unionByName(seeds, allowMissingColumns=True)
     both = both.select(
-        "*", *[F.when(F.col(_SEED), F.col(_CARRIED)[k]).otherwise(F.col(k)).alias(f"__{k}") for k in kept]
+        "*", *[F.when(F.col(_SEED), F.col(_CARRIED)[k]).otherwise(F.col(k)).alias(f"{_CARRIED}_{k}") for k in kept]
     )
     side = F.col(_SEED) if following else F.col(_SEED).desc()
     window = W.partitionBy(*keys, _BUCKET).orderBy(side, *order)
-    got = both.select("*", *[step(f"__{src}").over(window).alias(new) for new, src in columns.items()])
+    got = both.select("*", *[step(f"{_CARRIED}_{src}").over(window).alias(new) for new, src in columns.items()])
     return got.where(~F.col(_SEED)).select(*names, *columns)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.base import Col, as_list, col, count_if, flag
-from ..functions.text import family, urgency
+from ..functions.text import family, lookup, urgency
 from .ordered import bucket_count, running_sums, row_positions
 
 # Weight of a true positive, false negative, false positive and true negative per urgency bucket.
@@ -119,42 +119,46 @@ def pr_curve(df: DataFrame, y: Col, score: Col, keys=(), n: int | None = None) -
 
 
 def cut_stats(df: DataFrame, y: Col, score: Col, shares, keys=(), n: int | None = None) -> DataFrame:
-    """Per key and share k: the (1 - k) percentile of the scores and the rows at or above, and above, that level."""
+    """Per key and share k: the (1 - k) percentile of the scores and the rows at or above, and above, that level.
+
+    Every distinct score knows which ranks it covers, so each cut is found on the one or two rows it falls on.
+    """
     keys = as_list(keys)
     ranked = _ranked(df, y, score, keys, False, n)
-    aggs = [F.max("rows").alias("rows"), F.max("positives").alias("positives")]
-    parts = []
-    for i, k in enumerate(shares):
-        k = col(k) if isinstance(k, (str, Column)) else F.lit(float(k))
-        at = (1 - k) * (F.col("rows") - 1)
-        lo, hi = F.floor(F.round(at, 9)), F.ceil(F.round(at, 9))
-        upper = F.col("cum_n") > hi
-        aggs += [
-            F.min(F.when(F.col("cum_n") > lo, F.col("score"))).alias(f"__lo{i}"),
-            F.min(F.when(upper, F.col("score"))).alias(f"__hi{i}"),
-            F.max(at - lo).alias(f"__share{i}"),
-            F.min(F.when(upper, F.col("cum_n") - F.col("n"))).alias(f"__nb{i}"),
-            F.min(F.when(upper, F.col("cum_pos") - F.col("pos"))).alias(f"__pb{i}"),
-            F.min(F.when(upper, F.col("cum_n"))).alias(f"__nu{i}"),
-            F.min(F.when(upper, F.col("cum_pos"))).alias(f"__pu{i}"),
-            F.max(k).alias(f"__k{i}"),
-        ]
-        low, high, share = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__share{i}")
-        # above the level: the upper neighbour and beyond, unless the level is that neighbour itself
-        on_it = (F.abs(share) < 1e-9) | (low == high)
-        parts.append(
-            F.struct(
-                F.col(f"__k{i}").alias("k"),
-                (low + (high - low) * share).alias("level"),
-                (F.col("rows") - F.col(f"__nb{i}")).alias("n_ge"),
-                (F.col("positives") - F.col(f"__pb{i}")).alias("pos_ge"),
-                (F.col("rows") - F.when(on_it, F.col(f"__nu{i}")).otherwise(F.col(f"__nb{i}"))).alias("n_gt"),
-                (F.col("positives") - F.when(on_it, F.col(f"__pu{i}")).otherwise(F.col(f"__pb{i}"))).alias("pos_gt"),
-            )
-        )
-    wide = ranked.groupBy(*keys).agg(*aggs)
-    return wide.select(*keys, "rows", "positives", F.explode(F.array(*parts)).alias("c")).select(
-        *keys, "rows", "positives", "c.*"
+    start, end = F.col("cum_n") - F.col("n"), F.col("cum_n")
+
+    def place(k: Column) -> Column:
+        at = F.round((1 - k) * (F.col("rows") - 1), 9)
+        return F.struct(k.alias("k"), at.alias("at"), F.floor(at).alias("lo"), F.ceil(at).alias("hi"))
+
+    cuts = [k if isinstance(k, Column) else F.lit(float(k)) for k in as_list(shares)]
+    covers = lambda rank: (rank >= start) & (rank < end)
+    met = F.filter(F.transform(F.array(*cuts), place), lambda c: covers(c["lo"]) | covers(c["hi"]))
+    hits = ranked.withColumn("c", F.explode(met))
+    at_lo, at_hi = covers(F.col("c.lo")), covers(F.col("c.hi"))
+    found = hits.groupBy(*keys, F.col("c.k").alias("k")).agg(
+        F.max("rows").alias("rows"),
+        F.max("positives").alias("positives"),
+        F.max(F.col("c.at") - F.col("c.lo")).alias("share"),
+        F.max(F.when(at_lo, F.col("score"))).alias("low"),
+        F.max(F.when(at_hi, F.col("score"))).alias("high"),
+        F.max(F.when(at_hi, start)).alias("n_below"),
+        F.max(F.when(at_hi, F.col("cum_pos") - F.col("pos"))).alias("pos_below"),
+        F.max(F.when(at_hi, end)).alias("n_upto"),
+        F.max(F.when(at_hi, F.col("cum_pos"))).alias("pos_upto"),
+    )
+    # above the level lie the upper neighbour and beyond, unless the level is that neighbour itself
+    on_it = (F.col("share") == 0) | (F.col("low") == F.col("high"))
+    return found.select(
+        *keys,
+        "k",
+        "rows",
+        "positives",
+        (F.col("low") + (F.col("high") - F.col("low")) * F.col("share")).alias("level"),
+        (F.col("rows") - F.col("n_below")).alias("n_ge"),
+        (F.col("positives") - F.col("pos_below")).alias("pos_ge"),
+        (F.col("rows") - F.when(on_it, F.col("n_upto")).otherwise(F.col("n_below"))).alias("n_gt"),
+        (F.col("positives") - F.when(on_it, F.col("pos_upto")).otherwise(F.col("pos_below"))).alias("pos_gt"),
     )
 
 
@@ -233,16 +237,10 @@ def lift_by_code(
 
     The share k predicted positive depends on the code's urgency; codes without one are left out.
     """
-    cuts = k_by_urgency or CUT_BY_URGENCY
-    bucket = urgency(code)
-    ranked = df.withColumn("__bucket", bucket).where(F.col("__bucket").isin(*cuts))
-    parts = []
-    for name, k in cuts.items():
-        got = cut_stats(ranked.where(F.col("__bucket") == name), label, score, [k / 100], [code], n)
-        parts.append(got.withColumn("k", F.lit(k / 100)))
-    stats = parts[0]
-    for p in parts[1:]:
-        stats = stats.unionByName(p)
+    cuts = {name: k / 100 for name, k in (k_by_urgency or CUT_BY_URGENCY).items()}
+    wanted = lookup(urgency(code), cuts)
+    ranked = df.where(wanted.isNotNull())
+    stats = cut_stats(ranked, label, score, sorted(set(cuts.values())), [code], n).where(F.col("k") == wanted)
     rows, positives = F.col("rows").cast("double"), F.col("positives").cast("double")
     tp, fp = F.col("pos_gt"), F.col("n_gt") - F.col("pos_gt")
     correct = (tp + (rows - positives - fp)) / rows
@@ -290,8 +288,8 @@ def compare_to_protocol(df: DataFrame, score: Col, label: Col, protocol: Col, sh
         F.avg((1 - p) * o).alias("fn"),
         F.avg((1 - p) * (1 - o)).alias("tn"),
     )
-    k = F.lit(float(share)) if share is not None else df.agg(F.avg(p).alias("k")).scalar()
-    m = cut_stats(df.withColumn("__k", k), label, score, [k])
+    k = share if share is not None else df.agg(F.avg(p).alias("k")).scalar()
+    m = cut_stats(df, label, score, [k])
     rows = F.col("rows")
     model = m.select(
         F.lit("model").alias("rule"),

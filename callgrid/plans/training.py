@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.base import as_list
 from ..operators import modeling, scoring
 from ..operators.filters import split_by_year, split_last_days, subset_bucket
-from ..operators.sets import union_all
 
 
 def sample_incidents(
@@ -20,44 +19,46 @@ def sample_incidents(
     return modeling.one_hot(train, cats, levels=levels), modeling.one_hot(test, cats, levels=levels)
 
 
-def run_classifier(
-    train: DataFrame,
-    test: DataFrame,
-    label: str,
-    key: str,
-    features,
-    model: str,
-    params: dict,
-    bucket: str,
-    codes=None,
-    code: str = "code_type",
-    weights: dict | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(scores, metrics of the test scores) of one run on the codes of one urgency bucket."""
-    weights = weights or scoring.SCORE_WEIGHTS
+def prepare_bucket(train: DataFrame, test: DataFrame, features, label: str, codes=None, code: str = "code_type"):
+    """Train and test rows of one urgency bucket, imputed and scaled by its train rows."""
     if codes:
         train, test = subset_bucket(train, code, codes), subset_bucket(test, code, codes)
     train, test = modeling.impute_median(train, test, features)
-    train, test = modeling.standardise(train, test, features, label)
+    return modeling.standardise(train, test, features, label)
+
+
+def run_classifier(
+    train: DataFrame, test: DataFrame, label: str, key: str, features, model: str, params: dict, weights
+) -> tuple[DataFrame, DataFrame]:
+    """(scores, metrics of the test scores) of one run on prepared rows."""
     scores = modeling.fit_score(train, test, label, key, features, model, **params)
     tested = scores.where("split = 'test'").join(test.select(key, label), key)
-    return scores, scoring.metrics_at_k(tested, label, "score", weights=weights.get(bucket, weights["other"]))
+    return scores, scoring.metrics_at_k(tested, label, "score", weights=weights)
 
 
-def run_grid(train, test, label, key, features, models, buckets, code: str = "code_type", grid=None) -> DataFrame:
-    """Metrics of every (model, parameters, bucket). Each run is a set of Spark jobs; runs follow one another."""
-    out = []
-    for run in modeling.expand_grid(models, grid, buckets):
-        codes = buckets.get(run["bucket"])
-        _, metrics = run_classifier(
-            train, test, label, key, features, run["model"], run["params"], run["bucket"], codes, code
-        )
-        out.append(
-            metrics.select(
-                F.lit(run["model"]).alias("model"), F.lit(str(run["params"])).alias("params"), F.lit(run["bucket"]).alias("bucket"), "*"
+def run_grid(
+    train, test, label, key, features, models, buckets, code: str = "code_type", grid=None, weights: dict | None = None
+) -> DataFrame:
+    """Metrics of every (model, parameters, bucket).
+
+    Rows are prepared once per bucket and kept while its models are trained; each run is a set of Spark jobs that
+    leaves one line per cut.
+    """
+    weights, rows, schema = weights or scoring.SCORE_WEIGHTS, [], None
+    runs = modeling.expand_grid(models, grid)
+    for bucket, codes in buckets.items():
+        ready = [df.persist() for df in prepare_bucket(train, test, features, label, codes, code)]
+        for run in runs:
+            _, metrics = run_classifier(
+                *ready, label, key, features, run["model"], run["params"], weights.get(bucket, weights["other"])
             )
-        )
-    return union_all(*out)
+            named = {"model": run["model"], "params": str(run["params"]), "bucket": bucket}
+            metrics = metrics.select(*[F.lit(v).alias(k) for k, v in named.items()], "*")
+            schema = metrics.schema
+            rows += metrics.collect()
+        for df in ready:
+            df.unpersist()
+    return train.sparkSession.createDataFrame(rows, schema)
 
 
 def run_regressors(
@@ -74,20 +75,12 @@ def run_regressors(
     schedule: str = "exp",
     overunder=(1.0, 3.0),
 ) -> DataFrame:
-    """Metrics per station of every (model, parameters) on the last days; all stations are fitted in one job."""
+    """Metrics per station of every (model, parameters) on the last days; one pass over the train rows fits them all."""
     train, test = split_last_days(days, day, first_year, test_days)
     baseline = "YES" if all("lag" in f for f in as_list(features)) else "NO"
-    out = []
-    for run in modeling.expand_grid(models, grid or modeling.REGRESSOR_GRID):
-        p = run["params"]
-        fitted = modeling.fit_per_group(
-            train, group, label, features, run["model"], float(p.get("alpha", 1.0)), float(p.get("l1_ratio", 0.5))
-        )
-        predicted = modeling.predict_per_group(test, fitted, group, features).where("pred is not null")
-        metrics = scoring.reg_metrics(predicted, label, "pred", [day], final_weight, schedule, overunder, [group])
-        out.append(
-            metrics.select(
-                F.lit(run["model"]).alias("model"), F.lit(str(p)).alias("params"), F.lit(baseline).alias("baseline"), "*"
-            )
-        )
-    return union_all(*out)
+    runs = modeling.expand_grid(models, grid or modeling.REGRESSOR_GRID)
+    fitted = modeling.fit_grid_per_group(train, group, label, features, runs)
+    predicted = modeling.predict_per_group(test, fitted, group, features).where("pred is not null")
+    keys = ["model", "params", group]
+    metrics = scoring.reg_metrics(predicted, label, "pred", [day], final_weight, schedule, overunder, keys)
+    return metrics.withColumn("baseline", F.lit(baseline))
