@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.base import Col, as_list, col, count_if, flag
 from ..functions.calendar import day_part, iso_week, weekday0
 from ..functions.text import lookup
-from .ordered import bucket_count, with_buckets
+from .ordered import plan_cuts, with_buckets
 
 # Daily weather event codes of the public GHCN-Daily format and the names used for them.
 WEATHER_EVENTS = {
@@ -50,11 +50,11 @@ def concat_text(
     def glue(c: str, by: list[str]) -> Column:
         return F.expr(f"listagg(`{c}`, '{quoted}') within group (order by {', '.join(f'`{b}`' for b in by)})")
 
-    n = n or bucket_count(df)
     present = df.select(key, text, *[o for o in order if o not in (key, text)]).where(F.col(text).isNotNull())
-    if n <= 1:
+    cuts = plan_cuts(present, order, n)
+    if not cuts.first:
         return present.groupBy(key).agg(glue(text, order).alias(out))
-    pieces = with_buckets(present, order, n, "__piece").groupBy(key, "__piece").agg(glue(text, order).alias("__t"))
+    pieces = with_buckets(present, order, cuts, "__piece").groupBy(key, "__piece").agg(glue(text, order).alias("__t"))
     return pieces.groupBy(key).agg(glue("__t", ["__piece"]).alias(out))
 
 

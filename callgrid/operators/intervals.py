@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.base import Col, as_list, col, micros
 from ..functions.calendar import minutes_between
-from .ordered import neighbour, running_sum
+from .ordered import bucket_count, neighbour, plan_cuts, running_sum
 
 _DAY = 86_400_000_000
 
@@ -39,7 +39,8 @@ def idle_time(df: DataFrame, unit: str, start: str, end: str, shift0) -> DataFra
     """
     shifted = df.withColumn("shift", shift_number(start, shift0)).where("shift > 0")
     events = unit_events(shifted, unit, start, end, ["shift"])
-    seen = neighbour(events, {"__at": "at", "__state": "state"}, ["at", "state"], ["unit", "shift"])
+    cuts = plan_cuts(df.select(micros(start).alias("at")), "at")
+    seen = neighbour(events, {"__at": "at", "__state": "state"}, ["at", "state"], ["unit", "shift"], cuts=cuts)
     began = micros(F.lit(shift0).cast("timestamp")) + (F.col("shift") - 1) * F.lit(_DAY)
     free_since = F.when(F.col("__state").isNull(), began).when(F.col("__state") == 0, F.col("__at"))
     idle = F.when(F.col("state") == 1, F.col("at") - free_since)
@@ -60,11 +61,12 @@ def concurrency(df: DataFrame, unit: str, start: str, end: str, n: int | None =
     become clear before others are sent.
     """
     events = unit_events(df, unit, start, end)
-    states = neighbour(events, {"__was": "state"}, ["at", "state"], ["unit"], n=n)
+    cuts = plan_cuts(df.select(micros(start).alias("at")), "at", n)
+    states = neighbour(events, {"__was": "state"}, ["at", "state"], ["unit"], cuts=cuts)
     changes = states.select(
         "at", "unit", (F.col("state") - F.coalesce("__was", F.lit(0))).alias("delta")
     ).where("delta <> 0")
-    return running_sum(changes, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", n=n)
+    return running_sum(changes, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
 
 
 def saturation_episodes(conc: DataFrame, capacity: int, n: int | None = None) -> DataFrame:
@@ -114,7 +116,8 @@ def created_while_saturated(
     asked = df.select("*", micros(created).alias("__at"), F.lit(0).alias("__phase"))
     steps = conc.groupBy(F.col("at").alias("__at")).agg(F.sum("delta").alias("__delta")).withColumn("__phase", F.lit(1))
     both = asked.unionByName(steps, allowMissingColumns=True)
-    level_before = running_sum(both, "__delta", ["__at", "__phase"], out="__busy", n=n)
+    cuts = plan_cuts(df.select(micros(created).alias("__at")), "__at", n or bucket_count(both))
+    level_before = running_sum(both, "__delta", ["__at", "__phase"], out="__busy", cuts=cuts)
     return level_before.where("__phase = 0").select(*names, (F.col("__busy") >= level).alias(out))
 
 

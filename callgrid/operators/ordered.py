@@ -11,6 +11,7 @@ Small inputs, by the size of their files, keep a single bucket, which is a plain
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -60,34 +61,51 @@ def _cut_points(df: DataFrame, c: Col, n: int) -> list[float]:
 
 
 def _bucketed(df: DataFrame, c: Col, cuts: list[float], out: str) -> DataFrame:
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    if len(splits) < 3:
+    if not cuts:
         return df.withColumn(out, F.lit(0))
+    splits = [-math.inf, *cuts, math.inf]
     tmp = out + "_v"
     cut = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return cut.transform(df.withColumn(tmp, _as_double(df, c))).withColumn(out, F.col(out).cast("int")).drop(tmp)
 
 
-def with_buckets(df: DataFrame, order, n: int | None = None, out: str = _BUCKET) -> DataFrame:
-    """Add a bucket number that never decreases along the order.
+@dataclass(frozen=True)
+class Cuts:
+    """Cut points along an order: of its first column, and of its second within the values listed as heavy."""
 
-    A value so frequent that it fills a bucket of its own is cut further along the second order column.
+    first: tuple[float, ...] = ()
+    heavy: tuple[float, ...] = ()
+    second: tuple[float, ...] = ()
+
+
+def plan_cuts(df: DataFrame, order, n: int | None = None) -> Cuts:
+    """Cut points that spread the rows over about n buckets; a job reads the order columns only.
+
+    A value so frequent that it fills a bucket of its own is cut further along the second order column. Any cuts are
+    right for any frame, so those of an input can serve what is computed from it.
     """
     order = as_list(order)
     n = n or bucket_count(df)
     if n <= 1:
-        return df.withColumn(out, F.lit(0))
+        return Cuts()
     cuts = _cut_points(df, order[0], n)
     exact = len(order) > 1 and _kind(df, order[0]) != "string"
     heavy = sorted({x for x in cuts if cuts.count(x) > 1 and abs(x) < 2**53}) if exact else []
-    first = _bucketed(df, order[0], cuts + [math.nextafter(x, math.inf) for x in heavy], out)
-    if not heavy:
+    first = sorted({*cuts, *[math.nextafter(x, math.inf) for x in heavy]})
+    second = _cut_points(df, order[1], max(cuts.count(x) for x in heavy) + 1) if heavy else []
+    return Cuts(tuple(first), tuple(heavy), tuple(sorted(set(second))))
+
+
+def with_buckets(df: DataFrame, order, cuts: Cuts, out: str = _BUCKET) -> DataFrame:
+    """Add a bucket number that never decreases along the order."""
+    order = as_list(order)
+    first = _bucketed(df, order[0], list(cuts.first), out)
+    if not cuts.heavy:
         return first
-    finer = max(cuts.count(x) for x in heavy) + 1
     second = out + "_2"
-    both = _bucketed(first, order[1], _cut_points(df, order[1], finer), second)
-    inside = F.when(_as_double(df, order[0]).isin(heavy), F.col(second)).otherwise(F.lit(0))
-    return both.withColumn(out, F.col(out) * F.lit(finer + 1) + inside).drop(second)
+    both = _bucketed(first, order[1], list(cuts.second), second)
+    inside = F.when(_as_double(df, order[0]).isin(*cuts.heavy), F.col(second)).otherwise(F.lit(0))
+    return both.withColumn(out, F.col(out) * F.lit(len(cuts.second) + 2) + inside).drop(second)
 
 
 def running_sums(
@@ -98,6 +116,7 @@ def running_sums(
     totals: dict[str, str] | None = None,
     inclusive: bool = True,
     n: int | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Running sums over the rows of the same keys up to (or, not inclusive, before) each row.
 
@@ -105,11 +124,11 @@ def running_sums(
     order; `totals` maps a new column to an extra column with the sum over all rows of the key.
     """
     order, keys, totals = as_list(order), as_list(keys), totals or {}
-    n = n or bucket_count(df)
+    cuts = plan_cuts(df, order, n) if cuts is None else cuts
     end = 0 if inclusive else -1
     filled = {out: F.coalesce(col(v), F.lit(0)) for out, v in values.items()}
     names = df.columns
-    if n <= 1:
+    if not cuts.first:
         window = W.partitionBy(*keys)
         before = window.orderBy(*order).rowsBetween(W.unboundedPreceding, end)
         return df.select(
@@ -119,7 +138,7 @@ def running_sums(
         )
 
     carried = {out: f"{_CARRIED}_{i}" for i, out in enumerate(values)}
-    rows = with_buckets(df.select("*", *[filled[out].alias(c) for out, c in carried.items()]), order, n)
+    rows = with_buckets(df.select("*", *[filled[out].alias(c) for out, c in carried.items()]), order, cuts)
     earlier = W.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
     seeds = (
         rows.groupBy(*keys, _BUCKET)
@@ -152,9 +171,10 @@ def running_sum(
     total: str | None = None,
     inclusive: bool = True,
     n: int | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """`running_sums` of a single value."""
-    return running_sums(df, {out: value}, order, keys, {out: total} if total else None, inclusive, n)
+    return running_sums(df, {out: value}, order, keys, {out: total} if total else None, inclusive, n, cuts)
 
 
 def neighbour(
@@ -164,17 +184,18 @@ def neighbour(
     keys=(),
     following: bool = False,
     n: int | None = None,
+    cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add values of the previous (or following) row of the same keys; `columns` maps new name to source column."""
     order, keys = as_list(order), as_list(keys)
-    n = n or bucket_count(df)
+    cuts = plan_cuts(df, order, n) if cuts is None else cuts
     names = df.columns
     step = F.lead if following else F.lag
-    if n <= 1:
+    if not cuts.first:
         window = W.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[step(src).over(window).alias(new) for new, src in columns.items()])
 
-    rows = with_buckets(df, order, n)
+    rows = with_buckets(df, order, cuts)
     kept = list(dict.fromkeys(columns.values()))
     edge = (F.min_by if following else F.max_by)(F.struct(*kept), F.struct(*order))
     per_key = W.partitionBy(*keys).orderBy(_BUCKET)
@@ -195,9 +216,11 @@ def neighbour(
     return got.where(~F.col(_SEED)).select(*names, *columns)
 
 
-def row_positions(df: DataFrame, order, keys=(), out: str = "position", n: int | None = None) -> DataFrame:
+def row_positions(
+    df: DataFrame, order, keys=(), out: str = "position", n: int | None = None, cuts: Cuts | None = None
+) -> DataFrame:
     """0-based position of each row of a key along the order."""
-    return running_sum(df, F.lit(1).cast("bigint"), order, keys, out, inclusive=False, n=n)
+    return running_sum(df, F.lit(1).cast("bigint"), order, keys, out, inclusive=False, n=n, cuts=cuts)
 
 
 def exact_quantiles(

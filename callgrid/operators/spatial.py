@@ -1,7 +1,8 @@
 """Point and polygon joins on a grid of square cells.
 
-A polygon is listed under every cell its bounding box touches, so candidates come from an equi-join on the cell and
-the exact test runs on candidates only. The polygon side grows with the number of polygons, not with the points.
+A polygon is listed under the cells it touches, so candidates come from an equi-join on the cell. Cells that lie wholly
+inside a polygon need no test; in the others the exact test sees only the edges that matter there. The polygon side
+grows with the number of polygons, not with the points.
 """
 
 from __future__ import annotations
@@ -35,6 +36,29 @@ def mean_extent(polys: DataFrame) -> float:
     return float(polys.agg(F.avg(side)).first()[0] or 1.0)
 
 
+def classified_cells(polys: DataFrame, size: float) -> DataFrame:
+    """Cells of each polygon, without those outside it; `edges` is NULL in cells wholly inside.
+
+    A ray to the right of a point in a border cell can only cross edges that overlap the cell's height and do not lie
+    to its left, so only those are kept.
+    """
+    x0, y0 = F.col("cell_x") * F.lit(float(size)), F.col("cell_y") * F.lit(float(size))
+    # the margin makes up for rounding when cell corners are computed back from cell numbers
+    margin = size * 1e-9
+    x1, y1 = x0 + (size + margin), y0 + (size + margin)
+    x0, y0 = x0 - margin, y0 - margin
+
+    def level(k: Column) -> Column:
+        return (F.least(k["y1"], k["y2"]) <= y1) & (F.greatest(k["y1"], k["y2"]) >= y0)
+
+    ahead = F.filter("edges", lambda k: level(k) & (F.greatest(k["x1"], k["x2"]) >= x0))
+    cells = by_cell(polys, size).withColumn("ahead", ahead)
+    border = F.exists("ahead", lambda k: F.least(k["x1"], k["x2"]) <= x1)
+    inside = g.contains("ahead", x0 + size / 2, y0 + size / 2)
+    marked = cells.withColumn("border", border).where(F.col("border") | inside)
+    return marked.withColumn("edges", F.when(F.col("border"), F.col("ahead"))).drop("ahead", "border")
+
+
 def point_in_polygon(
     points: DataFrame,
     polys: DataFrame,
@@ -51,15 +75,15 @@ def point_in_polygon(
     point one polygon. `how="left"` keeps points outside every polygon.
     """
     edged = with_edges(polys, ring, several)
-    size = cell or mean_extent(edged)
-    listed = by_cell(edged, size)
+    size = cell or mean_extent(edged) / 8
     keep = [c for c in polys.columns if c != ring]
+    listed = classified_cells(edged, size).select(
+        *keep, "edges", F.col("cell_x").alias("__cx"), F.col("cell_y").alias("__cy")
+    )
     at = points.withColumns({"cell_x": _cell(x, size), "cell_y": _cell(y, size)})
-    inside = g.contains("edges", x, y)
-    near = F.col(x).between(F.col("min_x"), F.col("max_x")) & F.col(y).between(F.col("min_y"), F.col("max_y"))
-    renamed = listed.withColumnsRenamed({"cell_x": "__cx", "cell_y": "__cy"})
-    on = (F.col("cell_x") == F.col("__cx")) & (F.col("cell_y") == F.col("__cy")) & near & inside
-    return at.join(renamed, on, how).select(*points.columns, *keep)
+    inside = F.col("edges").isNull() | g.contains("edges", x, y)
+    on = (F.col("cell_x") == F.col("__cx")) & (F.col("cell_y") == F.col("__cy")) & inside
+    return at.join(listed, on, how).select(*points.columns, *keep)
 
 
 def _candidates(a: DataFrame, b: DataFrame, a_key, b_key, size: float) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.base import Col, as_list, col, micros
-from .ordered import bucket_count, exact_quantiles, row_positions, running_sum
+from .ordered import bucket_count, exact_quantiles, plan_cuts, row_positions, running_sum
 
 
 def _daily(df: DataFrame, day: Column, feature: str, agg: str, group: list[str]) -> DataFrame:
@@ -69,16 +69,18 @@ def sum_last(
 ) -> DataFrame:
     """Sum over the same key's rows from `seconds` before a row up to, but without, its own instant.
 
-    On one bucket this is a range window. Otherwise every row adds its value right after its instant and takes it
-    back right after `seconds` more, and the sum is a running sum of these steps, which splits a hot key.
+    On one bucket this is the difference of two growing range frames, which Spark updates row by row; a sliding frame
+    would be summed anew for each row. Otherwise every row adds its value right after its instant and takes it back
+    right after `seconds` more, and the sum is a running sum of these steps, which splits a hot key.
     """
     keys = as_list(key)
     n = n or bucket_count(df)
     span = seconds * 1_000_000
     v = F.coalesce(col(value), F.lit(0))
     if n <= 1:
-        w = W.partitionBy(*keys).orderBy(micros(ts)).rangeBetween(-span, -1)
-        return df.withColumn(out, F.coalesce(F.sum(v).over(w), F.lit(0)))
+        w = W.partitionBy(*keys).orderBy(micros(ts))
+        upto = lambda end: F.coalesce(F.sum(v).over(w.rangeBetween(W.unboundedPreceding, end)), F.lit(0))
+        return df.withColumn(out, upto(-1) - upto(-span - 1))
     names = df.columns
     queries = df.select("*", micros(ts).alias("__at"), F.lit(0).alias("__phase"))
     steps = (
@@ -97,7 +99,8 @@ def sum_last(
         .select(*keys, F.col("__s.at").alias("__at"), F.col("__s.v").alias("__v"), F.lit(1).alias("__phase"))
     )
     both = queries.unionByName(steps, allowMissingColumns=True)
-    summed = running_sum(both, "__v", ["__at", "__phase"], keys, out, n=n)
+    cuts = plan_cuts(df.select(micros(ts).alias("__at")), "__at", n)
+    summed = running_sum(both, "__v", ["__at", "__phase"], keys, out, cuts=cuts)
     return summed.where("__phase = 0").select(*names, out)
 
 
