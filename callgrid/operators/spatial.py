@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import geometry as g
 from ..functions.base import Col, as_list, col
 
+BROADCAST_BYTES_KEY = "spark.callgrid.broadcastBytes"
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def with_edges(polys: DataFrame, ring: str, several: bool = False) -> DataFrame:
     """Replace the ring column by the edge list `edges` and the bounding box."""
@@ -59,6 +62,17 @@ def classified_cells(polys: DataFrame, size: float) -> DataFrame:
     return marked.withColumn("edges", F.when(F.col("border"), F.col("ahead"))).drop("ahead", "border")
 
 
+def sized_for_join(listed: DataFrame) -> DataFrame:
+    """Hint how to join the cell list: broadcast when its measured size is within bounds, sort-merge otherwise.
+
+    The planner does not know how far cells and edges multiply, so the size is taken from the list itself. A merge
+    join leaves a crowded cell to adaptive execution, which splits the points of a skewed partition.
+    """
+    measured = listed.agg(F.sum(F.coalesce(F.size("edges"), F.lit(0)) * 40 + 100).alias("b")).first()["b"] or 0
+    limit = int(listed.sparkSession.conf.get(BROADCAST_BYTES_KEY, str(DEFAULT_BROADCAST_BYTES)))
+    return F.broadcast(listed) if measured <= limit else listed.hint("merge")
+
+
 def point_in_polygon(
     points: DataFrame,
     polys: DataFrame,
@@ -81,6 +95,7 @@ def point_in_polygon(
         *keep, "edges", F.col("cell_x").alias("__cx"), F.col("cell_y").alias("__cy")
     )
     at = points.withColumns({"cell_x": _cell(x, size), "cell_y": _cell(y, size)})
+    listed = sized_for_join(listed)
     inside = F.col("edges").isNull() | g.contains("edges", x, y)
     on = (F.col("cell_x") == F.col("__cx")) & (F.col("cell_y") == F.col("__cy")) & inside
     return at.join(listed, on, how).select(*points.columns, *keep)
