@@ -140,9 +140,6 @@ def _(t):
     """,
 )
 def _(t):
-    y = F.col("trns_to_hosp").cast("int")
-    rows = w.count_last(t.incidents, "station_name", "time_created", 86400, "incidents_24h")
-    rows = w.sum_last(rows, "station_name", "time_created", y, 86400, "trns_24h")
-    rows = w.count_last(rows, "station_name", "time_created", 604800, "incidents_1w")
-    rows = w.sum_last(rows, "station_name", "time_created", y, 604800, "trns_1w")
-    return rows.select("incident", "incidents_24h", "trns_24h", "incidents_1w", "trns_1w")
+    y, one = F.col("trns_to_hosp").cast("bigint"), F.lit(1).cast("bigint")
+    sums = {"incidents_24h": (one, 86400), "trns_24h": (y, 86400), "incidents_1w": (one, 604800), "trns_1w": (y, 604800)}
+    return w.sums_last(t.incidents, "station_name", "time_created", sums).select("incident", *sums)

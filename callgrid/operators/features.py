@@ -32,18 +32,24 @@ class FeatureSet:
     """Functions by feature name.
 
     A function takes (frame, context) and returns a Column, or a DataFrame with more columns. New columns must be
-    called like the feature or start with its name and an underscore.
+    called like the feature or start with its name and an underscore. `context["base"]` is the table as given.
     """
 
     functions: dict[str, Callable] = field(default_factory=dict)
     needs: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    lookups: set[str] = field(default_factory=set)
 
-    def feature(self, name: str, needs=()):
-        """Register a function; `needs` names features that must come first."""
+    def feature(self, name: str, needs=(), lookup: bool = False):
+        """Register a function; `needs` names features that must come first.
+
+        `lookup` marks a function that only joins small tables to the frame it is given.
+        """
 
         def register(f):
             self.functions[name] = f
             self.needs[name] = tuple(as_list(needs))
+            if lookup:
+                self.lookups.add(name)
             return f
 
         return register
@@ -66,26 +72,46 @@ class FeatureSet:
         return done
 
     def apply(self, df: DataFrame, specs: list[FeatureSpec], pk, context: dict | None = None) -> DataFrame:
-        """The key and all wanted features. A feature without a function is copied from the table."""
-        context = context or {}
+        """The key and all wanted features. A feature without a function is copied from the table.
+
+        Columns and lookups are added one after the other. Every other feature reads its frame more than once, so it
+        is computed by itself, from the table (or, if it needs other features, from the table with those), and joined
+        by the key at the end: the plan grows with the number of features, not with its power.
+        """
+        context, keys = {"base": df, **(context or {})}, as_list(pk)
         wanted = [s.name for s in specs if s.incl]
         produced: dict[str, list[str]] = {}
-        out = df
+        added, later = df, []
         for name in self.order(wanted):
             f = self.functions.get(name)
             if f is None:
                 produced[name] = [name]
                 continue
-            before = set(out.columns)
-            got = f(out, context)
-            if isinstance(got, Column):
-                out = out.withColumn(name, got)
+            if name not in self.lookups:
+                # what a function returns is only known by calling it; a Column does not depend on the frame
+                start = added if self.needs[name] else df
+                got = f(start, context)
+                if isinstance(got, DataFrame):
+                    new = self._columns(name, got, start)
+                    later.append(got.select(*keys, *new))
+                    produced[name] = new
+                    continue
+                added = added.withColumn(name, got)
                 produced[name] = [name]
             else:
-                out = got
-                produced[name] = [c for c in got.columns if c == name or (c not in before and c.startswith(name + "_"))]
+                got = f(added, context)
+                produced[name] = self._columns(name, got, added)
+                added = got
+        for got in later:
+            clash = [c for c in got.columns if c in added.columns and c not in keys]
+            added = added.drop(*clash).join(got, keys, "left")
         keep = [c for name in sorted(wanted) for c in produced[name]]
-        return out.select(*as_list(pk), *[c for c in dict.fromkeys(keep) if c not in as_list(pk)])
+        return added.select(*keys, *[c for c in dict.fromkeys(keep) if c not in keys])
+
+    @staticmethod
+    def _columns(name: str, got: DataFrame, before: DataFrame) -> list[str]:
+        known = set(before.columns)
+        return [c for c in got.columns if c == name or (c not in known and c.startswith(name + "_"))]
 
 
 def load_specs(source: str | list[dict]) -> tuple[list[FeatureSpec], list[str]]:

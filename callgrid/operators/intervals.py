@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.base import Col, as_list, col, micros
 from ..functions.calendar import minutes_between
+from ..sources.scratch import checkpointed
 from .ordered import bucket_count, neighbour, plan_cuts, running_sum
 
 _DAY = 86_400_000_000
@@ -66,7 +67,9 @@ def concurrency(df: DataFrame, unit: str, start: str, end: str, n: int | None =
     changes = states.select(
         "at", "unit", (F.col("state") - F.coalesce("__was", F.lit(0))).alias("delta")
     ).where("delta <> 0")
-    return running_sum(changes, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
+    busy = running_sum(changes, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
+    # what is derived from it reads it several times: on large inputs it is written once instead
+    return checkpointed(busy) if cuts.first else busy
 
 
 def saturation_episodes(conc: DataFrame, capacity: int, n: int | None = None) -> DataFrame:

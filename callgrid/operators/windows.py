@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.base import Col, as_list, col, micros
-from .ordered import bucket_count, exact_quantiles, plan_cuts, row_positions, running_sum
+from .ordered import bucket_count, exact_quantiles, plan_cuts, row_positions, running_sums
 
 
 def _daily(df: DataFrame, day: Column, feature: str, agg: str, group: list[str]) -> DataFrame:
@@ -64,44 +64,52 @@ def prior_count(df: DataFrame, key: str, order, out: str = "prior", n: int | Non
     return counted.withColumn(out, F.when(F.col(key).isNotNull(), F.col(out)))
 
 
-def sum_last(
-    df: DataFrame, key, ts: str, value: Col, seconds: int, out: str = "trailing", n: int | None = None
+def sums_last(
+    df: DataFrame, key, ts: str, sums: dict[str, tuple[Col, int]], n: int | None = None
 ) -> DataFrame:
-    """Sum over the same key's rows from `seconds` before a row up to, but without, its own instant.
+    """Trailing sums: `sums` maps each new column to (value, seconds).
+
+    Each is the sum over the same key's rows from that many seconds before a row up to, but without, its own instant.
 
-    On one bucket this is the difference of two growing range frames, which Spark updates row by row; a sliding frame
-    would be summed anew for each row. Otherwise every row adds its value right after its instant and takes it back
-    right after `seconds` more, and the sum is a running sum of these steps, which splits a hot key.
+    On one bucket these are differences of two growing range frames, which Spark updates row by row; a sliding frame
+    would be summed anew for each row. Otherwise every row adds its values right after its instant and takes each back
+    right after its seconds more; one running sum of these steps, which splits a hot key, answers all columns.
     """
     keys = as_list(key)
     n = n or bucket_count(df)
-    span = seconds * 1_000_000
-    v = F.coalesce(col(value), F.lit(0))
+    values = {out: F.coalesce(col(v), F.lit(0)) for out, (v, _) in sums.items()}
+    spans = {out: seconds * 1_000_000 for out, (_, seconds) in sums.items()}
     if n <= 1:
         w = W.partitionBy(*keys).orderBy(micros(ts))
-        upto = lambda end: F.coalesce(F.sum(v).over(w.rangeBetween(W.unboundedPreceding, end)), F.lit(0))
-        return df.withColumn(out, upto(-1) - upto(-span - 1))
+
+        def upto(out: str, end: int) -> Column:
+            return F.coalesce(F.sum(values[out]).over(w.rangeBetween(W.unboundedPreceding, end)), F.lit(0))
+
+        return df.select("*", *[(upto(out, -1) - upto(out, -span - 1)).alias(out) for out, span in spans.items()])
+
     names = df.columns
     queries = df.select("*", micros(ts).alias("__at"), F.lit(0).alias("__phase"))
-    steps = (
-        df.where(F.col(ts).isNotNull())
-        .groupBy(*keys, micros(ts).alias("__t"))
-        .agg(F.sum(v).alias("__v"))
-        .select(
-            *keys,
-            F.explode(
-                F.array(
-                    F.struct(F.col("__t").alias("at"), F.col("__v").alias("v")),
-                    F.struct((F.col("__t") + span).alias("at"), (-F.col("__v")).alias("v")),
-                )
-            ).alias("__s"),
-        )
-        .select(*keys, F.col("__s.at").alias("__at"), F.col("__s.v").alias("__v"), F.lit(1).alias("__phase"))
+    added = df.where(F.col(ts).isNotNull()).groupBy(*keys, micros(ts).alias("__t")).agg(
+        *[F.sum(v).alias(f"__v_{out}") for out, v in values.items()]
     )
-    both = queries.unionByName(steps, allowMissingColumns=True)
+    steps = [F.struct(F.col("__t").alias("at"), *[F.col(f"__v_{o}").alias(o) for o in sums])]
+    for span in sorted(set(spans.values())):
+        gone = [F.when(F.lit(spans[o] == span), -F.col(f"__v_{o}")).alias(o) for o in sums]
+        steps.append(F.struct((F.col("__t") + span).alias("at"), *gone))
+    changes = added.select(*keys, F.explode(F.array(*steps)).alias("__s")).select(
+        *keys, F.col("__s.at").alias("__at"), F.lit(1).alias("__phase"), *[F.col("__s")[o].alias(f"__v_{o}") for o in sums]
+    )
+    both = queries.unionByName(changes, allowMissingColumns=True)
     cuts = plan_cuts(df.select(micros(ts).alias("__at")), "__at", n)
-    summed = running_sum(both, "__v", ["__at", "__phase"], keys, out, cuts=cuts)
-    return summed.where("__phase = 0").select(*names, out)
+    summed = running_sums(both, {o: f"__v_{o}" for o in sums}, ["__at", "__phase"], keys, cuts=cuts)
+    return summed.where("__phase = 0").select(*names, *sums)
+
+
+def sum_last(
+    df: DataFrame, key, ts: str, value: Col, seconds: int, out: str = "trailing", n: int | None = None
+) -> DataFrame:
+    """`sums_last` of a single value."""
+    return sums_last(df, key, ts, {out: (value, seconds)}, n)
 
 
 def count_last(

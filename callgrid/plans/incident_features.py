@@ -44,7 +44,7 @@ def _census(name: str):
 
 
 for _name in CENSUS:
-    _feature(_name)(_census(_name))
+    _feature(_name, lookup=True)(_census(_name))
 
 
 @_feature("weekday")
@@ -77,21 +77,21 @@ def incident_duration(df, context):
     return cal.minutes_between(TS, "time_closed")
 
 
-@_feature("trns_or_refused")
+@_feature("trns_or_refused", lookup=True)
 def trns_or_refused(df, context):
     flagged = refused(df, "comments", "trns_or_refused")
     return flagged.withColumn("trns_or_refused", F.col("trns_or_refused") | F.col("trns_to_hosp"))
 
 
-@_feature("within_1day_full_moon")
+@_feature("within_1day_full_moon", lookup=True)
 def within_1day_full_moon(df, context):
     full = context["moon"].where(F.col("phase") == "Full Moon")
     return near_date_flag(df, full, TS, "date", 1, "within_1day_full_moon")
 
 
-def _measured(df: DataFrame, weather: DataFrame) -> DataFrame:
+def _measured(context: dict) -> DataFrame:
     """Measurements within the days of the incidents."""
-    ends = df.agg(F.to_date(F.min(TS)).alias("a"), F.to_date(F.max(TS)).alias("b"))
+    weather, ends = context["weather"], context["base"].agg(F.to_date(F.min(TS)).alias("a"), F.to_date(F.max(TS)).alias("b"))
     return weather.where(F.col("date").between(ends.select("a").scalar(), ends.select("b").scalar()))
 
 
@@ -104,26 +104,26 @@ def _join_filled(df: DataFrame, daily: DataFrame) -> DataFrame:
     return join_daily(df, daily, TS).na.fill(0.0, new)
 
 
-@_feature("common_weather")
+@_feature("common_weather", lookup=True)
 def common_weather(df, context):
     """One column per measured kind; `context["weather_kinds"]` lists the kinds, so that no job is needed to find them."""
-    weather = _measured(df, context["weather"]).where(~F.col("datatype").startswith("WT"))
+    weather = _measured(context).where(~F.col("datatype").startswith("WT"))
     return _join_filled(df, _prefixed(daily_pivot(weather, "date", "datatype", "value", context["weather_kinds"]), "common_weather"))
 
 
-@_feature("weather_event")
+@_feature("weather_event", lookup=True)
 def weather_event(df, context):
-    weather = _measured(df, context["weather"])
+    weather = _measured(context)
     return _join_filled(df, _prefixed(daily_event_pivot(weather, "date", "datatype", "value", WEATHER_EVENTS), "weather_event"))
 
 
-@_feature("temp_above")
+@_feature("temp_above", lookup=True)
 def temp_above(df, context):
     hot = context["weather"].where(F.col("datatype") == "TMAX")
     return join_daily(df, daily_threshold(hot, "date", "value", "max", ">=", 90, "temp_above"), TS)
 
 
-@_feature("temp_below")
+@_feature("temp_below", lookup=True)
 def temp_below(df, context):
     cold = context["weather"].where(F.col("datatype") == "TMIN")
     return join_daily(df, daily_threshold(cold, "date", "value", "min", "<=", 25, "temp_below"), TS)
