@@ -111,7 +111,18 @@ def _(t):
     return s.acf(s.regular_series(t.events, "ts", "hour"), "t", "n")
 
 
-@query("autocorrelation_per_group")
+@query(
+    "autocorrelation_per_group",
+    f"""
+    WITH {INCIDENTS}, c AS (SELECT station_name, date_trunc('hour', time_created) AS t, count(*) AS n FROM incidents GROUP BY ALL),
+    cal AS (SELECT station_name, unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS t FROM c GROUP BY 1),
+    s AS (SELECT station_name, t, coalesce(n, 0) - avg(coalesce(n, 0)) OVER (PARTITION BY station_name) AS d FROM cal LEFT JOIN c USING (station_name, t)),
+    v AS (SELECT station_name, sum(d * d) AS v FROM s GROUP BY 1),
+    k AS (SELECT unnest(range(25)) AS k),
+    p AS (SELECT a.station_name, k, sum(a.d * b.d) AS p FROM s a CROSS JOIN k JOIN s b ON b.station_name = a.station_name AND b.t = a.t - to_hours(k) GROUP BY ALL)
+    SELECT station_name, k AS lag, round(p / v, 6) AS acf FROM p JOIN v USING (station_name)
+    """,
+)
 def _(t):
     return s.acf(s.regular_series(t.incidents, "time_created", "hour", "station_name"), "t", "n", 24, "station_name")
 
