@@ -88,8 +88,8 @@ def _(t):
     "load_band_share",
     f"""
     WITH {DISPATCHES}, {_CONC}, s AS (SELECT busy, coalesce(lead("at") OVER (ORDER BY "at", delta, unit) - "at", 0) AS d FROM conc)
-    SELECT round(sum(d) FILTER (busy <= 15) / sum(d), 6) AS low_share, round(sum(d) FILTER (busy > 15 AND busy <= 22) / sum(d), 6) AS mid_share,
-           round(sum(d) FILTER (busy > 22) / sum(d), 6) AS high_share FROM s
+    SELECT round(coalesce(sum(d) FILTER (busy <= 15), 0) / sum(d), 6) AS low_share, round(coalesce(sum(d) FILTER (busy > 15 AND busy <= 22), 0) / sum(d), 6) AS mid_share,
+           round(coalesce(sum(d) FILTER (busy > 22), 0) / sum(d), 6) AS high_share FROM s
     """,
 )
 def _(t):
@@ -100,8 +100,8 @@ def _(t):
     "load_band_share_by_load_after",
     f"""
     WITH {DISPATCHES}, {_CONC}, s AS (SELECT busy, coalesce("at" - lag("at") OVER (ORDER BY "at", delta, unit), 0) AS d FROM conc)
-    SELECT round(sum(d) FILTER (busy <= 15) / sum(d), 6) AS low_share, round(sum(d) FILTER (busy > 15 AND busy <= 22) / sum(d), 6) AS mid_share,
-           round(sum(d) FILTER (busy > 22) / sum(d), 6) AS high_share FROM s
+    SELECT round(coalesce(sum(d) FILTER (busy <= 15), 0) / sum(d), 6) AS low_share, round(coalesce(sum(d) FILTER (busy > 15 AND busy <= 22), 0) / sum(d), 6) AS mid_share,
+           round(coalesce(sum(d) FILTER (busy > 22), 0) / sum(d), 6) AS high_share FROM s
     """,
 )
 def _(t):

@@ -370,8 +370,9 @@ def logistic_gain_by_type(
 
         x_, n0, n1, m0, m1 = (pdf[k].to_numpy(dtype=float) for k in ("x", "n0", "n1", "m0", "m1"))
         rows, tested = (n0 + n1 + m0 + m1).sum(), (m0 + m1).sum()
+        answer = pd.DataFrame({"inc_type_id": [pdf["kind"].iloc[0]], "logistic_acc": [np.nan], "base_acc": [np.nan]})
         if rows < min_rows or n0.sum() == 0 or n1.sum() == 0 or tested == 0:
-            return pd.DataFrame({"inc_type_id": [], "logistic_acc": [], "base_acc": []})
+            return answer
         design, n, w = np.stack([np.ones_like(x_), x_], 1), n0 + n1, np.zeros(2)
         for _ in range(100):
             p = 1 / (1 + np.exp(-design @ w))
@@ -383,11 +384,10 @@ def logistic_gain_by_type(
                 break
         right = np.where(design @ w > 0, m1, m0).sum()
         base = n1.sum() / n.sum()
-        return pd.DataFrame(
-            {"inc_type_id": [pdf["kind"].iloc[0]], "logistic_acc": [right / tested], "base_acc": [base**2 + (1 - base) ** 2]}
-        )
+        answer["logistic_acc"], answer["base_acc"] = right / tested, base**2 + (1 - base) ** 2
+        return answer
 
     kind_type = train.schema[kind].dataType.simpleString()
     fitted = lines.groupBy("kind").applyInPandas(fit, f"inc_type_id {kind_type}, logistic_acc double, base_acc double")
     gain = (F.col("logistic_acc") - F.col("base_acc")) / F.col("base_acc")
-    return fitted.withColumn("pct_acc_gain", gain)
+    return fitted.where(F.col("logistic_acc").isNotNull() & ~F.isnan("logistic_acc")).withColumn("pct_acc_gain", gain)

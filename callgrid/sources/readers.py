@@ -47,10 +47,13 @@ def keep_head(lines: DataFrame, n: int) -> DataFrame:
 
 
 def drop_lines(lines: DataFrame, head: int = 0, tail: int = 0) -> DataFrame:
-    """Without the first `head` and the last `tail` lines of each file."""
+    """Without the first `head` and the last `tail` lines of each file.
+
+    The places of the dropped lines, a few per file, are broadcast, so the lines themselves are not shuffled.
+    """
     for n, last in ((head, False), (tail, True)):
         if n:
-            gone = _edge(lines, n, last).select("file", "start", "seq")
+            gone = F.broadcast(_edge(lines, n, last).select("file", "start", "seq"))
             lines = lines.join(gone, ["file", "start", "seq"], "left_anti")
     return lines
 
