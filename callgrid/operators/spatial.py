@@ -33,10 +33,11 @@ def by_cell(polys: DataFrame, size: float) -> DataFrame:
     )
 
 
-def mean_extent(polys: DataFrame) -> float:
+def mean_extent(polys: DataFrame, ring: str, several: bool = False) -> float:
     """Mean side of the bounding boxes, a cell size that lists a polygon under few cells."""
-    side = (F.col("max_x") - F.col("min_x") + F.col("max_y") - F.col("min_y")) / 2
-    return float(polys.agg(F.avg(side)).first()[0] or 1.0)
+    vertices = polys.select((F.flatten(ring) if several else F.col(ring)).alias("v"))
+    sides = [F.array_max(F.col("v")[k]) - F.array_min(F.col("v")[k]) for k in ("x", "y")]
+    return float(vertices.agg(F.avg((sides[0] + sides[1]) / 2)).first()[0] or 1.0)
 
 
 def classified_cells(polys: DataFrame, size: float) -> DataFrame:
@@ -89,7 +90,7 @@ def point_in_polygon(
     point one polygon. `how="left"` keeps points outside every polygon.
     """
     edged = with_edges(polys, ring, several)
-    size = cell or mean_extent(edged) / 8
+    size = cell or mean_extent(polys, ring, several) / 8
     keep = [c for c in polys.columns if c != ring]
     listed = classified_cells(edged, size).select(
         *keep, "edges", F.col("cell_x").alias("__cx"), F.col("cell_y").alias("__cy")
@@ -126,7 +127,7 @@ def overlap_weights(
 ) -> DataFrame:
     """(a_key, b_key, multiplier) of polygons that meet; the multiplier is area(a and b) / area(b)."""
     a, b = with_edges(polys_a.select(a_key, ring), ring), with_edges(polys_b.select(b_key, ring), ring)
-    pairs = _candidates(a, b, a_key, b_key, cell or mean_extent(b))
+    pairs = _candidates(a, b, a_key, b_key, cell or mean_extent(polys_b, ring))
     return pairs.where(g.intersects("a_edges", "b_edges")).select(
         a_key,
         b_key,
@@ -139,12 +140,21 @@ def intersects_any(
 ) -> DataFrame:
     """Polygons that meet at least one polygon of another layer."""
     a, b = with_edges(polys.select(key, ring), ring), with_edges(other.select(other_key, ring), ring)
-    pairs = _candidates(a, b, key, F.col(other_key).alias("__other"), cell or mean_extent(a))
+    pairs = _candidates(a, b, key, F.col(other_key).alias("__other"), cell or mean_extent(polys, ring))
     hits = pairs.where(g.intersects("a_edges", "b_edges")).select(key).distinct()
     return polys.join(hits, key, "left_semi")
 
 
-def counts_per_area(points: DataFrame, polys: DataFrame, x: str, y: str, ring: str, key: str, out: str = "incidents"):
+def counts_per_area(
+    points: DataFrame,
+    polys: DataFrame,
+    x: str,
+    y: str,
+    ring: str,
+    key: str,
+    out: str = "incidents",
+    cell: float | None = None,
+) -> DataFrame:
     """Points per polygon that has any."""
-    joined = point_in_polygon(points.select(x, y), polys.select(key, ring), x, y, ring)
+    joined = point_in_polygon(points.select(x, y), polys.select(key, ring), x, y, ring, cell)
     return joined.groupBy(key).agg(F.count(F.lit(1)).alias(out))

@@ -104,14 +104,18 @@ def incident_table(
     stations: DataFrame | None = None,
     block_groups: DataFrame | None = None,
     start: str = "2011-01-01",
+    cell: float | None = None,
 ) -> DataFrame:
-    """The incident table. `stations` is (station_name, ring), `block_groups` (geoid, ring), in the units of x and y."""
+    """The incident table. `stations` is (station_name, ring), `block_groups` (geoid, ring), in the units of x and y.
+
+    `cell` is the cell size of the two spatial joins; without it, a small job takes it from each layer.
+    """
     events = distinct_events(incidents, dispositions, start)
     for layer, name in ((block_groups, "geoid"), (stations, "station_name")):
         if layer is None:
             events = events.withColumn(name, F.lit(None).cast("string"))
         else:
-            events = point_in_polygon(events, layer.select(name, "ring"), "x", "y", "ring", how="left")
+            events = point_in_polygon(events, layer.select(name, "ring"), "x", "y", "ring", cell, how="left")
     sent = (
         filters.filter_like_any(units, "pun_unitid")
         .select(F.col(EVENT).alias("incident"))
