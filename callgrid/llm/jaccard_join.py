@@ -218,7 +218,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, block_tok
             )
 
     wanted = members.select(F.col("first").alias("first_id"), "family", "block", "h1", "h2")
-    texts = docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(F.col("first_id")))
+    # every document moves once, whatever the number of candidates: the same plan at every size
+    texts = docs.join(wanted.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("first_id")))
     sets = texts.select("family", "block", "h1", "h2", "text").mapInArrow(
         fetched, "family long, block int, h1 long, h2 long, tokens binary"
     )
