@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .grid_order_join import similar_vectors
 from .jaccard_join import jaccard_components
+from .suffix_dedup import remove_repeats
 
 LLM_QUERIES: dict = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -19,6 +21,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_register
+def op1_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+@_register
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, length=100).drop("kept")
+
+
 @_register
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
