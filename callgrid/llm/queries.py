@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .grid_order_join import similar_vectors
 from .jaccard_join import jaccard_components
+from .link_trust import judged
+from .ring_shards import ring_shards
 from .suffix_dedup import remove_repeats
+from .temperature_mix import mixed_sources
 
 LLM_QUERIES: dict = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -26,12 +29,30 @@ def op1_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+@_register
+def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixed_sources(docs, budget_share=1.0, evenness=0.97, repeats=4.0).drop("text")
+
+
 @_register
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, length=100).drop("kept")
 
 
+@_register
+def op6_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ring_shards(_table(spark, sf_dir, "documents"), shards=8)
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return out.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@_register
+def op7_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(_table(spark, sf_dir, "pages"), threshold=2.0)
+
+
 @_register
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
