@@ -13,7 +13,7 @@ equal among the others in their first `length` bytes, and few suffixes have one:
    stands for the trie's path, every other is compared with it once and branches off at (depth of the first other
    byte, that byte), and each branch is a trie of its own.
 
-Sorting runs twice: within the tasks that read the texts, so that a passage in a third of all documents leaves each task at
+Documents whose whole text occurs under a smaller doc_id are repeats as they are. Sorting runs twice: within the tasks that read the texts, so that a passage in a third of all documents leaves each task at
 most once, and by anchor for what is left.
 """
 
@@ -232,19 +232,17 @@ def _merged(runs: list[tuple]) -> list[tuple]:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int):
+    """Per text the hashes of its anchors; one that occurs again in the text is there twice."""
     for rows, buf, bounds in pieces(batches, "text"):
         row, _, _, _, h = anchors(buf, bounds, length)
         order = np.lexsort((h, row))
         row, h = row[order], h[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-        first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(row)))
-        e = rows.column("e").to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(e[row[first]]), pa.array(h[first].view(np.int64)), pa.array(np.minimum(count, 2).astype(np.int32))],
-            names=["e", "h", "c"],
-        )
+        keep = np.ones(len(row), bool)
+        keep[2:] = (row[2:] != row[:-2]) | (h[2:] != h[:-2])
+        row, h = row[keep], h[keep]
+        at = np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(at, pa.array(h.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([rows.column("e"), lists], names=["e", "hs"])
 
 
 def _candidate_segments(batches: Iterator[pa.RecordBatch], length: int):
@@ -303,14 +301,23 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     )
     whole, plain = plain, plain.select("doc", "e", "text")
 
-    found = plain.select("e", "text").mapInArrow(lambda it: _anchor_rows(it, length), "e long, h long, c int")
-    repeated = found.groupBy("h").agg(F.sum("c").alias("n")).where("n > 1").select("h")
-    wanted = found.select("e", "h").join(repeated, "h").groupBy("e").agg(F.collect_set("h").alias("hs"))
+    # texts that a smaller doc_id has too go as a whole, and need no anchors
+    size = F.octet_length(F.encode("text", "UTF-8"))
+    texts = plain.select("doc", "e", F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(1)).alias("t2"), size.alias("size"))
+    first = texts.groupBy("t1", "t2").agg(F.min("doc").alias("first"))
+    copies = texts.join(first, ["t1", "t2"]).where("doc > first").select("doc", "e", "size")
+    found = plain.select("e", "text").mapInArrow(lambda it: _anchor_rows(it, length), "e long, hs array<long>")
+    found = found.join(copies.select("e").hint("merge"), "e", "left_anti").select("e", F.explode("hs").alias("h"))
+    repeated = found.groupBy("h").count().where("count > 1").select("h")
+    wanted = found.join(repeated, "h").groupBy("e").agg(F.collect_set("h").alias("hs"))
     parts = plain.join(wanted, "e").select("doc", "e", "text", "hs")
     parts = parts.mapInArrow(lambda it: _candidate_segments(it, length), PART_SCHEMA)
     parts = parts.repartition("h").sortWithinPartitions("h", "doc", "low")
     parts = parts.mapInArrow(lambda it: _final_repeats(it, length), PART_SCHEMA)
-    runs = parts.groupBy("e").agg(F.collect_list(F.struct("doc", "low", "high")).alias("runs"))
+    whole_texts = copies.where(F.col("size") >= length).select(
+        "doc", "e", F.lit(0).cast("long").alias("low"), (F.col("size") - length).cast("long").alias("high")
+    )
+    runs = parts.select("doc", "e", "low", "high").union(whole_texts).groupBy("e").agg(F.collect_list(F.struct("doc", "low", "high")).alias("runs"))
 
     def cut(batches):
         for batch in batches:
