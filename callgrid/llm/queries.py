@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .divergence_rules import judged_documents
 from .grid_order_join import similar_vectors
 from .jaccard_join import jaccard_components
+from .language_codes import fit_languages, held_out, predict_languages
 from .link_trust import judged
+from .retrieval_packing import pack_documents
 from .ring_shards import ring_shards
 from .suffix_dedup import remove_repeats
 from .temperature_mix import mixed_sources
+from .token_files import round_trip
+from .tokens import BYTE_LEVEL, WORD_LEVEL
 
 LLM_QUERIES: dict = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -29,6 +34,17 @@ def op1_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+@_register
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = round_trip(_table(spark, sf_dir, "documents"), BYTE_LEVEL, end_id=0)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_register
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_documents(_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op4_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -53,6 +69,20 @@ def op7_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(_table(spark, sf_dir, "pages"), threshold=2.0)
 
 
+@_register
+def op8_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = predict_languages(docs.select("doc_id", "text", held_out().alias("held_out")), fit_languages(docs))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@_register
+def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_table(spark, sf_dir, "documents"), WORD_LEVEL, end_id=2, window=4096)
+    crc = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
 @_register
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
