@@ -21,14 +21,17 @@ from .graph import components
 from .tables import written
 from .textbytes import LOWER, U, mixed, pieces, shingles, word_hashes, words
 
-SET_SCHEMA = "doc_id long, n long, h1 long, h2 long, sigs array<long>"
+SET_SCHEMA = "doc_id long, n long, h1 long, h2 long"
+ENTRIES_AT_ONCE = 1 << 20
+DOCS_A_BUCKET = 2000
 
 
 class Scheme:
     """Which size bands a set is indexed under, and with which segments. Equal for all sets, whatever their number.
 
-    `expected` documents steer the cost only: a row costs 1, a chance meeting as well. Cheap single segments are joined
-    into larger ones with deletion neighbourhoods as chance meetings of near-empty segments become many.
+    Segments of share 1 come with some to spare: a set in which no more than those are empty need not be indexed by its empty
+    segments, in which it would meet any other set. `expected` documents steer the cost only: a row costs 1, a chance
+    meeting as well. As those become many, pairs of segments are joined into one of share 2.
     """
 
     def __init__(self, percent: int, expected: int):
@@ -46,33 +49,44 @@ class Scheme:
         return range(self.band(n), self.band(n * 100 // self.percent) + 1)
 
     @lru_cache(maxsize=None)  # noqa: B019
-    def allocation(self, band: int) -> tuple[int, int]:
-        """(segments, how many of them have share 2) at the lowest cost."""
+    def allocation(self, band: int) -> tuple[int, int, int]:
+        """(segments, how many of them have share 2, how many are to spare) at the lowest cost."""
         while len(self.lows) < band + 2:
             self.band(self.lows[-1])
         high = self.lows[band + 1] - 1
+        least = self.lows[band] * self.percent // 100
         differ = (100 - self.percent) * 2 * high // (100 + self.percent)
+        spare = 0
+        for extra in range(2, differ // 3):
+            empty = (differ + 1 + extra) * math.exp(-least / (differ + 1 + extra))
+            if extra >= empty + 6 * math.sqrt(empty):
+                spare = extra
+                break
 
         def cost(double: int) -> float:
-            m = differ + 1 - double
+            m = differ + 1 - double + (0 if double else spare)
             s = high / m
-            chance = math.exp(-2 * s) * self.expected
+            alike = 0.001 * s + (0 if spare and not double else 0.02)
+            chance = math.exp(-2 * s) * self.expected * alike
             return (m - double) * (1 + chance) + double * (1 + s) * (1 + chance * (1 + s))
 
         double = min(range((differ + 1) // 2 + 1), key=cost)
-        return differ + 1 - double, double
+        return (differ + 1 - double, double, 0) if double else (differ + 1 + spare, 0, spare)
 
     def signatures(self, tokens: np.ndarray) -> np.ndarray:
         """Of a sorted set of hashes: segments are runs of it."""
         out = []
         sums = np.concatenate([np.zeros(1, U), np.cumsum(mixed(tokens), dtype=U)])
         for band in self.bands(len(tokens)):
-            m, double = self.allocation(band)
-            cuts = (np.arange(1, m, dtype=object) * (1 << 64) // m).astype(U) if m > 1 else np.zeros(0, U)
-            at = np.concatenate([[0], np.searchsorted(tokens, cuts), [len(tokens)]])
+            m, double, spare = self.allocation(band)
+            at = np.empty(m + 1, np.int64)
+            at[0], at[m] = 0, len(tokens)
+            at[1:m] = np.searchsorted(tokens, (np.arange(1, m) * ((1 << 64) / m)).astype(U))
             salt = mixed(np.arange(m, dtype=U) + U(band << 32))
             seg = sums[at[1:]] - sums[at[:-1]]
-            out.append(mixed(seg ^ salt))
+            names = mixed(seg ^ salt)
+            full = at[1:] > at[:-1]
+            out.append(names[full] if spare >= m - full.sum() else names)
             for j in range(double):
                 out.append(mixed((seg[j] - (sums[at[j] + 1 : at[j + 1] + 1] - sums[at[j] : at[j + 1]])) ^ salt[j]))
         return np.unique(np.concatenate(out))
@@ -94,29 +108,92 @@ def _names(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(mixed(pair).view(np.int64).tolist())
 
 
-def shingle_sets(docs: DataFrame, k: int, percent: int, expected: int) -> DataFrame:
-    """Per document the size and name of its set, and the set's signatures."""
+def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
+    """Per document the size and the name of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        scheme = Scheme(percent, expected)
         for rows, sets in _sets(batches, "text", k):
             names = [_names(s) if len(s) else (0, 0) for s in sets]
-            sigs = [scheme.signatures(s).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-            at = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
+            values = ([len(s) for s in sets], [x[0] for x in names], [x[1] for x in names])
             yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id").cast(pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([x[0] for x in names], pa.int64()),
-                    pa.array([x[1] for x in names], pa.int64()),
-                    pa.ListArray.from_arrays(at, pa.array(np.concatenate(sigs))),
-                ],
-                names=["doc_id", "n", "h1", "h2", "sigs"],
+                [rows.column("doc_id"), *(pa.array(v, pa.int64()) for v in values)], names=["doc_id", "n", "h1", "h2"]
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SET_SCHEMA)
 
 
+def _packed(node: np.ndarray, sig: np.ndarray) -> np.ndarray:
+    """Twelve bytes for each entry: 48 bits of the signature, 48 of the set's name. Chance meetings are verified away."""
+    parts = [(x >> U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6] for x in (sig, node)]
+    return np.concatenate(parts, axis=1)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    entries = np.frombuffer(data, np.uint8).reshape(-1, 2, 6)
+    wide = np.zeros((len(entries), 2, 8), np.uint8)
+    wide[:, :, :6] = entries
+    wide = wide.view("<u8")[:, :, 0]
+    return wide[:, 1], wide[:, 0]
+
+
+def index_entries(docs: DataFrame, k: int, percent: int, expected: int, buckets: int) -> DataFrame:
+    """(bucket, entries): each set's signatures, packed. A task gives equal sets once."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        scheme, seen, nodes, sigs, size = Scheme(percent, expected), set(), [], [], 0
+
+        def flushed():
+            sig, node = np.concatenate(sigs), np.repeat(np.array(nodes, np.int64).view(U), [len(s) for s in sigs])
+            bucket = ((sig >> U(32)) * U(buckets) >> U(32)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            entries, found = _packed(node[order], sig[order]), bucket[order]
+            first = np.flatnonzero(np.diff(found, prepend=-1))
+            ends = np.append(first[1:], len(found))
+            data = [entries[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(found[first]), pa.array(data, pa.binary())], names=["bucket", "entries"])
+
+        for _, sets in _sets(batches, "text", k):
+            for s in sets:
+                name = _names(s)[0] if len(s) else None
+                if name is None or name in seen:
+                    continue
+                seen.add(name)
+                nodes.append(name)
+                sigs.append(scheme.signatures(s))
+                size += len(sigs[-1])
+            if size > ENTRIES_AT_ONCE:
+                yield flushed()
+                nodes, sigs, size = [], [], 0
+        if sigs:
+            yield flushed()
+
+    return docs.select("text").mapInArrow(run, "bucket int, entries binary")
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]):
+    """Rows sorted by bucket: sets that share a signature, each linked with the lowest of them."""
+    now, held = None, []
+
+    def found():
+        node, sig = _unpacked(b"".join(held))
+        order = np.lexsort((node, sig))
+        node, sig = node[order], sig[order]
+        first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        low = node[first][np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sig))))]
+        links = np.unique(np.stack([node, low], axis=1)[node != low], axis=0).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
+
+    for rows in batches:
+        for bucket, entries in zip(rows.column("bucket").to_pylist(), rows.column("entries").to_pylist(), strict=True):
+            if bucket != now and held:
+                yield found()
+                held = []
+            now = bucket
+            held.append(entries)
+    if held:
+        yield found()
+
+
 def linked_pairs(sets: list[np.ndarray], percent: int, width: int = 8192) -> np.ndarray:
     """Whether 100 * intersection >= percent * union, for all pairs of a block: shared tokens as a matrix product."""
     n = np.array([len(s) for s in sets])
@@ -185,17 +262,17 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, block_tok
     `block_tokens` shingles; only block pairs whose sizes can match are compared, each in a task of its own.
     """
     docs = docs.select("doc_id", "text")
-    spark = docs.sparkSession
-    table = written(shingle_sets(docs, k, percent, docs.count()), "sets", "lz4")
-    sigs = table.select("h1", F.explode("sigs").alias("sig"))
-    met = sigs.groupBy("sig").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high")
-    near = sigs.join(met, "sig").where("h1 <> low").select(F.col("h1").alias("a"), F.col("low").alias("b"))
-    family = components(near).select(F.col("node").alias("h1"), F.col("root").alias("family"))
+    table = written(shingle_sets(docs, k), "sets")
+    expected = table.count()
+    buckets = max(64, expected // DOCS_A_BUCKET)
+    entries = index_entries(docs, k, percent, expected, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    family = components(entries.mapInArrow(_meetings, "a long, b long"))
+    family = family.select(F.col("node").alias("short"), F.col("root").alias("family"))
 
     classes = table.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     weight = F.sum(F.greatest("n", F.lit(2048))).over(Window.partitionBy("family").orderBy("n", "h1", "h2"))
     members = written(
-        classes.join(family, "h1").withColumn("block", F.floor((weight - 1) / block_tokens).cast("int")), "members"
+        classes.withColumn("short", F.shiftrightunsigned("h1", 16)).join(family, "short").withColumn("block", F.floor((weight - 1) / block_tokens).cast("int")), "members"
     )
     ends = members.groupBy("family", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     other = ends.select("family", F.col("block").alias("b2"), F.col("lo").alias("lo2"))
