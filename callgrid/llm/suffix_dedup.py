@@ -26,10 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .tables import written
 from .textbytes import BYTE_HASH, PIECE_BYTES, U, mixed, pieces, powers
 
 K = 32
 SHALLOW_WORDS = 4
+DOCS_A_BUCKET = 2000
 SUFFIXES_AT_ONCE = 1 << 20
 SEGMENT_BYTES_AT_ONCE = 48 << 20
 POSITION_BITS = U(22)
@@ -245,6 +247,41 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int):
         yield pa.RecordBatch.from_arrays([rows.column("e"), lists], names=["e", "hs"])
 
 
+def _bucketed(batches: Iterator[pa.RecordBatch], buckets: int):
+    """48 bits of each anchor hash, six bytes apiece, by bucket. What a batch has more than once is there twice."""
+    for batch in batches:
+        h, count = np.unique(batch.column("hs").flatten().to_numpy().view(U) >> U(16), return_counts=True)
+        h = np.repeat(h, np.minimum(count, 2))
+        bucket = ((h >> U(16)) * U(buckets) >> U(32)).astype(np.int32)  # ascending, as h is
+        entries = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = np.append(first[1:], len(h))
+        data = [entries[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(data, pa.binary())], names=["bucket", "entries"])
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]):
+    """Rows sorted by bucket: the hashes that are there twice or more."""
+    now, held = None, []
+
+    def found():
+        entries = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 6)
+        wide = np.zeros((len(entries), 8), np.uint8)
+        wide[:, :6] = entries
+        h, count = np.unique(wide.view("<i8")[:, 0], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h[count > 1])], names=["short"])
+
+    for rows in batches:
+        for bucket, entries in zip(rows.column("bucket").to_pylist(), rows.column("entries").to_pylist(), strict=True):
+            if bucket != now and held:
+                yield found()
+                held = []
+            now = bucket
+            held.append(entries)
+    if held:
+        yield found()
+
+
 def _candidate_segments(batches: Iterator[pa.RecordBatch], length: int):
     """Of texts with the anchor hashes to look at: repeats within the task, and the segments left."""
     held = Segments(length)
@@ -307,9 +344,13 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     first = texts.groupBy("t1", "t2").agg(F.min("doc").alias("first"))
     copies = texts.join(first, ["t1", "t2"]).where("doc > first").select("doc", "e", "size")
     found = plain.select("e", "text").mapInArrow(lambda it: _anchor_rows(it, length), "e long, hs array<long>")
-    found = found.join(copies.select("e").hint("merge"), "e", "left_anti").select("e", F.explode("hs").alias("h"))
-    repeated = found.groupBy("h").count().where("count > 1").select("h")
-    wanted = found.join(repeated, "h").groupBy("e").agg(F.collect_set("h").alias("hs"))
+    found = written(found.join(copies.select("e").hint("merge"), "e", "left_anti"), "anchors", "none")
+    buckets = max(64, found.count() // DOCS_A_BUCKET)
+    counted = found.select("hs").mapInArrow(lambda it: _bucketed(it, buckets), "bucket int, entries binary")
+    counted = counted.repartition("bucket").sortWithinPartitions("bucket")
+    repeated = counted.mapInArrow(_repeated, "short long")
+    single = found.select("e", F.explode("hs").alias("h")).withColumn("short", F.shiftrightunsigned("h", 16))
+    wanted = single.join(repeated, "short").groupBy("e").agg(F.collect_set("h").alias("hs"))
     parts = plain.join(wanted, "e").select("doc", "e", "text", "hs")
     parts = parts.mapInArrow(lambda it: _candidate_segments(it, length), PART_SCHEMA)
     parts = parts.repartition("h").sortWithinPartitions("h", "doc", "low")
