@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+
 from .divergence_rules import judged_documents
 from .grid_order_join import similar_vectors
 from .jaccard_join import jaccard_components
@@ -87,3 +89,8 @@ def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(_table(spark, sf_dir, "documents"), k=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@_register
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

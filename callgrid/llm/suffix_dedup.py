@@ -317,11 +317,11 @@ def _final_repeats(batches: Iterator[pa.RecordBatch], length: int):
     yield _batch(held.sorted_out()[0])
 
 
-def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) -> DataFrame:
     """Each row of `docs` (doc_id, text, other columns) with what is left of its text.
 
-    Columns: doc_id, the other columns but text, then n_bytes, n_removed, n_spans, kept_sha256 and kept (binary). Texts are
-    UTF-8 bytes, null is empty, matches stay within a row. The earlier of two equal strings has the smaller doc_id (null:
+    Columns: doc_id, the other columns but text, then n_bytes, n_removed, n_spans, kept_sha256 and kept (binary; with `as_text`
+    a string, without the bytes of characters that were cut apart). Texts are UTF-8 bytes, null is empty, matches stay within a row. The earlier of two equal strings has the smaller doc_id (null:
     smaller than any), then the earlier start. Rows equal in doc_id and text are one document given twice and get the same
     result. `length` is at least 40. Clashing names among the other columns are replaced.
     """
@@ -376,9 +376,9 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
                     kept.append(data[at:a])
                     at = b
                 kept = b"".join([*kept, data[at:]])
-                out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
+                out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if as_text else kept))
             columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string() if as_text else pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["row", *made]
             )
@@ -387,4 +387,4 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     row = F.struct(doc_id, *[F.col(f"other{i}").alias(c) for i, c in enumerate(others)])
     joined = whole.join(runs, "e", "left").select(row.alias("row"), "doc", "text", "runs")
     schema = joined.select("row").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    return joined.mapInArrow(cut, schema.add("kept_sha256", "string").add("kept", "binary")).select("row.*", *made)
+    return joined.mapInArrow(cut, schema.add("kept_sha256", "string").add("kept", "string" if as_text else "binary")).select("row.*", *made)
