@@ -203,7 +203,7 @@ def similar_vectors(
     seq_bits = most_seq.bit_length()
     bits = max(1, most_part.bit_length() + seq_bits)
     leaves = leaves.withColumn("id", F.shiftleft(F.col("part").cast("long"), seq_bits) + F.col("seq"))
-    boxes = leaves.select("dim", "id", *[F.col(c)[i].alias(f"{c}{i}") for c in ("lows", "highs") for i in range(dims)])
+    boxes = leaves.select("dim", "id", *[F.get(c, F.lit(i)).alias(f"{c}{i}") for c in ("lows", "highs") for i in range(dims)])
 
     def level(k: int) -> DataFrame:
         if not k:
