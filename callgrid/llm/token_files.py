@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .tables import new_path
-from .tokens import from_planes, token_table
+from .tokens import from_planes, release, token_table
 
 BLOCK_IDS = 1 << 17
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
@@ -59,8 +59,8 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, lengths: np.ndarray) ->
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, block_ids: int = BLOCK_IDS) -> None:
     """Encode every row of `docs` (doc_id, text, other columns) into a folder.
 
-    Null texts and empty ones have the end id alone. Null doc_ids come first; rows with one doc_id are ordered by their
-    codes. An empty table makes a folder without blocks. The driver holds one count for each id of the vocabulary.
+    Null texts and empty ones have the end id alone. Null doc_ids come first; rows with one doc_id are ordered by a
+    hash of their ids. An empty table makes a folder without blocks. The driver holds one count for each id of the vocabulary.
     """
     spark = docs.sparkSession
     table = token_table(docs, vocabulary, end_id, "tokens")
@@ -70,17 +70,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, b
     rank[ids] = np.arange(len(ids), dtype=np.uint32)
     spark.createDataFrame(list(enumerate(ids.tolist())), "rank int, id int").coalesce(1).write.parquet(f"{path}/ranks")
 
-    def recoded(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            found = [encode_ranks(rank[from_planes(x, n)]) for x, n in zip(batch["ids"].to_pylist(), batch["n"].to_pylist(), strict=True)]
-            control, data = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["n"], pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-                names=["doc_id", "n", "control", "data"],
-            )
-
     def blocks(batches: Iterator[pa.RecordBatch]):
         part, seq, start, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
+        release()
 
         def block():
             doc_ids, lengths, control, data = zip(*held, strict=True)
@@ -92,18 +84,18 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, b
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in ("doc_id", "n", "control", "data")), strict=True):
-                held.append(row)
-                size += row[1]
+            for doc_id, n, data in zip(*(batch[c].to_pylist() for c in ("doc_id", "n", "ids")), strict=True):
+                held.append((doc_id, n, *encode_ranks(rank[from_planes(data, n)])))
+                size += n
                 if size >= block_ids:
                     yield block()
                     seq, start, held, size = seq + 1, start + size, [], 0
         if held:
             yield block()
 
-    coded = table.where("counts is null").select("doc_id", "n", "ids").mapInArrow(recoded, "doc_id long, n long, control binary, data binary")
-    tie = F.xxhash64("control", "data")
-    ordered = coded.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+    # ids move as the table has them: looking for range bounds reads it once more, and nothing is coded twice
+    rows, first = table.where("counts is null").select("doc_id", "n", "ids"), F.col("doc_id").asc_nulls_first()
+    ordered = rows.repartitionByRange(first).sortWithinPartitions(first, F.xxhash64("ids"))
     ordered.mapInArrow(blocks, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
@@ -156,7 +148,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     sizes = sizes.groupBy("part").agg(F.sum("size").alias("size"))
     before = F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     before = sizes.select("part", before.alias("before"))
-    return rows.join(before, "part").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids")
+    # a part is a partition of the writer: a few bytes for each
+    return rows.join(F.broadcast(before), "part").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids")
 
 
 def _block_sizes(batches: Iterator[pa.RecordBatch]):
