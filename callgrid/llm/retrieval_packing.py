@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .tokens import from_planes, token_table
+from .tokens import from_planes, release, token_table
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -116,7 +116,7 @@ def powers_of_two(sequence: list[tuple[int, int, int]], window: int, least: int
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 21, terms: int = 12
+    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 20, terms: int = 12
 ) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset) for each piece of each row of `docs` (doc_id, text).
 
@@ -132,6 +132,7 @@ def pack_documents(
 
     def pack(batches: Iterator[pa.RecordBatch]):
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        release()
 
         def shard():
             nonlocal number
@@ -149,8 +150,8 @@ def pack_documents(
                     out.append((held[d][0], start, n, bytes(data[a : a + 4 * n]), held[d][1], number, offset))
                     offset += n
                 number += 1
-            for a in range(0, len(out), 4096):
-                columns = zip(*out[a : a + 4096], strict=True)
+            for a in range(0, len(out), 1024):
+                columns = zip(*out[a : a + 1024], strict=True)
                 names = [x.split()[0] for x in PIECE_SCHEMA.split(", ")]
                 kinds = [pa.binary() if x == "ids" else pa.int64() for x in names]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)

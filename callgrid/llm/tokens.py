@@ -15,16 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import written
 from .textbytes import BYTE_HASH, U, mixed, pieces, powers
 
-CACHED_PIECES = 900_000
+CACHED_PIECES = 500_000
 PIECES_AT_ONCE = 4096
 FREQUENT_IDS = 1000
 #: Texts are best given in batches of this many bytes.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 3 << 20
 BYTE_LEVEL, WORD_LEVEL = "byte_bpe_50k.json", "word_bpe_49k.json"
 IS_MARK, IS_LETTER = np.zeros(256, bool), np.zeros(256, bool)
 IS_MARK[[10, 32, 44, 46]] = True
@@ -171,18 +172,24 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
+def release() -> None:
+    """Give the memory of encoders back, before a stage that encodes nothing."""
+    _encoders.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str) -> DataFrame:
     """(doc_id, n, ids, sketch, counts), written to the shared folder.
 
     A row for each row of `docs` (doc_id, text): the ids of the whole text (null: none) and the end id as little-endian
-    numbers, first all low bytes, then the second bytes and so on, which compresses better; n is how many. sketch is the
+    numbers, first all low bytes, then the second bytes and so on, compressed; n is how many. sketch is the
     lowest hash of the ids that are not frequent (0 if none): likely equal for texts with rare tokens in common. Rows
     with `counts` hold the vocabulary counts of one task instead.
     """
     path = vocabulary_path(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        encode = encoder(path)
+        encode, pack = encoder(path), zstandard.ZstdCompressor(level=1).compress
         width = 2 if encode.tokenizer.get_vocab_size() <= 1 << 16 else 4
         total = np.zeros(max(encode.tokenizer.get_vocab_size(), end_id + 1), np.int64)
         for rows, buf, bounds in pieces(batches, "text", BATCH_BYTES):
@@ -193,7 +200,7 @@ def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str) -> Dat
             hashed = np.where(ids >= FREQUENT_IDS, mixed(ids.astype(U)) >> U(1), U((1 << 63) - 1))
             sketch = np.minimum.reduceat(hashed, at[:-1]).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
             data = ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
-            planes = [data[a:b].T.tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            planes = [pack(data[a:b].T.tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(np.diff(at)), pa.array(planes, pa.binary()), pa.array(sketch), pa.nulls(rows.num_rows, pa.binary())],
                 names=["doc_id", "n", "ids", "sketch", "counts"],
@@ -204,12 +211,12 @@ def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str) -> Dat
         )
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(given.mapInArrow(run, "doc_id long, n long, ids binary, sketch long, counts binary"), name)
+    return written(given.mapInArrow(run, "doc_id long, n long, ids binary, sketch long, counts binary"), name, "none")
 
 
 def from_planes(data: bytes, n: int) -> np.ndarray:
     """The ids in a row of the table."""
-    planes = np.frombuffer(data, np.uint8).reshape(-1, n)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(-1, n)
     out = planes[0].astype(np.uint32)
     for k in range(1, len(planes)):
         out |= planes[k].astype(np.uint32) << np.uint32(8 * k)
