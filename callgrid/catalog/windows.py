@@ -120,12 +120,29 @@ def _(t):
 
 
 @query(
-    "repeated_location_24h_in_buckets",
+    "repeated_location_24h_of_two_keys",
     f"SELECT event_id, count(*) OVER (PARTITION BY user_id % 2 ORDER BY ts {_DAY}) AS trailing FROM events",
 )
 def _(t):
     rows = t.events.withColumn("half", F.col("user_id") % 2)
-    return w.count_last(rows, "half", "ts", n=8).select("event_id", "trailing")
+    return w.count_last(rows, "half", "ts").select("event_id", "trailing")
+
+
+_PRICES = """
+    SELECT l_orderkey, l_linenumber, round(coalesce(sum(l_extendedprice) OVER (PARTITION BY {key} ORDER BY l_shipdate
+           range BETWEEN INTERVAL 168 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING), 0), 3) AS trailing FROM lineitem
+    """
+
+
+@query("sum_last_double", _PRICES.format(key="l_suppkey"), digits=3)
+def _(t):
+    return w.sum_last(t.lineitem, "l_suppkey", "l_shipdate", "l_extendedprice", 604800).select("l_orderkey", "l_linenumber", "trailing")
+
+
+@query("sum_last_double_of_one_key", _PRICES.format(key="l_linenumber > 0"), digits=3)
+def _(t):
+    rows = t.lineitem.withColumn("all", F.col("l_linenumber") > 0)
+    return w.sum_last(rows, "all", "l_shipdate", "l_extendedprice", 604800).select("l_orderkey", "l_linenumber", "trailing")
 
 
 @query(

@@ -3,7 +3,8 @@
 A window partitioned by a key puts all rows of the key into one task. Here rows are first cut into buckets along the
 order, at approximate quantiles of the data, and windows run per (key, bucket). What a bucket needs from the earlier
 ones arrives as one extra row, computed from one total per (key, bucket). The cut points are literals in the plan, so
-they steer only the load, never the result, and a recomputed task sees the same buckets.
+they steer only the load, and a recomputed task sees the same buckets. Results are the same for whole numbers; sums of doubles
+may be added up in another order.
 
 Small inputs, by the size of their files, keep a single bucket, which is a plain window.
 """
@@ -20,21 +21,26 @@ from ..functions.base import Col, as_list, col
 
 BUCKET_BYTES_KEY = "spark.callgrid.bucketBytes"
 DEFAULT_BUCKET_BYTES = 128 * 1024 * 1024
+#: Cut points are literals in the plan. Beyond so many, buckets grow with the data and their windows spill.
+MOST_BUCKETS, MOST_TEXT_BUCKETS = 4096, 512
 
 _BUCKET, _CARRIED, _SEED = "__bucket", "__carried", "__seed"
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of the inputs of a plan, from file listings; no job is run. Unknown inputs count as huge."""
+    """Bytes of the inputs of a plan, from file listings; no job is run. Unknown inputs count as huge.
+
+    A session without access to its plans (Spark Connect) counts the rows instead.
+    """
+    if not hasattr(type(df), "_jdf") and "_jdf" not in vars(df):
+        return df.count() * 16 * len(df.columns)
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def bucket_count(df: DataFrame) -> int:
-    spark = df.sparkSession
-    per_bucket = int(spark.conf.get(BUCKET_BYTES_KEY, str(DEFAULT_BUCKET_BYTES)))
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(most, math.ceil(input_bytes(df) / per_bucket)))
+    per_bucket = int(df.sparkSession.conf.get(BUCKET_BYTES_KEY, str(DEFAULT_BUCKET_BYTES)))
+    return max(1, min(MOST_BUCKETS, math.ceil(input_bytes(df) / per_bucket)))
 
 
 def _kind(df: DataFrame, c: Col) -> str:
@@ -42,27 +48,40 @@ def _kind(df: DataFrame, c: Col) -> str:
 
 
 def _as_double(df: DataFrame, c: Col) -> Column:
-    """An order column as a double that never falls along its order, NULL first. Of text, the first 6 bytes count."""
+    """An order column other than text as a double that never falls along its order, NULL first."""
     kind = _kind(df, c)
     c = col(c)
     if kind.startswith("timestamp"):
         c = F.unix_micros(c.cast("timestamp"))
     elif kind == "date":
         c = F.unix_date(c)
-    elif kind == "string":
-        c = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10)
     return F.coalesce(c.cast("double"), F.lit(float("-inf")))
 
 
-def _cut_points(df: DataFrame, c: Col, n: int) -> list[float]:
+def _cut_points(df: DataFrame, c: Col, n: int) -> list:
+    """Values at n - 1 approximate quantiles, ascending; frequent ones several times. Text: those of a random sample."""
+    if _kind(df, c) == "string":
+        n = min(n, MOST_TEXT_BUCKETS)
+        some = df.select(col(c).alias("v")).where("v is not null").orderBy(F.rand(0)).limit(64 * n).collect()
+        found = sorted((r["v"] for r in some), key=lambda v: v.encode())
+        return [found[i * len(found) // n] for i in range(1, n)] if found else []
     values = df.select(_as_double(df, c).alias("v"))
     cuts = values.approxQuantile("v", [i / n for i in range(1, n)], max(0.25 / n, 1e-4))
     return sorted(x for x in cuts if not math.isinf(x))
 
 
-def _bucketed(df: DataFrame, c: Col, cuts: list[float], out: str) -> DataFrame:
+def _after(x):
+    """The next value after a cut point."""
+    return x + "\0" if isinstance(x, str) else math.nextafter(x, math.inf)
+
+
+def _bucketed(df: DataFrame, c: Col, cuts: list, out: str) -> DataFrame:
     if not cuts:
         return df.withColumn(out, F.lit(0))
+    if isinstance(cuts[0], str):
+        value = col(c)
+        below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x <= value))
+        return df.withColumn(out, F.when(value.isNotNull(), below).otherwise(F.lit(0)))
     splits = [-math.inf, *cuts, math.inf]
     tmp = out + "_v"
     cut = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
@@ -73,9 +92,9 @@ def _bucketed(df: DataFrame, c: Col, cuts: list[float], out: str) -> DataFrame:
 class Cuts:
     """Cut points along an order: of its first column, and of its second within the values listed as heavy."""
 
-    first: tuple[float, ...] = ()
-    heavy: tuple[float, ...] = ()
-    second: tuple[float, ...] = ()
+    first: tuple[float | str, ...] = ()
+    heavy: tuple[float | str, ...] = ()
+    second: tuple[float | str, ...] = ()
 
 
 def plan_cuts(df: DataFrame, order, n: int | None = None) -> Cuts:
@@ -89,11 +108,16 @@ def plan_cuts(df: DataFrame, order, n: int | None = None) -> Cuts:
     if n <= 1:
         return Cuts()
     cuts = _cut_points(df, order[0], n)
-    exact = len(order) > 1 and _kind(df, order[0]) != "string"
-    heavy = sorted({x for x in cuts if cuts.count(x) > 1 and abs(x) < 2**53}) if exact else []
-    first = sorted({*cuts, *[math.nextafter(x, math.inf) for x in heavy]})
+    repeated = {x for x in cuts if cuts.count(x) > 1 and (isinstance(x, str) or abs(x) < 2**53)}
+    heavy = _in_order(repeated) if len(order) > 1 else []
+    first = _in_order({*cuts, *map(_after, heavy)})
     second = _cut_points(df, order[1], max(cuts.count(x) for x in heavy) + 1) if heavy else []
-    return Cuts(tuple(first), tuple(heavy), tuple(sorted(set(second))))
+    return Cuts(tuple(first), tuple(heavy), tuple(_in_order(set(second))))
+
+
+def _in_order(values) -> list:
+    """Ascending as Spark orders them: text by its bytes."""
+    return sorted(values, key=lambda v: v.encode() if isinstance(v, str) else v)
 
 
 def with_buckets(df: DataFrame, order, cuts: Cuts, out: str = _BUCKET) -> DataFrame:
@@ -104,7 +128,8 @@ def with_buckets(df: DataFrame, order, cuts: Cuts, out: str = _BUCKET) -> DataFr
         return first
     second = out + "_2"
     both = _bucketed(first, order[1], list(cuts.second), second)
-    inside = F.when(_as_double(df, order[0]).isin(*cuts.heavy), F.col(second)).otherwise(F.lit(0))
+    value = col(order[0]) if isinstance(cuts.heavy[0], str) else _as_double(df, order[0])
+    inside = F.when(value.isin(*cuts.heavy), F.col(second)).otherwise(F.lit(0))
     return both.withColumn(out, F.col(out) * F.lit(len(cuts.second) + 2) + inside).drop(second)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.base import Col, as_list, col, micros
-from .ordered import bucket_count, exact_quantiles, plan_cuts, row_positions, running_sums
+from .ordered import exact_quantiles, row_positions
 
 
 def _daily(df: DataFrame, day: Column, feature: str, agg: str, group: list[str]) -> DataFrame:
@@ -64,55 +64,63 @@ def prior_count(df: DataFrame, key: str, order, out: str = "prior", n: int | Non
     return counted.withColumn(out, F.when(F.col(key).isNotNull(), F.col(out)))
 
 
-def sums_last(
-    df: DataFrame, key, ts: str, sums: dict[str, tuple[Col, int]], n: int | None = None
-) -> DataFrame:
+def sums_last(df: DataFrame, key, ts: str, sums: dict[str, tuple[Col, int]]) -> DataFrame:
     """Trailing sums: `sums` maps each new column to (value, seconds).
 
-    Each is the sum over the same key's rows from that many seconds before a row up to, but without, its own instant.
+    Each is the sum over the same key's rows from that many seconds before a row up to, but without, its own instant; 0 if
+    there are none, and for a row without a time.
 
-    On one bucket these are differences of two growing range frames, which Spark updates row by row; a sliding frame
-    would be summed anew for each row. Otherwise every row adds its values right after its instant and takes each back
-    right after its seconds more; one running sum of these steps, which splits a hot key, answers all columns.
+    Rows of an instant merge first. Time is cut into stretches as long as the sum looks back, so that what a row looks back
+    on is the end of one stretch and the start of the next. Both are sums that only grow, one backwards and one
+    forwards: nothing is subtracted, so that large values, NaN and infinity leave no trace once they are out of sight. A
+    key with many rows is spread over its stretches.
     """
     keys = as_list(key)
-    n = n or bucket_count(df)
-    values = {out: F.coalesce(col(v), F.lit(0)) for out, (v, _) in sums.items()}
-    spans = {out: seconds * 1_000_000 for out, (_, seconds) in sums.items()}
-    if n <= 1:
-        w = W.partitionBy(*keys).orderBy(micros(ts))
-
-        def upto(out: str, end: int) -> Column:
-            return F.coalesce(F.sum(values[out]).over(w.rangeBetween(W.unboundedPreceding, end)), F.lit(0))
-
-        return df.select("*", *[(upto(out, -1) - upto(out, -span - 1)).alias(out) for out, span in spans.items()])
-
     names = df.columns
-    queries = df.select("*", micros(ts).alias("__at"), F.lit(0).alias("__phase"))
-    added = df.where(F.col(ts).isNotNull()).groupBy(*keys, micros(ts).alias("__t")).agg(
-        *[F.sum(v).alias(f"__v_{out}") for out, v in values.items()]
+    by_span: dict[int, list[str]] = {}
+    for out, (_, seconds) in sums.items():
+        by_span.setdefault(seconds * 1_000_000, []).append(out)
+    values = [F.sum(F.coalesce(col(v), F.lit(0))).alias(f"__v_{out}") for out, (v, _) in sums.items()]
+    inner = [f"__k{i}" for i in range(len(keys))]
+    renamed = [F.col(k).alias(i) for k, i in zip(keys, inner, strict=True)]
+    at = df.where(F.col(ts).isNotNull()).select("*", *renamed, micros(ts).alias("__at")).groupBy(*inner, "__at").agg(*values)
+
+    # each instant is a value in its own stretch, and a question to the stretch before
+    places = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(span).alias("span"), (F.col("__at") - shift).alias("at"), F.lit(shift > 0).alias("asks"))
+                for span in by_span
+                for shift in (0, span)
+            ]
+        )
     )
-    steps = [F.struct(F.col("__t").alias("at"), *[F.col(f"__v_{o}").alias(o) for o in sums])]
-    for span in sorted(set(spans.values())):
-        gone = [F.when(F.lit(spans[o] == span), -F.col(f"__v_{o}")).alias(o) for o in sums]
-        steps.append(F.struct((F.col("__t") + span).alias("at"), *gone))
-    changes = added.select(*keys, F.explode(F.array(*steps)).alias("__s")).select(
-        *keys, F.col("__s.at").alias("__at"), F.lit(1).alias("__phase"), *[F.col("__s")[o].alias(f"__v_{o}") for o in sums]
+    rows = at.withColumn("__p", places).select("*", "__p.*").drop("__p").withColumn("__part", F.floor(F.col("at") / F.col("span")))
+    part = W.partitionBy(*inner, "span", "__part")
+    ahead = part.orderBy("at").rangeBetween(W.unboundedPreceding, -1)
+    back = part.orderBy(F.col("at").desc(), "asks").rowsBetween(W.unboundedPreceding, 0)
+    found = []
+    for span, outs in by_span.items():
+        for out in outs:
+            v = F.when(~F.col("asks"), F.col(f"__v_{out}"))
+            seen = F.when(F.col("asks"), F.sum(v).over(back)).otherwise(F.sum(v).over(ahead))
+            found.append(F.when(F.col("span") == span, seen).alias(f"__s_{out}"))
+    parts = rows.select(*inner, "__at", *found).groupBy(*inner, "__at")
+    trailing = parts.agg(*[F.coalesce(F.sum(f"__s_{out}"), F.lit(0)).alias(f"__t_{out}") for out in sums])
+    same = micros(ts) == F.col("__at")
+    for k, i in zip(keys, inner, strict=True):
+        same = same & df[k].eqNullSafe(F.col(i))
+    kinds = trailing.select(*[f"__t_{out}" for out in sums]).schema
+    zero = {f.name: F.lit(0).cast(f.dataType) for f in kinds}
+    return df.join(trailing, same, "left").select(
+        *[df[c] for c in names], *[F.coalesce(f"__t_{out}", zero[f"__t_{out}"]).alias(out) for out in sums]
     )
-    both = queries.unionByName(changes, allowMissingColumns=True)
-    cuts = plan_cuts(df.select(micros(ts).alias("__at")), "__at", n)
-    summed = running_sums(both, {o: f"__v_{o}" for o in sums}, ["__at", "__phase"], keys, cuts=cuts)
-    return summed.where("__phase = 0").select(*names, *sums)
 
 
-def sum_last(
-    df: DataFrame, key, ts: str, value: Col, seconds: int, out: str = "trailing", n: int | None = None
-) -> DataFrame:
+def sum_last(df: DataFrame, key, ts: str, value: Col, seconds: int, out: str = "trailing") -> DataFrame:
     """`sums_last` of a single value."""
-    return sums_last(df, key, ts, {out: (value, seconds)}, n)
+    return sums_last(df, key, ts, {out: (value, seconds)})
 
 
-def count_last(
-    df: DataFrame, key, ts: str, seconds: int = 86400, out: str = "trailing", n: int | None = None
-) -> DataFrame:
-    return sum_last(df, key, ts, F.lit(1).cast("bigint"), seconds, out, n)
+def count_last(df: DataFrame, key, ts: str, seconds: int = 86400, out: str = "trailing") -> DataFrame:
+    return sum_last(df, key, ts, F.lit(1).cast("bigint"), seconds, out)
