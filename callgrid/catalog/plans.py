@@ -84,10 +84,10 @@ def _incident_inputs(t):
     return incidents, dispositions, units, reports, codes
 
 
-def _incident_table(t):
+def _incident_table(t, **more):
     places = t.areas.select(F.concat(F.lit("S"), F.col("area").cast("string")).alias("station_name"), "ring")
     groups = t.areas.select(F.col("area").cast("string").alias("geoid"), "ring")
-    return incident.incident_table(*_incident_inputs(t), stations=places, block_groups=groups, start="1996-01-01")
+    return incident.incident_table(*_incident_inputs(t), stations=places, block_groups=groups, start="1996-01-01", **more)
 
 
 _TABLE = """
@@ -144,11 +144,18 @@ def _(t):
     """,
 )
 def _(t):
-    key = lambda c: F.concat(F.lit("E"), F.col(c).cast("string"))
-    lines = t.lineitem.withColumn("case", F.monotonically_increasing_id())
-    care = {
-        "t_incident": t.orders.select(key("o_orderkey").alias("INCIDENTN"), F.col("o_orderkey").alias("KEY_INCIDENT")),
-        "t_case": lines.select(
+    return incident.patient_care(t.orders.select(_event("o_orderkey").alias("incident")), _care(t))[0]
+
+
+def _event(c):
+    return F.concat(F.lit("E"), F.col(c).cast("string"))
+
+
+def _care(t):
+    """Order lines as cases, suppliers as comments and parts as patients."""
+    return {
+        "t_incident": t.orders.select(_event("o_orderkey").alias("INCIDENTN"), F.col("o_orderkey").alias("KEY_INCIDENT")),
+        "t_case": t.lineitem.select(
             F.col("l_orderkey").alias("KEY_INCIDENT"), F.col("l_suppkey").alias("KEY_CASE"), F.col("l_partkey").alias("KEY_PATIENT")
         ),
         "t_comment": t.supplier.select(F.col("s_suppkey").alias("KEY_CASE"), F.col("s_name").alias("COMMENTTEXT")),
@@ -157,8 +164,32 @@ def _(t):
             F.col("p_type").alias("RACECODE"), F.col("p_name").alias("POSTCODE"),
         ),
     }
-    comments, _patients = incident.patient_care(t.orders.select(key("o_orderkey").alias("incident")), care)
-    return comments
+
+
+@query(
+    "patients_of_events",
+    """
+    SELECT 'E' || o_orderkey AS incident, max(p_brand) AS pt_gender, max(p_size) AS pt_age, max(p_type) AS pt_race, max(p_name) AS pt_postcode
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1
+    """,
+)
+def _(t):
+    return incident.patient_care(t.orders.select(_event("o_orderkey").alias("incident")), _care(t))[1]
+
+
+@query(
+    "incident_table_with_care",
+    f"""
+    WITH {_TABLE},
+    c AS (SELECT 'E' || l_orderkey AS incident, string_agg(s_name, ' | ' ORDER BY s_name) AS comments
+          FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1),
+    p AS (SELECT 'E' || l_orderkey AS incident, max(p_brand) AS pt_gender, max(p_size) AS pt_age, max(p_type) AS pt_race, max(p_name) AS pt_postcode
+          FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1)
+    SELECT * FROM incident_table LEFT JOIN c USING (incident) LEFT JOIN p USING (incident)
+    """,
+)
+def _(t):
+    return _incident_table(t, care=_care(t)).drop("x", "y")
 
 
 _FEATURES = [

@@ -74,7 +74,10 @@ def _(t):
     return r.kth_largest(t.events, "value", 0.05, n=8)
 
 
-@query("random_pick")
+@query(
+    "random_pick",
+    "SELECT event_id, user_id FROM events ORDER BY md5(concat_ws('|', '7', event_id::varchar, user_id::varchar)) LIMIT 10",
+)
 def _(t):
     return r.random_pick(t.events.select("event_id", "user_id"), 10, 7)
 

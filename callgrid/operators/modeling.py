@@ -22,6 +22,7 @@ CLASSIFIER_GRID = {
         "min_samples_split": [2, 5, 10],
     },
     "LR": {"penalty": ["l1", "l2"], "C": [0.01, 0.1, 1, 10]},
+    # AB has one variant here: boosting by class votes. Its other variant weighs probabilities.
     "AB": {"n_estimators": [1, 10, 100]},
     "GB": {
         "n_estimators": [10, 100, 1000, 2500],
@@ -30,6 +31,7 @@ CLASSIFIER_GRID = {
         "max_depth": [5, 10, 20, 50, 100],
     },
     "NB": {},
+    # A single tree looks at all features: Spark offers subsets of them to forests only.
     "DT": {"criterion": ["gini", "entropy"], "max_depth": [1, 5, 10, 20, 50, 100], "min_samples_split": [2, 5, 10]},
     "SVM": {},
 }
@@ -42,6 +44,10 @@ REGRESSOR_GRID = {
 }
 
 
+#: The deepest tree Spark trains.
+MOST_DEPTH = 30
+
+
 def levels_of(df: DataFrame, column: str, most: int = 10_000) -> list:
     """Distinct values of a categorical column, sorted. More than `most` are an error, not cut off."""
     rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
@@ -50,14 +56,15 @@ def levels_of(df: DataFrame, column: str, most: int = 10_000) -> list:
     return sorted(r[0] for r in rows)
 
 
-def one_hot(df: DataFrame, cats, keep_all=(), levels: dict[str, list] | None = None) -> DataFrame:
+def one_hot(df: DataFrame, cats, keep_all=(), levels: dict[str, list] | None = None, most: int = 10_000) -> DataFrame:
     """Columns `{col}_is_{value}` of 0 and 1 in place of each categorical column.
 
-    The first level in sort order is dropped, except for columns in `keep_all`. A NULL is 0 in every column.
+    The first level in sort order is dropped, except for columns in `keep_all`. A NULL is 0 in every column. A column with
+    more than `most` levels is an error; for such, ``pyspark.ml``'s StringIndexer and OneHotEncoder make one sparse vector.
     """
     levels, out = levels or {}, []
     for c in as_list(cats):
-        values = levels.get(c) or levels_of(df, c)
+        values = levels.get(c) or levels_of(df, c, most)
         for v in values if c in as_list(keep_all) else values[1:]:
             out.append(F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_is_{v}"))
     return df.select("*", *out).drop(*as_list(cats))
@@ -95,9 +102,15 @@ def scaled_columns(train: DataFrame, cols) -> list[str]:
     return [names[i] for i in spread if between[f"b_{i}"] or ends[f"null_{i}"]]
 
 
-def standardise(train: DataFrame, test: DataFrame, cols, label: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Mean 0 and population standard deviation 1 by the train set, for columns with at least 3 distinct values."""
-    chosen = scaled_columns(train, [c for c in as_list(cols) if c != label])
+def standardise(
+    train: DataFrame, test: DataFrame, cols, label: str | None = None, chosen: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Mean 0 and population standard deviation 1 by the train set, for columns with at least 3 distinct values.
+
+    `chosen` names the columns where that is known from elsewhere.
+    """
+    if chosen is None:
+        chosen = scaled_columns(train, [c for c in as_list(cols) if c != label])
     if not chosen:
         return train, test
     s = train.agg(
@@ -109,12 +122,13 @@ def standardise(train: DataFrame, test: DataFrame, cols, label: str | None = Non
 
 
 def expand_grid(models, grid: dict | None = None, buckets: dict[str, list] | None = None) -> list[dict]:
-    """Every (model, parameters, bucket) to be trained."""
+    """Every (model, parameters, bucket) to be trained. Depths beyond Spark's limit of 30 cannot be and are left out."""
     grid = grid or CLASSIFIER_GRID
     runs = []
     for model in as_list(models):
         names = sorted(grid[model])
-        for values in itertools.product(*[grid[model][n] for n in names]):
+        allowed = [[v for v in grid[model][n] if n != "max_depth" or v <= MOST_DEPTH] for n in names]
+        for values in itertools.product(*allowed):
             for bucket in buckets or {"all": []}:
                 runs.append({"model": model, "params": dict(zip(names, values)), "bucket": bucket})
     return runs
@@ -124,12 +138,14 @@ def classifier(name: str, label: str = "label", features: str = "features", rows
     """A ``pyspark.ml`` classifier by its short name and parameters.
 
     For LR, `C` is the weight of the data against the penalty summed over rows, so Spark's penalty per row is
-    1 / (C * rows); give the number of train rows. Tree depth is limited to Spark's 30.
+    1 / (C * rows); give the number of train rows. A tree depth beyond Spark's limit of 30 is an error.
     """
     from pyspark.ml import classification as ml
 
     common = {"labelCol": label, "featuresCol": features}
-    depth = {"maxDepth": min(int(p["max_depth"]), 30)} if p.get("max_depth") else {}
+    if (p.get("max_depth") or 0) > MOST_DEPTH:
+        raise ValueError(f"trees of depth {p['max_depth']} cannot be trained; the limit is {MOST_DEPTH}")
+    depth = {"maxDepth": int(p["max_depth"])} if p.get("max_depth") else {}
     leaves = {"minInstancesPerNode": max(1, int(p.get("min_samples_split", 2)) // 2)}
     if name == "LR":
         strength = 1.0 / (float(p.get("C", 1e5)) * (rows or 1))
@@ -175,7 +191,7 @@ class AdaBoost:
         stump = DecisionTreeClassifier(
             maxDepth=1, labelCol=self.label, featuresCol=self.features, weightCol="__w", predictionCol="__p", seed=0
         )
-        rows = df.select(self.label, self.features).withColumn("__w", F.lit(1.0))
+        rows = df.select(self.label, self.features).withColumn("__w", F.lit(1.0)).persist()
         trees, weights = [], []
         for i in range(self.rounds):
             tree = stump.fit(rows)
@@ -190,11 +206,13 @@ class AdaBoost:
             weights.append(alpha)
             if error <= 0:
                 break
-            rows = judged.select(
+            before, rows = rows, judged.select(
                 self.label, self.features, (F.col("__w") * F.exp(F.lit(alpha) * F.col("__wrong"))).alias("__w")
             )
-            if (i + 1) % self.every == 0:
-                rows = checkpointed(rows)
+            rows = (checkpointed(rows) if (i + 1) % self.every == 0 else rows).persist()
+            rows.count()
+            before.unpersist()
+        rows.unpersist()
         return AdaBoostModel(trees, weights)
 
 
@@ -292,8 +310,8 @@ def fit_grid_per_group(df: DataFrame, group, label: str, features, runs: list[di
                     largest = max(largest, abs(new - w[j]))
                     w[j] = new
                 if largest < 1e-10:
-                    break
-            return w
+                    return w
+            raise ArithmeticError("coordinate descent has not converged in 10 000 sweeps")
 
         def weights(q, r, n, kind, p):
             alpha = float(p.get("alpha", 1.0))
@@ -382,6 +400,8 @@ def logistic_gain_by_type(
             w = w - step
             if np.abs(step).max() < 1e-10:
                 break
+        else:
+            raise ArithmeticError("Newton's method has not converged in 100 steps")
         right = np.where(design @ w > 0, m1, m0).sum()
         base = n1.sum() / n.sum()
         answer["logistic_acc"], answer["base_acc"] = right / tested, base**2 + (1 - base) ** 2

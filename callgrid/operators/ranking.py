@@ -47,5 +47,8 @@ def kth_largest(df: DataFrame, column: str, k: float, out: str = "threshold", n:
     return ranked.agg(F.max(F.when(F.col("upto") > at, F.col("value"))).alias(out))
 
 
-def random_pick(df: DataFrame, n: int = 10, seed: int = 0) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_pick(df: DataFrame, n: int = 10, seed: int = 0, key=None) -> DataFrame:
+    """n rows chosen by a hash of the seed and the key columns (all by default), whatever the partitions."""
+    cols = as_list(key) or df.columns
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    return df.orderBy(F.md5(text), *cols).limit(n)

@@ -22,31 +22,47 @@ def with_edges(polys: DataFrame, ring: str, several: bool = False) -> DataFrame:
     return edged.where(F.size("edges") >= 3).select("*", *g.bounds("edges"))
 
 
-def _cell(v: Col, size: float) -> Column:
-    return F.floor(col(v) / F.lit(float(size)))
+def _cell(v: Col, size: Column) -> Column:
+    return F.floor(col(v) / size)
 
 
-def by_cell(polys: DataFrame, size: float) -> DataFrame:
-    """One row per polygon and cell of its bounding box."""
-    return polys.withColumn("cell_x", F.explode(F.sequence(_cell("min_x", size), _cell("max_x", size)))).withColumn(
-        "cell_y", F.explode(F.sequence(_cell("min_y", size), _cell("max_y", size)))
-    )
+#: Cells per side of a bounding box, up to twice as many.
+CELLS_A_SIDE = 8
+
+
+def with_cell_size(polys: DataFrame, cell: float | None = None) -> DataFrame:
+    """Add `size`, the side of the cells a polygon is listed under: the power of two that gives its box 8 to 16 a side.
+
+    So a polygon has at most 17 x 17 cells, whatever the sizes of the others. `cell` fixes one size for all.
+    """
+    if cell:
+        return polys.withColumn("size", F.lit(float(cell)))
+    side = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(1e-9))
+    return polys.withColumn("size", F.pow(F.lit(2.0), F.floor(F.log2(side / CELLS_A_SIDE))))
+
 
+def sizes_in_use(*layers: DataFrame) -> list[float]:
+    """The cell sizes of layers, ascending: one number per power of two between the smallest and the largest polygon."""
+    sizes = layers[0].select("size")
+    for layer in layers[1:]:
+        sizes = sizes.union(layer.select("size"))
+    return sorted(r["size"] for r in sizes.distinct().collect())
 
-def mean_extent(polys: DataFrame, ring: str, several: bool = False) -> float:
-    """Mean side of the bounding boxes, a cell size that lists a polygon under few cells."""
-    vertices = polys.select((F.flatten(ring) if several else F.col(ring)).alias("v"))
-    sides = [F.array_max(F.col("v")[k]) - F.array_min(F.col("v")[k]) for k in ("x", "y")]
-    return float(vertices.agg(F.avg((sides[0] + sides[1]) / 2)).first()[0] or 1.0)
 
+def by_cell(polys: DataFrame, size: str = "size") -> DataFrame:
+    """One row per polygon and cell of its bounding box."""
+    cells = [F.explode(F.sequence(_cell(f"min_{k}", F.col(size)), _cell(f"max_{k}", F.col(size)))) for k in "xy"]
+    return polys.withColumn("cell_x", cells[0]).withColumn("cell_y", cells[1])
 
-def classified_cells(polys: DataFrame, size: float) -> DataFrame:
+
+def classified_cells(polys: DataFrame) -> DataFrame:
     """Cells of each polygon, without those outside it; `edges` is NULL in cells wholly inside.
 
     A ray to the right of a point in a border cell can only cross edges that overlap the cell's height and do not lie
     to its left, so only those are kept.
     """
-    x0, y0 = F.col("cell_x") * F.lit(float(size)), F.col("cell_y") * F.lit(float(size))
+    size = F.col("size")
+    x0, y0 = F.col("cell_x") * size, F.col("cell_y") * size
     # the margin makes up for rounding when cell corners are computed back from cell numbers
     margin = size * 1e-9
     x1, y1 = x0 + (size + margin), y0 + (size + margin)
@@ -56,7 +72,7 @@ def classified_cells(polys: DataFrame, size: float) -> DataFrame:
         return (F.least(k["y1"], k["y2"]) <= y1) & (F.greatest(k["y1"], k["y2"]) >= y0)
 
     ahead = F.filter("edges", lambda k: level(k) & (F.greatest(k["x1"], k["x2"]) >= x0))
-    cells = by_cell(polys, size).withColumn("ahead", ahead)
+    cells = by_cell(polys).withColumn("ahead", ahead)
     border = F.exists("ahead", lambda k: F.least(k["x1"], k["x2"]) <= x1)
     inside = g.contains("ahead", x0 + size / 2, y0 + size / 2)
     marked = cells.withColumn("border", border).where(F.col("border") | inside)
@@ -83,43 +99,71 @@ def point_in_polygon(
     cell: float | None = None,
     several: bool = False,
     how: str = "inner",
+    key=None,
 ) -> DataFrame:
     """Points joined to the polygons they lie in, with the polygon's other columns.
 
     Borders are half open: a border shared by two polygons belongs to one of them, so a gap-free layer gives every
-    point one polygon. `how="left"` keeps points outside every polygon.
+    point one polygon. `how="left"` keeps points outside every polygon, and gives a point in several the one that is
+    first by the polygon's columns: one row per row of `points`, told apart by the `key` columns and the place.
     """
-    edged = with_edges(polys, ring, several)
-    size = cell or mean_extent(polys, ring, several) / 8
+    edged = with_cell_size(with_edges(polys, ring, several), cell)
     keep = [c for c in polys.columns if c != ring]
-    listed = classified_cells(edged, size).select(
-        *keep, "edges", F.col("cell_x").alias("__cx"), F.col("cell_y").alias("__cy")
+    sizes = sizes_in_use(edged)
+    if not sizes:
+        found = points.join(polys.select(*keep).limit(0), F.lit(False), "left")
+        return found if how == "left" else found.limit(0)
+    listed = classified_cells(edged).select(
+        *keep, "edges", F.col("size").alias("__size"), F.col("cell_x").alias("__cx"), F.col("cell_y").alias("__cy")
     )
-    at = points.withColumns({"cell_x": _cell(x, size), "cell_y": _cell(y, size)})
     listed = sized_for_join(listed)
+    if how == "left":
+        own = list(dict.fromkeys([*as_list(key or points.columns), x, y]))
+        asked = points.select(*own)
+    else:
+        own, asked = points.columns, points
+    # a point has one cell per size
+    asked = asked.withColumn("__at", F.explode(F.array(*map(F.lit, sizes))) if len(sizes) > 1 else F.lit(sizes[0]))
+    asked = asked.withColumns({"cell_x": _cell(x, F.col("__at")), "cell_y": _cell(y, F.col("__at"))})
     inside = F.col("edges").isNull() | g.contains("edges", x, y)
-    on = (F.col("cell_x") == F.col("__cx")) & (F.col("cell_y") == F.col("__cy")) & inside
-    return at.join(listed, on, how).select(*points.columns, *keep)
+    on = (F.col("__at") == F.col("__size")) & (F.col("cell_x") == F.col("__cx")) & (F.col("cell_y") == F.col("__cy"))
+    found = asked.join(listed, on & inside).select(*own, *keep)
+    if how != "left":
+        return found.select(*points.columns, *keep)
+    mine = [F.col(c).alias(f"__own{i}") for i, c in enumerate(own)]
+    best = found.select(*mine, F.struct(*keep).alias("__best")).groupBy(*[f"__own{i}" for i in range(len(own))])
+    best, same = best.agg(F.min("__best").alias("__best")), F.lit(True)
+    for i, c in enumerate(own):
+        same = same & F.col(c).eqNullSafe(F.col(f"__own{i}"))
+    return points.join(best, same, "left").select(*points.columns, *[F.col("__best")[c].alias(c) for c in keep])
 
 
-def _candidates(a: DataFrame, b: DataFrame, a_key, b_key, size: float) -> DataFrame:
-    """Pairs of polygons whose boxes overlap; a pair is kept only in the cell of its common corner."""
-    left = by_cell(a, size).select(
-        *as_list(a_key), *[F.col(c).alias(f"a_{c}") for c in ("edges", "min_x", "min_y", "max_x", "max_y")], "cell_x", "cell_y"
-    )
-    right = by_cell(b, size).select(
-        *as_list(b_key), *[F.col(c).alias(f"b_{c}") for c in ("edges", "min_x", "min_y", "max_x", "max_y")], "cell_x", "cell_y"
-    )
-    corner = (F.col("cell_x") == _cell(F.greatest("a_min_x", "b_min_x"), size)) & (
-        F.col("cell_y") == _cell(F.greatest("a_min_y", "b_min_y"), size)
-    )
-    overlap = (
-        (F.col("a_min_x") <= F.col("b_max_x"))
-        & (F.col("b_min_x") <= F.col("a_max_x"))
-        & (F.col("a_min_y") <= F.col("b_max_y"))
-        & (F.col("b_min_y") <= F.col("a_max_y"))
-    )
-    return left.join(right, ["cell_x", "cell_y"]).where(corner & overlap)
+_BOX = ("min_x", "min_y", "max_x", "max_y")
+
+
+def _candidates(a: DataFrame, b: DataFrame, a_key: str, b_key: str, cell: float | None) -> DataFrame:
+    """Pairs of polygons whose boxes overlap, with the edges of both.
+
+    A polygon is listed at its own cell size and all larger ones in use, where it has few cells; a pair meets at the
+    larger size of the two, and is kept in the cell of its common corner. Edges join the pairs afterwards, once each.
+    """
+    a, b = with_cell_size(a, cell), with_cell_size(b, cell)
+    sizes = F.array(*map(F.lit, sizes_in_use(a, b) or [1.0]))
+
+    def cells(polys: DataFrame, key: str, side: str) -> DataFrame:
+        at = F.explode(F.filter(sizes, lambda s: s >= F.col("size")))
+        rows = by_cell(polys.withColumn("at", at), "at")
+        boxed = [F.col(c).alias(f"{side}_{c}") for c in (*_BOX, "size")]
+        return rows.select(F.col(key).alias(f"__{side}"), *boxed, "at", "cell_x", "cell_y")
+
+    corner = F.col("at") == F.greatest("a_size", "b_size")
+    for k in "xy":
+        corner = corner & (F.col(f"cell_{k}") == _cell(F.greatest(f"a_min_{k}", f"b_min_{k}"), F.col("at")))
+        corner = corner & (F.col(f"a_min_{k}") <= F.col(f"b_max_{k}")) & (F.col(f"b_min_{k}") <= F.col(f"a_max_{k}"))
+    pairs = cells(a, a_key, "a").join(cells(b, b_key, "b"), ["at", "cell_x", "cell_y"]).where(corner).select("__a", "__b")
+    one = a.select(F.col(a_key).alias("__a"), F.col("edges").alias("a_edges"))
+    two = b.select(F.col(b_key).alias("__b"), F.col("edges").alias("b_edges"))
+    return pairs.join(one, "__a").join(two, "__b")
 
 
 def overlap_weights(
@@ -127,10 +171,9 @@ def overlap_weights(
 ) -> DataFrame:
     """(a_key, b_key, multiplier) of polygons that meet; the multiplier is area(a and b) / area(b)."""
     a, b = with_edges(polys_a.select(a_key, ring), ring), with_edges(polys_b.select(b_key, ring), ring)
-    pairs = _candidates(a, b, a_key, b_key, cell or mean_extent(polys_b, ring))
-    return pairs.where(g.intersects("a_edges", "b_edges")).select(
-        a_key,
-        b_key,
+    return _candidates(a, b, a_key, b_key, cell).where(g.intersects("a_edges", "b_edges")).select(
+        F.col("__a").alias(a_key),
+        F.col("__b").alias(b_key),
         F.try_divide(g.overlap_area("a_edges", "b_edges"), g.edges_area("b_edges")).alias("multiplier"),
     )
 
@@ -140,8 +183,8 @@ def intersects_any(
 ) -> DataFrame:
     """Polygons that meet at least one polygon of another layer."""
     a, b = with_edges(polys.select(key, ring), ring), with_edges(other.select(other_key, ring), ring)
-    pairs = _candidates(a, b, key, F.col(other_key).alias("__other"), cell or mean_extent(polys, ring))
-    hits = pairs.where(g.intersects("a_edges", "b_edges")).select(key).distinct()
+    pairs = _candidates(a, b, key, other_key, cell)
+    hits = pairs.where(g.intersects("a_edges", "b_edges")).select(F.col("__a").alias(key)).distinct()
     return polys.join(hits, key, "left_semi")
 
 

@@ -108,14 +108,16 @@ def incident_table(
 ) -> DataFrame:
     """The incident table. `stations` is (station_name, ring), `block_groups` (geoid, ring), in the units of x and y.
 
-    `cell` is the cell size of the two spatial joins; without it, a small job takes it from each layer.
+    Where areas of a layer overlap, an incident has the one that is first by name. `cell` is the cell size of the two spatial
+    joins; without it, each area has cells of its own size.
     """
     events = distinct_events(incidents, dispositions, start)
+    known = events.select("incident")
     for layer, name in ((block_groups, "geoid"), (stations, "station_name")):
         if layer is None:
             events = events.withColumn(name, F.lit(None).cast("string"))
         else:
-            events = point_in_polygon(events, layer.select(name, "ring"), "x", "y", "ring", cell, how="left")
+            events = point_in_polygon(events, layer.select(name, "ring"), "x", "y", "ring", cell, how="left", key="incident")
     sent = (
         filters.filter_like_any(units, "pun_unitid")
         .select(F.col(EVENT).alias("incident"))
@@ -131,7 +133,7 @@ def incident_table(
     out = events.join(report, "incident").join(sent, "incident", "left")
     out = out.join(codes, F.col("dispatch_code") == F.col("__code"), "left").drop("__code")
     if care:
-        for satellite in patient_care(events, care):
+        for satellite in patient_care(known, care):
             out = out.join(satellite, "incident", "left")
     else:
         out = out.withColumns({c: F.lit(None).cast("string") for c in ("comments", *PATIENT_COLUMNS.values())})

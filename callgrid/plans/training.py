@@ -19,12 +19,24 @@ def sample_incidents(
     return modeling.one_hot(train, cats, levels=levels), modeling.one_hot(test, cats, levels=levels)
 
 
+def bucket_features(features, codes=None, code: str = "code_type") -> list[str]:
+    """The features of a bucket: those given, and one column per code of the bucket but the first."""
+    return [*as_list(features), *[f"{code}_is_{v}" for v in sorted(codes or [])[1:]]]
+
+
 def prepare_bucket(train: DataFrame, test: DataFrame, features, label: str, codes=None, code: str = "code_type"):
-    """Train and test rows of one urgency bucket, imputed and scaled by its train rows."""
+    """Train and test rows of one urgency bucket with its code columns, imputed and scaled by its train rows.
+
+    Which columns are scaled is seen from all train rows as they come: before the bucket is cut out and before
+    NULLs, which count as a value, are imputed. Code columns are 0 and 1 and stay so.
+    """
+    scaled = modeling.scaled_columns(train, [c for c in as_list(features) if c != label])
     if codes:
         train, test = subset_bucket(train, code, codes), subset_bucket(test, code, codes)
+        dummies = {f"{code}_is_{v}": (F.col(code) == F.lit(v)).cast("int") for v in sorted(codes)[1:]}
+        train, test = train.withColumns(dummies), test.withColumns(dummies)
     train, test = modeling.impute_median(train, test, features)
-    return modeling.standardise(train, test, features, label)
+    return modeling.standardise(train, test, scaled, label, chosen=scaled)
 
 
 def run_classifier(
@@ -48,9 +60,10 @@ def run_grid(
     runs = modeling.expand_grid(models, grid)
     for bucket, codes in buckets.items():
         ready = [df.persist() for df in prepare_bucket(train, test, features, label, codes, code)]
+        names = bucket_features(features, codes, code)
         for run in runs:
             _, metrics = run_classifier(
-                *ready, label, key, features, run["model"], run["params"], weights.get(bucket, weights["other"])
+                *ready, label, key, names, run["model"], run["params"], weights.get(bucket, weights["other"])
             )
             named = {"model": run["model"], "params": str(run["params"]), "bucket": bucket}
             metrics = metrics.select(*[F.lit(v).alias(k) for k, v in named.items()], "*")

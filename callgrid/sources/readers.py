@@ -16,9 +16,13 @@ def normalise_names(df: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path, schema: str | T.StructType | None = None, sampling: float = 0.1, sep: str = ",", **options
+    spark: SparkSession, path, schema: str | T.StructType | None = None, sampling: float = 1.0, sep: str = ",", **options
 ) -> DataFrame:
-    """CSV files with a header; types come from the schema, or from a sample of the rows. Names are normalised."""
+    """CSV files with a header; types come from the schema, or are inferred. Names are normalised.
+
+    All rows are looked at, so that every value fits. With `sampling` below 1 values that do not fit the types of the sample
+    are read as NULL, and with a schema those that do not fit the schema; mode="FAILFAST" refuses them.
+    """
     reader = spark.read.option("header", True).option("sep", sep).options(**options)
     if schema is not None:
         return normalise_names(reader.schema(schema).csv(path))
@@ -49,11 +53,11 @@ def keep_head(lines: DataFrame, n: int) -> DataFrame:
 def drop_lines(lines: DataFrame, head: int = 0, tail: int = 0) -> DataFrame:
     """Without the first `head` and the last `tail` lines of each file.
 
-    The places of the dropped lines, a few per file, are broadcast, so the lines themselves are not shuffled.
+    The places of the dropped lines, a few per file, are joined: Spark broadcasts them while they are few.
     """
     for n, last in ((head, False), (tail, True)):
         if n:
-            gone = F.broadcast(_edge(lines, n, last).select("file", "start", "seq"))
+            gone = _edge(lines, n, last).select("file", "start", "seq")
             lines = lines.join(gone, ["file", "start", "seq"], "left_anti")
     return lines
 
@@ -89,16 +93,22 @@ def read_measurements(spark: SparkSession, path, schema: str = WEATHER_SCHEMA) -
 
 def read_moon(spark: SparkSession, path) -> DataFrame:
     """All moon phase files of a folder; exact duplicate rows, from overlapping files, are dropped."""
-    return read_csv(spark, path, sampling=1.0).dropDuplicates()
+    return read_csv(spark, path).dropDuplicates()
 
 
-def read_polygons(spark: SparkSession, path, key: str, vertex_order: str = "seq", fmt: str = "parquet") -> DataFrame:
-    """Polygons from one row per vertex (key, seq, x, y): `ring array<struct<x, y>>` in vertex order."""
+def read_polygons(
+    spark: SparkSession, path, key: str, vertex_order: str = "seq", fmt: str = "parquet", part: str | None = None
+) -> DataFrame:
+    """Polygons from one row per vertex (key, seq, x, y): `ring array<struct<x, y>>` in vertex order.
+
+    With a `part` column, which numbers parts and holes, `rings array<array<struct<x, y>>>`.
+    """
     vertices = spark.read.format(fmt).load(path)
-    return rings_from_vertices(vertices, key, vertex_order)
+    return rings_from_vertices(vertices, key, vertex_order, part)
 
 
-def rings_from_vertices(vertices: DataFrame, key: str, vertex_order: str = "seq") -> DataFrame:
+def rings_from_vertices(vertices: DataFrame, key: str, vertex_order: str = "seq", part: str | None = None) -> DataFrame:
+    """One `ring` per key, or with a column that numbers parts and holes `rings`, one list of rings per key."""
     ordered = F.array_sort(
         F.collect_list(
             F.struct(
@@ -107,14 +117,21 @@ def rings_from_vertices(vertices: DataFrame, key: str, vertex_order: str = "seq"
         )
     )
     ring = F.transform(ordered, lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
-    return vertices.groupBy(key).agg(ring.alias("ring"))
+    if part is None:
+        return vertices.groupBy(key).agg(ring.alias("ring"))
+    parts = vertices.groupBy(key, part).agg(ring.alias("ring"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col(part).alias("p"), "ring")))
+    return parts.groupBy(key).agg(F.transform(listed, lambda r: r["ring"]).alias("rings"))
 
 
 def rings_from_wkt(df: DataFrame, wkt: str, out: str = "rings") -> DataFrame:
-    """`POLYGON ((x y, ...), (...))` text to `array<array<struct<x, y>>>`."""
-    body = F.regexp_replace(F.col(wkt), r"(?i)^\s*POLYGON\s*\(\s*\(|\)\s*\)\s*$", "")
+    """`POLYGON ((x y, ...), (...))` or `MULTIPOLYGON (((...)), ((...)))` text to `array<array<struct<x, y>>>`.
+
+    Parts and holes become rings of one list: a point is inside where it is inside an odd number of them.
+    """
+    body = F.regexp_replace(F.col(wkt), r"(?i)^\s*(MULTI)?POLYGON\s*Z?\s*\(\s*\(+\s*\(*|[\s)]+$", "")
     rings = F.transform(
-        F.split(body, r"\)\s*,\s*\("),
+        F.split(body, r"\)[\s)]*,\s*\([\s(]*"),
         lambda r: F.transform(
             F.split(F.trim(r), r"\s*,\s*"),
             lambda p: F.struct(

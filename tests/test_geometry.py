@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from callgrid.functions import geometry as g
 from callgrid.operators import spatial as sp
-from callgrid.sources.readers import rings_from_wkt
+from callgrid.sources.readers import rings_from_vertices, rings_from_wkt
 
 RING = "array<struct<x:double,y:double>>"
 L_SHAPE = [(0, 0), (4, 0), (4, 1), (1, 1), (1, 4), (0, 4)]
@@ -126,3 +126,57 @@ def test_reprojection(spark):
     there = back.withColumn("p", g.lcc_to_lonlat("x", "y")).withColumn("q", g.lonlat_to_lcc(F.col("p.x"), F.col("p.y")))
     worst = there.agg(F.max(F.greatest(F.abs(F.col("q.x") - F.col("x")), F.abs(F.col("q.y") - F.col("y"))))).first()[0]
     assert worst < 1e-3
+
+
+def test_one_polygon_for_each_point_on_the_left(spark):
+    """Areas overlap: a row has one of them, the first by name, and rows outside stay."""
+    square = "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))"
+    layer = spark.createDataFrame([("b", square), ("a", square), ("c", "POLYGON ((2 2, 9 2, 9 9, 2 9, 2 2))")], "name string, wkt string")
+    layer = rings_from_wkt(layer, "wkt", "rings").select("name", "rings")
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 3.0, 3.0), (3, 8.0, 8.0), (4, 20.0, 1.0), (None, 1.0, 2.0)], "id int, x double, y double")
+    got = sp.point_in_polygon(points, layer, "x", "y", "rings", several=True, how="left", key="id").select("id", "name").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, "a"), (2, "a"), (3, "c"), (4, None), (None, "a")], key=repr)
+    none = layer.limit(0)
+    assert sp.point_in_polygon(points, none, "x", "y", "rings", several=True, how="left", key="id").where("name is null").count() == 5
+    assert sp.point_in_polygon(points, none, "x", "y", "rings", several=True).count() == 0
+
+
+def test_polygons_of_very_different_sizes(spark):
+    """A large polygon beside small ones has as many cells as they have, and every answer stays the same."""
+    small = [(f"s{i}", [(i, 0), (i + 1, 0), (i + 1, 1), (i, 1)]) for i in range(60)]
+    large = [("L", [(0, 0), (1000, 0), (1000, 1000), (0, 1000)])]
+    frame = spark.createDataFrame(
+        [(n, [{"x": float(x), "y": float(y)} for x, y in r]) for n, r in small + large], "name string, ring array<struct<x: double, y: double>>"
+    )
+    cells = sp.classified_cells(sp.with_cell_size(sp.with_edges(frame, "ring"))).groupBy("name").count().collect()
+    assert max(r["count"] for r in cells) <= 17 * 17 and len(cells) == 61
+    points = spark.range(500).selectExpr("id", "(id * 37 % 997) / 10.0D as x", "(id * 61 % 89) / 40.0D as y")
+    got = sp.point_in_polygon(points, frame, "x", "y", "ring").groupBy("id").agg(F.sort_array(F.collect_list("name")).alias("n"))
+    got = {r["id"]: r["n"] for r in got.collect()}
+    for r in points.collect():
+        want = ["L"] + [n for n, _ in small if int(n[1:]) < r["x"] < int(n[1:]) + 1 and 0 < r["y"] < 1]
+        if r["x"] % 1 and r["y"] % 1 and r["y"] > 0:
+            assert got[r["id"]] == sorted(want)
+    other = frame.withColumnRenamed("name", "o")
+    pairs = sp.overlap_weights(frame, other, "name", "o", "ring").where("name = 'L'").collect()
+    assert len(pairs) == 61 and all(abs(r["multiplier"] - 1) < 1e-9 for r in pairs)
+    assert sp.intersects_any(frame, other.where("o = 'L'"), "name", "ring", "o").count() == 61
+
+
+def test_wkt_with_parts_and_holes(spark):
+    df = spark.createDataFrame(
+        [
+            ("m", "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1)), ((10 0, 12 0, 12 2, 10 2, 10 0)))"),
+            ("p", "polygon((0 0,4 0,4 4,0 4,0 0))"),
+        ],
+        "name string, wkt string",
+    )
+    rings = {r["name"]: r["rings"] for r in rings_from_wkt(df, "wkt").collect()}
+    assert [len(r) for r in rings["m"]] == [5, 5, 5] and [len(r) for r in rings["p"]] == [5]
+    assert (rings["m"][2][1]["x"], rings["m"][2][1]["y"]) == (12.0, 0.0)
+    points = spark.createDataFrame([(1, 1.5, 1.5), (2, 3.0, 3.0), (3, 11.0, 1.0), (4, 7.0, 1.0)], "id int, x double, y double")
+    layer = rings_from_wkt(df.where("name = 'm'"), "wkt")
+    assert sorted(r["id"] for r in sp.point_in_polygon(points, layer, "x", "y", "rings", several=True).collect()) == [2, 3]
+    rows = [("k", p, i, float(x), float(y)) for p, ring in enumerate([[(0, 0), (4, 0), (4, 4)], [(9, 9), (10, 9), (10, 10)]]) for i, (x, y) in enumerate(ring)]
+    parts = rings_from_vertices(spark.createDataFrame(rows, "name string, part int, seq int, x double, y double").repartition(3), "name", part="part")
+    assert [[(v["x"], v["y"]) for v in r] for r in parts.first()["rings"]] == [[(0, 0), (4, 0), (4, 4)], [(9, 9), (10, 9), (10, 10)]]

@@ -160,7 +160,7 @@ def test_classifiers_order_scores(spark):
 
 def test_expand_grid():
     runs = m.expand_grid(["LR", "RF"], None, {"high": [], "medium": [], "low": []})
-    assert len(runs) == (8 + 96) * 3
+    assert len(runs) == (8 + 48) * 3  # without depths beyond the limit
     assert len(m.expand_grid(["LASSO", "LINEAR"], m.REGRESSOR_GRID)) == 5
 
 
