@@ -10,28 +10,28 @@ from .base import INCIDENTS, query
 @query(
     "lookup_left",
     """
-    SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0
+    SELECT o_orderkey, c_name, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey + 7 = c_custkey
     """,
 )
 def _(t):
-    return j.lookup_left(t.orders, t.customer.where("c_acctbal > 0"), "o_custkey", "c_custkey").select(
-        "o_orderkey", "c_name", "c_mktsegment"
-    )
+    # the last keys have no customer
+    orders = t.orders.withColumn("o_custkey", F.col("o_custkey") + 7)
+    return j.lookup_left(orders, t.customer, "o_custkey", "c_custkey").select("o_orderkey", "c_name", "c_mktsegment")
 
 
 @query(
     "star_enrich",
     """
     SELECT l_orderkey, l_linenumber, l_partkey, s_name, p_brand, o_orderstatus
-    FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal > 0
-    LEFT JOIN part ON p_partkey = l_partkey AND p_size > 10 LEFT JOIN orders ON o_orderkey = l_orderkey
+    FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey + 1
+    LEFT JOIN part ON p_partkey = l_partkey + 9 LEFT JOIN orders ON o_orderkey = l_orderkey
     """,
 )
 def _(t):
     named = lambda df, key, to, *cols: df.select(F.col(key).alias(to), *cols)
     dims = [
-        (named(t.supplier.where("s_acctbal > 0"), "s_suppkey", "l_suppkey", "s_name"), "l_suppkey"),
-        (named(t.part.where("p_size > 10"), "p_partkey", "l_partkey", "p_brand"), "l_partkey"),
+        (named(t.supplier.withColumn("s_suppkey", F.col("s_suppkey") - 1), "s_suppkey", "l_suppkey", "s_name"), "l_suppkey"),
+        (named(t.part.withColumn("p_partkey", F.col("p_partkey") - 9), "p_partkey", "l_partkey", "p_brand"), "l_partkey"),
         (named(t.orders, "o_orderkey", "l_orderkey", "o_orderstatus"), "l_orderkey"),
     ]
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -233,12 +233,12 @@ def _(t):
     "align_scores",
     """
     SELECT doc_id, round(max(length), 6) AS length, round(max(quality), 6) AS quality
-    FROM (SELECT doc_id, n_chars / 100.0::double AS length, NULL::double AS quality FROM documents WHERE lang = 'en'
+    FROM (SELECT doc_id, n_chars / 100.0::double AS length, NULL::double AS quality FROM documents
           UNION ALL SELECT doc_id, NULL, quality::double FROM labels) GROUP BY 1
     """,
 )
 def _(t):
-    length = t.documents.where("lang = 'en'").select("doc_id", (F.col("n_chars") / 100.0).alias("score"))
+    length = t.documents.select("doc_id", (F.col("n_chars") / 100.0).alias("score"))
     quality = t.labels.select("doc_id", F.col("quality").cast("double").alias("score"))
     return j.align_scores({"length": length, "quality": quality}, "doc_id")
 

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from ..operators import features as ft
-from ..plans import demand, dictionary, incident, incident_features
+from ..plans import demand, demand_features, dictionary, incident, incident_features
 from .base import INCIDENTS, query
 from .joins import _DEMAND
 from .text import URGENCY_SQL
+from .windows import _delayed_sql
 
 
 @query(
@@ -238,63 +239,210 @@ def _(t):
     """,
 )
 def _(t):
-    names = sorted(r[0] for r in t.events.select("event_type").distinct().collect())
-    specs = [ft.FeatureSpec(n, "cat" if n == "view" else "float") for n in names]
-    return ft.type_table(t.spark, specs, names)
+    specs = [ft.FeatureSpec("view", "cat")]
+    return ft.column_types(t.events.select(F.col("event_type").alias("name")).distinct(), specs)
+
+
+_WEATHER_SQL = """
+    w AS (SELECT cast(ts AS date) AS day, coalesce(avg(value) FILTER (event_type = 'view'), 0) AS tmax,
+                 coalesce(avg(value) FILTER (event_type = 'click'), 0) AS tmin, coalesce(avg(value) FILTER (event_type = 'purchase'), 0) AS prcp,
+                 coalesce(avg(value) FILTER (event_type = 'error'), 0) AS hail, coalesce(avg(value) FILTER (event_type = 'signup'), 0) AS rain,
+                 max(value) FILTER (event_type = 'view') >= 90 AS above, min(value) FILTER (event_type = 'click') <= 25 AS below FROM events GROUP BY 1),
+    weather AS (SELECT w.*, w.tmax - (SELECT b.tmax FROM w b WHERE b.day = greatest(w.day - 7, DATE '2024-01-01')) AS more,
+                       w.tmin - (SELECT b.tmin FROM w b WHERE b.day = greatest(w.day - 7, DATE '2024-01-01')) AS less,
+                       EXISTS (SELECT 1 FROM events e WHERE e.value > 300 AND abs(date_diff('day', cast(e.ts AS date), w.day)) <= 1) AS moon FROM w)
+"""
+_WEATHER_COLUMNS = """
+           round(tmax, 5) AS common_weather_tmax, round(tmin, 5) AS common_weather_tmin, round(prcp, 5) AS common_weather_prcp,
+           round(hail, 5) AS weather_event_hail, round(rain, 5) AS weather_event_rain, above::int AS temp_above, below::int AS temp_below,
+           round(more, 5) AS relative_max_temperature, round(less, 5) AS relative_min_temperature, moon::int AS within_1day_full_moon
+"""
+_WEATHER_NAMES = [
+    "common_weather_tmax", "common_weather_tmin", "common_weather_prcp", "weather_event_hail", "weather_event_rain", "temp_above", "temp_below",
+    "relative_max_temperature", "relative_min_temperature", "within_1day_full_moon",
+]
+
+
+def _sky(t):
+    """Events as measurements, each type a kind, and the highest as full moons."""
+    kinds = F.create_map(*[F.lit(x) for x in ("view", "TMAX", "click", "TMIN", "purchase", "PRCP", "error", "WT05", "signup", "WT16")])
+    weather = t.events.select(F.to_date("ts").alias("date"), kinds[F.col("event_type")].alias("datatype"), "value")
+    moon = t.events.select(F.to_date("ts").alias("date"), F.when(F.col("value") > 300, "Full Moon").otherwise("none").alias("phase"))
+    return {"weather": weather, "weather_kinds": ["TMAX", "TMIN", "PRCP"], "moon": moon}
 
 
 @query(
     "weather_and_moon_features",
     f"""
-    WITH {INCIDENTS},
-    w AS (SELECT cast(ts AS date) AS day, avg(value) FILTER (event_type = 'view') AS tmax, avg(value) FILTER (event_type = 'click') AS tmin,
-                 avg(value) FILTER (event_type = 'error') AS hail, max(value) FILTER (event_type = 'view') >= 90 AS above FROM events GROUP BY 1)
-    SELECT incident, round(coalesce(tmax, 0), 6) AS common_weather_tmax, round(coalesce(tmin, 0), 6) AS common_weather_tmin,
-           round(coalesce(hail, 0), 6) AS weather_event_hail, above::int AS temp_above,
-           round(coalesce(tmax, 0) - coalesce((SELECT coalesce(tmax, 0) FROM w b WHERE b.day = greatest(w.day - 7, DATE '2024-01-01')), 0), 5) AS relative_max_temperature,
-           (EXISTS (SELECT 1 FROM events e WHERE e.value > 300 AND abs(date_diff('day', cast(e.ts AS date), w.day)) <= 1))::int AS within_1day_full_moon
-    FROM incidents JOIN w ON w.day = cast(time_created AS date)
-    """.replace("round(coalesce(tmax, 0), 6)", "round(coalesce(tmax, 0), 5)").replace("round(coalesce(tmin, 0), 6)", "round(coalesce(tmin, 0), 5)").replace(
-        "round(coalesce(hail, 0), 6)", "round(coalesce(hail, 0), 5)"
-    ),
+    WITH {INCIDENTS}, {_WEATHER_SQL}
+    SELECT incident, {_WEATHER_COLUMNS} FROM incidents JOIN weather ON day = cast(time_created AS date)
+    """,
     digits=5,
 )
 def _(t):
-    kinds = F.create_map(*[F.lit(x) for x in ("view", "TMAX", "click", "TMIN", "error", "WT05")])
-    weather = t.events.select(F.to_date("ts").alias("date"), F.try_element_at(kinds, F.col("event_type")).alias("datatype"), "value").where(
-        "datatype is not null"
-    )
-    moon = t.events.where("value > 300").select(F.to_date("ts").alias("date"), F.lit("Full Moon").alias("phase"))
-    names = ["common_weather", "weather_event", "temp_above", "relative_max_temperature", "within_1day_full_moon"]
+    names = ["common_weather", "weather_event", "temp_above", "temp_below", "relative_max_temperature", "relative_min_temperature", "within_1day_full_moon"]
     specs, _ = ft.load_specs([{"name": n} for n in names])
-    context = {"weather": weather, "weather_kinds": ["TMAX", "TMIN"], "moon": moon}
-    out = incident_features.INCIDENT_FEATURES.apply(t.incidents, specs, "incident", context)
-    return out.select(
-        "incident", "common_weather_tmax", "common_weather_tmin", "weather_event_hail", "temp_above", "relative_max_temperature", "within_1day_full_moon"
+    return incident_features.INCIDENT_FEATURES.apply(t.incidents, specs, "incident", _sky(t)).select("incident", *_WEATHER_NAMES)
+
+
+@query(
+    "demand_feature_table",
+    f"""
+    WITH {INCIDENTS}, {_DEMAND}, {_WEATHER_SQL},
+    r AS (SELECT date_trunc('hour', time_created) AS h, station_name, cast(sum(m_required::int) AS bigint) AS r FROM incidents GROUP BY ALL)
+    SELECT strftime(h, '%Y-%m-%d %H:%M:%S') || '_' || station_name AS pk_demand, station_name, isodow(h) - 1 AS weekday, (isodow(h) > 5)::int AS time_weekend,
+           CASE WHEN hour(h) BETWEEN 7 AND 12 THEN '7a-1p' WHEN hour(h) BETWEEN 13 AND 18 THEN '1p-7p'
+                WHEN hour(h) >= 19 OR hour(h) = 0 THEN '7p-1a' ELSE '1a-7a' END AS time_of_day,
+           year(h) AS time_year, month(h) AS time_month, day(h) AS time_day, coalesce(r, 0) AS m_required, coalesce(trns, 0) AS trns_to_hosp,
+           {_WEATHER_COLUMNS}
+    FROM spine LEFT JOIN agg USING (station_name, h) LEFT JOIN r USING (station_name, h) JOIN weather w ON w.day = cast(h AS date)
+    """,
+    digits=5,
+)
+def _(t):
+    rows = demand.demand_table(t.incidents, t.incidents, *demand.observed_hours(t.incidents))
+    found = demand_features.demand_features(rows, _sky(t))
+    names = ["pk_demand", "station_name", "weekday", "time_weekend", "time_of_day", "time_year", "time_month", "time_day", "m_required", "trns_to_hosp"]
+    return found.select(*names, *_WEATHER_NAMES)
+
+
+def _feature_days(t):
+    rows = demand.demand_table(t.incidents, t.incidents, *demand.observed_hours(t.incidents))
+    return demand_features.daily_feature_samples(rows, demand_features.demand_features(rows, _sky(t)))
+
+
+@query(
+    "daily_feature_samples",
+    f"""
+    WITH {INCIDENTS}, {_DEMAND}, {_WEATHER_SQL},
+    r AS (SELECT date_trunc('hour', time_created) AS h, station_name, cast(sum(m_required::int) AS bigint) AS r FROM incidents GROUP BY ALL),
+    d AS (SELECT cast(h AS date) AS day, station_name, cast(sum(coalesce(trns, 0)) AS bigint) AS y, cast(sum(coalesce(r, 0)) AS bigint) AS r
+          FROM spine LEFT JOIN agg USING (station_name, h) LEFT JOIN r USING (station_name, h) GROUP BY ALL)
+    SELECT strftime(d.day, '%Y-%m-%d') AS day, d.station_name, d.y AS trns_to_hosp, d.r AS m_required, coalesce(a.y, 0) AS trns_to_hosp_lag1,
+           coalesce(b.y, 0) AS trns_to_hosp_lag7, (isodow(d.day) - 1)::double AS weekday, (isodow(d.day) > 5)::double AS time_weekend,
+           round(tmax, 5) AS common_weather_tmax, round(hail, 5) AS weather_event_hail, above::double AS temp_above, round(more, 5) AS relative_max_temperature
+    FROM d JOIN weather w ON w.day = d.day LEFT JOIN d a ON a.station_name = d.station_name AND a.day = d.day - 1
+    LEFT JOIN d b ON b.station_name = d.station_name AND b.day = d.day - 7
+    """,
+    digits=5,
+)
+def _(t):
+    return _feature_days(t)[0].select(
+        "day", "station_name", "trns_to_hosp", "m_required", "trns_to_hosp_lag1", "trns_to_hosp_lag7", "weekday", "time_weekend",
+        "common_weather_tmax", "weather_event_hail", "temp_above", "relative_max_temperature",
+    )
+
+
+@query("regressor_metrics_features", digits=4)
+def _(t):
+    from ..plans.training import run_regressors
+
+    days, names = _feature_days(t)
+    return run_regressors(days, "trns_to_hosp", names, first_year=2013, grid={"LASSO": {"alpha": [0.01, 0.1]}, "LINEAR": {}})
+
+
+_DELAYED = {
+    "frac_trans_1day": ("avg(trns_to_hosp::int)", 1, 1, None, "double"),
+    "frac_trans_1week": ("avg(trns_to_hosp::int)", 7, 1, None, "double"),
+    "total_transports_1month": ("sum(trns_to_hosp::int)", 1, 30, None, "bigint"),
+    "total_transports_lastweek_bystation": ("sum(trns_to_hosp::int)", 1, 7, "station_name", "bigint"),
+    "total_transports_lastweek_bycode": ("sum(trns_to_hosp::int)", 1, 7, "code_type", "bigint"),
+}
+
+
+def _delayed_parts() -> tuple[str, str, str]:
+    """CTEs, joins and columns of the delayed features."""
+    ctes, joined, columns = [], [], []
+    for i, (name, (agg, days, roll, group, kind)) in enumerate(_DELAYED.items()):
+        sql = _delayed_sql(agg, days, roll, group)
+        for word in ("daily", "known"):
+            sql = sql.replace(f"{word} ", f"{word}{i} ")
+        ctes.append(sql.replace("m AS (", f"m{i} AS (").replace(" q, m)", f" q, m{i} m)").replace("FROM daily)", f"FROM daily{i})"))
+        on = f"k{i}.day = cast(time_created AS date)" + (f" AND k{i}.{group} = i.{group}" if group else "")
+        joined.append(f"JOIN known{i} k{i} ON {on}")
+        columns.append(f"round(k{i}.delayed, 6)::{kind} AS {name}")
+    return ", ".join(ctes), " ".join(joined), ", ".join(columns)
+
+
+_CTES, _JOINS, _COLUMNS = _delayed_parts()
+_STATION_WINDOWS = """
+    WINDOW d AS (PARTITION BY i.station_name ORDER BY time_created range BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING),
+           w AS (PARTITION BY i.station_name ORDER BY time_created range BETWEEN INTERVAL 168 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING),
+           l AS (PARTITION BY operator_name % 10, k % 5 ORDER BY time_created range BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)
+"""
+
+
+@query(
+    "feature_table_trailing",
+    f"""
+    WITH {INCIDENTS}, {_CTES},
+    hourly AS (SELECT date_trunc('hour', time_created) AS h, cast(sum(trns_to_hosp::int) AS bigint) AS v FROM incidents GROUP BY 1)
+    SELECT incident, {_COLUMNS}, coalesce(h.v, 0) AS total_transports_lasthour, count(*) OVER l AS repeated_loc_24h,
+           cast(coalesce(sum(trns_to_hosp::int) OVER d, 0) AS bigint) AS lag_24h_station_trns, count(*) OVER w AS lag_1w_station_incidents,
+           cast(coalesce(sum(trns_to_hosp::int) OVER w, 0) AS bigint) AS lag_1w_station_trns, round(k % 90 + 0.5, 6)::double AS incident_duration,
+           (trns_to_hosp OR k % 7 = 0)::int AS trns_or_refused
+    FROM incidents i {_JOINS} LEFT JOIN hourly h ON h.h = date_trunc('hour', time_created) - INTERVAL 1 HOUR
+    {_STATION_WINDOWS}
+    """,
+)
+def _(t):
+    rows = t.incidents.withColumns(
+        {
+            "x": F.col("operator_name") % 10,
+            "y": F.col("k") % 5,
+            "time_closed": F.col("time_created") + F.expr("make_dt_interval(0, 0, cast(k % 90 as int), 30)"),
+            "comments": F.when(F.col("k") % 7 == 0, "patient refusal at scene").when(F.col("k") % 7 == 1, "moved"),
+        }
     )
+    names = [*_DELAYED, "total_transports_lasthour", "repeated_loc_24h", "lag_24h_station_trns", "lag_1w_station_incidents", "lag_1w_station_trns"]
+    names += ["incident_duration", "trns_or_refused"]
+    specs, _ = ft.load_specs([{"name": n} for n in names])
+    out = incident_features.INCIDENT_FEATURES.apply(rows, specs, "incident")
+    whole = [c for c in names if c.startswith(("total", "lag", "repeated"))]
+    return out.withColumns({c: F.col(c).cast("bigint") for c in whole})
+
+
+# each census table has the sums of prices by order status; names of measures, first years, and how the parts make them up
+_CENSUS_SQL = {
+    "acs_income": (1997, "f"), "acs_age": (1997, "f"), "acs_no_insurance": (2000, "(4 * f)"), "acs_edu": (1999, "(4 * f)"),
+    "acs_white": (1997, "f"), "acs_black": (1997, "o"),
+}
+
+
+def _census_column(name: str, floor: int, part: str) -> str:
+    value = part if name in ("acs_income", "acs_age") else f"{part} / total"
+    return f"""round((SELECT CASE WHEN total > 0 THEN {value} END FROM ref WHERE nation = c_nationkey
+               AND y = greatest(year(o_orderdate) - 2, {floor})), 5) AS {name}"""
 
 
 @query(
     "census_features",
-    """
-    WITH ref AS (SELECT year(o_orderdate) AS y, c_nationkey AS nation, sum(o_totalprice) AS total, sum(o_totalprice) FILTER (o_orderstatus = 'F') AS part
+    f"""
+    WITH ref AS (SELECT year(o_orderdate) AS y, c_nationkey AS nation, sum(o_totalprice) AS total,
+                        coalesce(sum(o_totalprice) FILTER (o_orderstatus = 'F'), 0) AS f, coalesce(sum(o_totalprice) FILTER (o_orderstatus = 'O'), 0) AS o
                  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
-    SELECT o_orderkey AS incident, round(coalesce(coalesce(part, 0) / total, CASE WHEN y IS NOT NULL THEN 0 END), 5) AS acs_white
-    FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN ref ON nation = c_nationkey AND y = year(o_orderdate) + 8
-    """.replace("y = year(o_orderdate) + 8", "y = greatest(year(o_orderdate) - 2, 1997)"),
+    SELECT o_orderkey AS incident, {', '.join(_census_column(n, *v) for n, v in _CENSUS_SQL.items())}
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    """,
     digits=5,
 )
 def _(t):
     facts = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     # years are moved on so that the census years of the features apply
     year = F.year("o_orderdate") + 13
-    white = F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0))
-    census = facts.groupBy(year.alias("year"), F.concat(F.lit("15000US"), F.col("c_nationkey").cast("string")).alias("geoid")).agg(
-        F.sum("o_totalprice").alias("b02001001"), white.alias("b02001002")
+    status = lambda s: F.sum(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice")).otherwise(0.0))
+    sums = facts.groupBy(year.alias("year"), F.concat(F.lit("15000US"), F.col("c_nationkey").cast("string")).alias("geoid")).agg(
+        F.sum("o_totalprice").alias("total"), status("F").alias("f"), status("O").alias("o")
     )
+    census = {}
+    for table, _, parts, total in incident_features.CENSUS.values():
+        have = census.get(table, sums)
+        part = "o" if parts == ["b02001003"] else "f"
+        have = have.withColumns({p: F.col(part) for p in parts})
+        census[table] = have.withColumn(total, F.col("total")) if total else have
     rows = facts.select(F.col("o_orderkey").alias("incident"), year.alias("time_year"), F.col("c_nationkey").cast("string").alias("geoid"))
-    specs, _ = ft.load_specs([{"name": "acs_white"}])
-    return incident_features.INCIDENT_FEATURES.apply(rows, specs, "incident", {"census": {"B02001": census}})
+    specs, _ = ft.load_specs([{"name": n} for n in _CENSUS_SQL])
+    return incident_features.INCIDENT_FEATURES.apply(rows, specs, "incident", {"census": census})
 
 
 _CODES = f"""

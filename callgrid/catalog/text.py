@@ -203,13 +203,14 @@ def _(t):
     "key_date",
     """
     SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n
-    FROM orders WHERE o_orderdate >= '2000-01-01' GROUP BY 1
+    FROM (SELECT o_orderdate + INTERVAL 10 YEAR AS o_orderdate FROM orders) GROUP BY 1
     """,
 )
 def _(t):
-    key = F.concat(F.lit("FCF"), F.date_format("o_orderdate", "yyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))
-    recent = t.orders.where(F.col("o_orderdate") >= "2000-01-01")
-    return recent.groupBy(tx.key_date(key).alias("day")).agg(F.count("*").alias("n"))
+    # keys have years of two digits from 2000 on
+    day = F.add_months("o_orderdate", 120)
+    key = F.concat(F.lit("FCF"), F.date_format(day, "yyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"))
+    return t.orders.groupBy(tx.key_date(key).alias("day")).agg(F.count("*").alias("n"))
 
 
 @query(

@@ -135,15 +135,17 @@ def load_specs(source: str | list[dict]) -> tuple[list[FeatureSpec], list[str]]:
     return specs, pk
 
 
-def type_table(spark, specs: list[FeatureSpec], columns: list[str]) -> DataFrame:
-    """(name, type) of every feature column; columns a feature spreads into take its type."""
-    by_name = {s.name: s.type for s in specs}
+def column_types(columns: DataFrame, specs: list[FeatureSpec]) -> DataFrame:
+    """(name, type) for a table with a `name` per feature column; columns a feature spreads into take its type."""
+    kind = F.lit("float")
+    for s in sorted(specs, key=lambda s: len(s.name)):  # the longest that fits is looked at first
+        kind = F.when((F.col("name") == s.name) | F.col("name").startswith(s.name + "_"), F.lit(s.type)).otherwise(kind)
+    return columns.select("name", kind.alias("type"))
 
-    def kind(c: str) -> str:
-        owner = max((n for n in by_name if c == n or c.startswith(n + "_")), key=len, default=None)
-        return by_name.get(owner, "float")
 
-    return spark.createDataFrame([(c, kind(c)) for c in columns], "name string, type string")
+def type_table(spark, specs: list[FeatureSpec], columns: list[str]) -> DataFrame:
+    """`column_types` of the columns of a frame."""
+    return column_types(spark.createDataFrame([(c,) for c in columns], "name string"), specs)
 
 
 def categorical(types: DataFrame) -> list[str]:
