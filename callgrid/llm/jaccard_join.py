@@ -1,6 +1,6 @@
 """Near-duplicate texts by exact set similarity join: universe partition and pigeonhole.
 
-The universe of shingles is cut by hash into m segments. Two sets whose Jaccard similarity reaches the threshold differ in at
+The universe of shingles is cut into m segments. Two sets whose Jaccard similarity reaches the threshold differ in at
 most H shingles, H from their sizes. Give each segment a share, 1 or 2, with a sum over H: then in some segment the
 sets differ in fewer shingles than its share, so they are equal there (share 1), or differ in one shingle at most (share 2)
 and meet in the one-deletion neighbourhood of that segment. All sets are indexed by those segment signatures, per size
@@ -29,13 +29,19 @@ DOCS_A_BUCKET = 2000
 class Scheme:
     """Which size bands a set is indexed under, and with which segments. Equal for all sets, whatever their number.
 
-    Segments of share 1 come with some to spare: a set in which no more than those are empty need not be indexed by its empty
-    segments, in which it would meet any other set. `expected` documents steer the cost only: a row costs 1, a chance
-    meeting as well. As those become many, pairs of segments are joined into one of share 2.
+    Any partition of the universe will do. Here all frequent shingles, those of passages that many documents share, are one
+    segment that is not indexed; the others are cut by hash into H + 1 segments and some to spare. A set in which no more
+    than the spare ones are empty meets any set linked with it in a segment of rare shingles. Sets with more empty
+    segments than that are indexed a second time, by a partition that knows no frequent shingles and with all its
+    segments: two such sets meet there.
+
+    `frequent` (sorted hashes) and `expected` documents steer the cost only. In the second partition a row costs 1, a chance
+    meeting as well; as those become many, pairs of segments are joined into one of share 2.
     """
 
-    def __init__(self, percent: int, expected: int):
+    def __init__(self, percent: int, expected: int, frequent: np.ndarray | None = None):
         self.percent, self.expected = percent, expected
+        self.frequent = np.zeros(0, U) if frequent is None else frequent
         self.lows = [1]
 
     def band(self, n: int) -> int:
@@ -48,50 +54,76 @@ class Scheme:
         """Bands of the larger set of any pair that a set of n shingles may be in as either side."""
         return range(self.band(n), self.band(n * 100 // self.percent) + 1)
 
-    @lru_cache(maxsize=None)  # noqa: B019
-    def allocation(self, band: int) -> tuple[int, int, int]:
-        """(segments, how many of them have share 2, how many are to spare) at the lowest cost."""
+    def differ(self, band: int) -> int:
+        """H: shingles in which two linked sets differ at most, the larger being of this band."""
         while len(self.lows) < band + 2:
             self.band(self.lows[-1])
+        return (100 - self.percent) * 2 * (self.lows[band + 1] - 1) // (100 + self.percent)
+
+    @lru_cache(maxsize=None)  # noqa: B019
+    def rare_segments(self, band: int, rare_share: float = 0.85) -> int:
+        """How many segments rare shingles are cut into; 0 if sets of this band are too small for spare ones."""
+        differ = self.differ(band)
+        least = self.lows[band] * rare_share
+        for spare in range(2, differ):
+            m = differ + 1 + spare
+            empty = m * math.exp(-least / m)
+            if spare >= empty + 3 * math.sqrt(empty):
+                return m
+        return 0
+
+    @lru_cache(maxsize=None)  # noqa: B019
+    def allocation(self, band: int) -> tuple[int, int]:
+        """Of the second partition (segments, how many of them have share 2) at the lowest cost."""
+        differ = self.differ(band)
         high = self.lows[band + 1] - 1
-        least = self.lows[band] * self.percent // 100
-        differ = (100 - self.percent) * 2 * high // (100 + self.percent)
-        spare = 0
-        for extra in range(2, differ // 3):
-            empty = (differ + 1 + extra) * math.exp(-least / (differ + 1 + extra))
-            if extra >= empty + 6 * math.sqrt(empty):
-                spare = extra
-                break
 
         def cost(double: int) -> float:
-            m = differ + 1 - double + (0 if double else spare)
+            m = differ + 1 - double
             s = high / m
-            alike = 0.001 * s + (0 if spare and not double else 0.02)
-            chance = math.exp(-2 * s) * self.expected * alike
+            chance = math.exp(-2 * s) * self.expected * 0.02
             return (m - double) * (1 + chance) + double * (1 + s) * (1 + chance * (1 + s))
 
         double = min(range((differ + 1) // 2 + 1), key=cost)
-        return (differ + 1 - double, double, 0) if double else (differ + 1 + spare, 0, spare)
+        return differ + 1 - double, double
 
     def signatures(self, tokens: np.ndarray) -> np.ndarray:
         """Of a sorted set of hashes: segments are runs of it."""
-        out = []
-        sums = np.concatenate([np.zeros(1, U), np.cumsum(mixed(tokens), dtype=U)])
+        rare = tokens
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
+            rare = tokens[self.frequent[at] != tokens]
+        out, sums, all_sums = [], _sums(rare), None
         for band in self.bands(len(tokens)):
-            m, double, spare = self.allocation(band)
-            at = np.empty(m + 1, np.int64)
-            at[0], at[m] = 0, len(tokens)
-            at[1:m] = np.searchsorted(tokens, (np.arange(1, m) * ((1 << 64) / m)).astype(U))
-            salt = mixed(np.arange(m, dtype=U) + U(band << 32))
-            seg = sums[at[1:]] - sums[at[:-1]]
-            names = mixed(seg ^ salt)
-            full = at[1:] > at[:-1]
-            out.append(names[full] if spare >= m - full.sum() else names)
+            m = self.rare_segments(band)
+            if m:
+                names, full, _, _ = _segments(rare, sums, m, (band << 32) | (1 << 31))
+                out.append(names[full])
+                if m - full.sum() <= m - self.differ(band) - 1:
+                    continue
+            all_sums = _sums(tokens) if all_sums is None else all_sums
+            m, double = self.allocation(band)
+            names, _, at, salt = _segments(tokens, all_sums, m, band << 32)
+            out.append(names)
             for j in range(double):
-                out.append(mixed((seg[j] - (sums[at[j] + 1 : at[j + 1] + 1] - sums[at[j] : at[j + 1]])) ^ salt[j]))
+                less = all_sums[at[j] + 1 : at[j + 1] + 1] - all_sums[at[j] : at[j + 1]]
+                out.append(mixed((all_sums[at[j + 1]] - all_sums[at[j]] - less) ^ salt[j]))
         return np.unique(np.concatenate(out))
 
 
+def _sums(tokens: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, U), np.cumsum(mixed(tokens), dtype=U)])
+
+
+def _segments(tokens: np.ndarray, sums: np.ndarray, m: int, tag: int):
+    """(names, whether not empty, bounds, salts) of m segments of a sorted set."""
+    at = np.empty(m + 1, np.int64)
+    at[0], at[m] = 0, len(tokens)
+    at[1:m] = np.searchsorted(tokens, (np.arange(1, m) * ((1 << 64) / m)).astype(U))
+    salt = mixed(np.arange(m, dtype=U) + U(tag))
+    return mixed((sums[at[1:]] - sums[at[:-1]]) ^ salt), at[1:] > at[:-1], at, salt
+
+
 def _sets(batches, text: str, k: int):
     """(rows, one sorted array of distinct shingle hashes for each row)."""
     for rows, buf, bounds in pieces(batches, text):
@@ -136,11 +168,34 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return wide[:, 1], wide[:, 0]
 
 
-def index_entries(docs: DataFrame, k: int, percent: int, expected: int, buckets: int) -> DataFrame:
+def frequent_shingles(docs: DataFrame, k: int, expected: int, sample: int, least: int = 3, most: int = 1 << 20) -> np.ndarray:
+    """Sorted hashes of shingles in at least `least` different sets among about `sample` documents, chosen by doc_id.
+
+    No more than `most`, the most frequent ones, reach the driver. They steer the load of the join, not its result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for _, sets in _sets(batches, "text", k):
+            kept = [s for s in sets if len(s)]
+            at = np.cumsum([0, *map(len, kept)]).astype(np.int32)
+            tokens = pa.array(np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64))
+            names = pa.array([_names(s)[0] for s in kept], pa.int64())
+            yield pa.RecordBatch.from_arrays([names, pa.ListArray.from_arrays(at, tokens)], names=["h1", "tokens"])
+
+    share = min(1 << 20, (sample << 20) // max(expected, 1))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share).select("text")
+    sets = chosen.mapInArrow(run, "h1 long, tokens array<long>").dropDuplicates(["h1"])
+    counts = sets.select(F.explode("tokens").alias("h")).groupBy("h").count().where(F.col("count") >= least)
+    rows = counts.orderBy(F.desc("count"), "h").limit(most).select("h").toPandas()
+    return np.sort(rows["h"].to_numpy(np.int64).view(U))
+
+
+def index_entries(docs: DataFrame, k: int, scheme: Scheme, buckets: int) -> DataFrame:
     """(bucket, entries): each set's signatures, packed. A task gives equal sets once."""
+    percent, expected, frequent = scheme.percent, scheme.expected, scheme.frequent
 
     def run(batches: Iterator[pa.RecordBatch]):
-        scheme, seen, nodes, sigs, size = Scheme(percent, expected), set(), [], [], 0
+        scheme, seen, nodes, sigs, size = Scheme(percent, expected, frequent), set(), [], [], 0
 
         def flushed():
             sig, node = np.concatenate(sigs), np.repeat(np.array(nodes, np.int64).view(U), [len(s) for s in sigs])
@@ -250,7 +305,9 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int):
     yield batch(list(flush()))
 
 
-def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, block_tokens: int = 1 << 20) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, k: int = 3, percent: int = 90, block_tokens: int = 1 << 20, sample: int = 8000
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, h1, h2) for each row of `docs` (doc_id, text, any other columns).
 
     A set holds the distinct k-word shingles of the text, A-Z lower-cased; fewer words make one shingle. Null and
@@ -258,6 +315,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, block_tok
     whatever their number; repeated doc_ids are rows like others. component_id is the smallest doc_id in reach (null
     only if all are null). Sets are told apart by 128 bits of hashes, shingles by 64.
 
+    Which shingles are frequent is seen from about `sample` documents; that steers the load only.
     Classes that meet in a signature form candidate families. Each family is cut, by size of set, into blocks of at most
     `block_tokens` shingles; only block pairs whose sizes can match are compared, each in a task of its own.
     """
@@ -265,7 +323,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, block_tok
     table = written(shingle_sets(docs, k), "sets")
     expected = table.count()
     buckets = max(64, expected // DOCS_A_BUCKET)
-    entries = index_entries(docs, k, percent, expected, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    scheme = Scheme(percent, expected, frequent_shingles(docs, k, expected, sample))
+    entries = index_entries(docs, k, scheme, buckets).repartition("bucket").sortWithinPartitions("bucket")
     family = components(entries.mapInArrow(_meetings, "a long, b long"))
     family = family.select(F.col("node").alias("short"), F.col("root").alias("family"))
 

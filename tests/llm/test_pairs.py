@@ -70,10 +70,16 @@ def test_jaccard_near_copies_in_small_blocks(spark, seed):
 @pytest.mark.parametrize("percent", [60, 80, 90])
 def test_linked_sets_share_a_signature(expected, percent):
     """Whatever the allocation, and it is another one for other sizes of corpus."""
-    r, scheme = np.random.default_rng(5), Scheme(percent, expected)
-    for _ in range(300):
+    r = np.random.default_rng(5)
+    common = np.sort(r.integers(0, 1 << 64, 500, dtype=np.uint64))
+    scheme = Scheme(percent, expected, common)
+    assert percent < 80 or scheme.rare_segments(scheme.band(300)) and not scheme.rare_segments(scheme.band(4))
+    for _ in range(400):
         n = int(r.integers(1, 400))
         a = r.integers(0, 1 << 64, n, dtype=np.uint64)
+        a[: int(r.integers(0, n + 1)) if r.random() < 0.6 else 0] = 0
+        a = np.concatenate([a[a > 0], r.choice(common, (a == 0).sum())])
+        r.shuffle(a)
         change = int(r.integers(0, n * (100 - percent) // 100 + 1))
         b = np.concatenate([a[change:], r.integers(0, 1 << 64, int(r.integers(0, change + 1)), dtype=np.uint64)])
         both = len(np.intersect1d(a, b))
