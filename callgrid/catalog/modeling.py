@@ -244,3 +244,96 @@ def _(t):
     rows = t.incidents.withColumn("r", F.col("m_required").cast("int"))
     days = rows.groupBy(F.to_date("time_created").alias("day"), "station_name").agg(F.sum("r").alias("r"))
     return split_last_days(days, "day", 2013, 7)[1]
+
+
+@query(
+    "prepared_bucket",
+    """
+    WITH r AS (SELECT o_orderkey AS id, year(o_orderdate) AS y, cast(o_custkey % 35 AS varchar) AS code_type,
+                      CASE WHEN o_orderkey % 9 <> 0 THEN o_totalprice END AS x, CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey % 2)::double END AS c,
+                      (o_orderkey % 3 = 0)::int::double AS d FROM orders),
+    b AS (SELECT * FROM r WHERE code_type IN ('3', '5', '7', '11')),
+    m AS (SELECT median(x) AS mx, median(c) AS mc FROM b WHERE y < 1999),
+    f AS (SELECT id, y, code_type, coalesce(x, mx) AS x, coalesce(c, mc) AS c, d FROM b, m),
+    s AS (SELECT avg(x) AS ax, stddev_pop(x) AS sx, avg(c) AS ac, stddev_pop(c) AS sc FROM f WHERE y < 1999)
+    SELECT id, CASE WHEN y < 1999 THEN 'train' ELSE 'test' END AS split, round((x - ax) / sx, 6) AS x, round((c - ac) / sc, 6) AS c, d,
+           (code_type = '3')::int::bigint AS code_type_is_3, (code_type = '5')::int::bigint AS code_type_is_5, (code_type = '7')::int::bigint AS code_type_is_7
+    FROM f, s
+    """,
+)
+def _(t):
+    """A column of 0, 1 and NULL is scaled, one of 0 and 1 is not; the first code in order has no column."""
+    from ..plans.training import bucket_features, prepare_bucket
+
+    rows = t.orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.year("o_orderdate").alias("y"),
+        (F.col("o_custkey") % 35).cast("string").alias("code_type"),
+        F.when(F.col("o_orderkey") % 9 != 0, F.col("o_totalprice")).alias("x"),
+        F.when(F.col("o_orderkey") % 5 != 0, (F.col("o_orderkey") % 2).cast("double")).alias("c"),
+        (F.col("o_orderkey") % 3 == 0).cast("double").alias("d"),
+        F.lit(0).alias("label"),
+    )
+    codes = ["3", "5", "7", "11"]
+    train, test = prepare_bucket(rows.where("y < 1999"), rows.where("y >= 1999"), ["x", "c", "d"], "label", codes)
+    names = bucket_features(["x", "c", "d"], codes)
+    return train.select("id", F.lit("train").alias("split"), *names).union(test.select("id", F.lit("test"), *names))
+
+
+_TWO = """
+    r AS (SELECT l_suppkey AS g, l_quantity AS a, l_discount * 100 + l_quantity / 10 AS b, l_extendedprice AS y FROM lineitem),
+    c AS (SELECT g, count(*) AS n, avg(y) AS my, var_pop(a) AS saa, var_pop(b) AS sbb, covar_pop(a, b) / sqrt(var_pop(a) * var_pop(b)) AS q,
+                 covar_pop(a, y) / sqrt(var_pop(a)) AS ra, covar_pop(b, y) / sqrt(var_pop(b)) AS rb FROM r GROUP BY g)
+"""
+
+
+def _two(t):
+    return t.lineitem.select(
+        F.col("l_suppkey").alias("g"), F.col("l_quantity").alias("a"), (F.col("l_discount") * 100 + F.col("l_quantity") / 10).alias("b"),
+        F.col("l_extendedprice").alias("y"),
+    )
+
+
+def _two_sql(penalty: str) -> str:
+    """Normal equations of two correlated, scaled features, by Cramer's rule."""
+    d = f"((1 + {penalty}) * (1 + {penalty}) - q * q)"
+    return f"""
+    WITH {_TWO} SELECT g, n AS rows, round(my, 3) AS intercept, round(((1 + {penalty}) * ra - q * rb) / {d}, 3) AS w_a,
+           round(((1 + {penalty}) * rb - q * ra) / {d}, 3) AS w_b FROM c
+    """
+
+
+def _weights(fitted):
+    return fitted.select("g", "rows", "intercept", F.col("coefficients")[0].alias("w_a"), F.col("coefficients")[1].alias("w_b"))
+
+
+@query("linear_two_features", _two_sql("0"), digits=3)
+def _(t):
+    return _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"]))
+
+
+@query("ridge_two_features", _two_sql("10.0 / n"), digits=3)
+def _(t):
+    return _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"], "RIDGE", 10.0))
+
+
+@query(
+    "elastic_net_conditions",
+    "SELECT l_suppkey AS g, 1 AS holds FROM lineitem GROUP BY 1",
+)
+def _(t):
+    """The fit of every group meets the conditions that single out the minimum: the gradient of the squares plus the ridge
+    part equals minus the penalty's sign where a weight is not 0, and is no larger than the penalty where it is."""
+    alpha, share = 50.0, 0.5
+    fitted = _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"], "ELNET", alpha, share))
+    sums = _two(t).groupBy("g").agg(
+        F.var_pop("a").alias("saa"), F.var_pop("b").alias("sbb"), F.covar_pop("a", "b").alias("sab"),
+        F.covar_pop("a", "y").alias("say"), F.covar_pop("b", "y").alias("sby"),
+    )
+    q = F.col("sab") / F.sqrt(F.col("saa") * F.col("sbb"))
+    holds = F.lit(True)
+    for own, other, s, r in (("w_a", "w_b", "saa", "say"), ("w_b", "w_a", "sbb", "sby")):
+        slope = F.col(r) / F.sqrt(s) - F.col(own) - q * F.col(other) - alpha * (1 - share) * F.col(own)
+        inside = F.abs(slope) <= alpha * share + 1e-4
+        holds = holds & F.when(F.abs(own) > 1e-9, F.abs(slope - F.signum(own) * alpha * share) < 1e-4).otherwise(inside)
+    return fitted.join(sums, "g").select("g", holds.cast("int").alias("holds"))

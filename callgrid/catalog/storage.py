@@ -25,13 +25,83 @@ def _(t):
 
 @query(
     "csv_without_footer",
-    "SELECT count(*) - 1 AS n, cast(sum(c_custkey) - max(c_custkey) AS bigint) AS keys FROM customer",
+    "SELECT c_nationkey % 4 AS part, count(*) AS n, cast(sum(c_custkey) AS bigint) AS keys FROM customer GROUP BY 1",
 )
 def _(t):
+    """Four files, each with a header line and a footer that counts its rows."""
     path = scratch_path(t.spark, "customer-csv")
-    t.customer.select("c_custkey", "c_name").orderBy("c_custkey").coalesce(1).write.option("header", True).csv(path)
-    rows = rd.read_csv_trimmed(t.spark, path, "c_custkey bigint, c_name string", header=1, footer=1)
-    return rows.agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+    part = (F.col("c_nationkey") % 4).alias("part")
+    rows = t.customer.select(part, F.col("c_custkey").alias("seq"), F.concat_ws(",", "c_custkey", "c_nationkey").alias("line"))
+    count = F.format_string("(%d rows affected),", F.count("*"))
+    edges = rows.groupBy("part").agg(F.array(F.struct(F.lit(-1), F.lit("Cust Key,Nation")), F.struct(F.lit(1 << 40), count)).alias("e"))
+    edges = edges.select("part", F.inline("e").alias("seq", "line"))
+    lines = rows.union(edges).repartition("part").sortWithinPartitions("part", "seq")
+    lines.select("part", "line").write.partitionBy("part").text(path)
+    read = rd.read_csv_trimmed(t.spark, path, "c_custkey bigint, nation int", header=1, footer=1)
+    return read.groupBy((F.col("nation") % 4).alias("part")).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+
+
+@query(
+    "csv_late_type",
+    """
+    SELECT CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 'x' ELSE '' END || o_orderkey AS code, o_orderstatus AS status FROM orders
+    """,
+)
+def _(t):
+    """One value of a column is no number: it is not lost, and the column is text."""
+    path = scratch_path(t.spark, "late-csv")
+    last = t.orders.agg(F.max("o_orderkey").alias("k")).scalar()
+    code = F.concat(F.when(F.col("o_orderkey") == last, "x").otherwise(""), F.col("o_orderkey").cast("string"))
+    wr.export_csv(t.orders.select(code.alias("Code"), F.col("o_orderstatus").alias("Status")), path, ",")
+    return rd.read_csv(t.spark, path)
+
+
+@query("tables_of_a_folder", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def _(t):
+    read = rd.read_tables(t.spark, t.folder, ["nation.parquet", "region.parquet"])
+    joined = read["nation.parquet"].join(read["region.parquet"], F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select("n_name", "r_name")
+
+
+@query("dictionary_sheet", "SELECT cast(p_partkey AS varchar) AS part_key, p_type, cast(p_size AS varchar) AS p_size FROM part")
+def _(t):
+    path = scratch_path(t.spark, "sheet")
+    wr.export_csv(t.part.select(F.col("p_partkey").alias("Part Key"), "p_type", "p_size"), path, ",")
+    return rd.read_dictionary(t.spark, path)
+
+
+@query(
+    "moon_files",
+    "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS date, CASE WHEN value > 100 THEN 'Full Moon' ELSE 'New Moon' END AS phase FROM events",
+)
+def _(t):
+    """Files that overlap: both hold every day."""
+    path = scratch_path(t.spark, "moon")
+    phase = F.when(F.col("value") > 100, "Full Moon").otherwise("New Moon").alias("phase")
+    days = t.events.select(F.to_date("ts").alias("date"), phase).distinct()
+    wr.export_csv(days, path, ",")
+    wr.export_csv(days, path, ",", if_exists="append")
+    return rd.read_moon(t.spark, path).select(F.col("date").cast("string"), "phase")
+
+
+@query("view_of_a_table", "SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
+def _(t):
+    view = wr.create_view(t.nation, "nations_view")
+    return rd.read_table(t.spark, "nations_view").union(view.limit(0)).groupBy("n_regionkey").agg(F.count("*").alias("n"))
+
+
+@query("catalog_tables", "SELECT s_suppkey, s_name, (s_acctbal < 0)::int::bigint AS owes FROM supplier")
+def _(t):
+    """Saved in buckets under one schema, copied to another; the copy of one that exists is skipped."""
+    names = [f"s_{scratch_path(t.spark, 'x')[-12:]}" for _ in range(2)]
+    for n in names:
+        t.spark.sql(f"CREATE DATABASE {n} LOCATION '{scratch_path(t.spark, n)}'")
+    flagged = t.supplier.select("s_suppkey", "s_name", (F.col("s_acctbal") < 0).alias("owes"))
+    wr.save_table(flagged, f"{names[0]}.Suppliers", pk="s_suppkey", bucket_by=(4, "s_suppkey"))
+    copied = wr.copy_table(t.spark, "Suppliers", *names)
+    if wr.copy_table(t.spark, "Suppliers", *names) is not None:
+        raise ValueError("a table was copied twice")
+    return rd.read_table(t.spark, copied)
 
 
 @query(

@@ -117,24 +117,22 @@ def _(t):
     return t.supplier.select("s_suppkey", tx.unit_to_m(unit).alias("unit"))
 
 
+def _label_sql(labels: dict) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in labels.items())
+    return f"CASE code_type {cases} ELSE code_type END"
+
+
 @query(
     "code_labels",
     f"""
     WITH {INCIDENTS}
-    SELECT code_type, CASE code_type WHEN '6' THEN 'BREATHING' WHEN '17' THEN 'FALLS' WHEN '34' THEN '34' ELSE 'label' END AS label,
-           CASE WHEN code_type IN ('0', '33', '34') THEN code_type ELSE 'label' END AS long_label, count(*) AS n
+    SELECT code_type, {_label_sql(tx.CODE_LABELS)} AS label, {_label_sql(tx.CODE_LABELS_LONG)} AS long_label, count(*) AS n
     FROM incidents GROUP BY code_type
     """,
 )
 def _(t):
     counts = t.incidents.groupBy("code_type").agg(F.count("*").alias("n"))
-    short, long = tx.code_label("code_type"), tx.code_label("code_type", long=True)
-    return counts.select(
-        "code_type",
-        F.when(F.col("code_type").isin("6", "17", "34"), short).otherwise("label").alias("label"),
-        F.when(long == F.col("code_type"), long).otherwise("label").alias("long_label"),
-        "n",
-    )
+    return counts.select("code_type", tx.code_label("code_type").alias("label"), tx.code_label("code_type", long=True).alias("long_label"), "n")
 
 
 @query(

@@ -215,9 +215,9 @@ def oversend_rate(df: DataFrame, kind: str, needed: Col, sent: Col) -> DataFrame
 
 
 def pct_distribution(df: DataFrame, column: str, out: str = "share") -> DataFrame:
-    """Count of each value and its share of all rows. The total comes from the counts, not from a second pass."""
+    """Count of each value and its share of all rows. The total is the sum of the counts, whose shuffle it shares."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = counts.agg(F.sum("n").alias("n")).scalar()
     return counts.withColumn(out, F.col("n") / total)
 
 

@@ -118,16 +118,18 @@ def granger_f(df: DataFrame, t: str, y: str, x: str, max_lag: int = 5) -> DataFr
     """Does x help to predict y? F statistic of adding 1 .. max_lag lags of x to a regression of y on its own lags.
 
     Spark sums the cross products of the lag columns; the normal equations of at most 2 * max_lag + 1 unknowns are
-    solved from those sums.
+    solved from those sums. Values are taken from their means, which changes no statistic and keeps the sums small.
     """
     import numpy as np
 
     w = W.orderBy(t)
+    means = dict(zip((y, x), df.agg(F.avg(y), F.avg(x)).first(), strict=True))
     names, cols = {}, []
     for k in range(max_lag + 1):
         for kind, c in (("y", y), ("x", x)):
             names[kind, k] = f"{kind}{k}"
-            cols.append((F.col(c) if k == 0 else F.lag(c, k).over(w)).cast("double").alias(f"{kind}{k}"))
+            value = (F.col(c) if k == 0 else F.lag(c, k).over(w)).cast("double")
+            cols.append((value - F.lit(float(means[c] or 0.0))).alias(f"{kind}{k}"))
     lagged = df.select(*cols)
     aggs = []
     terms = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -23,6 +24,7 @@ def session(**conf):
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="callgrid-"))
     )
     for k, v in conf.items():
         builder = builder.config(k, v)
