@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .graph import components
-from .tables import written
+from .tables import small_batches, written
 from .textbytes import LOWER, U, mixed, pieces, shingles, word_hashes, words
+from .tokens import release
 
 SET_SCHEMA = "doc_id long, n long, h1 long, h2 long"
-ENTRIES_AT_ONCE = 1 << 20
+ENTRIES_AT_ONCE = 1 << 18
 DOCS_A_BUCKET = 2000
 
 
@@ -107,7 +108,8 @@ class Scheme:
             out.append(names)
             for j in range(double):
                 less = all_sums[at[j] + 1 : at[j + 1] + 1] - all_sums[at[j] : at[j + 1]]
-                out.append(mixed((all_sums[at[j + 1]] - all_sums[at[j]] - less) ^ salt[j]))
+                with np.errstate(over="ignore"):
+                    out.append(mixed((all_sums[at[j + 1]] - all_sums[at[j]] - less) ^ salt[j]))
         return np.unique(np.concatenate(out))
 
 
@@ -126,6 +128,7 @@ def _segments(tokens: np.ndarray, sums: np.ndarray, m: int, tag: int):
 
 def _sets(batches, text: str, k: int):
     """(rows, one sorted array of distinct shingle hashes for each row)."""
+    release()
     for rows, buf, bounds in pieces(batches, text):
         buf = LOWER[buf]
         starts, _, per_row = words(buf, bounds)
@@ -186,7 +189,8 @@ def frequent_shingles(docs: DataFrame, k: int, expected: int, sample: int, least
     chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share).select("text")
     sets = chosen.mapInArrow(run, "h1 long, tokens array<long>").dropDuplicates(["h1"])
     counts = sets.select(F.explode("tokens").alias("h")).groupBy("h").count().where(F.col("count") >= least)
-    rows = counts.orderBy(F.desc("count"), "h").limit(most).select("h").toPandas()
+    with small_batches(docs.sparkSession):
+        rows = counts.orderBy(F.desc("count"), "h").limit(most).select("h").toPandas()
     return np.sort(rows["h"].to_numpy(np.int64).view(U))
 
 

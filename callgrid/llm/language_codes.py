@@ -15,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .tables import small_batches
 from .textbytes import U, mixed, pieces
+from .tokens import release
 
 BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
@@ -85,6 +87,7 @@ def fit_languages(docs: DataFrame, smoothing: float = 0.5) -> LanguageModel:
     """From all documents with a language that are not held out. The driver gets languages x 8192 counts."""
 
     def count(batches: Iterator[pa.RecordBatch]):
+        release()
         totals: dict[str, np.ndarray] = {}
         for rows, buf, bounds in pieces(batches, "text"):
             row, bucket = _trigrams(buf, bounds)
@@ -103,7 +106,8 @@ def fit_languages(docs: DataFrame, smoothing: float = 0.5) -> LanguageModel:
 
     known = docs.where(F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     found = known.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long")
-    table = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    with small_batches(docs.sparkSession):
+        table = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(table["lang"].unique())
     counts = np.zeros((len(languages), BUCKETS))
     counts[np.searchsorted(languages, table["lang"].to_numpy(str)) if len(languages) else [], table["bucket"]] = table["n"]
@@ -131,6 +135,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, margin: float = 0.2
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.when(letters, F.col("text")).alias("text"))
 
     def predict(batches: Iterator[pa.RecordBatch]):
+        release()
         for rows, buf, bounds in pieces(batches, "text"):
             n = rows.num_rows
             names, score, close = ["und"] * n, np.zeros(n), np.ones(n, bool)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .tables import written
 from .textbytes import BYTE_HASH, PIECE_BYTES, U, mixed, pieces, powers
+from .tokens import release
 
 K = 32
 SHALLOW_WORDS = 4
@@ -235,6 +236,7 @@ def _merged(runs: list[tuple]) -> list[tuple]:
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int):
     """Per text the hashes of its anchors; one that occurs again in the text is there twice."""
+    release()
     for rows, buf, bounds in pieces(batches, "text"):
         row, _, _, _, h = anchors(buf, bounds, length)
         order = np.lexsort((h, row))
@@ -284,6 +286,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
 
 def _candidate_segments(batches: Iterator[pa.RecordBatch], length: int):
     """Of texts with the anchor hashes to look at: repeats within the task, and the segments left."""
+    release()
     held = Segments(length)
     for rows, buf, bounds in pieces(batches, "text"):
         row, low, high, place, h = anchors(buf, bounds, length)

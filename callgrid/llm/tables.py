@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +24,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows handed to Python at once while a table is written: documents of some kilobytes make batches of some megabytes.
+ROWS_A_BATCH = 2000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Smaller Arrow batches for the jobs run inside; the session's setting comes back afterwards."""
+    before = spark.conf.get(_BATCH_KEY)
+    spark.conf.set(_BATCH_KEY, str(min(ROWS_A_BATCH, int(before)) if int(before) > 0 else ROWS_A_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_KEY, before)
+
+
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """The frame computed once into a shared table and read back: its lineage ends there."""
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

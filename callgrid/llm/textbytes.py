@@ -66,8 +66,9 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
     for batch in batches:
         buf, bounds = text_bytes(batch.column(column))
         at, n = 0, batch.num_rows
+        even = -(-len(buf) // max(1, -(-len(buf) // limit)))  # no small rest
         while at < n:
-            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + limit, "right")) - 1)
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + even, "right")) - 1)
             to = min(to, n)
             yield batch.slice(at, to - at), buf[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at]
             at = to

@@ -9,6 +9,8 @@ known ones looked up. Pieces of plain letters go to the vocabulary's merge model
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 from collections.abc import Iterator
@@ -174,8 +176,14 @@ def encoder(path: str) -> PieceEncoder:
 
 def release() -> None:
     """Give the memory of encoders back, before a stage that encodes nothing."""
+    if not _encoders:
+        return
     _encoders.clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # what the C library keeps of freed memory
+    if trim is not None:
+        trim(0)
 
 
 def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str) -> DataFrame:
