@@ -14,6 +14,7 @@ import gc
 import os
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -60,16 +61,24 @@ class PieceEncoder:
         one, two = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("a", " A"))
         self.folds = one == two  # lower case, white space dropped
         self.characters = _byte_characters()
+        self.space = chr(self.characters[32])
         self.known: dict[int, int] = {}
         self.begin, self.size, self.uses = (np.zeros(1 << 10, np.int64) for _ in range(3))
         self.ids, self.used = np.zeros(1 << 12, np.uint32), 0
 
+    def _as_written(self, text: str) -> str:
+        """A piece of letters in the characters of the vocabulary."""
+        if self.folds:
+            text = text.lstrip(" ").lower()
+        if text.isascii():
+            return text.replace(" ", self.space)
+        return text.encode().decode("latin-1").translate(self.characters)
+
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of the pieces, how many each has, and the order they are in: plain letters come first."""
         plain = [LETTERS.fullmatch(t) is not None for t in texts]
         order = np.argsort(~np.array(plain), kind="stable")
-        fold = (lambda t: t.lstrip(" ").lower()) if self.folds else (lambda t: t)
-        given = [fold(t).encode().decode("latin-1").translate(self.characters) for t, p in zip(texts, plain, strict=True) if p]
+        given = [self._as_written(t) for t, p in zip(texts, plain, strict=True) if p]
         ids, sizes = [], []
         for at in range(0, len(given), PIECES_AT_ONCE):
             part = given[at : at + PIECES_AT_ONCE]
@@ -126,8 +135,7 @@ class PieceEncoder:
         if len(self.known) > CACHED_PIECES:
             self._forget()
         names = distinct.view(np.int64).tolist()
-        get = self.known.get
-        number = np.fromiter((get(x, -1) for x in names), np.int64, len(names))
+        number = np.array(list(map(self.known.get, names, repeat(-1))), np.int64)
         new = np.flatnonzero(number < 0)
         if len(new):
             data = buf.tobytes()
