@@ -130,16 +130,18 @@ def predict_languages(docs: DataFrame, model: LanguageModel, margin: float = 0.2
     text is looked at. Given columns of those names are replaced. ambiguous: the second is less than `margin` behind.
     """
     made = ["lang_pred", "score", "ambiguous"]
-    others = [c for c in docs.columns if c not in made]
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.when(letters, F.col("text")).alias("text"))
+    kept = [c for c in docs.columns if c not in made]
+    others = [c for c in kept if c != "text"]
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
+    row = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    packed = docs.select(row.alias("row"), F.col("text").cast("string").alias("text"), letters)
 
     def predict(batches: Iterator[pa.RecordBatch]):
         release()
         for rows, buf, bounds in pieces(batches, "text"):
             n = rows.num_rows
             names, score, close = ["und"] * n, np.zeros(n), np.ones(n, bool)
-            there = ~rows.column("text").is_null().to_numpy(zero_copy_only=False)
+            there = rows.column("letters").to_numpy(zero_copy_only=False)
             for a in range(0, n if model.languages else 0, ROWS_AT_ONCE):
                 b = min(n, a + ROWS_AT_ONCE)
                 cut = bounds[a : b + 1]
@@ -152,8 +154,11 @@ def predict_languages(docs: DataFrame, model: LanguageModel, margin: float = 0.2
                     names[a + i], score[a + i] = model.languages[best], p[i, best]
                     close[a + i] = p.shape[1] > 1 and p[i, best] - p[i, order[i, 1]] < margin
             yield pa.RecordBatch.from_arrays(
-                [rows.column("row"), pa.array(names), pa.array(score), pa.array(close)], names=["row", *made]
+                [rows.column("row"), rows.column("text"), pa.array(names), pa.array(score), pa.array(close)],
+                names=["row", "text", *made],
             )
 
-    schema = packed.select("row").schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
-    return packed.mapInArrow(predict, schema).select("row.*", *made)
+    schema = packed.select("row", "text").schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    found = packed.mapInArrow(predict, schema)
+    own = {c: F.col(f"row.c{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
+    return found.select(*[own[c].alias(c) for c in kept], *made)

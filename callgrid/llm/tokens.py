@@ -183,11 +183,10 @@ def encoder(path: str) -> PieceEncoder:
 
 
 def release() -> None:
-    """Give the memory of encoders back, before a stage that encodes nothing."""
-    if not _encoders:
-        return
-    _encoders.clear()
-    gc.collect()
+    """Give back the memory of encoders and of earlier tasks, before a stage that encodes nothing."""
+    if _encoders:
+        _encoders.clear()
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # what the C library keeps of freed memory
     if trim is not None:
