@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame, functions as F
 from .tables import written
 from .textbytes import BYTE_HASH, U, mixed, pieces, powers
 
-CACHED_PIECES = 500_000
+CACHED_PIECES = 700_000
 PIECES_AT_ONCE = 4096
 FREQUENT_IDS = 1000
 #: Texts are best given in batches of this many bytes.
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 7 << 19
 BYTE_LEVEL, WORD_LEVEL = "byte_bpe_50k.json", "word_bpe_49k.json"
 IS_MARK, IS_LETTER = np.zeros(256, bool), np.zeros(256, bool)
 IS_MARK[[10, 32, 44, 46]] = True
