@@ -1,56 +1,90 @@
 """Packing documents into windows next to documents like them, by BM25 retrieval in shards.
 
-Documents are dealt to shards of bounded size, those with rare tokens in common likely to the same one. Each shard builds an
-inverted index over its token ids. An unused document seeds a window; its strongest terms are the query; unused
-neighbours, best first, fill the window. What no whole document fits is filled with the start of the best one left, whose
+Documents are dealt to shards of bounded size, those with rare tokens in common likely to the same one. Each shard weighs its
+token ids by how many documents of the whole corpus have them. An unused document seeds a window; all its terms are the
+query; unused neighbours, best first, fill the window. What no whole document fits is filled with the start of the best one left, whose
 rest stays in the pool. So every window is full but the end of a shard, which is cut into powers of two.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .tokens import from_planes, release, token_table
+from .token_files import _sums
+from .tokens import _runs, from_planes, release, token_table
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+class Corpus(NamedTuple):
+    """What BM25 weighs terms and lengths by."""
+
+    having: np.ndarray  # for each id the number of documents that have it
+    documents: int
+    mean_length: float
+
+
 class Index:
-    """BM25 over the documents of one shard: postings with their weights, and each document's strongest terms."""
+    """BM25 over the documents of one shard, with the weights of the corpus (without one, of the shard).
 
-    def __init__(self, ids: np.ndarray, bounds: np.ndarray, terms: int, k1: float = 1.2, b: float = 0.75):
+    Every term is kept and every term of a seed is in its query, but for those that one document of the shard has, which
+    score no other. A seed costs one pass over the shard's postings, however often its terms occur. `terms` limits the
+    query to a seed's strongest; None is all.
+    """
+
+    def __init__(
+        self, ids: np.ndarray, bounds: np.ndarray, terms: int | None = None, k1: float = 1.2, b: float = 0.75, corpus: Corpus | None = None
+    ):
         n = len(bounds) - 1
         length = np.diff(bounds)
-        keys = (ids.astype(np.int64) << 24) | np.repeat(np.arange(n), length)
+        keys = (np.repeat(np.arange(n), length) << 32) | ids.astype(np.int64)
         keys, tf = np.unique(keys, return_counts=True)
-        term, doc = keys >> 24, keys & ((1 << 24) - 1)
-        df = np.bincount(term)[term]
-        rare = (df > 1) & (4 * df <= n + 3)  # what all share tells nothing apart, what one has finds nothing
-        term, doc, tf, df = term[rare], doc[rare], tf[rare], df[rare]
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        self.n, self.doc = n, doc
-        self.weight = (idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[doc] / max(length.mean(), 1e-9)))).astype(np.float32)
-        self.low = np.searchsorted(term, term, "left")
-        self.high = np.searchsorted(term, term, "right")
-        order = np.lexsort((-self.weight, doc))
-        cut = np.searchsorted(doc[order], np.arange(n + 1))
-        self.strongest = [order[cut[i] : min(cut[i] + terms, cut[i + 1])] for i in range(n)]
+        term, doc = keys & ((1 << 32) - 1), keys >> 32
+        here = np.bincount(term)
+        if corpus is None:
+            corpus = Corpus(here, n, length.mean())
+        shared = here[term] > 1
+        term, doc, tf = term[shared], doc[shared], tf[shared]
+        df = corpus.having[term]
+        idf = np.log1p((corpus.documents - df + 0.5) / (df + 0.5))
+        self.n, self.terms = n, terms
+        self.weight = (idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[doc] / max(corpus.mean_length, 1e-9)))).astype(np.float32)
+        self.term = term.astype(np.int32)
+        self.cut = np.searchsorted(doc, np.arange(n + 1))  # postings of a document: [cut, next cut)
+        self.some = np.flatnonzero(np.diff(self.cut))
+        self.asked = np.zeros(len(here), np.float32)
 
     def scores(self, seed: int) -> np.ndarray:
         out = np.zeros(self.n, np.float32)
-        for p in self.strongest[seed].tolist():
-            run = slice(self.low[p], self.high[p])
-            out[self.doc[run]] += self.weight[run]
+        a, b = self.cut[seed], self.cut[seed + 1]
+        if a < b:
+            query = self.term[a:b]
+            if self.terms is not None:
+                query = query[np.argsort(-self.weight[a:b], kind="stable")[: self.terms]]
+            self.asked[query] = 1
+            out[self.some] = np.add.reduceat(self.weight * self.asked[self.term], self.cut[self.some])
+            self.asked[query] = 0
         return out
 
+    def narrow(self, left: np.ndarray) -> None:
+        """Forget the postings of documents with nothing left, once they are a quarter: nobody asks for their scores."""
+        some = self.some[left[self.some] > 0]
+        if 4 * len(some) > 3 * len(self.some):
+            return
+        size = np.zeros(self.n, np.int64)
+        size[some] = np.diff(self.cut)[some]
+        self.term, self.weight = (_runs(x, self.cut[some], size[some]) for x in (self.term, self.weight))
+        self.cut, self.some = np.concatenate([[0], np.cumsum(size)]), some
+
 
 def packed_shard(lengths: np.ndarray, index: Index, window: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of (document, start, length); every token of every document is in one."""
+    """Sequences of (document, start, length); every token of every document is in one. Uses the index up."""
     at = np.zeros(len(lengths), np.int64)  # tokens used
     out = []
     for d in np.flatnonzero(lengths >= window).tolist():
@@ -72,6 +106,7 @@ def packed_shard(lengths: np.ndarray, index: Index, window: int) -> list[list[tu
             left[d] -= size
             return size
 
+        index.narrow(left)
         scores = index.scores(seed)
         room -= take(seed, int(left[seed]))
         if room:
@@ -116,7 +151,7 @@ def powers_of_two(sequence: list[tuple[int, int, int]], window: int, least: int
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 20, terms: int = 12
+    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 20, terms: int | None = None
 ) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset) for each piece of each row of `docs` (doc_id, text).
 
@@ -124,9 +159,13 @@ def pack_documents(
     document that would fill windows alone is cut, one that overfills the last place of a window too. A sequence is
     meant to be padded to `window`, or to the next power of two if it is shorter. sequence_id is unique, not gapless.
     Rows with one doc_id are documents of their own. A shard is at most `shard_tokens` and a document; neighbours come from the
-    shard of the seed.
+    shard of the seed, scored with all terms (or the `terms` strongest) and the weights of the whole corpus.
     """
-    table = token_table(docs, vocabulary, end_id, "tokens").where("counts is null")
+    table = token_table(docs, vocabulary, end_id, "tokens", by_document=True)
+    having = sum((np.frombuffer(r[0], np.int64) for r in _sums(table).collect()), np.zeros(1, np.int64))
+    table = table.where("counts is null")
+    size = table.agg(F.count("*"), F.sum("n")).first()
+    corpus = Corpus(having, size[0], (size[1] or 0) / max(size[0], 1))
     tie = F.xxhash64("ids")
     spread = table.select("doc_id", "n", "ids", "sketch").repartitionByRange("sketch", "doc_id", "n")
 
@@ -140,7 +179,7 @@ def pack_documents(
             ids = np.concatenate([from_planes(r[2], r[1]) for r in held])
             bounds = np.concatenate([[0], np.cumsum(lengths)])
             data = memoryview(ids.astype("<u4").tobytes())
-            sequences = packed_shard(lengths, Index(ids, bounds, terms), window)
+            sequences = packed_shard(lengths, Index(ids, bounds, terms, corpus=corpus), window)
             last = sequences.pop()
             out = []
             for sequence in [*sequences, *powers_of_two(last, window)]:

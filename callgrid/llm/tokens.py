@@ -193,13 +193,23 @@ def release() -> None:
         trim(0)
 
 
-def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str) -> DataFrame:
+def _documents_with(ids: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
+    """For each of `size` ids, how many of the rows have it."""
+    rows = len(lengths)
+    kind = np.uint32 if rows * size < 1 << 32 else np.uint64
+    keys = np.sort(np.repeat(np.arange(rows, dtype=kind) * kind(size), lengths) + ids.astype(kind))
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    return np.bincount((keys[first] % kind(size)).astype(np.int64), minlength=size)
+
+
+def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str, by_document: bool = False) -> DataFrame:
     """(doc_id, n, ids, sketch, counts), written to the shared folder.
 
     A row for each row of `docs` (doc_id, text): the ids of the whole text (null: none) and the end id as little-endian
     numbers, first all low bytes, then the second bytes and so on, compressed; n is how many. sketch is the
     lowest hash of the ids that are not frequent (0 if none): likely equal for texts with rare tokens in common. Rows
-    with `counts` hold the vocabulary counts of one task instead.
+    with `counts` hold the vocabulary counts of one task instead: how often each id occurs, or `by_document` in how many rows.
     """
     path = vocabulary_path(vocabulary)
 
@@ -211,7 +221,7 @@ def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str) -> Dat
             ids, at = encode.encode(buf, bounds)
             ids = np.insert(ids, at[1:], end_id)
             at = at + np.arange(len(at))
-            total += np.bincount(ids, minlength=len(total))
+            total += _documents_with(ids, np.diff(at), len(total)) if by_document else np.bincount(ids, minlength=len(total))
             hashed = np.where(ids >= FREQUENT_IDS, mixed(ids.astype(U)) >> U(1), U((1 << 63) - 1))
             sketch = np.minimum.reduceat(hashed, at[:-1]).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
             data = ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width)

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from callgrid.llm import link_trust, ring_shards as ring
 from callgrid.llm.divergence_rules import judged_documents, js_distance
 from callgrid.llm.language_codes import codewords, fit_languages, held_out, predict_languages
-from callgrid.llm.retrieval_packing import Index, pack_documents, packed_shard
+from callgrid.llm.retrieval_packing import Corpus, Index, pack_documents, packed_shard
 from callgrid.llm.tables import new_path
 from callgrid.llm.temperature_mix import mixed_sources
 from callgrid.llm.token_files import decode_ranks, encode_ranks, read_tokens, write_tokens
-from callgrid.llm.tokens import BYTE_LEVEL, WORD_LEVEL, PieceEncoder, vocabulary_path
+from callgrid.llm.tokens import BYTE_LEVEL, WORD_LEVEL, PieceEncoder, token_table, vocabulary_path
 
 SF = "/root/testdata/sf0.001"
 PARTS = ["a", "B", " ", "  ", "\n", "\t", "\x1c", "\x85", "　", "\xa0", "\u2028", "é", "e\u0301", "Σ", "1", "'s", "!", "\0", "ß", "ﬀ", "中", "\U0001f600", ",", ".", "×", ".\n", "the", "×,", "٣", " \x7f"]
@@ -119,6 +119,48 @@ def test_bm25_scores_and_neighbours():
     assert [p[0] for p in first] == [0, 1]  # seed and its best neighbour
 
 
+def bm25(docs, seed, having, documents, mean):
+    """Scores of all documents for all terms of one, restated."""
+    out = []
+    for d in docs:
+        tf, norm = Counter(d), 1.2 * (0.25 + 0.75 * len(d) / mean)
+        idf = {t: math.log1p((documents - having[t] + 0.5) / (having[t] + 0.5)) for t in tf}
+        out.append(sum(idf[t] * tf[t] * 2.2 / (tf[t] + norm) for t in set(seed) & set(d)))
+    return out
+
+
+def test_bm25_keeps_every_term_and_posting():
+    r = np.random.default_rng(3)
+    copy = [*range(100, 140)]
+    # a family of copies in most of the shard, and a long document whose only neighbour shares its weakest term
+    docs = [copy, [*range(200, 230), *[7] * 2], copy, [7, 7, 300, 301], copy, copy, copy, [400, 401]] + [[*range(200, 230)][i : i + 1] + [500 + i] for i in range(30)]
+    docs += [r.integers(600, 640, 20).tolist() for _ in range(6)]
+    bounds = np.cumsum([0, *map(len, docs)])
+    ids = np.concatenate(docs).astype(np.uint32)
+    having = Counter(t for d in docs for t in set(d)) + Counter({7: 3, 100: 90, 620: 400})  # documents elsewhere
+    corpus = Corpus(np.array([having[t] for t in range(700)]), 1000, 11.0)
+    for given_corpus, stats in ((corpus, (having, 1000, 11.0)), (None, (Counter(t for d in docs for t in set(d)), len(docs), len(ids) / len(docs)))):
+        index = Index(ids, bounds, corpus=given_corpus)
+        for seed in range(len(docs)):
+            want = bm25(docs, docs[seed], *stats)
+            got = index.scores(seed)
+            others = [i for i in range(len(docs)) if i != seed]
+            assert got[others].tolist() == pytest.approx([want[i] for i in others], rel=1e-4)
+    assert {p[0] for p in packed_shard(np.diff(bounds), Index(ids, bounds), 200)[0]} == {0, 2, 4, 5, 6}
+    few = [copy, [1], copy, [2], copy, [3], copy, [4]]
+    bounds = np.cumsum([0, *map(len, few)])
+    assert [p[0] for p in packed_shard(np.diff(bounds), Index(np.concatenate(few).astype(np.uint32), bounds), 80)[0]] == [0, 2]
+
+
+def test_documents_having_each_id(spark):
+    docs = edge_docs(spark)
+    table = token_table(docs, WORD_LEVEL, 2, "test-tokens", by_document=True)
+    got = sum(np.frombuffer(r[0], np.int64) for r in table.where("counts is not null").select("counts").collect())
+    texts = [t for _, t in given(docs)]
+    want = Counter(t for x in encoded(WORD_LEVEL, texts) for t in {*x, 2})
+    assert {i: int(n) for i, n in enumerate(got) if n} == want
+
+
 def test_base_measures(spark):
     docs = edge_docs(spark).union(edge_docs(spark).withColumn("text", F.concat(F.col("text"), F.lit(" #a|b\nx y\nx y\n \n \n"))))
     got = judged_documents(docs).collect()
