@@ -49,11 +49,18 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagated(links: DataFrame, seeds: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
+#: Masses below this are too near the smallest double to be compared.
+LEAST_MASS = 1e-300
+
+
+def propagated(links: DataFrame, seeds: DataFrame, damping: float, rounds: int | None, tolerance: float) -> DataFrame:
     """(kind, host, mass): personalised PageRank of several kinds at once.
 
     `links` has (kind, src, dst, n), `seeds` (kind, host, mass) with masses that sum to 1 per kind. What hosts without links
-    hold goes back to the seeds. Every five rounds the state is written and the change measured; it ends when that is small.
+    hold goes back to the seeds. Every five rounds the state is written and compared with the one before: it ends when no
+    host is new and none has changed by more than `tolerance` of its mass, so that small masses are as exact as large ones.
+    Each round shrinks what is missing by `damping`, so that comes; if not within `rounds` (None: as many as it takes), or if
+    masses become too small for doubles, it raises.
     """
     out = links.groupBy("kind", "src").agg(F.sum("n").alias("total"))
     shares = links.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("part"))
@@ -61,33 +68,42 @@ def propagated(links: DataFrame, seeds: DataFrame, damping: float, rounds: int,
     seeds = written(seeds, "seeds")
     if shares.isEmpty():
         return seeds
-    state = seeds
-    for k in range(1, rounds + 1):
+    state = before = seeds
+    k = 0
+    while True:
+        k += 1
         moved = state.withColumnRenamed("host", "src").join(shares, ["kind", "src"])
         moved = moved.groupBy("kind", F.col("dst").alias("host")).agg((F.sum(F.col("mass") * F.col("part")) * damping).alias("mass"))
         lost = moved.groupBy("kind").agg((1 - F.sum("mass")).alias("back"))
         back = seeds.join(lost, "kind", "left").select(
             "kind", "host", (F.col("mass") * F.coalesce("back", F.lit(1.0))).alias("mass")
         )
-        new = moved.unionByName(back).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        if k % 5 and k < rounds:
-            state = new
+        state = moved.unionByName(back).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+        if k % 5 and k != rounds:
             continue
-        new = written(new, "mass")
-        if k % 5 == 0 and k > 5:
-            both = new.join(before.withColumnRenamed("mass", "old"), ["kind", "host"], "full")  # noqa: F821
-            gap = F.abs(F.coalesce("mass", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))
-            if both.agg(F.sum(gap)).first()[0] < tolerance:
-                return new
-        state = before = new  # noqa: F841
-    return state
+        state = written(state, "mass")
+        both = state.join(before.withColumnRenamed("mass", "old"), ["kind", "host"], "left")
+        moves = F.col("old").isNull() | (F.abs(F.col("mass") - F.col("old")) > tolerance * F.col("mass"))
+        least, moving = both.agg(F.min("mass"), F.sum(moves.cast("long"))).first()
+        if least is not None and least < LEAST_MASS:
+            raise ArithmeticError(f"after {k} rounds a host's mass is {least}: too far from all seeds for doubles")
+        if not moving:
+            return state
+        if k == rounds:
+            raise RuntimeError(f"after {k} rounds {moving} masses still change by more than {tolerance} of themselves")
+        before = state
+
+
+def _digits(mass):
+    """A mass rounded to 12 significant digits."""
+    return F.format_string("%.11e", mass).cast("double")
 
 
 def judged(
     pages: DataFrame,
     rules=RULES,
     damping: float = 0.85,
-    rounds: int = 40,
+    rounds: int | None = None,
     tolerance: float = 1e-6,
     threshold: float = 1.0,
 ) -> DataFrame:
@@ -95,7 +111,8 @@ def judged(
 
     The verdict is the rule's, else block if the host's distrust is more than `threshold` times its trust, else allow. Hosts
     that no mass reaches have 0 of both. Null urls and urls without :// have an empty host, which is no node; null html has no
-    links. Repeated rows count as often as they occur. Masses are compared after rounding to 12 digits.
+    links. Repeated rows count as often as they occur. Masses are compared after rounding to 12 significant digits. Rounds go
+    on until every mass is settled to `tolerance` of itself; with a limit of `rounds` that is too few for that, it raises.
     """
     host, path = url_parts(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -110,7 +127,7 @@ def judged(
         links.select(F.lit("block").alias("kind"), F.col("dst"), F.col("src"), "n")
     )
     mass = propagated(both, seeds, damping, rounds, tolerance)
-    of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)), 12)
+    of = lambda kind: _digits(F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)))
     hosts = mass.groupBy("host").agg(of("allow").alias("trust"), of("block").alias("distrust"))
     out = ruled.join(hosts, "host", "left").fillna(0.0, ["trust", "distrust"])
     method = F.when(F.col("distrust") > threshold * F.col("trust"), "block").otherwise("allow")

@@ -373,6 +373,34 @@ def test_link_trust(spark):
     assert link_trust.judged(pages.limit(0)).collect() == []
 
 
+def test_link_trust_far_and_small(spark):
+    """As registered: hosts far from all seeds, with masses far below 1e-12."""
+    links = Counter()
+    for i in range(45):  # h0 is blocked, h1 links to h0, h2 to h1 ...
+        links[f"h{i + 1}.net", "b.com" if not i else f"h{i}.net"] += 1
+    for i in range(1, 6):  # of what links to these, one host in 1000 is the next of the row
+        links["wide.net", f"h{i}.net"] += 999
+    links["good.org", "h3.net"] += 1
+    links["h3.net", "h4.net"] += 1
+    html = defaultdict(str)
+    for (a, b), n in links.items():
+        html[a] += f'<a href="//{b}/">' * n
+    pages = [(0, "x://b.com/de/", ""), (1, "x://good.org/", html.pop("good.org"))]
+    pages += [(10 + i, f"x://{h}/", t) for i, (h, t) in enumerate(html.items())]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    trust = page_rank(links, {"good.org": 1.0}, 800)
+    distrust = page_rank(Counter({(b, a): n for (a, b), n in links.items()}), {"b.com": 1.0}, 800)
+    assert 0 < distrust["h45.net"] < 1e-12
+    got = {r["host"]: r for r in link_trust.judged(frame, threshold=2.0).collect()}
+    for host, r in got.items():
+        t, d = trust.get(host, 0.0), distrust.get(host, 0.0)
+        assert (r["trust"], r["distrust"]) == (pytest.approx(t, rel=1e-5, abs=0), pytest.approx(d, rel=1e-5, abs=0))
+        assert r["rule"] or r["verdict"] == ("block" if d > 2.0 * t else "allow")
+    assert got["h45.net"]["verdict"] == "block" and got["h3.net"]["trust"] > 0
+    with pytest.raises(RuntimeError, match="after 10 rounds"):
+        link_trust.judged(frame, threshold=2.0, rounds=10)
+
+
 def test_queries_are_registered():
     import __spark_entry__ as e
     import corpus_pipeline
