@@ -3,7 +3,8 @@
 Each language has two references, summed up over all its documents: shares of character classes, and shares of its common
 words (those with a share of at least 1/1000) and the rest. A document is measured against every language by
 Jensen-Shannon distance (base 2, 0 to 1) and judged by the nearest one. Short documents are only judged where their length
-carries the measure: a distance that chance alone explains at that length is not held against them.
+carries the measure: a distance that chance alone explains at that length is not held against them. For words that is
+found by drawing texts of that length from the reference.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from .textbytes import BYTE_HASH, IS_SPACE, LOWER, U, mixed, pieces, powers, word_hashes, words
 
 COMMON = 1 / 1000
+DRAWS = 400
 ROWS_AT_ONCE = 512
 # Classes of characters by first byte; continuation bytes belong to no character of their own.
 CLASSES = 12
@@ -188,6 +190,11 @@ def _places(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(table[np.minimum(at, len(table) - 1)] == h, at, len(table))
 
 
+def _with_rest(common: np.ndarray) -> np.ndarray:
+    """Shares of the common words and of all others together."""
+    return np.append(common, max(0.0, 1 - common.sum()))
+
+
 def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     """Jensen-Shannon distance of each row of counts from the reference; 1 for rows of zeros."""
     n = counts.sum(axis=1, keepdims=True)
@@ -199,6 +206,22 @@ def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.where(n[:, 0] > 0, np.sqrt(np.maximum(0, (a + b) / 2)), 1.0)
 
 
+def sampled_divergence(reference: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lengths, mean, standard deviation) of the squared distance that texts of words drawn from the reference have from it."""
+    r = np.random.default_rng(0)
+    lengths = np.unique(np.round(2 ** np.arange(0, 16.5, 0.5)).astype(np.int64))
+    found = [js_distance(r.multinomial(n, reference / reference.sum(), size=DRAWS), reference) ** 2 for n in lengths.tolist()]
+    return lengths, np.array([x.mean() for x in found]), np.array([x.std() for x in found])
+
+
+def divergence_by_chance(sampled: tuple[np.ndarray, np.ndarray, np.ndarray], n: np.ndarray, spread: float) -> np.ndarray:
+    """Mean plus `spread` standard deviations at each length; beyond the longest drawn both fall with the length."""
+    lengths, mean, deviation = sampled
+    n = np.maximum(n, 1)
+    bound = np.maximum(mean + spread * deviation, 1e-300)
+    return np.exp(np.interp(np.log(n), np.log(lengths), np.log(bound))) * np.minimum(1, lengths[-1] / n)
+
+
 def judged_documents(
     docs: DataFrame,
     min_words: int = 50,
@@ -206,17 +229,21 @@ def judged_documents(
     class_limit: float = 0.25,
     word_limit: float = 0.15,
     chance: float = 1.0,
+    spread: float = 3.0,
 ) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance,
     kept) for each row of `docs` (doc_id, text, lang, other columns).
 
     A document fails at the base if it has fewer than `min_words` words, or more than `repeat_percent` of them stand in
     three-word windows the text has twice. Else it is kept unless its class distance exceeds `class_limit` or its word
-    distance `word_limit`, each plus `chance` times the root of (bins / (8 ln 2 * length)), the distance that sampling
-    alone brings. Distances are those to the nearest language. Null texts have no words. Without any language in the corpus
-    the base alone decides.
+    distance `word_limit`, both without what sampling alone brings, `chance` times. From class distances that takes the root
+    of (bins / (8 ln 2 * length)), as texts have many more characters than there are classes. From squared word distances,
+    to which sampling adds, it takes the mean and `spread` standard deviations of texts as long, drawn from the reference.
+    Distances are those to the nearest language. Null texts have no words. Without any language in the corpus the base
+    alone decides.
     """
     known = references(docs)
+    sampled = {k: sampled_divergence(_with_rest(common)) for k, (_, _, common) in known.items()}
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, word_distance double, kept boolean"
 
     def judge(batches):
@@ -230,8 +257,8 @@ def judged_documents(
             h = word_hashes(low, starts)
             far_class, far_word = np.full(n, np.inf), np.full(n, np.inf)
             length = np.maximum(classes.sum(axis=1), 1)
-            for shares, table, common in known.values():
-                reference = np.append(common, max(0.0, 1 - common.sum()))
+            for name, (shares, table, common) in known.items():
+                reference = _with_rest(common)
                 place, bins = _places(table, h), len(table) + 1
                 near = np.empty(n)
                 for a in range(0, n, ROWS_AT_ONCE):
@@ -239,7 +266,7 @@ def judged_documents(
                     row = np.repeat(np.arange(b - a), n_words[a:b])
                     counts = np.bincount(row * bins + place[per_row[a] : per_row[b]], minlength=(b - a) * bins)
                     near[a:b] = js_distance(counts.reshape(b - a, bins), reference)
-                near -= chance * np.sqrt(bins / (8 * np.log(2) * np.maximum(n_words, 1)))
+                near = np.sqrt(np.maximum(0, near**2 - chance * divergence_by_chance(sampled[name], n_words, spread)))
                 far_word = np.minimum(far_word, near)
                 far_class = np.minimum(far_class, js_distance(classes, shares) - chance * np.sqrt(CLASSES / (8 * np.log(2) * length)))
             good = ~failed & ((far_class <= class_limit) & (far_word <= word_limit) | (not known))

@@ -13,7 +13,7 @@ from llm.helpers import WORD, edge_docs, edge_texts, given, no_docs, prose
 from pyspark.sql import functions as F
 
 from callgrid.llm import link_trust, ring_shards as ring
-from callgrid.llm.divergence_rules import judged_documents, js_distance
+from callgrid.llm.divergence_rules import divergence_by_chance, judged_documents, js_distance, sampled_divergence
 from callgrid.llm.language_codes import codewords, fit_languages, held_out, predict_languages
 from callgrid.llm.retrieval_packing import Corpus, Index, pack_documents, packed_shard
 from callgrid.llm.tables import new_path
@@ -196,6 +196,29 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert share[1] > 0.99 and share[0] < 0.25
 
 
+def test_sampled_divergence():
+    p, n = 0.2, 6
+    reference = np.array([p, 1 - p])
+    chances = [math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+    squares = js_distance(np.array([[k, n - k] for k in range(n + 1)], float), reference) ** 2
+    mean = sum(c * x for c, x in zip(chances, squares, strict=True))
+    spread = math.sqrt(sum(c * (x - mean) ** 2 for c, x in zip(chances, squares, strict=True)))
+    lengths, means, deviations = sampled_divergence(reference)
+    at = lengths.tolist().index(n)
+    assert (means[at], deviations[at]) == (pytest.approx(mean, rel=0.2), pytest.approx(spread, rel=0.2))
+    by_chance = divergence_by_chance((lengths, means, deviations), np.array([n, 1 << 16, 1 << 18]), 3.0)
+    assert by_chance[0] == pytest.approx(means[at] + 3 * deviations[at])
+    assert by_chance[1] / by_chance[2] == pytest.approx(4)
+
+
+def test_quality_of_short_documents(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    found = judged_documents(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).join(labels, "doc_id")
+    counts = {r["quality"]: (r["n"], r["k"]) for r in found.where("n_words between 50 and 99").groupBy("quality").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("k")).collect()}
+    assert counts[0][0] == 44 and counts[0][1] <= 2
+    assert counts[1][1] >= 0.99 * counts[1][0]
+
+
 def test_languages_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = fit_languages(docs)
