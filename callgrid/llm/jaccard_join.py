@@ -16,6 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .graph import components
 from .tables import small_batches, written
@@ -157,6 +158,23 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SET_SCHEMA)
 
 
+def with_set_names(docs: DataFrame, k: int) -> DataFrame:
+    """The rows of `docs` (text, any other columns) with the size and the name of their sets: n_shingles, h1, h2."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for rows, sets in _sets(batches, "text", k):
+            names = [_names(s) if len(s) else (0, 0) for s in sets]
+            values = ([len(s) for s in sets], [x[0] for x in names], [x[1] for x in names])
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, *(pa.array(v, pa.int64()) for v in values)], names=[*rows.schema.names, "n_shingles", "h1", "h2"]
+            )
+
+    schema = docs.schema
+    for name in ("n_shingles", "h1", "h2"):
+        schema = StructType([*schema, StructField(name, LongType())])
+    return docs.mapInArrow(run, schema)
+
+
 def _packed(node: np.ndarray, sig: np.ndarray) -> np.ndarray:
     """Twelve bytes for each entry: 48 bits of the signature, 48 of the set's name. Chance meetings are verified away."""
     parts = [(x >> U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6] for x in (sig, node)]
