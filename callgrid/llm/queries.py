@@ -14,9 +14,11 @@ from .link_trust import judged
 from .retrieval_packing import pack_documents
 from .ring_shards import ring_shards
 from .suffix_dedup import remove_repeats
+from .tables import new_path
 from .temperature_mix import mixed_sources
 from .token_files import round_trip
 from .tokens import BYTE_LEVEL, WORD_LEVEL
+from .warc_store import read_captures, write_archive
 
 LLM_QUERIES: dict = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -105,6 +107,24 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+LLM_ORACLES["op13_warc_store"] = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS last FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM d
+"""
+
+
+@_register
+def op13_warc_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    write_archive(_table(spark, sf_dir, "pages"), path)
+    return read_captures(spark, path).drop("url")
+
+
 @_register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
