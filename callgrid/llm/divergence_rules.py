@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .textbytes import BYTE_HASH, IS_SPACE, LOWER, U, mixed, pieces, powers, word_hashes, words
+from .textbytes import IS_SPACE, LOWER, U, mixed, pieces, run_hashes, words
 
 COMMON = 1 / 1000
 DRAWS = 400
@@ -62,7 +62,7 @@ def _repeated(names: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def base_measures(buf: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each row."""
-    starts, _, per_row = words(buf, bounds)
+    starts, ends, per_row = words(buf, bounds)
     n_words = np.diff(per_row)
     out = {"n_words": n_words, "word_chars": _per_row(COUNTED[buf] & ~IS_SPACE[buf], bounds)}
     out["n_symbols"] = _per_row(IS_SYMBOL[buf], bounds)
@@ -72,10 +72,8 @@ def base_measures(buf: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     line_start = line_start[line_start < len(buf)]
     dup_lines = np.zeros(len(n_words), np.int64)
     if len(line_start):
-        weights = BYTE_HASH[buf]
-        weights[buf == 10] = 0
-        sums = np.add.reduceat(weights * powers(len(buf)), line_start)
-        names = mixed(sums * powers(len(buf), True)[line_start])
+        line_end = np.append(line_start[1:], len(buf))
+        names = run_hashes(buf, line_start, line_end - (buf[line_end - 1] == 10))
         first = np.searchsorted(starts, line_start)
         with_word = np.append(first[1:], len(starts)) > first
         row = np.searchsorted(bounds, line_start, "right") - 1
@@ -84,7 +82,7 @@ def base_measures(buf: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     out["n_dup_lines"] = dup_lines
     covered = np.zeros(len(starts) + 3, bool)
     if len(starts) > 2:
-        h = word_hashes(buf, starts)
+        h = run_hashes(buf, starts, ends)
         row = np.repeat(rows, n_words)
         at = np.flatnonzero(row[:-2] == row[2:])
         three = mixed(mixed(mixed(h[:-2]) + h[1:-1]) + h[2:])[at]
@@ -102,8 +100,8 @@ def _language_words(batches: Iterator[pa.RecordBatch]):
         codes = rows.column("lang").dictionary_encode()
         of = codes.indices.to_numpy(zero_copy_only=False)
         low = LOWER[buf]
-        starts, _, per_row = words(low, bounds)
-        yield of, codes.dictionary.to_pylist(), _class_counts(buf, bounds), word_hashes(low, starts), np.repeat(of, np.diff(per_row))
+        starts, ends, per_row = words(low, bounds)
+        yield of, codes.dictionary.to_pylist(), _class_counts(buf, bounds), run_hashes(low, starts, ends), np.repeat(of, np.diff(per_row))
 
 
 def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -253,8 +251,8 @@ def judged_documents(
             failed = (n_words < min_words) | (100 * base["n_repeat_words"] > repeat_percent * n_words)
             classes = _class_counts(buf, bounds)
             low = LOWER[buf]
-            starts, _, per_row = words(low, bounds)
-            h = word_hashes(low, starts)
+            starts, ends, per_row = words(low, bounds)
+            h = run_hashes(low, starts, ends)
             far_class, far_word = np.full(n, np.inf), np.full(n, np.inf)
             length = np.maximum(classes.sum(axis=1), 1)
             for name, (shares, table, common) in known.items():

@@ -20,7 +20,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .graph import components
 from .tables import small_batches, written
-from .textbytes import LOWER, U, mixed, pieces, shingles, word_hashes, words
+from .textbytes import LOWER, U, mixed, pieces, run_hashes, shingles, words
 from .tokens import release
 
 SET_SCHEMA = "doc_id long, n long, h1 long, h2 long"
@@ -132,8 +132,8 @@ def _sets(batches, text: str, k: int):
     release()
     for rows, buf, bounds in pieces(batches, text):
         buf = LOWER[buf]
-        starts, _, per_row = words(buf, bounds)
-        found, cut = shingles(word_hashes(buf, starts), per_row, k)
+        starts, ends, per_row = words(buf, bounds)
+        found, cut = shingles(run_hashes(buf, starts, ends), per_row, k)
         yield rows, [np.unique(found[cut[i] : cut[i + 1]]) for i in range(rows.num_rows)]
 
 

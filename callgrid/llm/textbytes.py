@@ -33,7 +33,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 BYTE_HASH = mixed(np.arange(1, 257, dtype=U) * _X)
-WORD_BYTE_HASH = np.where(IS_SPACE, U(0), BYTE_HASH)
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -74,11 +74,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
             at = to
 
 
-def words(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each row the number of words before it (one more at the end)."""
+def words(buf: np.ndarray, bounds: np.ndarray, is_break: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each row the number of words before it (one more at the end).
+
+    Words are maximal runs of bytes that are no break; `is_break` says so for each of the 256 bytes.
+    """
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
-    inside = ~IS_SPACE[buf]
+    inside = ~is_break[buf]
     new = np.ones(len(buf) + 1, bool)
     new[1:-1] = ~inside[:-1]
     new[bounds] = True  # a row's end, and the start of the next
@@ -90,15 +93,27 @@ def words(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word."""
+def run_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of bytes [start, end).
+
+    Every eight bytes are mixed by themselves with their place, so that no structure of a text cancels out, as it can in
+    sums of bytes times powers of a base. The length is mixed in with the first eight.
+    """
     if not len(starts):
         return np.zeros(0, U)
-    weighted = WORD_BYTE_HASH[buf]
-    weighted *= powers(len(buf))
-    sums = np.add.reduceat(weighted, starts)
-    # a space has weight 0; where rows touch without one, the next word starts a sum of its own
-    return mixed(sums * powers(len(buf), True)[starts])
+    eight = np.ndarray(len(buf) + 1, "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]).data, strides=(1,))
+    size = ends - starts
+    h = mixed((eight[starts] & _LOW_BYTES[np.minimum(size, 8)]) + size.astype(U) * _X)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] - 1) // 8
+        after = np.cumsum(more)
+        nth = np.arange(1, after[-1] + 1) - np.repeat(after - more, more)
+        at = np.repeat(starts[long], more) + 8 * nth
+        left = np.repeat(ends[long], more) - at
+        part = mixed((eight[at] & _LOW_BYTES[np.minimum(left, 8)]) ^ mixed(nth.astype(U) * _X))
+        h[long] = mixed(h[long] + np.add.reduceat(part, after - more))
+    return h
 
 
 def shingles(hashes: np.ndarray, per_row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import written
-from .textbytes import BYTE_HASH, U, mixed, pieces, powers
+from .textbytes import U, mixed, pieces, run_hashes
 
 CACHED_PIECES = 700_000
 PIECES_AT_ONCE = 4096
@@ -130,7 +130,7 @@ class PieceEncoder:
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
         end = np.append(start[1:], len(buf))
-        name = mixed(np.add.reduceat(BYTE_HASH[buf] * powers(len(buf)), start) * powers(len(buf), True)[start])
+        name = run_hashes(buf, start, end)
         distinct, first, back, count = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
         if len(self.known) > CACHED_PIECES:
             self._forget()

@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+LOWER_CASE = {i: i + 32 for i in range(65, 91)}
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row int, e int, h string, n int, family int, src int, tokens int, key string"
 
@@ -60,3 +61,9 @@ class Groups:
     def join(self, a, b):
         a, b = self.find(a), self.find(b)
         self.up[max(a, b)] = min(a, b)
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two different texts of n letters, a power of two, whose sums of bytes times powers of any odd base agree modulo 2^64."""
+    a = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))

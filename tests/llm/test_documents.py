@@ -9,15 +9,16 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm.helpers import WORD, edge_docs, edge_texts, given, no_docs, prose
+from llm.helpers import WORD, edge_docs, edge_texts, given, no_docs, prose, thue_morse
 from pyspark.sql import functions as F
 
 from callgrid.llm import link_trust, ring_shards as ring
-from callgrid.llm.divergence_rules import divergence_by_chance, judged_documents, js_distance, sampled_divergence
+from callgrid.llm.divergence_rules import base_measures, divergence_by_chance, judged_documents, js_distance, sampled_divergence
 from callgrid.llm.language_codes import codewords, fit_languages, held_out, predict_languages
 from callgrid.llm.retrieval_packing import Corpus, Index, pack_documents, packed_shard
 from callgrid.llm.tables import new_path
 from callgrid.llm.temperature_mix import mixed_sources
+from callgrid.llm.textbytes import run_hashes
 from callgrid.llm.token_files import decode_ranks, encode_ranks, read_tokens, write_tokens
 from callgrid.llm.tokens import BYTE_LEVEL, WORD_LEVEL, PieceEncoder, token_table, vocabulary_path
 
@@ -46,6 +47,36 @@ def test_pieces_give_the_ids_of_whole_texts(name, monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == want
 
 
+@pytest.mark.parametrize("name", [BYTE_LEVEL, WORD_LEVEL])
+def test_pieces_built_to_have_equal_polynomial_hashes(name):
+    coder, texts = PieceEncoder(vocabulary_path(name)), list(thue_morse(1024))
+    data = [t.encode() for t in texts]
+    ids, bounds = coder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == encoded(name, texts)
+
+
+def test_run_hashes_depend_on_every_byte_and_the_length():
+    r = random.Random(3)
+    runs = [bytes(r.choice(b"ab\0") for _ in range(r.choice([0, 1, 7, 8, 9, 16, 17, 40]))) for _ in range(4000)]
+    runs += [t.encode() for t in thue_morse(1024)] + [b"a" * n for n in range(40)] + [b"\0" * n for n in range(40)]
+    ends = np.cumsum([len(x) for x in runs])
+    h = run_hashes(np.frombuffer(b"".join(runs), np.uint8), ends - [len(x) for x in runs], ends)
+    names = dict(zip(runs, h.tolist(), strict=True))
+    assert all(names[x] == y for x, y in zip(runs, h.tolist(), strict=True))
+    assert len(set(names.values())) == len(names)
+
+
+def test_lines_built_to_have_equal_polynomial_hashes(spark):
+    a, b = thue_morse(1024)
+    found = base_measures(*_bytes([f"{a}\n{b}", f"{a}\n{a}", f"{a} x y {b} x y"]))
+    assert found["n_dup_lines"].tolist() == [0, 1, 0] and found["n_repeat_words"].tolist() == [0, 0, 0]
+
+
+def _bytes(texts):
+    data = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
+
+
 def test_rank_code_round_trip():
     r = np.random.default_rng(1)
     docs = [r.integers(0, 1 << int(r.integers(1, 33)), int(r.integers(1, 30)), dtype=np.uint64).astype(np.uint32) for _ in range(50)]

@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from llm.helpers import WORD, Groups, edge_docs, given, no_docs, prose
+from llm.helpers import WORD, Groups, edge_docs, given, no_docs, prose, thue_morse
 
 from callgrid.llm.graph import components
 from callgrid.llm.grid_order_join import similar_vectors
@@ -87,6 +87,12 @@ def test_linked_sets_share_a_signature(expected, percent):
             assert np.intersect1d(scheme.signatures(np.unique(a)), scheme.signatures(np.unique(b))).size
 
 
+def test_jaccard_of_words_built_to_have_equal_polynomial_hashes(spark):
+    docs = spark.createDataFrame(list(enumerate(thue_morse(1024))), "doc_id long, text string")
+    got = jaccard_components(docs, 3, 90).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(0, 0), (1, 1)]
+
+
 def test_allocation_follows_cost():
     assert Scheme(90, 10**3).allocation(12)[1] == 0
     assert any(Scheme(80, 10**12).allocation(b)[1] > 0 for b in range(5, 30))
