@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 
 from .divergence_rules import judged_documents
+from .dual_tree_search import best_documents
 from .grid_order_join import similar_vectors
 from .jaccard_join import jaccard_components
 from .language_codes import fit_languages, held_out, predict_languages
@@ -107,6 +108,27 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+LLM_ORACLES["op12_dual_tree_search"] = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM c GROUP BY 1),
+a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM c, a GROUP BY term, docs),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // length))))::BIGINT AS score
+      FROM q JOIN c USING (term) JOIN w USING (term) JOIN d USING (doc_id), a GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@_register
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 LLM_ORACLES["op13_warc_store"] = r"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS last FROM p)
