@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
+from .collocations import collocations
 from .divergence_rules import judged_documents
 from .dual_tree_search import best_documents
 from .grid_order_join import similar_vectors
@@ -108,6 +109,33 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+LLM_ORACLES["op11_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+i AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k)),
+f AS (SELECT lang, w[i:i + k - 1] AS g, count(*) AS f FROM i GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT * FROM f WHERE len(g) > 1),
+k AS (SELECT lang, g, f, unnest(range(1, len(g))) AS k FROM c),
+s AS (SELECT k.lang, k.g, k.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * k.f // (x.f + y.f))::BIGINT AS score
+      FROM k JOIN f x ON x.lang = k.lang AND x.g = k.g[1:k] JOIN f y ON y.lang = k.lang AND y.g = k.g[k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+o AS (SELECT lang, f, len(g) AS long, g, unnest(range(1, len(g))) AS i FROM c),
+u AS (SELECT lang, f, long, g, i, unnest(range(i + 1, long + 1)) AS j FROM o),
+m AS (SELECT lang, g[i:j] AS g, max(f) AS f FROM u WHERE j - i + 1 < long GROUP BY ALL),
+r AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM b LEFT JOIN m ON m.lang = b.lang AND m.g = b.g
+      WHERE m.f IS NULL OR 100 * m.f < 80 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM r JOIN t USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@_register
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), least=30, percent=80, top=2000)
+
+
 LLM_ORACLES["op12_dual_tree_search"] = r"""
 WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
