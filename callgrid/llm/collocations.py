@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .tables import written
@@ -106,6 +107,19 @@ def _passed(first: np.ndarray, short: np.ndarray, filters: list[Filter]) -> tupl
     return at, h
 
 
+def pack_counts(h: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending hashes of 48 bits and counts of 16, as the differences of the hashes: first all low bytes, then the second ones and so on."""
+    step = np.diff(h, prepend=U(0)) << U(16) | n.astype(U)
+    planes = step.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    step = np.ascontiguousarray(planes.T).reshape(-1).view("<u8")
+    return np.cumsum(step >> U(16), dtype=U), (step & U(0xFFFF)).astype(np.int64)
+
+
 def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
     """(bucket, entries): 48 bits of the hash of each phrase of the next order and its count in the task, capped at 16 bits."""
     release()
@@ -120,11 +134,11 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
 
     def packed():
         h, n = added()
-        bucket = ((h >> U(32)) * U(buckets) >> U(32)).astype(np.int32)  # ascending, as h is
+        h, n = h >> U(16), np.minimum(n, 0xFFFF)  # hashes that differ in the last 16 bits alone are added up later
+        bucket = ((h >> U(16)) * U(buckets) >> U(32)).astype(np.int32)  # ascending, as h is
         first = np.flatnonzero(np.diff(bucket, prepend=-1))
-        data = ((h & ~U(0xFFFF)) | np.minimum(n, 0xFFFF).astype(U)).astype("<u8").tobytes()
         ends = [*first[1:].tolist(), len(h)]
-        parts = [data[8 * a : 8 * b] for a, b in zip(first.tolist(), ends, strict=True)]
+        parts = [pack_counts(h[a:b], n[a:b]) for a, b in zip(first.tolist(), ends, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(parts, pa.binary())], names=["bucket", "entries"])
 
     for batch in batches:
@@ -133,7 +147,6 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
         lang = np.repeat(batch.column("lang_hash").to_numpy().view(U), [len(s) // 4 for s in streams])
         _, h = _passed(lang, short, filters)
         h, n = np.unique(h, return_counts=True)
-        # hashes that differ in the last 16 bits alone meet in a bucket
         if len(h):
             held.append((h, n))
             size += len(h)
@@ -151,8 +164,9 @@ def _frequent_bits(batches: Iterator[pa.RecordBatch], least: int, bits: int):
     """Rows sorted by bucket: (word, bits) of the filter for hashes whose counts add up to the least."""
 
     def found(held):
-        entries = np.sort(np.frombuffer(b"".join(held), "<u8"))
-        h, n = entries >> U(16), (entries & U(0xFFFF)).astype(np.int64)
+        h, n = (np.concatenate(x) for x in zip(*map(unpack_counts, held), strict=True))
+        order = np.argsort(h, kind="stable")
+        h, n = h[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         at = h[first][np.add.reduceat(n, first) >= least] >> U(48 - bits)
         word = (at >> U(6)).astype(np.int32)
