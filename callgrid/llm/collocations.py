@@ -1,9 +1,8 @@
 """Phrase collocations by external streams of counts, kept in prefix and in suffix order.
 
 Phrases that may be frequent are found order by order: a phrase can only be as frequent as the two phrases one word shorter in
-it. Word hashes are written once as streams; per order, hash counts of the tasks are added up in buckets, and what reaches the
-least count sets a bit of a filter of bounded size. The filters only spare work: phrases that pass all of them are then
-counted by their words, exactly.
+it. Per order, hash counts of the tasks are added up in buckets, and what reaches the least count sets a bit of a filter of
+bounded size. The filters only spare work: phrases that pass all of them are then counted by their words, exactly.
 
 The counted phrases are one stream of all orders. Sorted by words, a phrase follows the phrases it extends to the
 right, so one pass in lockstep hands it the counts of all its beginnings and tells them of their extensions; sorted by words
@@ -60,18 +59,20 @@ def _short(h: np.ndarray) -> np.ndarray:
 
 
 def _streams(batches: Iterator[pa.RecordBatch]):
-    """(lang, lang_hash, n, stream): a text's word hashes, pieces apart by a 0."""
-    release()
+    """(rows, text, starts, ends, hashes, words before each row, place of each word in the stream, words of the stream, languages).
+
+    A stream has the short hash of each word of some texts, pieces apart by a 0, and at each word its language's hash.
+    """
     for rows, buf, bounds in pieces(batches, "text", TEXT_BYTES):
-        starts, _, per_row, h, follows = _cut(rows, LOWER[buf], bounds)
-        stream = np.insert(_short(h), np.flatnonzero(~follows), 0)
-        # a row's part of the stream begins with the 0 before its first word
-        cut = per_row + np.concatenate([[0], np.cumsum(~follows)])[per_row]
-        data = stream.astype("<u4").tobytes()
-        parts = [data[4 * a : 4 * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("lang"), rows.column("lang_hash"), pa.array(np.diff(per_row)), pa.array(parts, pa.binary())], names=["lang", "lang_hash", "n", "stream"]
-        )
+        buf = LOWER[buf]
+        starts, ends, per_row, h, follows = _cut(rows, buf, bounds)
+        if not len(starts):
+            continue
+        place = np.arange(len(starts)) + np.cumsum(~follows)
+        short, lang = np.zeros(place[-1] + 1, np.uint32), np.zeros(place[-1] + 1, U)
+        short[place] = _short(h)
+        lang[place] = np.repeat(rows.column("lang_hash").to_numpy().view(U), np.diff(per_row))
+        yield rows, buf, starts, ends, h, per_row, place, short, lang
 
 
 class Filter:
@@ -141,10 +142,7 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
         parts = [pack_counts(h[a:b], n[a:b]) for a, b in zip(first.tolist(), ends, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(parts, pa.binary())], names=["bucket", "entries"])
 
-    for batch in batches:
-        streams = batch.column("stream").to_pylist()
-        short = np.frombuffer(b"".join(streams), "<u4")
-        lang = np.repeat(batch.column("lang_hash").to_numpy().view(U), [len(s) // 4 for s in streams])
+    for *_, short, lang in _streams(batches):
         _, h = _passed(lang, short, filters)
         h, n = np.unique(h, return_counts=True)
         if len(h):
@@ -187,21 +185,16 @@ def _frequent_bits(batches: Iterator[pa.RecordBatch], least: int, bits: int):
 
 
 def _phrases(batches: Iterator[pa.RecordBatch], filters):
-    """(lang, phrase, n): the phrases of all orders that pass the filters, told apart by 64 bits within a batch."""
+    """(lang, phrase, n): the phrases of all orders that pass the filters, told apart by 64 bits within a batch; null for all words."""
     release()
-    for rows, buf, bounds in pieces(batches, "text", TEXT_BYTES):
-        buf = LOWER[buf]
-        starts, ends, per_row, h, follows = _cut(rows, buf, bounds)
-        if not len(starts):
-            continue
+    for rows, buf, starts, ends, h, per_row, place, short, first in _streams(batches):
         langs = rows.column("lang").dictionary_encode()
-        of_row = np.repeat(np.arange(rows.num_rows), np.diff(per_row))
-        code = langs.indices.to_numpy(zero_copy_only=False)[of_row]
-        lang = rows.column("lang_hash").to_numpy().view(U)[of_row]
-        # the streams of the filters, with the place of each word in them
-        place = np.arange(len(starts)) + np.cumsum(~follows)
-        short, first, word = (np.zeros(place[-1] + 1, t) for t in (np.uint32, U, np.int64))
-        short[place], first[place], word[place] = _short(h), lang, np.arange(len(starts))
+        code = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(per_row))
+        total = np.bincount(code, minlength=len(langs.dictionary))
+        yield pa.RecordBatch.from_arrays([langs.dictionary, pa.nulls(len(total), pa.string()), pa.array(total)], names=["lang", "phrase", "n"])
+        lang = first[place]
+        word = np.zeros(len(short), np.int64)
+        word[place] = np.arange(len(starts))
         spaced, blank = np.append(buf, np.uint8(0x20)), len(buf)
         for order in range(1, len(filters) + 1):
             at, name = _passed(first, short, filters[: order - 1])
@@ -296,15 +289,14 @@ def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
         raise ValueError("least is from 1 to 65535")
     lang = F.coalesce("lang", F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.xxhash64(lang).alias("lang_hash"), "text")
-    streams = written(texts.mapInArrow(_streams, "lang string, lang_hash long, n long, stream binary"), "streams")
-    sizes = written(streams.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # about six bytes to a word: this sizes filters and buckets only
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 6
     bits = min(MOST_BITS, max(LEAST_BITS, (8 * total // least).bit_length()))
     buckets = max(64, total // HASHES_A_BUCKET)
     context, filters = docs.sparkSession.sparkContext, []
     for _ in range(ORDERS):
         sent = context.broadcast(filters)
-        counts = streams.select("lang_hash", "stream").mapInArrow(lambda it, sent=sent: _hash_counts(it, sent.value, buckets), "bucket int, entries binary")
+        counts = texts.mapInArrow(lambda it, sent=sent: _hash_counts(it, sent.value, buckets), "bucket int, entries binary")
         counts = counts.repartition("bucket").sortWithinPartitions("bucket")
         found = counts.mapInArrow(lambda it: _frequent_bits(it, least, bits), "word int, bits long").toArrow()  # a row for each 64 bits at most, and a bucket
         filter = Filter(bits)
@@ -312,8 +304,9 @@ def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
         filters = [*filters, filter]
     sent = context.broadcast(filters)
     counted = texts.mapInArrow(lambda it: _phrases(it, sent.value), "lang string, phrase string, n long")
-    counted = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return written(counted.select("lang", F.split("phrase", " ").alias("words"), "f"), "phrases"), sizes
+    counted = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(f"f >= {least} or phrase is null")
+    counted = written(counted.select("lang", F.split("phrase", " ").alias("words"), "f"), "phrases")
+    return counted.where("words is not null"), counted.where("words is null").select("lang", F.col("f").alias("n"))
 
 
 def lowest_cuts(phrases: DataFrame) -> DataFrame:
