@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -29,6 +30,9 @@ ORDERS = 4
 TEXT_BYTES = 8 << 20
 #: Hashes a task adds up before it hands them on, and those of a bucket, about.
 HASHES_AT_ONCE, HASHES_A_BUCKET = 1 << 22, 1 << 20
+#: Rows of counted phrases a task adds up before it hands them on.
+PHRASES_AT_ONCE = 1 << 21
+COUNTED = ["place", "lang", "phrase", "n"]
 #: Bits of a filter as a power of two: 8 for each phrase that can be frequent, within these bounds.
 LEAST_BITS, MOST_BITS = 16, 30
 #: Phrases of a range of the sorted stream, about.
@@ -109,7 +113,7 @@ def _passed(first: np.ndarray, short: np.ndarray, filters: list[Filter]) -> tupl
 
 
 def pack_counts(h: np.ndarray, n: np.ndarray) -> bytes:
-    """Ascending hashes of 48 bits and counts of 16, as the differences of the hashes: first all low bytes, then the second ones and so on."""
+    """Ascending hashes of up to 48 bits and counts of 16, as the differences of the hashes: first all low bytes, then the second ones and so on."""
     step = np.diff(h, prepend=U(0)) << U(16) | n.astype(U)
     planes = step.astype("<u8").view(np.uint8).reshape(-1, 8).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
@@ -121,8 +125,8 @@ def unpack_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(step >> U(16), dtype=U), (step & U(0xFFFF)).astype(np.int64)
 
 
-def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
-    """(bucket, entries): 48 bits of the hash of each phrase of the next order and its count in the task, capped at 16 bits."""
+def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int, width: int):
+    """(bucket, entries): the first bits of the hash of each phrase of the next order and its count in the task, capped at 16 bits."""
     release()
     held, size = [], 0
 
@@ -135,8 +139,8 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
 
     def packed():
         h, n = added()
-        h, n = h >> U(16), np.minimum(n, 0xFFFF)  # hashes that differ in the last 16 bits alone are added up later
-        bucket = ((h >> U(16)) * U(buckets) >> U(32)).astype(np.int32)  # ascending, as h is
+        h, n = h >> U(64 - width), np.minimum(n, 0xFFFF)  # hashes that differ in later bits alone are added up later
+        bucket = ((h >> U(width - 32)) * U(buckets) >> U(32)).astype(np.int32)  # ascending, as h is
         first = np.flatnonzero(np.diff(bucket, prepend=-1))
         ends = [*first[1:].tolist(), len(h)]
         parts = [pack_counts(h[a:b], n[a:b]) for a, b in zip(first.tolist(), ends, strict=True)]
@@ -158,7 +162,7 @@ def _hash_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
         yield packed()
 
 
-def _frequent_bits(batches: Iterator[pa.RecordBatch], least: int, bits: int):
+def _frequent_bits(batches: Iterator[pa.RecordBatch], least: int, bits: int, width: int):
     """Rows sorted by bucket: (word, bits) of the filter for hashes whose counts add up to the least."""
 
     def found(held):
@@ -166,32 +170,27 @@ def _frequent_bits(batches: Iterator[pa.RecordBatch], least: int, bits: int):
         order = np.argsort(h, kind="stable")
         h, n = h[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        at = h[first][np.add.reduceat(n, first) >= least] >> U(48 - bits)
+        at = h[first][np.add.reduceat(n, first) >= least] >> U(width - bits)
         word = (at >> U(6)).astype(np.int32)
         first = np.flatnonzero(np.diff(word, prepend=-1))
         value = np.bitwise_or.reduceat(U(1) << (at & U(63)), first) if len(first) else np.zeros(0, U)
         return pa.RecordBatch.from_arrays([pa.array(word[first]), pa.array(value.view(np.int64))], names=["word", "bits"])
 
-    now, held = None, []
-    for rows in batches:
-        for bucket, entries in zip(rows.column("bucket").to_pylist(), rows.column("entries").to_pylist(), strict=True):
-            if bucket != now and held:
-                yield found(held)
-                held = []
-            now = bucket
-            held.append(entries)
-    if held:
+    for held in _by_bucket(batches, "entries"):
         yield found(held)
 
 
 def _phrases(batches: Iterator[pa.RecordBatch], filters):
-    """(lang, phrase, n): the phrases of all orders that pass the filters, told apart by 64 bits within a batch; null for all words."""
+    """(place, lang, phrase, n): the phrases of all orders that pass the filters, told apart by 64 bits within a batch; null for all words.
+
+    The place, 32 bits, depends on the first two words, so that phrases with a common beginning stay together.
+    """
     release()
     for rows, buf, starts, ends, h, per_row, place, short, first in _streams(batches):
         langs = rows.column("lang").dictionary_encode()
         code = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(per_row))
         total = np.bincount(code, minlength=len(langs.dictionary))
-        yield pa.RecordBatch.from_arrays([langs.dictionary, pa.nulls(len(total), pa.string()), pa.array(total)], names=["lang", "phrase", "n"])
+        yield pa.Table.from_arrays([pa.array(np.zeros(len(total), np.uint32)), langs.dictionary, pa.nulls(len(total), pa.string()), pa.array(total)], names=COUNTED)
         lang = first[place]
         word = np.zeros(len(short), np.int64)
         word[place] = np.arange(len(starts))
@@ -204,8 +203,9 @@ def _phrases(batches: Iterator[pa.RecordBatch], filters):
             key = lang[at]
             for j in range(order):
                 key = mixed(key + h[at + j])
+                beginning = key if j < 2 else beginning
             _, one, n = np.unique(key, return_index=True, return_counts=True)
-            at = at[one]
+            at, beginning = at[one], (beginning[one] >> U(32)).astype(np.uint32)
             # the words of each phrase with a space between
             run, size = (np.full((len(at), 2 * order - 1), v, np.int64) for v in (blank, 1))
             for j in range(order):
@@ -213,7 +213,63 @@ def _phrases(batches: Iterator[pa.RecordBatch], filters):
             data = _runs(spaced, run.reshape(-1), size.reshape(-1))
             offsets = np.concatenate([[0], np.cumsum(size.sum(axis=1))])
             phrase = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data.tobytes())).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(code[at])), phrase, pa.array(n)], names=["lang", "phrase", "n"])
+            yield pa.Table.from_arrays([pa.array(beginning), langs.dictionary.take(pa.array(code[at])), phrase, pa.array(n)], names=COUNTED)
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """Counts of equal phrases added up."""
+    return pa.concat_tables(tables).group_by(COUNTED[:3]).aggregate([("n", "sum")]).rename_columns(COUNTED)
+
+
+def _phrase_counts(batches: Iterator[pa.RecordBatch], filters, buckets: int):
+    """(bucket, counts): the task's phrases with their counts, sorted, so that they compress well."""
+
+    def packed(table):
+        table = table.sort_by([(c, "ascending") for c in COUNTED[:3]])
+        bucket = (table["place"].to_numpy().astype(np.int64) * buckets) >> 32
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        parts = []
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(table.slice(a, b - a).combine_chunks())
+            parts.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(parts, pa.binary())], names=["bucket", "counts"])
+
+    held, size = [], 0
+    for table in _phrases(batches, filters):
+        held.append(table)
+        size += len(table)
+        if size > PHRASES_AT_ONCE:
+            held = [_added(held)]
+            size = len(held[0])
+            if size > PHRASES_AT_ONCE // 2:
+                yield packed(held[0])
+                held, size = [], 0
+    if held:
+        yield packed(_added(held))
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], column: str):
+    """Of rows sorted by bucket the values of each bucket."""
+    now, held = None, []
+    for rows in batches:
+        for bucket, value in zip(rows.column("bucket").to_pylist(), rows.column(column).to_pylist(), strict=True):
+            if bucket != now and held:
+                yield held
+                held = []
+            now = bucket
+            held.append(value)
+    if held:
+        yield held
+
+
+def _frequent(batches: Iterator[pa.RecordBatch], least: int):
+    """Rows sorted by bucket: (lang, phrase, f) of phrases with f >= least, and of the null phrases."""
+    for held in _by_bucket(batches, "counts"):
+        found = _added([pa.ipc.open_stream(x).read_all() for x in held])
+        found = found.filter((pc.field("n") >= least) | pc.field("phrase").is_null())
+        yield from found.drop_columns("place").rename_columns(["lang", "phrase", "f"]).to_batches()
 
 
 def _ranges(phrases: DataFrame, key: Column, rows: int) -> list[tuple]:
@@ -292,19 +348,21 @@ def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
     # about six bytes to a word: this sizes filters and buckets only
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 6
     bits = min(MOST_BITS, max(LEAST_BITS, (8 * total // least).bit_length()))
+    width = max(36, min(48, bits + 14))  # so that hardly two phrases agree in them
     buckets = max(64, total // HASHES_A_BUCKET)
     context, filters = docs.sparkSession.sparkContext, []
     for _ in range(ORDERS):
         sent = context.broadcast(filters)
-        counts = texts.mapInArrow(lambda it, sent=sent: _hash_counts(it, sent.value, buckets), "bucket int, entries binary")
+        counts = texts.mapInArrow(lambda it, sent=sent: _hash_counts(it, sent.value, buckets, width), "bucket int, entries binary")
         counts = counts.repartition("bucket").sortWithinPartitions("bucket")
-        found = counts.mapInArrow(lambda it: _frequent_bits(it, least, bits), "word int, bits long").toArrow()  # a row for each 64 bits at most, and a bucket
+        found = counts.mapInArrow(lambda it: _frequent_bits(it, least, bits, width), "word int, bits long").toArrow()  # a row for each 64 bits at most, and a bucket
         filter = Filter(bits)
         filter.set(found["word"].to_numpy(), found["bits"].to_numpy().view(U))
         filters = [*filters, filter]
     sent = context.broadcast(filters)
-    counted = texts.mapInArrow(lambda it: _phrases(it, sent.value), "lang string, phrase string, n long")
-    counted = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(f"f >= {least} or phrase is null")
+    counted = texts.mapInArrow(lambda it: _phrase_counts(it, sent.value, buckets), "bucket int, counts binary")
+    counted = counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _frequent(it, least), "lang string, phrase string, f long")
+    # the words of all texts of a language are counted under a null phrase
     counted = written(counted.select("lang", F.split("phrase", " ").alias("words"), "f"), "phrases")
     return counted.where("words is not null"), counted.where("words is null").select("lang", F.col("f").alias("n"))
 

@@ -196,13 +196,13 @@ def test_hash_counts_add_up(monkeypatch):
             f.update(tuple(w[i : i + k]) for k in (1, 2, 3, 4) for i in range(len(w) - k + 1))
     filters = []
     for order in range(1, 5):
-        packed = pa.Table.from_batches(phrases._hash_counts(iter([texts]), filters, 3)).to_pylist()
+        packed = pa.Table.from_batches(phrases._hash_counts(iter([texts]), filters, 3, 40)).to_pylist()
         counts = Counter()
         for p in packed:
             for h, n in zip(*map(np.ndarray.tolist, phrases.unpack_counts(p["entries"])), strict=True):
                 counts[h] += n
         assert sorted(n for n in counts.values() if n >= 5) == sorted(n for p, n in f.items() if len(p) == order and n >= 5)
         ordered = pa.Table.from_pylist(sorted(packed, key=lambda p: p["bucket"]), pa.schema([("bucket", pa.int32()), ("entries", pa.binary())]))
-        bits = pa.Table.from_batches(phrases._frequent_bits(iter(ordered.to_batches()), 5, 20))
+        bits = pa.Table.from_batches(phrases._frequent_bits(iter(ordered.to_batches()), 5, 20, 40))
         filters.append(phrases.Filter(20))
         filters[-1].set(bits["word"].to_numpy(), bits["bits"].to_numpy().view(np.uint64))
