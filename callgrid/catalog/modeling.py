@@ -208,6 +208,38 @@ def _(t):
     return _scores(t, "AB", n_estimators=5)
 
 
+@query(
+    "classifier_knn",
+    """
+    WITH e AS (SELECT event_id, (event_type = 'purchase')::int AS y, hour(ts)::double AS a, (isodow(ts) - 1)::double AS b, floor(value / 20)::double AS c,
+                      CASE WHEN day(ts) <= 20 THEN 'train' ELSE 'test' END AS split FROM events),
+    q AS (SELECT DISTINCT a, b, c FROM e),
+    n AS (SELECT q.*, t.y, (q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b) + (q.c - t.c) * (q.c - t.c) AS d2,
+                 row_number() OVER (PARTITION BY q.a, q.b, q.c ORDER BY (q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b) + (q.c - t.c) * (q.c - t.c),
+                                    t.a, t.b, t.c, t.event_id) AS r FROM q, e t WHERE t.split = 'train' QUALIFY r <= 25),
+    s AS (SELECT a, b, c, avg(y) FILTER (r = 1) AS one, avg(y) FILTER (r <= 5) AS five,
+                 CASE WHEN min(d2) = 0 THEN avg(y) FILTER (d2 = 0) ELSE sum(y / sqrt(d2)) / sum(1 / sqrt(d2)) END AS weighted FROM n GROUP BY ALL)
+    SELECT event_id, split, round(one, 6) AS one, round(five, 6) AS five, round(weighted, 6) AS weighted FROM e JOIN s USING (a, b, c)
+    """,
+)
+def _(t):
+    rows = t.events.select(
+        "event_id",
+        (F.col("event_type") == "purchase").alias("y"),
+        F.hour("ts").alias("a"),
+        F.weekday("ts").alias("b"),
+        F.floor(F.col("value") / 20).alias("c"),
+        F.dayofmonth("ts").alias("day"),
+    )
+    train, test = rows.where("day <= 20"), rows.where("day > 20")
+    kinds = {"one": (1, "uniform"), "five": (5, "uniform"), "weighted": (25, "distance")}
+    found = [
+        m.fit_score(train, test, "y", "event_id", ["a", "b", "c"], "KNN", n_neighbors=k, weights=w).withColumnRenamed("score", name)
+        for name, (k, w) in kinds.items()
+    ]
+    return found[0].join(found[1], ["event_id", "split"]).join(found[2], ["event_id", "split"])
+
+
 @query("classifier_grid_metrics", digits=4)
 def _(t):
     from ..plans.training import run_grid

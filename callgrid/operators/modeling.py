@@ -11,6 +11,7 @@ import itertools
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.base import as_list, flag
+from .neighbours import neighbour_scores
 from .ordered import bucket_count, exact_quantiles
 
 # Parameter grids tried per classifier.
@@ -34,6 +35,8 @@ CLASSIFIER_GRID = {
     # A single tree looks at all features: Spark offers subsets of them to forests only.
     "DT": {"criterion": ["gini", "entropy"], "max_depth": [1, 5, 10, 20, 50, 100], "min_samples_split": [2, 5, 10]},
     "SVM": {},
+    # Ways to search that give the same neighbours are one here.
+    "KNN": {"n_neighbors": [1, 5, 10, 25, 50, 100], "weights": ["uniform", "distance"]},
 }
 # Parameter grids tried per regressor.
 REGRESSOR_GRID = {
@@ -236,8 +239,17 @@ def fit_score(
 ) -> DataFrame:
     """Train a classifier and return (key, score, split) with the score of class 1 for both sets.
 
-    For SVM the score is the margin, which orders rows as a probability would.
+    For SVM the score is the margin, which orders rows as a probability would. KNN keeps the train rows: the score is
+    the share of class 1 among a row's nearest ones.
     """
+    if estimator == "KNN":
+        both = test.select(key, *as_list(features), F.lit("test").alias("split")).unionByName(
+            train.select(key, *as_list(features), F.lit("train").alias("split"))
+        )
+        keyed = both.withColumn("__row", F.struct("split", key))
+        known = train.withColumn("__row", F.struct(F.lit("train").alias("split"), key))
+        scored = neighbour_scores(known, keyed, label, "__row", features, **params)
+        return scored.select(f"__row.{key}", "score", "__row.split")
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
