@@ -8,7 +8,7 @@ from .base import ORACLES, QUERIES
 
 _MODULES = (
     "text", "calendars", "cleaning", "filters", "joins", "aggregates", "windows", "series", "intervals", "ranking",
-    "scoring", "modeling", "spatial", "plans", "storage",
+    "scoring", "modeling", "spatial", "plans", "storage", "streams",
 )
 
 for _m in _MODULES:
