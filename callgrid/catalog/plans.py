@@ -309,10 +309,8 @@ def _(t):
 
 def _feature_days(t):
     """Samples from a stored feature table, as models are trained from one."""
-    rows = demand.demand_table(t.incidents, t.incidents, *demand.observed_hours(t.incidents))
-    # the 20 kinds of weather events, nearly all without a case here, would only widen the plan
-    specs = [s for s in demand_features.demand_specs() if s.name != "weather_event"]
-    found = checkpointed(demand_features.demand_features(rows, _sky(t), specs))
+    rows = checkpointed(demand.demand_table(t.incidents, t.incidents, *demand.observed_hours(t.incidents)))
+    found = checkpointed(demand_features.demand_features(rows, _sky(t), store=False))
     days, names = demand_features.daily_feature_samples(rows, found)
     return checkpointed(days), names
 
@@ -326,7 +324,8 @@ def _feature_days(t):
           FROM spine LEFT JOIN agg USING (station_name, h) LEFT JOIN r USING (station_name, h) GROUP BY ALL)
     SELECT strftime(d.day, '%Y-%m-%d') AS day, d.station_name, d.y AS trns_to_hosp, d.r AS m_required, coalesce(a.y, 0) AS trns_to_hosp_lag1,
            coalesce(b.y, 0) AS trns_to_hosp_lag7, (isodow(d.day) - 1)::double AS weekday, (isodow(d.day) > 5)::double AS time_weekend,
-           round(tmax, 5) AS common_weather_tmax, above::double AS temp_above, round(more, 5) AS relative_max_temperature
+           round(tmax, 5) AS common_weather_tmax, above::double AS temp_above, round(more, 5) AS relative_max_temperature,
+           round(hail, 5) AS weather_event_hail, round(rain, 5) AS weather_event_rain
     FROM d JOIN weather w ON w.day = d.day LEFT JOIN d a ON a.station_name = d.station_name AND a.day = d.day - 1
     LEFT JOIN d b ON b.station_name = d.station_name AND b.day = d.day - 7
     """,
@@ -335,7 +334,7 @@ def _feature_days(t):
 def _(t):
     return _feature_days(t)[0].select(
         "day", "station_name", "trns_to_hosp", "m_required", "trns_to_hosp_lag1", "trns_to_hosp_lag7", "weekday", "time_weekend",
-        "common_weather_tmax", "temp_above", "relative_max_temperature",
+        "common_weather_tmax", "temp_above", "relative_max_temperature", "weather_event_hail", "weather_event_rain",
     )
 
 

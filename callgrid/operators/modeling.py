@@ -280,6 +280,77 @@ def fit_per_group(
     return fit_grid_per_group(df, group, label, features, [run]).drop("model", "params")
 
 
+#: Up to so many features and label, moments are Spark's aggregates; a plan with one for each pair of more is dear to optimise.
+FEW_TERMS = 12
+
+
+def _moments_of_few(rows: DataFrame, groups: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """(groups, rows, __avg, __cov): means of the terms `__t`, and covariances of the pairs."""
+    t = [F.col("__t")[i] for i in range(pairs[-1][0] + 1)]
+    return rows.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.array(*[F.avg(x) for x in t]).alias("__avg"),
+        F.array(*[F.covar_pop(t[i], t[j]) for i, j in pairs]).alias("__cov"),
+    )
+
+
+def _moments_of_many(rows: DataFrame, groups: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """As `_moments_of_few`: every task adds up what it has of each group, one row of sums per task and group meets the others.
+
+    Sums are taken around means and put together around the common mean, so large values do not cancel.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    left, right = (np.array(x) for x in zip(*pairs, strict=True))
+    lists = pa.list_(pa.float64())
+
+    def added(a, b):
+        n = a[0] + b[0]
+        step = b[1] - a[1]
+        return n, a[1] + step * (b[0] / n), a[2] + b[2] + np.outer(step, step) * (a[0] * b[0] / n)
+
+    def as_table(keys: pa.Table, found: list) -> pa.Table:
+        covs = [(c / n)[left, right].tolist() for n, _, c in found]
+        keys = keys.append_column("rows", pa.array([n for n, _, _ in found], pa.int64()))
+        keys = keys.append_column("__avg", pa.array([m.tolist() for _, m, _ in found], lists))
+        return keys.append_column("__cov", pa.array(covs, lists))
+
+    def partial(batches):
+        held, where = {}, []
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            t = batch.column("__t").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            names = list(zip(*(table[g].to_pylist() for g in groups), strict=True))
+            of = {}
+            for i, name in enumerate(names):
+                of.setdefault(name, []).append(i)
+            for name, at in of.items():
+                x = t[at]
+                mean = x.mean(axis=0)
+                own = (len(at), mean, (x - mean).T @ (x - mean))
+                if name in held:
+                    held[name] = added(held[name], own)
+                else:
+                    held[name] = own
+                    where.append(table.select(groups).slice(at[0], 1))
+        if held:
+            yield from as_table(pa.concat_tables(where), list(held.values())).to_batches()
+
+    def merged(table: pa.Table) -> pa.Table:
+        total = None
+        for n, m, c in zip(*(table[k].to_pylist() for k in ("rows", "__avg", "__cov")), strict=True):
+            cov = np.zeros((len(m), len(m)))
+            cov[left, right] = cov[right, left] = np.array(c) * n
+            own = (n, np.array(m), cov)
+            total = own if total is None else added(total, own)
+        return as_table(table.select(groups).slice(0, 1), [total])
+
+    kinds = ", ".join(f"`{g}` {rows.schema[g].dataType.simpleString()}" for g in groups)
+    schema = f"{kinds}, rows bigint, __avg array<double>, __cov array<double>"
+    return rows.mapInArrow(partial, schema).groupBy(*groups).applyInArrow(merged, schema)
+
+
 def fit_grid_per_group(df: DataFrame, group, label: str, features, runs: list[dict]) -> DataFrame:
     """The linear models of every run for every group, as rows (group, model, params, rows, intercept, ...).
 
@@ -287,18 +358,12 @@ def fit_grid_per_group(df: DataFrame, group, label: str, features, runs: list[di
     rows of a group never meet in one place.
     """
     groups, names = as_list(group), as_list(features)
-    terms = [F.col(f).cast("double") for f in names] + [F.col(label).cast("double")]
-    size = len(terms)
-    rows = df.select(*groups, *[t.alias(f"__t{i}") for i, t in enumerate(terms)]).na.drop(
-        subset=[f"__t{i}" for i in range(size)]
-    )
-    t = [F.col(f"__t{i}") for i in range(size)]
+    size = len(names) + 1
+    # one column of all terms: a plan with a column for each is dear to optimise
+    terms = F.array(*[F.col(c).cast("double") for c in (*names, label)]).alias("__t")
+    rows = df.select(*groups, terms).where(~F.exists("__t", lambda x: x.isNull() | F.isnan(x)))
     pairs = [(i, j) for i in range(size) for j in range(i + 1)]
-    sums = rows.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.array(*[F.avg(x) for x in t]).alias("__avg"),
-        F.array(*[F.covar_pop(t[i], t[j]) for i, j in pairs]).alias("__cov"),
-    )
+    sums = (_moments_of_few if size <= FEW_TERMS else _moments_of_many)(rows, groups, pairs)
     kinds = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups)
     schema = (
         f"{kinds}, rows bigint, model string, params string, intercept double, "
@@ -364,9 +429,10 @@ def fit_grid_per_group(df: DataFrame, group, label: str, features, runs: list[di
 
 def predict_per_group(df: DataFrame, models: DataFrame, group, features, out: str = "pred") -> DataFrame:
     """Rows with the prediction of their group's linear model."""
-    guess = F.col("intercept")
-    for i, f in enumerate(as_list(features)):
-        guess = guess + F.col("coefficients")[i] * (F.col(f) - F.col("means")[i]) / F.col("scales")[i]
+    names = as_list(features)
+    given = F.array(*[F.col(f).cast("double") for f in names])
+    terms = F.transform(given, lambda x, i: F.col("coefficients")[i] * (x - F.col("means")[i]) / F.col("scales")[i])
+    guess = F.aggregate(terms, F.col("intercept"), lambda sum, x: sum + x)
     joined = df.join(models.drop("rows"), as_list(group), "left").withColumn(out, guess)
     return joined.drop("intercept", "coefficients", "means", "scales")
 

@@ -23,6 +23,7 @@ DEMAND_FEATURES = FeatureSet(
     {n: INCIDENT_FEATURES.functions[n] for n in _SHARED},
     {n: INCIDENT_FEATURES.needs[n] for n in _SHARED},
     {n for n in _SHARED if n in INCIDENT_FEATURES.lookups},
+    {n for n in _SHARED if n in INCIDENT_FEATURES.daily},
 )
 
 
@@ -31,10 +32,13 @@ def demand_specs() -> list[FeatureSpec]:
 
 
 def demand_features(
-    demand: DataFrame, context: dict, specs: list[FeatureSpec] | None = None, pk: str = "pk_demand"
+    demand: DataFrame, context: dict, specs: list[FeatureSpec] | None = None, pk: str = "pk_demand", store: bool = True
 ) -> DataFrame:
-    """The key and all wanted features of the demand table; `context` holds weather, weather_kinds, moon (and census)."""
-    return DEMAND_FEATURES.apply(demand, demand_specs() if specs is None else specs, pk, context)
+    """The key and all wanted features of the demand table; `context` holds weather, weather_kinds, moon (and census).
+
+    The table is written before it is read, unless `store` is off because it has been already.
+    """
+    return DEMAND_FEATURES.apply(demand, demand_specs() if specs is None else specs, pk, context, store)
 
 
 def daily_feature_samples(

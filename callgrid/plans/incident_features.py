@@ -83,7 +83,7 @@ def trns_or_refused(df, context):
     return flagged.withColumn("trns_or_refused", F.col("trns_or_refused") | F.col("trns_to_hosp"))
 
 
-@_feature("within_1day_full_moon", lookup=True)
+@_feature("within_1day_full_moon", lookup=True, daily=True)
 def within_1day_full_moon(df, context):
     full = context["moon"].where(F.col("phase") == "Full Moon")
     return near_date_flag(df, full, TS, "date", 1, "within_1day_full_moon")
@@ -91,8 +91,7 @@ def within_1day_full_moon(df, context):
 
 def _measured(context: dict) -> DataFrame:
     """Measurements within the days of the incidents."""
-    weather, ends = context["weather"], context["base"].agg(F.to_date(F.min(TS)).alias("a"), F.to_date(F.max(TS)).alias("b"))
-    return weather.where(F.col("date").between(ends.select("a").scalar(), ends.select("b").scalar()))
+    return context["weather"].where(F.col("date").between(F.lit(context["first_day"]), F.lit(context["last_day"])))
 
 
 def _prefixed(daily: DataFrame, prefix: str) -> DataFrame:
@@ -104,37 +103,37 @@ def _join_filled(df: DataFrame, daily: DataFrame) -> DataFrame:
     return join_daily(df, daily, TS).na.fill(0.0, new)
 
 
-@_feature("common_weather", lookup=True)
+@_feature("common_weather", lookup=True, daily=True)
 def common_weather(df, context):
     """One column per measured kind; `context["weather_kinds"]` lists the kinds, so that no job is needed to find them."""
     weather = _measured(context).where(~F.col("datatype").startswith("WT"))
     return _join_filled(df, _prefixed(daily_pivot(weather, "date", "datatype", "value", context["weather_kinds"]), "common_weather"))
 
 
-@_feature("weather_event", lookup=True)
+@_feature("weather_event", lookup=True, daily=True)
 def weather_event(df, context):
     weather = _measured(context)
     return _join_filled(df, _prefixed(daily_event_pivot(weather, "date", "datatype", "value", WEATHER_EVENTS), "weather_event"))
 
 
-@_feature("temp_above", lookup=True)
+@_feature("temp_above", lookup=True, daily=True)
 def temp_above(df, context):
     hot = context["weather"].where(F.col("datatype") == "TMAX")
     return join_daily(df, daily_threshold(hot, "date", "value", "max", ">=", 90, "temp_above"), TS)
 
 
-@_feature("temp_below", lookup=True)
+@_feature("temp_below", lookup=True, daily=True)
 def temp_below(df, context):
     cold = context["weather"].where(F.col("datatype") == "TMIN")
     return join_daily(df, daily_threshold(cold, "date", "value", "min", "<=", 25, "temp_below"), TS)
 
 
-@_feature("relative_max_temperature", needs="common_weather")
+@_feature("relative_max_temperature", needs="common_weather", daily=True)
 def relative_max_temperature(df, context):
     return change_vs_delayed(df, TS, "common_weather_tmax", 7, "relative_max_temperature")
 
 
-@_feature("relative_min_temperature", needs="common_weather")
+@_feature("relative_min_temperature", needs="common_weather", daily=True)
 def relative_min_temperature(df, context):
     return change_vs_delayed(df, TS, "common_weather_tmin", 7, "relative_min_temperature")
 

@@ -242,3 +242,23 @@ def test_streaming_equals_batch(spark, tmp_path):
     got = spark.read.parquet(out)
     missing = closed.join(got, ["time_created", "g", "total_incidents", "y"], "left_anti")
     assert got.count() > 0 and missing.count() == 0
+
+
+def test_moments_of_many_terms_equal_those_of_few(spark):
+    """Means far from 0 and small spreads: sums of squares around 0 would lose them."""
+    data = [(i % 3 if i % 3 else None, [1e8 + (i * k * 37 % 101) for k in range(1, 6)]) for i in range(300)]
+    df = spark.createDataFrame(data, "g int, __t array<double>").repartition(7)
+    pairs = [(i, j) for i in range(5) for j in range(i + 1)]
+    few, many = ({r["g"]: r for r in f(df, ["g"], pairs).collect()} for f in (m._moments_of_few, m._moments_of_many))
+    assert set(few) == set(many) == {None, 1, 2}
+    for g, a in few.items():
+        assert a["rows"] == many[g]["rows"] and a["__avg"] == pytest.approx(many[g]["__avg"])
+        assert a["__cov"] == pytest.approx(many[g]["__cov"], rel=1e-6, abs=1e-4)
+    assert m._moments_of_many(df.limit(0), ["g"], pairs).collect() == []
+
+
+def test_demand_features_read_the_base_few_times(spark):
+    from callgrid.catalog import QUERIES
+
+    plan = QUERIES["demand_feature_table"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 20
