@@ -209,15 +209,15 @@ def _cuts(first: int, last: int) -> str:
 @query(
     "k_search",
     f"""
-    WITH e AS (SELECT event_type, (user_id % 3 = 0)::int AS y, value AS score FROM events WHERE event_type IN ('view', 'click')),
-    l AS (SELECT unnest(range(30, 81)) / 100.0::double AS k, unnest(quantile_cont(score, {_cuts(30, 80)})) AS level FROM e WHERE event_type = 'view'),
-    m AS (SELECT unnest(range(60, 91)) / 100.0::double AS k, unnest(quantile_cont(score, {_cuts(60, 90)})) AS level FROM e WHERE event_type = 'click'),
+    WITH e AS (SELECT event_type <> 'error' AS low, (user_id % 3 = 0)::int AS y, value AS score FROM events),
+    l AS (SELECT unnest(range(30, 81)) / 100.0::double AS k, unnest(quantile_cont(score, {_cuts(30, 80)})) AS level FROM e WHERE low),
+    m AS (SELECT unnest(range(60, 91)) / 100.0::double AS k, unnest(quantile_cont(score, {_cuts(60, 90)})) AS level FROM e WHERE NOT low),
     ls AS (SELECT k, level, sum((y = 0 AND score < level)::int) AS tn,
                   sum(CASE WHEN score >= level THEN CASE WHEN y = 1 THEN 1 ELSE -1 END ELSE CASE WHEN y = 1 THEN -1 ELSE 1.7 END END) AS w
-           FROM l, e WHERE event_type = 'view' GROUP BY ALL),
+           FROM l, e WHERE low GROUP BY ALL),
     ms AS (SELECT k, level, sum((y = 0 AND score < level)::int) AS tn,
                   sum(CASE WHEN score >= level THEN CASE WHEN y = 1 THEN 3 ELSE -1 END ELSE CASE WHEN y = 1 THEN -3 ELSE 1 END END) AS w
-           FROM m, e WHERE event_type = 'click' GROUP BY ALL),
+           FROM m, e WHERE NOT low GROUP BY ALL),
     t AS (SELECT count(*) AS n FROM e)
     SELECT ls.k AS k_low, ms.k AS k_medium, round(ls.level, 4) AS level_low, round(ms.level, 4) AS level_medium,
            round((ls.w + ms.w)::double, 4) AS score, round((ls.tn + ms.tn) / n, 4) AS tn_share
@@ -226,11 +226,10 @@ def _cuts(first: int, last: int) -> str:
     digits=4,
 )
 def _(t):
-    e = t.events.where("event_type in ('view', 'click')").select(
-        "event_type", (F.col("user_id") % 3 == 0).cast("int").alias("y"), F.col("value").alias("score")
-    )
+    low = (F.col("event_type") != "error").alias("low")
+    e = t.events.select(low, (F.col("user_id") % 3 == 0).cast("int").alias("y"), F.col("value").alias("score"))
     total = e.agg(F.count("*").alias("n")).scalar()
-    return sc.k_search(e.where("event_type = 'view'"), e.where("event_type = 'click'"), "y", "score", total)
+    return sc.k_search(e.where("low"), e.where("not low"), "y", "score", total)
 
 
 @query(

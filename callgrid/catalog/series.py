@@ -96,6 +96,18 @@ def _(t):
     return s.moving_average(s.regular_series(t.events, "ts", "day"), None, "t", "n")
 
 
+@query(
+    "moving_average_in_stretches",
+    f"""
+    WITH {_SERIES}
+    SELECT strftime(t, '%Y-%m-%d %H:%M:%S') AS t, n, round(sum(n) OVER (ORDER BY t ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING) / 7, 6) AS mean
+    FROM series
+    """,
+)
+def _(t):
+    return s.moving_average(s.regular_series(t.events, "ts", "day"), None, "t", "n", stretch=5)
+
+
 _ACF = """
     h AS (SELECT date_trunc('hour', ts) AS t, count(*) AS n FROM events GROUP BY 1),
     hs AS (SELECT row_number() OVER (ORDER BY t) AS i, coalesce(n, 0) AS n
@@ -111,6 +123,11 @@ def _(t):
     return s.acf(s.regular_series(t.events, "ts", "hour"), "t", "n")
 
 
+@query("autocorrelation_in_stretches", f"WITH {_ACF} SELECT lag, round(acf, 6) AS acf FROM acf")
+def _(t):
+    return s.acf(s.regular_series(t.events, "ts", "hour"), "t", "n", stretch=100)
+
+
 @query(
     "autocorrelation_per_group",
     f"""
@@ -127,6 +144,22 @@ def _(t):
     return s.acf(s.regular_series(t.incidents, "time_created", "hour", "station_name"), "t", "n", 24, "station_name")
 
 
+@query(
+    "autocorrelation_per_group_in_stretches",
+    f"""
+    WITH {INCIDENTS}, c AS (SELECT station_name, date_trunc('hour', time_created) AS t, count(*) AS n FROM incidents GROUP BY ALL),
+    cal AS (SELECT station_name, unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS t FROM c GROUP BY 1),
+    s AS (SELECT station_name, t, coalesce(n, 0) - avg(coalesce(n, 0)) OVER (PARTITION BY station_name) AS d FROM cal LEFT JOIN c USING (station_name, t)),
+    v AS (SELECT station_name, sum(d * d) AS v FROM s GROUP BY 1),
+    k AS (SELECT unnest(range(25)) AS k),
+    p AS (SELECT a.station_name, k, sum(a.d * b.d) AS p FROM s a CROSS JOIN k JOIN s b ON b.station_name = a.station_name AND b.t = a.t - to_hours(k) GROUP BY ALL)
+    SELECT station_name, k AS lag, round(p / v, 6) AS acf FROM p JOIN v USING (station_name)
+    """,
+)
+def _(t):
+    return s.acf(s.regular_series(t.incidents, "time_created", "hour", "station_name"), "t", "n", 24, "station_name", stretch=50)
+
+
 @query(
     "partial_autocorrelation",
     f"""
@@ -165,6 +198,27 @@ def _(t):
     return s.granger_f(days, "day", "y", "x", 1)
 
 
+@query(
+    "granger_f_in_stretches",
+    """
+    WITH a AS (SELECT cast(o_orderdate AS date) AS day, count(*) FILTER (o_orderstatus = 'F') AS y, count(*) FILTER (o_orderstatus = 'O') AS x
+               FROM orders GROUP BY 1),
+    l AS (SELECT y::double AS y, lag(y) OVER (ORDER BY day)::double AS y1, lag(x) OVER (ORDER BY day)::double AS x1 FROM a),
+    s AS (SELECT count(*) AS n, covar_pop(y, y) AS yy, covar_pop(y1, y1) AS aa, covar_pop(x1, x1) AS bb, covar_pop(y, y1) AS ya,
+                 covar_pop(y, x1) AS yb, covar_pop(y1, x1) AS ab FROM l WHERE y1 IS NOT NULL),
+    r AS (SELECT n, n * (yy - ya * ya / aa) AS restricted,
+                 n * (yy - (ya * (ya * bb - yb * ab) + yb * (yb * aa - ya * ab)) / (aa * bb - ab * ab)) AS full_ FROM s)
+    SELECT 1 AS lag, n, round(restricted, 4) AS ssr_restricted, round(full_, 4) AS ssr_full, 1 AS df_num, n - 3 AS df_denom,
+           round((restricted - full_) / (full_ / (n - 3)), 4) AS f_stat FROM r
+    """,
+    digits=4,
+)
+def _(t):
+    status = lambda v: F.sum((F.col("o_orderstatus") == v).cast("int"))
+    days = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(status("F").alias("y"), status("O").alias("x"))
+    return s.granger_f(days, "day", "y", "x", 1, stretch=40)
+
+
 @query("granger_f_five_lags")
 def _(t):
     status = lambda v: F.sum((F.col("o_orderstatus") == v).cast("int"))

@@ -45,6 +45,33 @@ def _signed_area(e: Column) -> Column:
     return F.aggregate(e, F.lit(0.0), lambda s, k: s + (k["x1"] * k["y2"] - k["x2"] * k["y1"])) / 2
 
 
+def oriented_edges(rings: Col) -> Column:
+    """The edges of a polygon of several rings, parts and holes, in whatever order and direction they come.
+
+    A ring that an even number of the others surround is the outline of a part and runs counter-clockwise, the others are holes
+    and run clockwise. So signed areas of the edges add up to the area between the rings. A ring counts as surrounded if more
+    than half of its corners are, as rings may touch.
+    """
+
+    def one(ring: Column) -> Column:
+        own = edges(ring)
+        surrounded = lambda other: F.aggregate(
+            own, F.lit(0), lambda n, k: n + F.when(contains(edges(other), k["x1"], k["y1"]), F.lit(2)).otherwise(F.lit(0))
+        ) > F.size(own)
+        around = F.size(F.filter(col(rings), lambda other: (other != ring) & surrounded(other)))
+        wanted = F.when(around % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+        turned = F.transform(own, lambda k: F.struct(k["x2"].alias("x1"), k["y2"].alias("y1"), k["x1"].alias("x2"), k["y1"].alias("y2")))
+        return F.when(F.signum(_signed_area(own)) == wanted, own).otherwise(turned)
+
+    return F.flatten(F.transform(col(rings), one))
+
+
+def reprojected(rings: Col, several: bool = False, params: dict | None = None) -> Column:
+    """A ring, or several, in plane feet (or metres) as longitudes x and latitudes y, corner by corner."""
+    one = lambda ring: F.transform(ring, lambda p: lcc_to_lonlat(p["x"], p["y"], params))
+    return F.transform(col(rings), one) if several else one(col(rings))
+
+
 def edges_area(e: Col) -> Column:
     return F.abs(_signed_area(col(e)))
 
@@ -117,8 +144,8 @@ def overlap_area(ea: Col, eb: Col) -> Column:
     return F.greatest(total * orientation, F.lit(0.0))
 
 
-def intersects(ea: Col, eb: Col) -> Column:
-    """True where two polygons share at least one point, borders included."""
+def intersects(ea: Col, eb: Col, several: bool = False) -> Column:
+    """True where two polygons share at least one point, borders included; `several` where one of them may have parts or holes."""
     a, b = col(ea), col(eb)
 
     def side(k: Column, x: Column, y: Column) -> Column:
@@ -138,6 +165,9 @@ def intersects(ea: Col, eb: Col) -> Column:
         )
 
     borders = F.exists(a, lambda p: F.exists(b, lambda q: meet(p, q)))
+    if several:  # without a meeting of borders a part lies inside as a whole or not at all, so one corner of each part tells
+        any_inside = lambda p, q: F.exists(p, lambda k: contains(q, k["x1"], k["y1"]))
+        return borders | any_inside(a, b) | any_inside(b, a)
     first_a, first_b = F.get(a, F.lit(0)), F.get(b, F.lit(0))
     inside = contains(b, first_a["x1"], first_a["y1"]) | contains(a, first_b["x1"], first_b["y1"])
     return borders | inside

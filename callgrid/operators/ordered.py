@@ -270,3 +270,27 @@ def exact_quantiles(
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         finish.append((lo * (1 - share) + hi * share).alias(name))
     return ranked.groupBy(*keys).agg(F.max("rows").alias("rows"), *columns).select(*keys, *finish)
+
+
+#: Rows of a stretch of a series.
+STRETCH_ROWS = 1 << 17
+
+
+def with_halo(
+    df: DataFrame, order, keys=(), back: int = 0, ahead: int = 0, stretch: int | None = None, out: str = "__stretch", home: str = "__home"
+) -> DataFrame:
+    """Rows in stretches of a key's order, each with the `back` rows before it and the `ahead` rows after it.
+
+    A window over (keys, `out`) then sees what a window over the keys would see around every row; copies have `home` false
+    and are to be dropped afterwards. Rows are counted along the order first, so a stretch always has the same number of
+    rows and no row is farther away than in the next stretch. `stretch` is that number; without it small inputs, by the size
+    of their files, are one stretch that needs no counting.
+    """
+    if stretch is None and bucket_count(df) <= 1:
+        return df.withColumns({out: F.lit(0).cast("bigint"), home: F.lit(True)})
+    size = max(stretch or STRETCH_ROWS, back, ahead, 1)
+    placed = row_positions(df, order, keys, "__position", None if stretch is None else 8)
+    own = F.floor(F.col("__position") / size)
+    first = F.greatest(F.floor((F.col("__position") - ahead) / size), F.lit(0))
+    places = F.sequence(first, F.floor((F.col("__position") + back) / size))
+    return placed.withColumn(out, F.explode(places)).withColumn(home, F.col(out) == own).drop("__position")

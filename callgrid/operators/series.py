@@ -1,4 +1,8 @@
-"""Regular series per group. Partitions of the windows here are bounded by the number of time steps."""
+"""Regular series per group.
+
+What looks at rows nearby works in stretches of a series, each with the few rows around it that it needs, so that one long
+series is many tasks. `stretch` sets the rows of a stretch; without it small inputs are one.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.base import as_list
 from .joins import lag_by_key
+from .ordered import neighbour, running_sum, with_halo
 
 
 def label_lags(df: DataFrame, day: str, group, label: str, lags=(1, 7)) -> DataFrame:
@@ -40,10 +45,12 @@ def lag1_predictor(df: DataFrame, group, day: str, column: str, out: str = "pred
     return df.withColumn(out, F.lag(column).over(w)).where(F.col(out).isNotNull() & (F.col(column) != 0))
 
 
-def moving_average(df: DataFrame, group, t: str, column: str, n: int = 7, out: str = "mean") -> DataFrame:
+def moving_average(df: DataFrame, group, t: str, column: str, n: int = 7, out: str = "mean", stretch: int | None = None) -> DataFrame:
     """Mean of a row and the n - 1 rows after it; at the end the missing rows count 0."""
-    w = W.partitionBy(*as_list(group)).orderBy(t).rowsBetween(0, n - 1)
-    return df.withColumn(out, F.sum(column).over(w) / n)
+    groups = as_list(group)
+    rows = with_halo(df, t, groups, ahead=n - 1, stretch=stretch)
+    w = W.partitionBy(*groups, "__stretch").orderBy(t).rowsBetween(0, n - 1)
+    return rows.withColumn(out, F.sum(column).over(w) / n).where("__home").select(*df.columns, out)
 
 
 def rolling_mean_daily(df: DataFrame, group, ts: str, days: int = 7, out: str = "mean") -> DataFrame:
@@ -62,24 +69,35 @@ def rolling_mean_daily(df: DataFrame, group, ts: str, days: int = 7, out: str =
 
 def first_difference(df: DataFrame, group, t: str, column: str, out: str = "diff") -> DataFrame:
     """Change from the previous row; the first row of a group has none and is dropped."""
-    w = W.partitionBy(*as_list(group)).orderBy(t)
-    return df.withColumn(out, F.col(column) - F.lag(column).over(w)).where(F.col(out).isNotNull())
+    before = neighbour(df, {"__before": column}, t, group)
+    return before.withColumn(out, F.col(column) - F.col("__before")).where(F.col(out).isNotNull()).drop("__before")
 
 
 def integrate(df: DataFrame, group, t: str, diff: str, start: str, out: str = "level") -> DataFrame:
     """Levels from differences and a start value."""
-    w = W.partitionBy(*as_list(group)).orderBy(t).rowsBetween(W.unboundedPreceding, 0)
-    return df.withColumn(out, F.col(start) + F.sum(diff).over(w))
+    summed = running_sum(df, F.col(diff), t, group, "__sum")
+    return summed.withColumn(out, F.col(start) + F.col("__sum")).drop("__sum")
+
 
+def _centred(df: DataFrame, column: str, groups: list[str]) -> DataFrame:
+    """Add `__d`, the distance of a value from the mean of its group."""
+    value = F.col(column).cast("double")
+    if not groups:
+        return df.withColumn("__d", value - df.agg(F.avg(value)).scalar())
+    means = df.groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)]).agg(F.avg(value).alias("__mean"))
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    return df.join(means, same).withColumn("__d", value - F.col("__mean"))
 
-def acf(df: DataFrame, t: str, column: str, nlags: int = 40, group=None) -> DataFrame:
+
+def acf(df: DataFrame, t: str, column: str, nlags: int = 40, group=None, stretch: int | None = None) -> DataFrame:
     """Autocorrelation for lags 0 .. nlags of a gap-free series, as rows (group, lag, acf)."""
     groups = as_list(group)
-    whole, w = W.partitionBy(*groups), W.partitionBy(*groups).orderBy(t)
-    centred = df.withColumn("__d", F.col(column).cast("double") - F.avg(column).over(whole))
-    lagged = centred.select(
-        *groups, "__d", *[F.lag("__d", k).over(w).alias(f"__d{k}") for k in range(1, nlags + 1)]
-    )
+    rows = with_halo(_centred(df, column, groups).select(*groups, t, "__d"), t, groups, back=nlags, stretch=stretch)
+    w = W.partitionBy(*groups, "__stretch").orderBy(t)
+    lags = [F.lag("__d", k).over(w).alias(f"__d{k}") for k in range(1, nlags + 1)]
+    lagged = rows.select(*groups, "__d", "__home", *lags).where("__home")
     square = F.sum(F.col("__d") * F.col("__d"))
     values = [F.try_divide(square, square)] + [
         F.try_divide(F.coalesce(F.sum(F.col("__d") * F.col(f"__d{k}")), F.lit(0.0)), square) for k in range(1, nlags + 1)
@@ -89,10 +107,10 @@ def acf(df: DataFrame, t: str, column: str, nlags: int = 40, group=None) -> Data
     return packed.select(*groups, F.explode("__a").alias("__r")).select(*groups, "__r.lag", "__r.acf")
 
 
-def pacf(df: DataFrame, t: str, column: str, nlags: int = 40, group=None) -> DataFrame:
+def pacf(df: DataFrame, t: str, column: str, nlags: int = 40, group=None, stretch: int | None = None) -> DataFrame:
     """Partial autocorrelation by the Durbin-Levinson recursion on the nlags + 1 autocorrelations of each group."""
     groups = as_list(group)
-    series = acf(df, t, column, nlags, group)
+    series = acf(df, t, column, nlags, group, stretch)
     kinds = ", ".join(f"`{g}` {series.schema[g].dataType.simpleString()}" for g in groups)
 
     def recursion(pdf):
@@ -114,7 +132,7 @@ def pacf(df: DataFrame, t: str, column: str, nlags: int = 40, group=None) -> Dat
     return keyed.groupBy(*(groups or ["__all"])).applyInPandas(recursion, schema)
 
 
-def granger_f(df: DataFrame, t: str, y: str, x: str, max_lag: int = 5) -> DataFrame:
+def granger_f(df: DataFrame, t: str, y: str, x: str, max_lag: int = 5, stretch: int | None = None) -> DataFrame:
     """Does x help to predict y? F statistic of adding 1 .. max_lag lags of x to a regression of y on its own lags.
 
     Spark sums the cross products of the lag columns; the normal equations of at most 2 * max_lag + 1 unknowns are
@@ -122,7 +140,8 @@ def granger_f(df: DataFrame, t: str, y: str, x: str, max_lag: int = 5) -> DataFr
     """
     import numpy as np
 
-    w = W.orderBy(t)
+    rows = with_halo(df.select(t, y, x), t, back=max_lag, stretch=stretch)
+    w = W.partitionBy("__stretch").orderBy(t)
     means = dict(zip((y, x), df.agg(F.avg(y), F.avg(x)).first(), strict=True))
     names, cols = {}, []
     for k in range(max_lag + 1):
@@ -130,7 +149,7 @@ def granger_f(df: DataFrame, t: str, y: str, x: str, max_lag: int = 5) -> DataFr
             names[kind, k] = f"{kind}{k}"
             value = (F.col(c) if k == 0 else F.lag(c, k).over(w)).cast("double")
             cols.append((value - F.lit(float(means[c] or 0.0))).alias(f"{kind}{k}"))
-    lagged = df.select(*cols)
+    lagged = rows.select("__home", *cols).where("__home")
     aggs = []
     terms = {}
     for lag in range(1, max_lag + 1):

@@ -17,8 +17,8 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def with_edges(polys: DataFrame, ring: str, several: bool = False) -> DataFrame:
-    """Replace the ring column by the edge list `edges` and the bounding box."""
-    edged = polys.withColumn("edges", g.edges(ring, several)).drop(ring)
+    """Replace the ring column by the edge list `edges` and the bounding box; `several`: rings are parts and holes."""
+    edged = polys.withColumn("edges", g.oriented_edges(ring) if several else g.edges(ring)).drop(ring)
     return edged.where(F.size("edges") >= 3).select("*", *g.bounds("edges"))
 
 
@@ -138,6 +138,42 @@ def point_in_polygon(
     return points.join(best, same, "left").select(*points.columns, *[F.col("__best")[c].alias(c) for c in keep])
 
 
+def first_of_layers(
+    points: DataFrame, layers: list[DataFrame], x: str, y: str, ring: str, key, cell: float | None = None, several: bool = False
+) -> DataFrame:
+    """(key, x, y, columns of every layer) of the points that lie in a polygon of some layer, one row per key and place.
+
+    All layers share one list of cells, so a point is looked up once, whatever their number. Where polygons of a layer
+    overlap, a point has the one that is first by its columns; a layer in which it has none gives NULL.
+    """
+    edged = [with_cell_size(with_edges(p, ring, several), cell) for p in layers]
+    names = [[c for c in p.columns if c != ring] for p in layers]
+    own = list(dict.fromkeys([*as_list(key), x, y]))
+    kinds = [p.select(*n).schema for p, n in zip(layers, names, strict=True)]
+    sizes = sizes_in_use(*edged)
+    if not sizes:
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for kind in kinds for f in kind]
+        return points.select(*own, *none).limit(0)
+    listed = None
+    for i, (polys, columns) in enumerate(zip(edged, names, strict=True)):
+        best = [F.struct(*columns) if i == j else F.lit(None).cast(kind) for j, kind in enumerate(kinds)]
+        cells = classified_cells(polys).select(
+            *[b.alias(f"__best{j}") for j, b in enumerate(best)],
+            "edges",
+            F.col("size").alias("__size"),
+            F.col("cell_x").alias("__cx"),
+            F.col("cell_y").alias("__cy"),
+        )
+        listed = cells if listed is None else listed.unionByName(cells)
+    listed = sized_for_join(listed)
+    asked = points.select(*own).withColumn("__at", F.explode(F.array(*map(F.lit, sizes))) if len(sizes) > 1 else F.lit(sizes[0]))
+    asked = asked.withColumns({"cell_x": _cell(x, F.col("__at")), "cell_y": _cell(y, F.col("__at"))})
+    inside = F.col("edges").isNull() | g.contains("edges", x, y)
+    on = (F.col("__at") == F.col("__size")) & (F.col("cell_x") == F.col("__cx")) & (F.col("cell_y") == F.col("__cy"))
+    found = asked.join(listed, on & inside).groupBy(*own).agg(*[F.min(f"__best{i}").alias(f"__best{i}") for i in range(len(layers))])
+    return found.select(*own, *[F.col(f"__best{i}")[c].alias(c) for i, columns in enumerate(names) for c in columns])
+
+
 _BOX = ("min_x", "min_y", "max_x", "max_y")
 
 
@@ -167,11 +203,14 @@ def _candidates(a: DataFrame, b: DataFrame, a_key: str, b_key: str, cell: float
 
 
 def overlap_weights(
-    polys_a: DataFrame, polys_b: DataFrame, a_key: str, b_key: str, ring: str, cell: float | None = None
+    polys_a: DataFrame, polys_b: DataFrame, a_key: str, b_key: str, ring: str, cell: float | None = None, several: bool = False
 ) -> DataFrame:
-    """(a_key, b_key, multiplier) of polygons that meet; the multiplier is area(a and b) / area(b)."""
-    a, b = with_edges(polys_a.select(a_key, ring), ring), with_edges(polys_b.select(b_key, ring), ring)
-    return _candidates(a, b, a_key, b_key, cell).where(g.intersects("a_edges", "b_edges")).select(
+    """(a_key, b_key, multiplier) of polygons that meet; the multiplier is area(a and b) / area(b).
+
+    With `several` the column of both layers has arrays of rings, parts and holes.
+    """
+    a, b = with_edges(polys_a.select(a_key, ring), ring, several), with_edges(polys_b.select(b_key, ring), ring, several)
+    return _candidates(a, b, a_key, b_key, cell).where(g.intersects("a_edges", "b_edges", several)).select(
         F.col("__a").alias(a_key),
         F.col("__b").alias(b_key),
         F.try_divide(g.overlap_area("a_edges", "b_edges"), g.edges_area("b_edges")).alias("multiplier"),
@@ -179,12 +218,12 @@ def overlap_weights(
 
 
 def intersects_any(
-    polys: DataFrame, other: DataFrame, key: str, ring: str, other_key: str, cell: float | None = None
+    polys: DataFrame, other: DataFrame, key: str, ring: str, other_key: str, cell: float | None = None, several: bool = False
 ) -> DataFrame:
-    """Polygons that meet at least one polygon of another layer."""
-    a, b = with_edges(polys.select(key, ring), ring), with_edges(other.select(other_key, ring), ring)
+    """Polygons that meet at least one polygon of another layer; with `several`, of rings that are parts and holes."""
+    a, b = with_edges(polys.select(key, ring), ring, several), with_edges(other.select(other_key, ring), ring, several)
     pairs = _candidates(a, b, key, other_key, cell)
-    hits = pairs.where(g.intersects("a_edges", "b_edges")).select(F.col("__a").alias(key)).distinct()
+    hits = pairs.where(g.intersects("a_edges", "b_edges", several)).select(F.col("__a").alias(key)).distinct()
     return polys.join(hits, key, "left_semi")
 
 

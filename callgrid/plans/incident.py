@@ -13,7 +13,8 @@ from ..functions.geometry import lcc_to_lonlat
 from ..functions.text import split_code, strip_leading_zero
 from ..operators import filters, joins
 from ..operators.aggregates import concat_text, first_per_key, max_per_key
-from ..operators.spatial import point_in_polygon
+from ..operators.spatial import first_of_layers
+from ..sources.scratch import checkpointed
 
 # Column names of the input tables.
 EVENT = "i_eventnumber"
@@ -65,32 +66,21 @@ def reports_per_event(reports: DataFrame) -> DataFrame:
 
 
 def patient_care(events: DataFrame, care: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(comments, patient details), one row per event each, from t_incident, t_case, t_comment and t_patient."""
-    keys = events.select("incident")
-    link, case = care["t_incident"].select("INCIDENTN", "KEY_INCIDENT"), care["t_case"]
-    comments = joins.event_comments(
-        keys,
-        link,
-        case.select(F.col("KEY_INCIDENT").alias("__inc"), "KEY_CASE"),
-        care["t_comment"].select(F.col("KEY_CASE").alias("__case"), "COMMENTTEXT"),
-        ("incident", "INCIDENTN"),
-        ("KEY_INCIDENT", "__inc"),
-        ("KEY_CASE", "__case"),
-    )
-    patients = joins.event_patients(
-        keys,
-        link,
-        case.select(F.col("KEY_INCIDENT").alias("__inc"), "KEY_PATIENT"),
-        care["t_patient"].select(
-            F.col("KEY_PATIENT").alias("__patient"), *[F.col(c).alias(n) for c, n in PATIENT_COLUMNS.items()]
-        ),
-        ("incident", "INCIDENTN"),
-        ("KEY_INCIDENT", "__inc"),
-        ("KEY_PATIENT", "__patient"),
-    )
+    """(comments, patient details), one row per event each, from t_incident, t_case, t_comment and t_patient.
+
+    The way from events to cases is the same for both: it is taken once, and written with the few columns of the patients.
+    """
+    link = care["t_incident"].select(F.col("INCIDENTN").alias("incident"), F.col("KEY_INCIDENT").alias("__inc"))
+    cases = care["t_case"].select(F.col("KEY_INCIDENT").alias("__inc"), "KEY_CASE", F.col("KEY_PATIENT").alias("__patient"))
+    names = list(PATIENT_COLUMNS.values())
+    patients = care["t_patient"].select(F.col("KEY_PATIENT").alias("__patient"), *[F.col(c).alias(n) for c, n in PATIENT_COLUMNS.items()])
+    patients = max_per_key(patients, "__patient", names).withColumn("__known", F.lit(True))
+    of_events = link.join(events.select("incident"), "incident", "left_semi").join(cases, "__inc").join(patients, "__patient", "left")
+    of_events = checkpointed(of_events.select("incident", "KEY_CASE", "__known", *names))
+    comments = of_events.select("incident", "KEY_CASE").join(care["t_comment"].select("KEY_CASE", "COMMENTTEXT"), "KEY_CASE")
     return (
         concat_text(comments, "incident", "COMMENTTEXT", ["COMMENTTEXT"]),
-        max_per_key(patients, "incident", list(PATIENT_COLUMNS.values())),
+        max_per_key(of_events.where("__known"), "incident", names),
     )
 
 
@@ -112,12 +102,15 @@ def incident_table(
     joins; without it, each area has cells of its own size.
     """
     events = distinct_events(incidents, dispositions, start)
-    known = events.select("incident")
-    for layer, name in ((block_groups, "geoid"), (stations, "station_name")):
-        if layer is None:
-            events = events.withColumn(name, F.lit(None).cast("string"))
-        else:
-            events = point_in_polygon(events, layer.select(name, "ring"), "x", "y", "ring", cell, how="left", key="incident")
+    recent = filters.since(incidents, "i_ttimecreate", start).withColumnRenamed(EVENT, "incident")
+    layers = {n: layer.select(n, "ring") for n, layer in (("geoid", block_groups), ("station_name", stations)) if layer is not None}
+    if layers:
+        # an event has one place, so this join needs no other partitioning than those by event that follow
+        places = first_of_layers(recent, list(layers.values()), "x", "y", "ring", "incident", cell)
+        places = places.withColumnsRenamed({"incident": "__event", "x": "__x", "y": "__y"})
+        same = (F.col("incident") == F.col("__event")) & (F.col("x") == F.col("__x")) & (F.col("y") == F.col("__y"))
+        events = events.join(places, same, "left").drop("__event", "__x", "__y")
+    events = events.withColumns({n: F.lit(None).cast("string") for n in ("geoid", "station_name") if n not in layers})
     sent = (
         filters.filter_like_any(units, "pun_unitid")
         .select(F.col(EVENT).alias("incident"))
@@ -133,7 +126,7 @@ def incident_table(
     out = events.join(report, "incident").join(sent, "incident", "left")
     out = out.join(codes, F.col("dispatch_code") == F.col("__code"), "left").drop("__code")
     if care:
-        for satellite in patient_care(known, care):
+        for satellite in patient_care(recent, care):
             out = out.join(satellite, "incident", "left")
     else:
         out = out.withColumns({c: F.lit(None).cast("string") for c in ("comments", *PATIENT_COLUMNS.values())})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..functions.base import as_list
+from ..functions.geometry import reprojected
 
 # The columns of a daily weather measurement.
 WEATHER_SCHEMA = "station string, date date, datatype string, value double, attributes string"
@@ -97,14 +98,17 @@ def read_moon(spark: SparkSession, path) -> DataFrame:
 
 
 def read_polygons(
-    spark: SparkSession, path, key: str, vertex_order: str = "seq", fmt: str = "parquet", part: str | None = None
+    spark: SparkSession, path, key: str, vertex_order: str = "seq", fmt: str = "parquet", part: str | None = None, plane: dict | None = None
 ) -> DataFrame:
     """Polygons from one row per vertex (key, seq, x, y): `ring array<struct<x, y>>` in vertex order.
 
-    With a `part` column, which numbers parts and holes, `rings array<array<struct<x, y>>>`.
+    With a `part` column, which numbers parts and holes, `rings array<array<struct<x, y>>>`. `plane` has the parameters of the
+    projection the layer is in, for one that is not in degrees; its corners are put into degrees.
     """
     vertices = spark.read.format(fmt).load(path)
-    return rings_from_vertices(vertices, key, vertex_order, part)
+    polygons = rings_from_vertices(vertices, key, vertex_order, part)
+    ring = "ring" if part is None else "rings"
+    return polygons if plane is None else polygons.withColumn(ring, reprojected(ring, part is not None, plane))
 
 
 def rings_from_vertices(vertices: DataFrame, key: str, vertex_order: str = "seq", part: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from callgrid.functions import geometry as g
@@ -180,3 +181,26 @@ def test_wkt_with_parts_and_holes(spark):
     rows = [("k", p, i, float(x), float(y)) for p, ring in enumerate([[(0, 0), (4, 0), (4, 4)], [(9, 9), (10, 9), (10, 10)]]) for i, (x, y) in enumerate(ring)]
     parts = rings_from_vertices(spark.createDataFrame(rows, "name string, part int, seq int, x double, y double").repartition(3), "name", part="part")
     assert [[(v["x"], v["y"]) for v in r] for r in parts.first()["rings"]] == [[(0, 0), (4, 0), (4, 4)], [(9, 9), (10, 9), (10, 10)]]
+
+
+def test_first_of_layers(spark):
+    """Two layers at once: overlapping areas, parts of a plane without any, a point given twice, points without a place."""
+    from callgrid.operators.spatial import first_of_layers, point_in_polygon
+
+    def square(x, y, side):
+        return [(float(a), float(b)) for a, b in ((x, y), (x + side, y), (x + side, y + side), (x, y + side))]
+
+    schema = "{} string, ring array<struct<x double, y double>>"
+    one = spark.createDataFrame([("b", square(0, 0, 4)), ("a", square(2, 2, 4)), ("c", square(100, 100, 0.5))], schema.format("zone"))
+    two = spark.createDataFrame([("t", square(3, 3, 40))], schema.format("tract"))
+    points = [(1, 1.0, 1.0), (2, 3.0, 3.5), (3, 5.0, 5.0), (4, 30.0, 30.0), (5, 50.0, 50.0), (6, None, 1.0), (2, 3.0, 3.5), (7, 100.25, 100.25), (2, 1.0, 1.0)]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    got = first_of_layers(df, [one, two], "x", "y", "ring", "id")
+    assert rows(got, "id", "x", "zone", "tract") == sorted(
+        [(1, 1.0, "b", None), (2, 3.0, "a", "t"), (3, 5.0, "a", "t"), (4, 30.0, None, "t"), (7, 100.25, "c", None), (2, 1.0, "b", None)], key=repr
+    )
+    for layer, name in ((one, "zone"), (two, "tract")):
+        alone = point_in_polygon(df, layer, "x", "y", "ring", how="left", key="id").where(f"{name} is not null").distinct()
+        assert rows(alone, "id", "x", name) == rows(got.where(f"{name} is not null"), "id", "x", name)
+    assert first_of_layers(df, [one.limit(0), two.limit(0)], "x", "y", "ring", "id").collect() == []
+    assert first_of_layers(df.limit(0), [one, two], "x", "y", "ring", "id").collect() == []

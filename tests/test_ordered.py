@@ -121,3 +121,18 @@ def test_hot_key_is_spread(spark):
     cuts = o.plan_cuts(df, "t", 16)
     sizes = [r["n"] for r in o.with_buckets(df, "t", cuts, "b").groupBy("key", "b").agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 16 and max(sizes) < 3000
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 7, 1000])
+def test_halo_gives_what_a_window_over_the_key_gives(spark, stretch):
+    """Keys of very different length, shorter and longer than a stretch and its surroundings; a null key."""
+    from pyspark.sql import Window as W, functions as F
+
+    from callgrid.operators.ordered import with_halo
+
+    data = [(k, i * i % 1009, i) for k, n in (("a", 40), ("b", 1), (None, 9), ("c", 8)) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, t int, v int").repartition(5)
+    near = lambda w: [F.lag("v", 4).over(w).alias("p4"), F.lag("v", 1).over(w).alias("p1"), F.lead("v", 2).over(w).alias("n2"), F.sum("v").over(w.rowsBetween(-4, 2)).alias("s")]
+    halo = with_halo(df, "t", "k", back=4, ahead=2, stretch=stretch)
+    got = halo.select("k", "t", "v", "__home", *near(W.partitionBy("k", "__stretch").orderBy("t"))).where("__home").drop("__home")
+    assert rows(got) == rows(df.select("k", "t", "v", *near(W.partitionBy("k").orderBy("t"))))
