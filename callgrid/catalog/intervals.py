@@ -71,6 +71,23 @@ def _(t):
     return _conc(t, 8)
 
 
+_RUSH = """
+dispatches AS (
+  SELECT l_orderkey AS unit, sent, sent + to_hours(cast(l_quantity AS bigint)) AS clear
+  FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN TIMESTAMP '1997-01-01' ELSE l_shipdate + to_minutes(l_orderkey % 60) END AS sent FROM lineitem)
+)"""
+
+
+@query("busy_units_in_a_rush", f'WITH {_RUSH}, {_CONC} SELECT "at", unit, delta, busy FROM conc')
+def _(t):
+    """A third of all units is sent at one instant."""
+    minutes = F.expr("make_dt_interval(0, 0, cast(l_orderkey % 60 as int))")
+    sent = F.when(F.col("l_orderkey") % 3 == 0, F.to_timestamp_ntz(F.lit("1997-01-01 00:00:00"))).otherwise(F.col("l_shipdate").cast("timestamp_ntz") + minutes)
+    stay = F.expr("make_dt_interval(0, cast(l_quantity as int))")
+    rows = t.lineitem.select(F.col("l_orderkey").alias("unit"), sent.alias("sent"), (sent + stay).alias("clear"))
+    return iv.concurrency(rows, "unit", "sent", "clear", 8)
+
+
 @query(
     "saturation_episodes",
     f"""

@@ -349,15 +349,31 @@ def _(t):
     return _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"], "RIDGE", 10.0))
 
 
+@query("least_angle_two_features", _two_sql("0"), digits=3)
+def _(t):
+    return _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"], "LARS"))
+
+
 @query(
     "elastic_net_conditions",
     "SELECT l_suppkey AS g, 1 AS holds FROM lineitem GROUP BY 1",
 )
 def _(t):
+    return _penalty_conditions(t, "ELNET", 50.0, 0.5)
+
+
+@query(
+    "lasso_path_conditions",
+    "SELECT l_suppkey AS g, 1 AS holds FROM lineitem GROUP BY 1",
+)
+def _(t):
+    return _penalty_conditions(t, "LLARS", 900.0, 1.0)
+
+
+def _penalty_conditions(t, model, alpha, share):
     """The fit of every group meets the conditions that single out the minimum: the gradient of the squares plus the ridge
     part equals minus the penalty's sign where a weight is not 0, and is no larger than the penalty where it is."""
-    alpha, share = 50.0, 0.5
-    fitted = _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"], "ELNET", alpha, share))
+    fitted = _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"], model, alpha, share))
     sums = _two(t).groupBy("g").agg(
         F.var_pop("a").alias("saa"), F.var_pop("b").alias("sbb"), F.covar_pop("a", "b").alias("sab"),
         F.covar_pop("a", "y").alias("say"), F.covar_pop("b", "y").alias("sby"),
@@ -369,3 +385,28 @@ def _(t):
         inside = F.abs(slope) <= alpha * share + 1e-4
         holds = holds & F.when(F.abs(own) > 1e-9, F.abs(slope - F.signum(own) * alpha * share) < 1e-4).otherwise(inside)
     return fitted.join(sums, "g").select("g", holds.cast("int").alias("holds"))
+
+
+@query(
+    "bayesian_ridge_conditions",
+    "SELECT l_suppkey AS g, 1 AS holds FROM lineitem GROUP BY 1",
+    digits=3,
+)
+def _(t):
+    """The weights are those of a ridge whose penalty is the ratio of the two precisions, and the precisions those that the
+    weights make most likely: as many squares per free row, and per weight that the data determine, priors included."""
+    fitted = _weights(m.fit_per_group(_two(t), "g", "y", ["a", "b"], "BRIDGE"))
+    sums = _two(t).groupBy("g").agg(
+        F.var_pop("a").alias("saa"), F.var_pop("b").alias("sbb"), F.covar_pop("a", "b").alias("sab"),
+        F.covar_pop("a", "y").alias("say"), F.covar_pop("b", "y").alias("sby"), F.var_pop("y").alias("syy"),
+    )
+    q, n = F.col("sab") / F.sqrt(F.col("saa") * F.col("sbb")), F.col("rows")
+    ra, rb, wa, wb = F.col("say") / F.sqrt("saa"), F.col("sby") / F.sqrt("sbb"), F.col("w_a"), F.col("w_b")
+    ratio = n * (ra - wa - q * wb) / wa
+    other = n * (rb - wb - q * wa) / wb
+    known = n * (1 + q) / (n * (1 + q) + ratio) + n * (1 - q) / (n * (1 - q) + ratio)
+    left = n * (F.col("syy") - 2 * (ra * wa + rb * wb) + wa * wa + wb * wb + 2 * q * wa * wb)
+    prior, unit = 2e-6, F.col("syy")
+    likely = (known + prior) / ((wa * wa + wb * wb) / unit + prior) / ((n - known + prior) / (left / unit + prior))
+    close = lambda x, y: F.abs(x - y) <= 1e-4 * F.abs(y)
+    return fitted.join(sums, "g").select("g", (close(ratio, likely) & close(other, likely)).cast("int").alias("holds"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.base import Col, as_list, col, micros
 from ..functions.calendar import minutes_between
 from ..sources.scratch import checkpointed
-from .ordered import bucket_count, neighbour, plan_cuts, running_sum
+from .ordered import Cuts, bucket_count, neighbour, plan_cuts, row_positions, running_sum
 
 _DAY = 86_400_000_000
 
@@ -67,9 +67,26 @@ def concurrency(df: DataFrame, unit: str, start: str, end: str, n: int | None =
     changes = states.select(
         "at", "unit", (F.col("state") - F.coalesce("__was", F.lit(0))).alias("delta")
     ).where("delta <> 0")
-    busy = running_sum(changes, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
+    if not cuts.first:
+        return running_sum(changes, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
     # what is derived from it reads it several times: on large inputs it is written once instead
-    return checkpointed(busy) if cuts.first else busy
+    return checkpointed(_busy_by_instant(checkpointed(changes), cuts, n))
+
+
+def _busy_by_instant(changes: DataFrame, cuts: Cuts, n: int | None) -> DataFrame:
+    """(at, unit, delta, busy) in two levels: a running sum over instants, and places among the equal changes of an instant.
+
+    However many changes share an instant, their places are counted in buckets of units, and the rest is one row.
+    """
+    down, up = (F.sum(F.when(F.col("delta") == d, 1).otherwise(0)).cast("bigint").alias(a) for d, a in ((-1, "__down"), (1, "__up")))
+    instants = changes.groupBy("at").agg(down, up)
+    level = running_sum(instants, F.col("__up") - F.col("__down"), ["at"], out="__before", inclusive=False, cuts=cuts)
+    level = level.select("at", F.coalesce("__before", F.lit(0)).alias("__before"), "__down")
+    placed = row_positions(changes, "unit", ["at", "delta"], "__nth", n)
+    within = F.when(F.col("delta") == -1, -(F.col("__nth") + 1)).otherwise(F.col("__nth") + 1 - F.col("__down"))
+    # one instant may have a large share of the rows: a merge join lets adaptive execution cut it up
+    found = placed.join(level.hint("merge"), "at")
+    return found.select("at", "unit", "delta", (F.col("__before") + within).cast("bigint").alias("busy"))
 
 
 def saturation_episodes(conc: DataFrame, capacity: int, n: int | None = None) -> DataFrame:

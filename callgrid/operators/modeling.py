@@ -44,6 +44,9 @@ REGRESSOR_GRID = {
     "LINEAR": {},
     "LASSO": {"alpha": [0.01, 0.1, 1, 10]},
     "ELNET": {"alpha": [0.01, 0.1, 1, 10], "l1_ratio": [0.25, 0.5, 0.75]},
+    "LARS": {},
+    "LLARS": {},
+    "BRIDGE": {},
 }
 
 
@@ -273,13 +276,87 @@ def fit_per_group(
 ) -> DataFrame:
     """One linear model per group: (group, rows, intercept, coefficients) for features scaled to mean 0, deviation 1.
 
-    `model` is LINEAR, RIDGE, LASSO or ELNET with the usual penalties (ridge: |y - Xw|^2 + alpha |w|^2; lasso and
+    `model` is LINEAR, RIDGE, LASSO, ELNET, LARS (least angles to the end), LLARS (to the lasso of `alpha`) or BRIDGE (Bayesian
+    ridge), with the usual penalties (ridge: |y - Xw|^2 + alpha |w|^2; lasso and
     elastic net: |y - Xw|^2 / 2n + alpha (l1 |w|_1 + (1 - l1) |w|^2 / 2)). Rows with a NULL are left out.
     """
     run = {"model": model, "params": {"alpha": alpha, "l1_ratio": l1_ratio}}
     return fit_grid_per_group(df, group, label, features, [run]).drop("model", "params")
 
 
+def least_angle_path(q, r, stop: float = 0.0, lasso: bool = False):
+    """Weights where the path of least angles has brought every feature's covariance with the residual down to `stop`.
+
+    `q` and `r` are covariances of scaled features with each other and with the label. From the largest on, features join as
+    their covariance equals that of the ones in use, which all fall together. With `lasso` a feature leaves when its weight
+    returns to 0: then the weights minimise half the mean square plus `stop` times the sum of sizes. A feature that the ones in
+    use determine never joins.
+    """
+    import numpy as np
+
+    w, used, out = np.zeros(len(r)), [], set()
+    level = float(np.abs(r).max(initial=0.0))
+    joining = int(np.abs(r).argmax()) if len(r) and level > stop else None
+    for _ in range(8 * len(r) + 8):
+        if joining is not None:
+            part = q[np.ix_(used, used)]
+            rest = q[joining, joining] - (q[joining, used] @ np.linalg.lstsq(part, q[used, joining], rcond=None)[0] if used else 0.0)
+            if rest <= 1e-12 * max(q[joining, joining], 1e-300):
+                out.add(joining)
+            else:
+                used.append(joining)
+        if not used or level <= stop:
+            return w
+        c = r - q @ w
+        step = np.linalg.solve(q[np.ix_(used, used)], np.sign(c[used]))
+        fall = q[:, used] @ step
+        best, joining, leaving = level - stop, None, None
+        for j in set(range(len(r))) - set(used) - out:
+            for ahead, speed in ((level - c[j], 1 - fall[j]), (level + c[j], 1 + fall[j])):
+                if speed > 1e-12 and 0 <= ahead / speed < best:
+                    best, joining = max(ahead / speed, 0.0), j
+        if lasso:
+            for i, j in enumerate(used):
+                if step[i] and 1e-14 < -w[j] / step[i] < best:
+                    best, joining, leaving = -w[j] / step[i], None, j
+        w[used] += best * step
+        level -= best
+        if leaving is not None:
+            w[leaving] = 0.0
+            used.remove(leaving)
+        elif joining is None:
+            return w
+    raise ArithmeticError("the path of least angles has not ended")
+
+
+def evidence_weights(q, r, spread: float, n: int, prior: float = 1e-6):
+    """Bayesian ridge: weights under the noise and the spread of weights that the data make most likely.
+
+    `spread` is the label's variance over `n` rows; the label is scaled to a variance of 1, so that its unit does not matter to
+    the priors. Both precisions have gamma priors of shape and rate `prior`; they are found by fixed-point iteration on the
+    eigenvalues of `q`.
+    """
+    import numpy as np
+
+    if spread <= 0:
+        return np.zeros(len(r))
+    size = spread**0.5
+    r, spread = r / size, 1.0
+    values, vectors = np.linalg.eigh(q)
+    values, turned = np.clip(values, 0, None) * n, vectors.T @ r * n
+    alpha, beta = 1.0, 1.0
+    for _ in range(10_000):
+        z = alpha * turned / (beta + alpha * values)
+        known = float((alpha * values / (beta + alpha * values)).sum())
+        left = max(n * spread - 2 * z @ turned + (values * z) @ z, 0.0)
+        new_beta = (known + 2 * prior) / (z @ z + 2 * prior)
+        new_alpha = (n - known + 2 * prior) / (left + 2 * prior)
+        if abs(new_alpha - alpha) <= 1e-12 * new_alpha and abs(new_beta - beta) <= 1e-12 * new_beta:
+            break
+        alpha, beta = new_alpha, new_beta
+    return size * (vectors @ (alpha * turned / (beta + alpha * values)))
+
+
 #: Up to so many features and label, moments are Spark's aggregates; a plan with one for each pair of more is dear to optimise.
 FEW_TERMS = 12
 
@@ -390,8 +467,14 @@ def fit_grid_per_group(df: DataFrame, group, label: str, features, runs: list[di
                     return w
             raise ArithmeticError("coordinate descent has not converged in 10 000 sweeps")
 
-        def weights(q, r, n, kind, p):
+        def weights(q, r, n, kind, p, spread):
             alpha = float(p.get("alpha", 1.0))
+            if kind == "LARS":
+                return least_angle_path(q, r)
+            if kind == "LLARS":
+                return least_angle_path(q, r, alpha, lasso=True)
+            if kind == "BRIDGE":
+                return evidence_weights(q, r, spread, n)
             if kind == "LINEAR":
                 return np.linalg.lstsq(q, r, rcond=1e-12)[0]
             if kind == "RIDGE":
@@ -410,7 +493,7 @@ def fit_grid_per_group(df: DataFrame, group, label: str, features, runs: list[di
                 scale[scale == 0] = 1.0
                 q, r = cov[:-1, :-1] / np.outer(scale, scale), cov[:-1, -1] / scale
                 for run in runs:
-                    w = weights(q, r, row["rows"], run["model"], run["params"])
+                    w = weights(q, r, row["rows"], run["model"], run["params"], cov[-1, -1])
                     found.append(
                         {
                             **row,

@@ -262,3 +262,33 @@ def test_demand_features_read_the_base_few_times(spark):
 
     plan = QUERIES["demand_feature_table"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 20
+
+
+def test_least_angle_path_against_descent():
+    """Along the whole path the lasso's conditions hold; without it the end is least squares; determined features stay out."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for trial in range(30):
+        x = rng.normal(size=(50, 6)) @ rng.normal(size=(6, 6))
+        if trial % 3 == 0:
+            x[:, 5] = x[:, 0]
+        x = (x - x.mean(0)) / x.std(0)
+        y = x @ np.array([3.0, -2, 0, 0, 1, 0]) + rng.normal(size=50)
+        q, r = x.T @ x / 50, x.T @ (y - y.mean()) / 50
+        for stop in (0.0, 0.05, 0.3, 1.0, 100.0):
+            w = m.least_angle_path(q, r, stop, lasso=True)
+            c = r - q @ w
+            assert np.abs(c).max() <= stop + 1e-8 and np.allclose(c[w != 0], stop * np.sign(w[w != 0]), atol=1e-8)
+        assert np.allclose(q @ m.least_angle_path(q, r), r, atol=1e-8)
+    assert m.least_angle_path(np.zeros((0, 0)), np.zeros(0)).tolist() == []
+    assert m.least_angle_path(np.eye(2), np.zeros(2)).tolist() == [0.0, 0.0]
+
+
+def test_evidence_weights_do_not_depend_on_units():
+    import numpy as np
+
+    q, r = np.array([[1.0, 0.3], [0.3, 1.0]]), np.array([0.5, -0.2])
+    w = m.evidence_weights(q, r, 1.0, 200)
+    assert np.allclose(m.evidence_weights(q, r * 1e4, 1e8, 200), w * 1e4)
+    assert 0 < abs(w[0]) < abs(np.linalg.solve(q, r)[0]) and m.evidence_weights(q, r * 0, 0.0, 200).tolist() == [0.0, 0.0]
