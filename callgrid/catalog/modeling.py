@@ -208,6 +208,44 @@ def _(t):
     return _scores(t, "AB", n_estimators=5)
 
 
+def _boosted_sql(rounds: int) -> str:
+    """Boosting by leaf probabilities on three flags: each round weighs the 16 kinds of rows, cuts at the flag that leaves the
+    least impurity, and adds the log odds of its two sides to the margins."""
+    parts = [
+        """g0 AS (SELECT y, b1, b2, b3, count(*)::double AS n, 0.0::double AS m FROM r WHERE split = 'train' GROUP BY ALL),
+           a0 AS (SELECT DISTINCT b1, b2, b3, 0.0::double AS m FROM r)"""
+    ]
+    for i in range(rounds):
+        parts.append(f"""
+    w{i} AS (SELECT *, n * exp(-(y - 0.5) * m) AS w FROM g{i}),
+    s{i} AS (SELECT f, v, sum(w) FILTER (y = 1) AS one, sum(w) FILTER (y = 0) AS zero
+             FROM (SELECT y, w, unnest([1, 2, 3]) AS f, unnest([b1, b2, b3]) AS v FROM w{i}) GROUP BY ALL),
+    c{i} AS (SELECT f FROM s{i} GROUP BY 1 ORDER BY sum(one * zero / (one + zero)), f LIMIT 1),
+    l{i} AS (SELECT f, v, ln(one / zero) AS odds FROM s{i} JOIN c{i} USING (f)),
+    g{i + 1} AS (SELECT y, b1, b2, b3, n, m + odds AS m FROM g{i} JOIN l{i} ON v = CASE f WHEN 1 THEN b1 WHEN 2 THEN b2 ELSE b3 END),
+    a{i + 1} AS (SELECT b1, b2, b3, m + odds AS m FROM a{i} JOIN l{i} ON v = CASE f WHEN 1 THEN b1 WHEN 2 THEN b2 ELSE b3 END)""")
+    return f"""
+    WITH r AS (SELECT o_orderkey, (o_totalprice > 200000 + o_custkey % 3 * 60000 + (o_orderstatus = 'F')::int * 25000)::int AS y, (o_custkey % 3 = 0)::int AS b1,
+                      (o_orderstatus = 'F')::int AS b2, (month(o_orderdate) > 6)::int AS b3, CASE WHEN year(o_orderdate) < 1999 THEN 'train' ELSE 'test' END AS split FROM orders),
+    {", ".join(parts)}
+    SELECT o_orderkey, round(1 / (1 + exp(-m / {rounds})), 6) AS score, split FROM r JOIN a{rounds} USING (b1, b2, b3)
+    """
+
+
+@query("classifier_adaboost_r", _boosted_sql(3))
+def _(t):
+    limit = 200000 + F.col("o_custkey") % 3 * 60000 + (F.col("o_orderstatus") == "F").cast("int") * 25000
+    rows = t.orders.select(
+        "o_orderkey",
+        (F.col("o_totalprice") > limit).alias("y"),
+        (F.col("o_custkey") % 3 == 0).cast("double").alias("b1"),
+        (F.col("o_orderstatus") == "F").cast("double").alias("b2"),
+        (F.month("o_orderdate") > 6).cast("double").alias("b3"),
+        F.year("o_orderdate").alias("year"),
+    )
+    return m.fit_score(rows.where("year < 1999"), rows.where("year >= 1999"), "y", "o_orderkey", ["b1", "b2", "b3"], "AB", algorithm="SAMME.R", n_estimators=3)
+
+
 @query(
     "classifier_knn",
     """

@@ -11,6 +11,7 @@ import itertools
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.base import as_list, flag
+from .boosting import RealAdaBoost
 from .neighbours import neighbour_scores
 from .ordered import bucket_count, exact_quantiles
 
@@ -23,8 +24,7 @@ CLASSIFIER_GRID = {
         "min_samples_split": [2, 5, 10],
     },
     "LR": {"penalty": ["l1", "l2"], "C": [0.01, 0.1, 1, 10]},
-    # AB has one variant here: boosting by class votes. Its other variant weighs probabilities.
-    "AB": {"n_estimators": [1, 10, 100]},
+    "AB": {"algorithm": ["SAMME", "SAMME.R"], "n_estimators": [1, 10, 100]},
     "GB": {
         "n_estimators": [10, 100, 1000, 2500],
         "learning_rate": [0.001, 0.01, 0.05, 0.1, 0.5],
@@ -179,7 +179,9 @@ def classifier(name: str, label: str = "label", features: str = "features", rows
     if name == "SVM":
         return ml.LinearSVC(regParam=1.0 / (float(p.get("C", 1.0)) * (rows or 1)), standardization=False, **common)
     if name == "AB":
-        return AdaBoost(int(p.get("n_estimators", 200)), label, features)
+        # by class votes, or by the probabilities of the leaves
+        kind = {"SAMME": AdaBoost, "SAMME.R": RealAdaBoost}[p.get("algorithm", "SAMME")]
+        return kind(int(p.get("n_estimators", 200)), label, features)
     raise ValueError(f"no classifier {name}")
 
 

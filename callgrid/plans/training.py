@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.base import as_list
@@ -49,29 +52,38 @@ def run_classifier(
 
 
 def run_grid(
-    train, test, label, key, features, models, buckets, code: str = "code_type", grid=None, weights: dict | None = None
+    train, test, label, key, features, models, buckets, code: str = "code_type", grid=None, weights: dict | None = None, workers: int = 4
 ) -> DataFrame:
     """Metrics of every (model, parameters, bucket).
 
-    Rows are prepared once per bucket and kept while its models are trained; each run is a set of Spark jobs that
-    leaves one line per cut.
+    Rows are prepared once per bucket and kept while models are trained; each run is a set of Spark jobs that
+    leaves one line per cut. `workers` runs go on at a time, in a scheduler pool for each bucket; lines come in the order of the
+    runs, whichever ends first.
     """
-    weights, rows, schema = weights or scoring.SCORE_WEIGHTS, [], None
-    runs = modeling.expand_grid(models, grid)
+    spark, weights = train.sparkSession, weights or scoring.SCORE_WEIGHTS
+    jobs, kept = [], []
     for bucket, codes in buckets.items():
         ready = [df.persist() for df in prepare_bucket(train, test, features, label, codes, code)]
-        names = bucket_features(features, codes, code)
-        for run in runs:
-            _, metrics = run_classifier(
-                *ready, label, key, names, run["model"], run["params"], weights.get(bucket, weights["other"])
-            )
-            named = {"model": run["model"], "params": str(run["params"]), "bucket": bucket}
-            metrics = metrics.select(*[F.lit(v).alias(k) for k, v in named.items()], "*")
-            schema = metrics.schema
-            rows += metrics.collect()
-        for df in ready:
+        kept += ready
+        jobs += [(bucket, ready, bucket_features(features, codes, code), run) for run in modeling.expand_grid(models, grid)]
+
+    def trained(job):
+        bucket, ready, names, run = job
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", str(bucket))
+        _, metrics = run_classifier(*ready, label, key, names, run["model"], run["params"], weights.get(bucket, weights["other"]))
+        named = {"model": run["model"], "params": str(run["params"]), "bucket": bucket}
+        metrics = metrics.select(*[F.lit(v).alias(k) for k, v in named.items()], "*")
+        return metrics.schema, metrics.collect()
+
+    try:
+        with ThreadPoolExecutor(max(1, workers)) as pool:
+            done = list(pool.map(inheritable_thread_target(trained), jobs))
+    finally:
+        for df in kept:
             df.unpersist()
-    return train.sparkSession.createDataFrame(rows, schema)
+    if not done:
+        raise ValueError("no models or no buckets")
+    return spark.createDataFrame([r for _, rows in done for r in rows], done[0][0])
 
 
 def run_regressors(

@@ -292,3 +292,39 @@ def test_evidence_weights_do_not_depend_on_units():
     w = m.evidence_weights(q, r, 1.0, 200)
     assert np.allclose(m.evidence_weights(q, r * 1e4, 1e8, 200), w * 1e4)
     assert 0 < abs(w[0]) < abs(np.linalg.solve(q, r)[0]) and m.evidence_weights(q, r * 0, 0.0, 200).tolist() == [0.0, 0.0]
+
+
+def test_real_adaboost(spark):
+    """Cuts from bins agree with a plain run over rows; the margin written every few rounds changes nothing."""
+    import math
+
+    from callgrid.operators.boosting import RealAdaBoost, best_cut
+    from pyspark.ml.feature import VectorAssembler
+
+    data = [(i, (i * 7 % 13 + i % 5 > 9), float(i % 5), float(i * 7 % 13)) for i in range(120)]
+    df = spark.createDataFrame(data, "id int, y boolean, a double, b double")
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.withColumn("label", F.col("y").cast("double")))
+    often, rarely = (RealAdaBoost(7, every=k).fit(ready) for k in (2, 100))
+    assert len(often.stumps) == 7 and [s[:2] for s in often.stumps] == [s[:2] for s in rarely.stumps]
+    got = {r["id"]: r["score"] for r in often.transform(ready).collect()}
+    weight, margin = [1.0] * 120, [0.0] * 120
+    for _ in range(7):
+        sums = {}
+        for (_, y, *x), w in zip(data, weight, strict=True):
+            for f, v in enumerate(x):
+                sums.setdefault((f, int(v)), [0.0, 0.0])[y] += w
+        f, cut, left, right = best_cut(sums)
+        margin = [m_ + (left if row[2 + f] <= cut else right) for m_, row in zip(margin, data, strict=True)]
+        weight = [math.exp(-(row[1] - 0.5) * m_) for m_, row in zip(margin, data, strict=True)]
+    assert got == pytest.approx({row[0]: 1 / (1 + math.exp(-m_ / 7)) for m_, row in zip(margin, data, strict=True)})
+    assert best_cut({(0, 0): [3.0, 1.0]})[2:] == pytest.approx((-math.log(3), -math.log(3)))
+    with pytest.raises(ValueError):
+        RealAdaBoost(2).fit(ready.limit(0))
+
+
+def test_grid_in_parallel_equals_one_by_one(spark):
+    df = spark.createDataFrame([(i, i % 10 >= 5, float(i % 10), str(i % 4)) for i in range(200)], "id int, y boolean, a double, code_type string")
+    grid = {"LR": {"penalty": ["l2"], "C": [0.1, 1.0]}, "KNN": {"n_neighbors": [1, 5], "weights": ["uniform"]}}
+    run = lambda n: training.run_grid(df, df, "y", "id", ["a"], ["LR", "KNN"], {"high": ["0", "1"], "low": ["2"]}, grid=grid, workers=n).collect()
+    one, many = run(1), run(4)
+    assert one == many and len({(r["model"], r["params"], r["bucket"]) for r in one}) == 8
