@@ -49,18 +49,19 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-#: Masses below this are too near the smallest double to be compared.
-LEAST_MASS = 1e-300
+#: A host with less than this share of the mean mass of a host counts as not reached.
+FAINT = 1e-30
 
 
-def propagated(links: DataFrame, seeds: DataFrame, damping: float, rounds: int | None, tolerance: float) -> DataFrame:
+def propagated(links: DataFrame, seeds: DataFrame, damping: float, rounds: int | None, tolerance: float, faint: float = FAINT) -> DataFrame:
     """(kind, host, mass): personalised PageRank of several kinds at once.
 
     `links` has (kind, src, dst, n), `seeds` (kind, host, mass) with masses that sum to 1 per kind. What hosts without links
     hold goes back to the seeds. Every five rounds the state is written and compared with the one before: it ends when no
     host is new and none has changed by more than `tolerance` of its mass, so that small masses are as exact as large ones.
-    Each round shrinks what is missing by `damping`, so that comes; if not within `rounds` (None: as many as it takes), or if
-    masses become too small for doubles, it raises.
+    Masses below `faint` times the mean over all hosts are dropped at the end. Each round shrinks all that is missing by `damping`,
+    so however long the chains of a graph are, what can still come is `tolerance` of that after a number of rounds that grows with
+    the logarithm of the number of hosts: then it ends as well. With a limit of `rounds` that is too few, it raises.
     """
     out = links.groupBy("kind", "src").agg(F.sum("n").alias("total"))
     shares = links.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("total")).alias("part"))
@@ -68,6 +69,8 @@ def propagated(links: DataFrame, seeds: DataFrame, damping: float, rounds: int |
     seeds = written(seeds, "seeds")
     if shares.isEmpty():
         return seeds
+    hosts = shares.select(F.col("src").alias("host")).union(shares.select("dst")).union(seeds.select("host")).distinct().count()
+    least = faint / hosts
     state = before = seeds
     k = 0
     while True:
@@ -84,11 +87,9 @@ def propagated(links: DataFrame, seeds: DataFrame, damping: float, rounds: int |
         state = written(state, "mass")
         both = state.join(before.withColumnRenamed("mass", "old"), ["kind", "host"], "left")
         moves = F.col("old").isNull() | (F.abs(F.col("mass") - F.col("old")) > tolerance * F.col("mass"))
-        least, moving = both.agg(F.min("mass"), F.sum(moves.cast("long"))).first()
-        if least is not None and least < LEAST_MASS:
-            raise ArithmeticError(f"after {k} rounds a host's mass is {least}: too far from all seeds for doubles")
-        if not moving:
-            return state
+        moving = both.where(F.col("mass") >= least).agg(F.sum(moves.cast("long"))).first()[0]
+        if not moving or damping**k < tolerance * least:
+            return state.where(F.col("mass") >= least)
         if k == rounds:
             raise RuntimeError(f"after {k} rounds {moving} masses still change by more than {tolerance} of themselves")
         before = state
@@ -106,13 +107,15 @@ def judged(
     rounds: int | None = None,
     tolerance: float = 1e-6,
     threshold: float = 1.0,
+    faint: float = FAINT,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) for each row of `pages` (page_id, url, html, other columns).
 
     The verdict is the rule's, else block if the host's distrust is more than `threshold` times its trust, else allow. Hosts
     that no mass reaches have 0 of both. Null urls and urls without :// have an empty host, which is no node; null html has no
     links. Repeated rows count as often as they occur. Masses are compared after rounding to 12 significant digits. Rounds go
-    on until every mass is settled to `tolerance` of itself; with a limit of `rounds` that is too few for that, it raises.
+    on until every mass is settled to `tolerance` of itself, or too little is missing to matter; hosts with less than `faint` times
+    the mean mass have 0. With a limit of `rounds` that is too few for that, it raises.
     """
     host, path = url_parts(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -126,7 +129,7 @@ def judged(
     both = links.select(F.lit("allow").alias("kind"), "src", "dst", "n").union(
         links.select(F.lit("block").alias("kind"), F.col("dst"), F.col("src"), "n")
     )
-    mass = propagated(both, seeds, damping, rounds, tolerance)
+    mass = propagated(both, seeds, damping, rounds, tolerance, faint)
     of = lambda kind: _digits(F.sum(F.when(F.col("kind") == kind, F.col("mass")).otherwise(0.0)))
     hosts = mass.groupBy("host").agg(of("allow").alias("trust"), of("block").alias("distrust"))
     out = ruled.join(hosts, "host", "left").fillna(0.0, ["trust", "distrust"])
