@@ -151,6 +151,15 @@ def _(t):
     return _gain(t)
 
 
+_LABELLED = """
+    r AS (SELECT o_orderkey, (o_totalprice > 250000)::int AS y, o_totalprice / 1e5 + o_custkey % 7 AS x1, (o_custkey % 11)::double AS x2,
+                 dayofyear(o_orderdate)::double AS x3, CASE WHEN year(o_orderdate) < 1999 THEN 'train' ELSE 'test' END AS split
+          FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000),
+    u AS (SELECT avg(x1) AS a1, stddev_pop(x1) AS s1, avg(x2) AS a2, stddev_pop(x2) AS s2, avg(x3) AS a3, stddev_pop(x3) AS s3 FROM r WHERE split = 'train'),
+    z AS (SELECT o_orderkey, y, split, (x1 - a1) / s1 AS z1, (x2 - a2) / s2 AS z2, (x3 - a3) / s3 AS z3 FROM r, u)
+"""
+
+
 def _labelled(t):
     rows = t.orders.select(
         "o_orderkey",
@@ -193,7 +202,35 @@ def _(t):
     return _scores(t, "DT", criterion="entropy", max_depth=5)
 
 
-@query("classifier_naive_bayes", digits=3)
+@query(
+    "classifier_logistic_conditions",
+    f"WITH {_LABELLED} SELECT split, count(*) AS rows, 1 AS holds FROM z GROUP BY 1",
+)
+def _(t):
+    """What single out the minimum, from scores alone: the weights are C times the sums of features times errors, so log odds
+    less those are the same for every row; and errors of the train rows add up to 0."""
+    train, test = m.standardise(*_labelled(t), ["x1", "x2", "x3"])
+    names, scores = ["x1", "x2", "x3"], m.fit_score(train, test, "label", "o_orderkey", ["x1", "x2", "x3"], "LR", penalty="l2", C=1.0)
+    rows = train.unionByName(test).join(scores, "o_orderkey")
+    error = F.when(F.col("split") == "train", F.col("label").cast("double") - F.col("score"))
+    sums = rows.agg(F.sum(error).alias("e"), *[F.sum(error * F.col(x)).alias(f"w_{x}") for x in names])
+    odds = F.ln(F.col("score") / (1 - F.col("score")))
+    found = sums.first()
+    rest = rows.withColumn("rest", odds - sum((F.lit(found[f"w_{x}"]) * F.col(x) for x in names), F.lit(0.0)))
+    ends = rest.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.min("rest").alias("a"), F.max("rest").alias("b"))
+    return ends.select("split", "rows", ((F.col("b") - F.col("a") < 0.01) & F.lit(abs(found["e"]) < 0.01)).cast("int").alias("holds"))
+
+
+@query(
+    "classifier_naive_bayes",
+    f"""
+    WITH {_LABELLED},
+    c AS (SELECT y, count(*) AS n, avg(z1) AS m1, var_pop(z1) AS v1, avg(z2) AS m2, var_pop(z2) AS v2, avg(z3) AS m3, var_pop(z3) AS v3 FROM z WHERE split = 'train' GROUP BY 1),
+    l AS (SELECT o_orderkey, split, c.y, ln(n) - (ln(v1) + ln(v2) + ln(v3)) / 2 - (z1 - m1) ^ 2 / (2 * v1) - (z2 - m2) ^ 2 / (2 * v2) - (z3 - m3) ^ 2 / (2 * v3) AS l FROM z, c)
+    SELECT o_orderkey, round(1 / (1 + exp(max(l) FILTER (y = 0) - max(l) FILTER (y = 1))), 3) AS score, split FROM l GROUP BY ALL
+    """,
+    digits=3,
+)
 def _(t):
     return _scores(t, "NB")
 

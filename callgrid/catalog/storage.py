@@ -197,12 +197,16 @@ def _(t):
 
 @query(
     "dictionary_export",
-    "SELECT doc_id, quality, toxic FROM labels WHERE quality <> toxic",
+    """
+    SELECT 'full_data' AS part, doc_id, quality, toxic FROM labels UNION ALL SELECT 'new_dictionary', doc_id, quality, NULL FROM labels
+    UNION ALL SELECT 'all_changes', doc_id, quality, toxic FROM labels WHERE quality <> toxic
+    """,
 )
 def _(t):
     path = scratch_path(t.spark, "dictionary")
     wr.export_dictionary(t.labels, path, "doc_id", "quality", "toxic")
-    return t.spark.read.parquet(f"{path}/all_changes")
+    parts = [t.spark.read.parquet(f"{path}/{p}").withColumn("part", F.lit(p)) for p in ("full_data", "new_dictionary", "all_changes")]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2])
 
 
 @query(
