@@ -12,9 +12,8 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
-import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +31,9 @@ BATCH_BYTES = 7 << 19
 BYTE_LEVEL, WORD_LEVEL = "byte_bpe_50k.json", "word_bpe_49k.json"
 IS_MARK, IS_LETTER = np.zeros(256, bool), np.zeros(256, bool)
 IS_MARK[[10, 32, 44, 46]] = True
+IS_MARK[list(b"#$%&*")] = True
+IS_STOP = IS_MARK & (np.arange(256) > 32)
 IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
-LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def vocabulary_path(name: str) -> str:
@@ -49,6 +49,48 @@ def _byte_characters() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
 
 
+class _Names:
+    """Numbers 0, 1, ... of 64-bit names in the order they are added: a table with open addressing, asked for whole batches at once."""
+
+    def __init__(self) -> None:
+        self.n, self.name, self.number = 0, np.zeros(1 << 16, U), np.full(1 << 16, -1, np.int32)
+
+    def find(self, names: np.ndarray) -> np.ndarray:
+        """The number of each name, -1 if it has none."""
+        mask = len(self.name) - 1
+        slot = (names & U(mask)).view(np.int64)
+        out = self.number[slot]
+        todo = np.flatnonzero((self.name[slot] != names) & (out >= 0))
+        while len(todo):  # the place is another's: look at the next one
+            at = (slot[todo] + 1) & mask
+            slot[todo], out[todo] = at, self.number[at]
+            todo = todo[(self.name[at] != names[todo]) & (out[todo] >= 0)]
+        return out
+
+    def add(self, names: np.ndarray) -> None:
+        """Number names that differ and have none yet."""
+        if 2 * (self.n + len(names)) > len(self.name):
+            taken = np.flatnonzero(self.number >= 0)
+            old = np.empty(self.n, U)
+            old[self.number[taken]] = self.name[taken]
+            size = 1 << (2 * (self.n + len(names))).bit_length()
+            self.n, self.name, self.number = 0, np.zeros(size, U), np.full(size, -1, np.int32)
+            names = np.concatenate([old, names])
+        mask = len(self.name) - 1
+        slot = (names & U(mask)).view(np.int64)
+        number = np.arange(self.n, self.n + len(names), dtype=np.int32)
+        self.n += len(names)
+        todo = np.arange(len(names))
+        while len(todo):
+            at = slot[todo]
+            free = self.number[at] < 0
+            self.number[at[free]] = number[todo[free]]
+            got = self.number[at] == number[todo]  # of several that asked for one place, one has it
+            self.name[at[got]] = names[todo[got]]
+            todo = todo[~got]
+            slot[todo] = (slot[todo] + 1) & mask
+
+
 class PieceEncoder:
     """encode(bytes, bounds) -> (all ids, bounds of rows), as the library gives them with add_special_tokens=False."""
 
@@ -57,43 +99,46 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges = self.tokenizer.model
         one, two = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("a", " A"))
         self.folds = one == two  # lower case, white space dropped
-        self.characters = _byte_characters()
-        self.space = chr(self.characters[32])
-        self.known: dict[int, int] = {}
+        self.characters = np.array([n for _, n in sorted(_byte_characters().items())], "<u4")
+        self.known = _Names()
         self.begin, self.size, self.uses = (np.zeros(1 << 10, np.int64) for _ in range(3))
         self.ids, self.used = np.zeros(1 << 12, np.uint32), 0
 
-    def _as_written(self, text: str) -> str:
-        """A piece of letters in the characters of the vocabulary."""
+    def _as_written(self, lines: np.ndarray) -> list[str]:
+        """Pieces of letters, each ended by a line feed, in the characters of the vocabulary."""
         if self.folds:
-            text = text.lstrip(" ").lower()
-        if text.isascii():
-            return text.replace(" ", self.space)
-        return text.encode().decode("latin-1").translate(self.characters)
-
-    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            text = "\n" + lines.tobytes().decode().lower()
+            lines = np.frombuffer(text.replace("\n ", "\n")[1:].encode(), np.uint8)
+        feed = lines == 10
+        written = self.characters[lines]
+        written[feed] = 10
+        return written.tobytes().decode("utf-32-le").split("\n")[:-1]
+
+    def _library(self, buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of the pieces, how many each has, and the order they are in: plain letters come first."""
-        plain = [LETTERS.fullmatch(t) is not None for t in texts]
-        order = np.argsort(~np.array(plain), kind="stable")
-        given = [self._as_written(t) for t, p in zip(texts, plain, strict=True) if p]
+        plain = _plain_letters(buf, begin, end)
+        order = np.argsort(~plain, kind="stable")
+        size = (end - begin)[plain] + 1
+        lines = _runs(np.append(buf, np.uint8(10)), begin[plain], size)
+        lines[np.cumsum(size) - 1] = 10
+        given = self._as_written(lines)
         ids, sizes = [], []
         for at in range(0, len(given), PIECES_AT_ONCE):
-            part = given[at : at + PIECES_AT_ONCE]
-            found = self.merges.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.array(found.ids, np.uint32))
-            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
-        rest = [t for t, p in zip(texts, plain, strict=True) if not p]
-        for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False):
-            ids.append(np.array(e.ids, np.uint32))
-            sizes.append([len(ids[-1])])
-        return np.concatenate(ids), np.concatenate(sizes).astype(np.int64), order
-
-    def _learn(self, names: list[int], texts: list[str]) -> None:
-        found, size, order = self._library(texts)
-        total, n = len(found), len(self.known)
+            found = list(map(self.merges.tokenize, given[at : at + PIECES_AT_ONCE]))
+            ids.append(np.fromiter((token.id for word in found for token in word), np.uint32))
+            sizes.append(np.array(list(map(len, found)), np.int64))
+        rest = [buf[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(begin[~plain].tolist(), end[~plain].tolist(), strict=True)]
+        others = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        ids.append(np.fromiter(chain.from_iterable(others), np.uint32))
+        sizes.append(np.array(list(map(len, others)), np.int64))
+        return np.concatenate(ids), np.concatenate(sizes), order
+
+    def _learn(self, names: np.ndarray, buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        found, size, order = self._library(buf, begin, end)
+        total, n = len(found), self.known.n
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(names) > len(self.begin):
@@ -103,21 +148,23 @@ class PieceEncoder:
         self.size[n + order] = size
         self.uses[n : n + len(names)] = 0
         self.used += total
-        self.known.update(zip(names, range(n, n + len(names)), strict=True))
+        self.known.add(names)
 
     def _forget(self) -> None:
         """Keep pieces met again since the last time, if they are few enough."""
-        n = len(self.known)
+        n = self.known.n
         keep = np.flatnonzero(self.uses[:n] > 1)
         if len(keep) > CACHED_PIECES // 2:
             keep = keep[:0]
-        new = np.full(n, -1, np.int64)
-        new[keep] = np.arange(len(keep))
+        taken = np.flatnonzero(self.known.number >= 0)
+        names = np.empty(n, U)
+        names[self.known.number[taken]] = self.known.name[taken]
+        self.known = _Names()
+        self.known.add(names[keep])
         size = self.size[keep]
         begin = np.cumsum(size) - size
         self.ids = np.concatenate([_runs(self.ids, self.begin[keep], size), np.zeros(1 << 12, np.uint32)])
         self.used = int(size.sum())
-        self.known = {k: j for k, j in ((k, int(new[i])) for k, i in self.known.items()) if j >= 0}
         self.begin, self.size = (np.concatenate([x, np.zeros(1 << 10, np.int64)]) for x in (begin, size))
         self.uses = np.zeros(len(self.begin), np.int64)
 
@@ -131,23 +178,32 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
         end = np.append(start[1:], len(buf))
         name = run_hashes(buf, start, end)
-        distinct, first, back, count = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
-        if len(self.known) > CACHED_PIECES:
+        if self.known.n > CACHED_PIECES:
             self._forget()
-        names = distinct.view(np.int64).tolist()
-        number = np.array(list(map(self.known.get, names, repeat(-1))), np.int64)
+        number = self.known.find(name)
         new = np.flatnonzero(number < 0)
         if len(new):
-            data = buf.tobytes()
-            at = first[new]
-            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
-            number[new] = len(self.known) + np.arange(len(new))
-            self._learn([names[i] for i in new.tolist()], texts)
-        self.uses[number] += count
-        flat = number[back]
-        size = self.size[flat]
+            distinct, first, back = np.unique(name[new], return_index=True, return_inverse=True)
+            number[new] = self.known.n + back
+            at = new[first]
+            self._learn(distinct, buf, start[at], end[at])
+        self.uses[: self.known.n] += np.bincount(number, minlength=self.known.n)
+        size = self.size[number]
         after = np.concatenate([[0], np.cumsum(size)])
-        return _runs(self.ids, self.begin[flat], size), after[np.searchsorted(start, bounds)]
+        return _runs(self.ids, self.begin[number], size), after[np.searchsorted(start, bounds)]
+
+
+def _plain_letters(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether each piece is letters of ASCII and Latin-1 alone, maybe after one space."""
+    size = end - begin
+    at = np.cumsum(size) - size
+    data = _runs(buf, begin, size)
+    before = np.append(np.uint8(0), data[:-1])
+    before[at] = 0
+    follows = (before == 0xC3) & (data >= 128) & (data < 0xC0) & (data != 0x97) & (data != 0xB7)
+    good = IS_LETTER[data] | (data == 0xC3) | follows
+    good[at] |= (data[at] == 32) & (size > 1)
+    return np.logical_and.reduceat(good, at)
 
 
 def _boundaries(buf: np.ndarray) -> np.ndarray:
@@ -157,9 +213,9 @@ def _boundaries(buf: np.ndarray) -> np.ndarray:
     here, one, two, three, after = buf[mark], buf[mark - 1], buf[mark - 2], buf[mark - 3], buf[mark + 1]
     # a space, but not after white space: ASCII up to 0x20, or characters of two or three bytes that may be some
     space = (here == 32) & (one > 32) & (one != 127) & (two != 0xC2) & ~((three >= 0xE1) & (three <= 0xE3) & (one >= 128))
-    # a comma or full stop after a letter: ASCII or Latin-1
+    # a comma, full stop or sign after a letter: ASCII or Latin-1
     letter = IS_LETTER[one] | (two == 0xC3) & (one >= 128) & (one != 0x97) & (one != 0xB7)
-    stop = ((here == 44) | (here == 46)) & letter
+    stop = IS_STOP[here] & letter
     # what follows a single line feed
     feed = (here == 10) & (one > 32) & (one < 127) & (IS_LETTER[after] | (after == 0xC3))
     return np.concatenate([mark[space | stop], mark[feed] + 1])
