@@ -2,8 +2,8 @@
 
 Documents are dealt to shards of bounded size, those with rare tokens in common likely to the same one. Each shard weighs its
 token ids by how many documents of the whole corpus have them. An unused document seeds a window; all its terms are the
-query; unused neighbours, best first, fill the window. What no whole document fits is filled with the start of the best one left, whose
-rest stays in the pool. So every window is full but the end of a shard, which is cut into powers of two.
+query; unused neighbours that fit, best first, fill the window. What no whole neighbour fits is filled with the start of the best one
+left, whose rest stays in the pool. So every window is full but the end of a shard, which is cut into powers of two.
 """
 
 from __future__ import annotations
@@ -31,11 +31,11 @@ class Corpus(NamedTuple):
 
 
 class Index:
-    """BM25 over the documents of one shard, with the weights of the corpus (without one, of the shard).
+    """An inverted BM25 index of the documents of one shard, with the weights of the corpus (without one, of the shard).
 
-    Every term is kept and every term of a seed is in its query, but for those that one document of the shard has, which
-    score no other. A seed costs one pass over the shard's postings, however often its terms occur. `terms` limits the
-    query to a seed's strongest; None is all.
+    For each term the documents that have it and its weights in them. A seed reads the lists of its own terms alone and adds
+    the weights up per document. Every term is kept and every term of a seed is in its query, but for those that one document
+    of the shard has, which score no other. `terms` limits the query to a seed's strongest; None is all.
     """
 
     def __init__(
@@ -53,34 +53,33 @@ class Index:
         term, doc, tf = term[shared], doc[shared], tf[shared]
         df = corpus.having[term]
         idf = np.log1p((corpus.documents - df + 0.5) / (df + 0.5))
-        self.n, self.terms = n, terms
-        self.weight = (idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[doc] / max(corpus.mean_length, 1e-9)))).astype(np.float32)
+        weight = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[doc] / max(corpus.mean_length, 1e-9)))
+        self.n, self.cut = n, np.searchsorted(doc, np.arange(n + 1))  # terms of a document: [cut, next cut)
         self.term = term.astype(np.int32)
-        self.cut = np.searchsorted(doc, np.arange(n + 1))  # postings of a document: [cut, next cut)
-        self.some = np.flatnonzero(np.diff(self.cut))
-        self.asked = np.zeros(len(here), np.float32)
+        if terms is not None:  # strongest first
+            self.term = self.term[np.lexsort((-weight, doc))]
+        self.terms = terms
+        order = np.argsort(term, kind="stable")
+        self.docs, self.weight = doc[order].astype(np.int32), weight[order].astype(np.float32)
+        self._lists(np.bincount(term, minlength=len(here)))
+
+    def _lists(self, size: np.ndarray) -> None:
+        self.size = size
+        self.begin = np.cumsum(size) - size
 
     def scores(self, seed: int) -> np.ndarray:
-        out = np.zeros(self.n, np.float32)
-        a, b = self.cut[seed], self.cut[seed + 1]
-        if a < b:
-            query = self.term[a:b]
-            if self.terms is not None:
-                query = query[np.argsort(-self.weight[a:b], kind="stable")[: self.terms]]
-            self.asked[query] = 1
-            out[self.some] = np.add.reduceat(self.weight * self.asked[self.term], self.cut[self.some])
-            self.asked[query] = 0
-        return out
+        query = self.term[self.cut[seed] : self.cut[seed + 1]][: self.terms]
+        begin, size = self.begin[query], self.size[query]
+        return np.bincount(_runs(self.docs, begin, size), _runs(self.weight, begin, size), minlength=self.n)
 
     def narrow(self, left: np.ndarray) -> None:
         """Forget the postings of documents with nothing left, once they are a quarter: nobody asks for their scores."""
-        some = self.some[left[self.some] > 0]
-        if 4 * len(some) > 3 * len(self.some):
+        keep = left[self.docs] > 0
+        if 4 * np.count_nonzero(keep) > 3 * len(keep):
             return
-        size = np.zeros(self.n, np.int64)
-        size[some] = np.diff(self.cut)[some]
-        self.term, self.weight = (_runs(x, self.cut[some], size[some]) for x in (self.term, self.weight))
-        self.cut, self.some = np.concatenate([[0], np.cumsum(size)]), some
+        term = np.repeat(np.arange(len(self.size)), self.size)[keep]
+        self.docs, self.weight = self.docs[keep], self.weight[keep]
+        self._lists(np.bincount(term, minlength=len(self.size)))
 
 
 def packed_shard(lengths: np.ndarray, index: Index, window: int) -> list[list[tuple[int, int, int]]]:
@@ -106,24 +105,22 @@ def packed_shard(lengths: np.ndarray, index: Index, window: int) -> list[list[tu
             left[d] -= size
             return size
 
-        index.narrow(left)
+        if len(out) % 16 == 0:
+            index.narrow(left)
         scores = index.scores(seed)
         room -= take(seed, int(left[seed]))
         if room:
             near = np.flatnonzero((left > 0) & (scores > 0))
             near = near[np.argsort(-scores[near], kind="stable")]
-            for d in near[:64].tolist():
-                if left[d] <= room:
+            whole = near
+            while len(whole := whole[left[whole] <= room]):
+                fit = int(np.searchsorted(np.cumsum(left[whole]), room, "right"))
+                for d in whole[:fit].tolist():
                     room -= take(d, int(left[d]))
-                    if not room:
-                        break
-            if room:  # beyond the best 64 and those without a score, in order
-                rest = near[left[near] > 0]
-                for d in rest.tolist():
-                    room -= take(d, min(room, int(left[d])))
-                    if not room:
-                        break
-            d = seed
+                whole = whole[fit:]
+            if room and len(near := near[left[near] > 0]):  # none fits: the best is cut
+                room -= take(int(near[0]), room)
+            d = seed  # none has a score: in order
             while room and d < len(left):
                 if left[d]:
                     room -= take(d, min(room, int(left[d])))
@@ -151,7 +148,7 @@ def powers_of_two(sequence: list[tuple[int, int, int]], window: int, least: int
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 20, terms: int | None = None
+    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 22, terms: int | None = None
 ) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset) for each piece of each row of `docs` (doc_id, text).
 

@@ -140,11 +140,11 @@ def test_packing_empty(spark):
 def test_bm25_scores_and_neighbours():
     docs = [[1, 2, 3, 4], [1, 2, 9, 9], [5, 6, 7, 8], [5, 6, 7, 1], [10, 11, 12, 13], [14, 15, 16, 17], [3, 20, 21, 22], [23, 24, 25, 26]]
     bounds = np.cumsum([0, *map(len, docs)])
-    index = Index(np.concatenate(docs).astype(np.uint32), bounds, terms=12)
+    index = Index(np.concatenate(docs).astype(np.uint32), bounds)
     n, scores = len(docs), index.scores(2)
     df = Counter(t for d in docs for t in set(d))
     for i, d in enumerate(docs):
-        want = sum(math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * 2.2 / (1 + 1.2) for t in set(docs[2]) & set(d) if 1 < df[t] <= (n + 3) / 4)
+        want = sum(math.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * 2.2 / (1 + 1.2) for t in set(docs[2]) & set(d) if df[t] > 1)
         assert scores[i] == pytest.approx(want, rel=1e-5)
     first = packed_shard(np.diff(bounds), index, 8)[0]
     assert [p[0] for p in first] == [0, 1]  # seed and its best neighbour
@@ -183,6 +183,41 @@ def test_bm25_keeps_every_term_and_posting():
     assert [p[0] for p in packed_shard(np.diff(bounds), Index(np.concatenate(few).astype(np.uint32), bounds), 80)[0]] == [0, 2]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_hold_the_best_unused_neighbours(seed):
+    r, window = np.random.default_rng(seed), 60
+    docs = [r.zipf(1.4, r.integers(1, 25) if r.random() < 0.9 else 150).clip(max=300).tolist() for _ in range(120)]
+    having, mean = Counter(t for d in docs for t in set(d)), sum(map(len, docs)) / len(docs)
+    left, want = [len(d) for d in docs], []
+    for d in range(len(docs)):  # long documents fill windows alone
+        while left[d] >= window:
+            want.append([(d, len(docs[d]) - left[d], window)])
+            left[d] -= window
+    for s in range(len(docs)):
+        while left[s]:
+            sequence, room, scores = [], window, bm25(docs, docs[s], having, len(docs), mean)
+
+            def take(d, size):
+                sequence.append((d, len(docs[d]) - left[d], size))  # noqa: B023
+                left[d] -= size
+                return size
+
+            room -= take(s, left[s])
+            alone = {t for t in docs[s] if having[t] == 1}
+            near = sorted((d for d in range(len(docs)) if left[d] and set(docs[d]) & (set(docs[s]) - alone)), key=lambda d: (-scores[d], d))
+            for d in near:
+                if left[d] <= room:
+                    room -= take(d, left[d])
+            for d in [d for d in near if left[d]][:1]:
+                room -= take(d, min(room, left[d])) if room else 0
+            for d in range(s, len(docs)):
+                if room and left[d]:
+                    room -= take(d, min(room, left[d]))
+            want.append(sequence)
+    bounds = np.cumsum([0, *map(len, docs)])
+    assert packed_shard(np.diff(bounds), Index(np.concatenate(docs).astype(np.uint32), bounds), window) == want
+
+
 def test_documents_having_each_id(spark):
     docs = edge_docs(spark)
     table = token_table(docs, WORD_LEVEL, 2, "test-tokens", by_document=True)
