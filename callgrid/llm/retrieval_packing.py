@@ -1,7 +1,7 @@
 """Packing documents into windows next to documents like them, by BM25 retrieval in shards.
 
-Documents are dealt to shards of bounded size, those with rare tokens in common likely to the same one. Each shard weighs its
-token ids by how many documents of the whole corpus have them. An unused document seeds a window; all its terms are the
+Documents are dealt to shards of bounded size: by cells of documents that use the same words, then by rare tokens in common. The
+centres of the cells are fitted on a sample, all documents are dealt by them. Each shard weighs its token ids by how many documents of the whole corpus have them. An unused document seeds a window; all its terms are the
 query; unused neighbours that fit, best first, fill the window. What no whole neighbour fits is filled with the start of the best one
 left, whose rest stays in the pool. So every window is full but the end of a shard, which is cut into powers of two.
 """
@@ -9,6 +9,7 @@ left, whose rest stays in the pool. So every window is full but the end of a sha
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -16,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from .textbytes import U, mixed
 from .token_files import _sums
 from .tokens import _runs, from_planes, release, token_table
 
@@ -30,6 +32,73 @@ class Corpus(NamedTuple):
     mean_length: float
 
 
+def _postings(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each term of each document, the document, and how often it has the term; by document, then term."""
+    keys = (np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)) << 32) | ids.astype(np.int64)
+    keys, tf = np.unique(keys, return_counts=True)
+    return keys & ((1 << 32) - 1), keys >> 32, tf
+
+
+def _bm25(term: np.ndarray, tf: np.ndarray, length: np.ndarray, corpus: Corpus, k1: float, b: float) -> np.ndarray:
+    df = corpus.having[term]
+    idf = np.log1p((corpus.documents - df + 0.5) / (df + 0.5))
+    return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / max(corpus.mean_length, 1e-9)))
+
+
+#: Cells that documents are dealt to, dimensions that terms are folded into for that, documents that centres are fitted
+#: on (as expected of a draw by hash) and the longest of them, in tokens.
+CELLS, FOLDED, FITTED_ON, FITTED_LENGTH, FIT_ROUNDS = 64, 1024, 4096, 16384, 12
+#: Tokens of documents that a task deals at a time.
+DEALT_AT_ONCE = 1 << 20
+
+
+def _folded(corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
+    """The dimension of each term, and the sign it counts with there."""
+    h = mixed(np.arange(len(corpus.having), dtype=U) + U(1))
+    return (h % U(FOLDED)).astype(np.int64), np.where(h >> U(63), 1, -1).astype(np.float32)
+
+
+def fitted_centres(ids: np.ndarray, bounds: np.ndarray, corpus: Corpus, cells: int = CELLS) -> np.ndarray:
+    """Unit vectors of at most `cells` centres, spherical k-means over BM25 weights; neighbours in the list are alike."""
+    n = len(bounds) - 1
+    if not n:
+        return np.zeros((1, FOLDED), np.float32)
+    dimension, sign = _folded(corpus)
+    term, doc, tf = _postings(ids, bounds)
+    x = np.zeros((n, FOLDED), np.float32)
+    np.add.at(x, (doc, dimension[term]), sign[term] * _bm25(term, tf, np.diff(bounds)[doc], corpus, 1.2, 0.75))
+
+    def unit(v):
+        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+
+    x = unit(x)
+    centres = x[: min(cells, n)]
+    for _ in range(FIT_ROUNDS):
+        sums = np.zeros_like(centres)
+        np.add.at(sums, (x @ centres.T).argmax(1), x)
+        centres = unit(np.where(np.any(sums, axis=1, keepdims=True), sums, centres))
+    chain, left = [0], list(range(1, len(centres)))
+    while left:
+        alike = centres[left] @ centres[chain[-1]]
+        chain.append(left.pop(int(alike.argmax())))
+    return centres[chain]
+
+
+def nearest_centres(ids: np.ndarray, bounds: np.ndarray, corpus: Corpus, centres: np.ndarray) -> np.ndarray:
+    """For each document, the place in the list of the centre with the highest cosine."""
+    dimension, sign = _folded(corpus)
+    by_term = centres.T[dimension] * sign[:, None]
+    term, doc, tf = _postings(ids, bounds)
+    weight = _bm25(term, tf, np.diff(bounds)[doc], corpus, 1.2, 0.75).astype(np.float32)
+    out = np.zeros(len(bounds) - 1, np.int64)
+    cut = np.searchsorted(doc, np.arange(len(bounds)))
+    for a in range(0, len(out), 256):
+        b = min(a + 256, len(out))
+        part = slice(cut[a], cut[b])
+        out[a:b] = np.add.reduceat(by_term[term[part]] * weight[part, None], cut[a:b] - cut[a]).argmax(1)
+    return out
+
+
 class Index:
     """An inverted BM25 index of the documents of one shard, with the weights of the corpus (without one, of the shard).
 
@@ -43,17 +112,13 @@ class Index:
     ):
         n = len(bounds) - 1
         length = np.diff(bounds)
-        keys = (np.repeat(np.arange(n), length) << 32) | ids.astype(np.int64)
-        keys, tf = np.unique(keys, return_counts=True)
-        term, doc = keys & ((1 << 32) - 1), keys >> 32
+        term, doc, tf = _postings(ids, bounds)
         here = np.bincount(term)
         if corpus is None:
             corpus = Corpus(here, n, length.mean())
         shared = here[term] > 1
         term, doc, tf = term[shared], doc[shared], tf[shared]
-        df = corpus.having[term]
-        idf = np.log1p((corpus.documents - df + 0.5) / (df + 0.5))
-        weight = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[doc] / max(corpus.mean_length, 1e-9)))
+        weight = _bm25(term, tf, length[doc], corpus, k1, b)
         self.n, self.cut = n, np.searchsorted(doc, np.arange(n + 1))  # terms of a document: [cut, next cut)
         self.term = term.astype(np.int32)
         if terms is not None:  # strongest first
@@ -164,7 +229,27 @@ def pack_documents(
     size = table.agg(F.count("*"), F.sum("n")).first()
     corpus = Corpus(having, size[0], (size[1] or 0) / max(size[0], 1))
     tie = F.xxhash64("ids")
-    spread = table.select("doc_id", "n", "ids", "sketch").repartitionByRange("sketch", "doc_id", "n")
+    drawn = F.pmod(F.xxhash64("doc_id", "n", "sketch"), F.lit(1 << 32)) < int(FITTED_ON / max(size[0], 1) * (1 << 32))
+    sample = table.where(drawn & (F.col("n") <= FITTED_LENGTH)).select("n", "ids").collect()
+    centres = fitted_centres(
+        np.concatenate([np.zeros(0, np.uint32), *(from_planes(ids, n) for n, ids in sample)]), np.cumsum([0, *(n for n, _ in sample)]), corpus
+    )
+
+    def dealt(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            lengths = batch.column("n").to_numpy()
+            whole = np.cumsum(lengths) // DEALT_AT_ONCE
+            cell = []
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(whole)) + 1).tolist(), batch.num_rows]):
+                if a < b:
+                    rows = zip(batch.column("ids")[a:b].to_pylist(), lengths[a:b].tolist(), strict=True)
+                    ids = np.concatenate([from_planes(data, n) for data, n in rows])
+                    cell.append(nearest_centres(ids, np.concatenate([[0], np.cumsum(lengths[a:b])]), corpus, centres))
+            columns = [pa.array(np.concatenate(cell) if cell else np.zeros(0, np.int64)), *batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, names=["cell", *batch.schema.names])
+
+    cells = table.select("doc_id", "n", "ids", "sketch").mapInArrow(dealt, "cell long, doc_id long, n long, ids binary, sketch long")
+    spread = cells.repartitionByRange("cell", "sketch", "doc_id", "n")
 
     def pack(batches: Iterator[pa.RecordBatch]):
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -202,4 +287,4 @@ def pack_documents(
         if held:
             yield from shard()
 
-    return spread.sortWithinPartitions("sketch", "doc_id", "n", tie).mapInArrow(pack, PIECE_SCHEMA)
+    return spread.sortWithinPartitions("cell", "sketch", "doc_id", "n", tie).drop("cell").mapInArrow(pack, PIECE_SCHEMA)

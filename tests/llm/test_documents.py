@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from callgrid.llm import link_trust, ring_shards as ring
 from callgrid.llm.divergence_rules import base_measures, divergence_by_chance, judged_documents, js_distance, sampled_divergence
 from callgrid.llm.language_codes import codewords, fit_languages, held_out, predict_languages
-from callgrid.llm.retrieval_packing import Corpus, Index, pack_documents, packed_shard
+from callgrid.llm.retrieval_packing import Corpus, Index, fitted_centres, nearest_centres, pack_documents, packed_shard
 from callgrid.llm.tables import new_path
 from callgrid.llm.temperature_mix import mixed_sources
 from callgrid.llm.textbytes import run_hashes
@@ -218,6 +218,24 @@ def test_windows_hold_the_best_unused_neighbours(seed):
     assert packed_shard(np.diff(bounds), Index(np.concatenate(docs).astype(np.uint32), bounds), window) == want
 
 
+def test_cells_hold_documents_that_use_the_same_words():
+    r = np.random.default_rng(5)
+    topic = r.integers(0, 4, 300)
+    docs = [r.integers(100 * t, 100 * t + 100, r.integers(20, 60)).tolist() for t in topic]
+    bounds, ids = np.cumsum([0, *map(len, docs)]), np.concatenate(docs).astype(np.uint32)
+    having = Counter(t for d in docs for t in set(d))
+    corpus = Corpus(np.array([having[t] for t in range(400)]), len(docs), len(ids) / len(docs))
+    centres = fitted_centres(ids[: bounds[200]], bounds[:201], corpus, cells=16)
+    cell = nearest_centres(ids, bounds, corpus, centres)
+    of_cell = {c: set(topic[cell == c].tolist()) for c in set(cell.tolist())}
+    assert all(len(topics) == 1 for topics in of_cell.values())
+    order = [topic[cell == c][0] for c in sorted(of_cell)]
+    assert sum(a != b for a, b in zip(order, order[1:], strict=False)) == 3  # cells of a topic follow each other
+    assert np.linalg.norm(centres, axis=1) == pytest.approx(1, rel=1e-5)
+    nothing = fitted_centres(ids[:0], bounds[:1], corpus)
+    assert nearest_centres(ids, bounds, corpus, nothing).tolist() == [0] * len(docs)
+
+
 def test_documents_having_each_id(spark):
     docs = edge_docs(spark)
     table = token_table(docs, WORD_LEVEL, 2, "test-tokens", by_document=True)
