@@ -285,7 +285,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
 
 
 def _candidate_segments(batches: Iterator[pa.RecordBatch], length: int):
-    """Of texts with the anchor hashes to look at: repeats within the task, and the segments left."""
+    """Of texts with the anchor hashes to look at, 48 bits of each: repeats within the task, and the segments left."""
     release()
     held = Segments(length)
     for rows, buf, bounds in pieces(batches, "text"):
@@ -294,7 +294,7 @@ def _candidate_segments(batches: Iterator[pa.RecordBatch], length: int):
         docs, es, wanted = (rows.column(c).to_pylist() for c in ("doc", "e", "hs"))
         for i in range(rows.num_rows):
             a, b = cut[i], cut[i + 1]
-            for j in (a + np.flatnonzero(np.isin(h[a:b].view(np.int64), np.array(wanted[i], np.int64)))).tolist():
+            for j in (a + np.flatnonzero(np.isin((h[a:b] >> U(16)).view(np.int64), np.array(wanted[i], np.int64)))).tolist():
                 s = int(low[j])
                 segment = buf[s : int(high[j]) + length].tobytes()
                 held.add(int(h[j : j + 1].view(np.int64)[0]), int(place[j]) - s, segment, docs[i], es[i], s - int(bounds[i]))
@@ -352,8 +352,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
     counted = found.select("hs").mapInArrow(lambda it: _bucketed(it, buckets), "bucket int, entries binary")
     counted = counted.repartition("bucket").sortWithinPartitions("bucket")
     repeated = counted.mapInArrow(_repeated, "short long")
-    single = found.select("e", F.explode("hs").alias("h")).withColumn("short", F.shiftrightunsigned("h", 16))
-    wanted = single.join(repeated, "short").groupBy("e").agg(F.collect_set("h").alias("hs"))
+    single = found.select("e", F.explode("hs").alias("h")).select("e", F.shiftrightunsigned("h", 16).alias("short"))
+    wanted = single.join(repeated, "short").groupBy("e").agg(F.collect_set("short").alias("hs"))
     parts = plain.join(wanted, "e").select("doc", "e", "text", "hs")
     parts = parts.mapInArrow(lambda it: _candidate_segments(it, length), PART_SCHEMA)
     parts = parts.repartition("h").sortWithinPartitions("h", "doc", "low")
