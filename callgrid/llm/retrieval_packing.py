@@ -9,7 +9,6 @@ left, whose rest stays in the pool. So every window is full but the end of a sha
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -48,35 +47,35 @@ def _bm25(term: np.ndarray, tf: np.ndarray, length: np.ndarray, corpus: Corpus,
 #: Cells that documents are dealt to, dimensions that terms are folded into for that, documents that centres are fitted
 #: on (as expected of a draw by hash) and the longest of them, in tokens.
 CELLS, FOLDED, FITTED_ON, FITTED_LENGTH, FIT_ROUNDS = 64, 1024, 4096, 16384, 12
-#: Tokens of documents that a task deals at a time.
-DEALT_AT_ONCE = 1 << 20
+#: The sum in a dimension that counts half as much as any larger one can.
+SATURATION = 2.0
+#: Documents that a task deals at a time.
+DEALT_AT_ONCE = 512
 
 
-def _folded(corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
-    """The dimension of each term, and the sign it counts with there."""
-    h = mixed(np.arange(len(corpus.having), dtype=U) + U(1))
-    return (h % U(FOLDED)).astype(np.int64), np.where(h >> U(63), 1, -1).astype(np.float32)
+def _folded(ids: np.ndarray, bounds: np.ndarray, corpus: Corpus) -> np.ndarray:
+    """A unit vector for each document: inverse document frequencies added up in few dimensions, with a sign by term, then saturated."""
+    n, h = len(bounds) - 1, mixed(np.arange(len(corpus.having), dtype=U) + U(1))
+    idf = np.log1p((corpus.documents - corpus.having + 0.5) / (corpus.having + 0.5)) * np.where(h >> U(63), 1, -1)
+    place = np.repeat(np.arange(n) * FOLDED, np.diff(bounds)) + (h % U(FOLDED)).astype(np.int64)[ids]
+    x = np.bincount(place, idf[ids], n * FOLDED).astype(np.float32).reshape(n, FOLDED)
+    return _unit(x / (np.abs(x) + SATURATION))
 
 
-def fitted_centres(ids: np.ndarray, bounds: np.ndarray, corpus: Corpus, cells: int = CELLS) -> np.ndarray:
-    """Unit vectors of at most `cells` centres, spherical k-means over BM25 weights; neighbours in the list are alike."""
-    n = len(bounds) - 1
-    if not n:
-        return np.zeros((1, FOLDED), np.float32)
-    dimension, sign = _folded(corpus)
-    term, doc, tf = _postings(ids, bounds)
-    x = np.zeros((n, FOLDED), np.float32)
-    np.add.at(x, (doc, dimension[term]), sign[term] * _bm25(term, tf, np.diff(bounds)[doc], corpus, 1.2, 0.75))
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
-    def unit(v):
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
 
-    x = unit(x)
-    centres = x[: min(cells, n)]
+def fitted_centres(ids: np.ndarray, bounds: np.ndarray, corpus: Corpus, cells: int = CELLS) -> np.ndarray:
+    """Unit vectors of at most `cells` centres, by spherical k-means; neighbours in the list are alike."""
+    if len(bounds) < 2:
+        return np.zeros((1, FOLDED), np.float32)
+    x = _folded(ids, bounds, corpus)
+    centres = x[:cells]
     for _ in range(FIT_ROUNDS):
         sums = np.zeros_like(centres)
         np.add.at(sums, (x @ centres.T).argmax(1), x)
-        centres = unit(np.where(np.any(sums, axis=1, keepdims=True), sums, centres))
+        centres = _unit(np.where(np.any(sums, axis=1, keepdims=True), sums, centres))
     chain, left = [0], list(range(1, len(centres)))
     while left:
         alike = centres[left] @ centres[chain[-1]]
@@ -86,16 +85,10 @@ def fitted_centres(ids: np.ndarray, bounds: np.ndarray, corpus: Corpus, cells: i
 
 def nearest_centres(ids: np.ndarray, bounds: np.ndarray, corpus: Corpus, centres: np.ndarray) -> np.ndarray:
     """For each document, the place in the list of the centre with the highest cosine."""
-    dimension, sign = _folded(corpus)
-    by_term = centres.T[dimension] * sign[:, None]
-    term, doc, tf = _postings(ids, bounds)
-    weight = _bm25(term, tf, np.diff(bounds)[doc], corpus, 1.2, 0.75).astype(np.float32)
     out = np.zeros(len(bounds) - 1, np.int64)
-    cut = np.searchsorted(doc, np.arange(len(bounds)))
-    for a in range(0, len(out), 256):
-        b = min(a + 256, len(out))
-        part = slice(cut[a], cut[b])
-        out[a:b] = np.add.reduceat(by_term[term[part]] * weight[part, None], cut[a:b] - cut[a]).argmax(1)
+    for a in range(0, len(out), DEALT_AT_ONCE):
+        some = bounds[a : a + DEALT_AT_ONCE + 1]
+        out[a : a + DEALT_AT_ONCE] = (_folded(ids[some[0] : some[-1]], some - some[0], corpus) @ centres.T).argmax(1)
     return out
 
 
@@ -213,7 +206,7 @@ def powers_of_two(sequence: list[tuple[int, int, int]], window: int, least: int
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 22, terms: int | None = None
+    docs: DataFrame, vocabulary: str, end_id: int = 2, window: int = 4096, shard_tokens: int = 1 << 20, terms: int | None = None
 ) -> DataFrame:
     """(doc_id, start, length, ids, doc_tokens, sequence_id, offset) for each piece of each row of `docs` (doc_id, text).
 
@@ -237,15 +230,13 @@ def pack_documents(
 
     def dealt(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            lengths = batch.column("n").to_numpy()
-            whole = np.cumsum(lengths) // DEALT_AT_ONCE
-            cell = []
-            for a, b in pairwise([0, *(np.flatnonzero(np.diff(whole)) + 1).tolist(), batch.num_rows]):
-                if a < b:
-                    rows = zip(batch.column("ids")[a:b].to_pylist(), lengths[a:b].tolist(), strict=True)
-                    ids = np.concatenate([from_planes(data, n) for data, n in rows])
-                    cell.append(nearest_centres(ids, np.concatenate([[0], np.cumsum(lengths[a:b])]), corpus, centres))
-            columns = [pa.array(np.concatenate(cell) if cell else np.zeros(0, np.int64)), *batch.columns]
+            cell = [np.zeros(0, np.int64)]
+            for a in range(0, batch.num_rows, DEALT_AT_ONCE):
+                part = batch.slice(a, DEALT_AT_ONCE)
+                lengths = part.column("n").to_pylist()
+                ids = np.concatenate([from_planes(data, n) for data, n in zip(part.column("ids").to_pylist(), lengths, strict=True)])
+                cell.append(nearest_centres(ids, np.cumsum([0, *lengths]), corpus, centres))
+            columns = [pa.array(np.concatenate(cell)), *batch.columns]
             yield pa.RecordBatch.from_arrays(columns, names=["cell", *batch.schema.names])
 
     cells = table.select("doc_id", "n", "ids", "sketch").mapInArrow(dealt, "cell long, doc_id long, n long, ids binary, sketch long")

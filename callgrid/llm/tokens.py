@@ -295,9 +295,12 @@ def token_table(docs: DataFrame, vocabulary: str, end_id: int, name: str, by_doc
     return written(given.mapInArrow(run, "doc_id long, n long, ids binary, sketch long, counts binary"), name, "none")
 
 
+_unpacked = zstandard.ZstdDecompressor().decompress
+
+
 def from_planes(data: bytes, n: int) -> np.ndarray:
     """The ids in a row of the table."""
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(-1, n)
+    planes = np.frombuffer(_unpacked(data), np.uint8).reshape(-1, n)
     out = planes[0].astype(np.uint32)
     for k in range(1, len(planes)):
         out |= planes[k].astype(np.uint32) << np.uint32(8 * k)
