@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.base import Col, as_list, col, micros
 from ..functions.calendar import minutes_between
 from ..sources.scratch import checkpointed
-from .ordered import Cuts, bucket_count, neighbour, plan_cuts, row_positions, running_sum
+from .ordered import UNKNOWN_BYTES, Cuts, bucket_count, input_bytes, is_heavy, neighbour, plan_cuts, running_sum, task_count, with_buckets
 
 _DAY = 86_400_000_000
+#: A dispatch is two events, which are sorted twice.
+_FINER = 8
 
 
 def shift_number(ts: Col, shift0) -> Column:
@@ -59,34 +61,91 @@ def concurrency(df: DataFrame, unit: str, start: str, end: str, n: int | None =
     """(at, unit, delta, busy): the number of busy units after each change of a unit's state.
 
     A unit sent again before it was clear changes nothing. `at` is in microseconds since 1970; at equal times units
-    become clear before others are sent.
+    become clear before others are sent. `n` is the number of buckets: 1 for plain
+    windows; inputs of a known size get more than several if they need them.
+
+    Large inputs are dealt once, into buckets of time, however often a unit occurs. What a bucket needs from the earlier
+    ones is known before its rows are in order: a unit's state at a bucket's end is that of its last event there, and
+    the changes of a bucket add up to the difference of its units' states.
     """
-    events = unit_events(df, unit, start, end)
-    cuts = plan_cuts(df.select(micros(start).alias("at")), "at", n)
-    states = neighbour(events, {"__was": "state"}, ["at", "state"], ["unit"], cuts=cuts)
-    changes = states.select(
-        "at", "unit", (F.col("state") - F.coalesce("__was", F.lit(0))).alias("delta")
-    ).where("delta <> 0")
+    rows = df.select(F.col(unit).alias("unit"), micros(start).alias("__sent"), micros(end).alias("__clear"))
+    if n is None or (n > 1 and input_bytes(df) < UNKNOWN_BYTES):
+        n = max(n or 1, bucket_count(df, _FINER))
+    times = rows.select("unit", F.explode(F.array("__sent", "__clear")).alias("at")).where("at is not null")
+    cuts = plan_cuts(times, ["at", "unit"], n)
     if not cuts.first:
-        return running_sum(changes, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
-    # what is derived from it reads it several times: on large inputs it is written once instead
-    return checkpointed(_busy_by_instant(checkpointed(changes), cuts, n))
+        states = neighbour(unit_events(df, unit, start, end), {"__was": "state"}, ["at", "state"], ["unit"], cuts=cuts)
+        return running_sum(_changes(states), F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
+
+    for time, home in (("__sent", "__on_in"), ("__clear", "__off_in")):
+        rows = with_buckets(rows, [time, "unit"], cuts, home).withColumn(home, F.when(F.col(time).isNotNull(), F.col(home)))
+    # a dispatch goes to the bucket of either time, once if both share it
+    homes = F.array_distinct(F.array_compact(F.array("__on_in", "__off_in")))
+    rows = rows.select(F.explode(homes).alias("__bucket"), "*")
+    edges = _states_at_edges(rows)
+    none = F.lit(None).cast("bigint")
+    carried = edges.where("__was = 1").select(
+        "__bucket", "unit", none.alias("__sent"), none.alias("__clear"), F.col("__bucket").alias("__on_in"), none.cast("int").alias("__off_in")
+    )
+    dealt = rows.unionByName(carried).repartition(task_count(df, cuts.buckets), "__bucket")
+    pair = F.array(
+        F.struct(F.col("__sent").alias("at"), F.lit(1).alias("state"), F.col("__on_in").alias("home")),
+        F.struct(F.col("__clear").alias("at"), F.lit(0).alias("state"), F.col("__off_in").alias("home")),
+    )
+    events = dealt.select("__bucket", "unit", F.explode(pair).alias("__e")).where("__e.home = __bucket")
+    # a carried state has no time and comes first
+    before = W.partitionBy("__bucket", "unit").orderBy("at", "state")
+    states = events.select("__bucket", "unit", "__e.at", "__e.state").withColumn("__was", F.lag("state").over(before))
+    return busy_after(_changes(states, "__bucket").where("at is not null"), cuts, _net_changes(edges, cuts))
+
 
+def _changes(states: DataFrame, *more) -> DataFrame:
+    delta = F.col("state") - F.coalesce("__was", F.lit(0))
+    return states.select(*more, "at", "unit", delta.alias("delta")).where("delta <> 0")
 
-def _busy_by_instant(changes: DataFrame, cuts: Cuts, n: int | None) -> DataFrame:
-    """(at, unit, delta, busy) in two levels: a running sum over instants, and places among the equal changes of an instant.
 
-    However many changes share an instant, their places are counted in buckets of units, and the rest is one row.
+def _states_at_edges(rows: DataFrame) -> DataFrame:
+    """(bucket, unit, was, last, on, off): states before a bucket and at its end, and whether the unit is sent or clear in it."""
+    on, off = (
+        F.max(F.when(F.col(home) == F.col("__bucket"), F.col(time))).alias(out)
+        for time, home, out in (("__sent", "__on_in", "__on"), ("__clear", "__off_in", "__off"))
+    )
+    # at equal times the unit is clear first, so that it is busy afterwards
+    last = F.when(F.col("__on") >= F.coalesce("__off", "__on"), 1).otherwise(0)
+    edges = rows.groupBy("__bucket", "unit").agg(on, off).withColumn("__last", last)
+    was = F.coalesce(F.lag("__last").over(W.partitionBy("unit").orderBy("__bucket")), F.lit(0))
+    on, off = F.col("__on").isNotNull().alias("__on"), F.col("__off").isNotNull().alias("__off")
+    return checkpointed(edges.select("__bucket", "unit", was.alias("__was"), "__last", on, off))
+
+
+def _net_changes(edges: DataFrame, cuts: Cuts) -> DataFrame:
+    """(bucket, part, net) as for `busy_after`, from the states at the edges of buckets."""
+    alone, busy_before = cuts.one_value("__bucket"), F.col("__was") == 1
+    ends = F.when(busy_before & F.col("__off"), -1).otherwise(0)
+    begins = F.when(F.col("__on") & (~busy_before | F.col("__off")), 1).otherwise(0)
+    first = F.sum(F.when(alone, ends).otherwise(F.col("__last") - F.col("__was"))).alias("__0")
+    sums = edges.groupBy("__bucket").agg(first, F.sum(F.when(alone, begins).otherwise(0)).alias("__1"))
+    parts = F.array(*[F.struct(F.lit(i).alias("__part"), F.col(f"__{i}").alias("__net")) for i in (0, 1)])
+    return sums.select("__bucket", F.inline(parts))
+
+
+def busy_after(changes: DataFrame, cuts: Cuts, net: DataFrame | None = None) -> DataFrame:
+    """(at, unit, delta, busy) of changes that have a `__bucket` of cuts along (at, unit).
+
+    An instant with a large share of the rows is spread over buckets of units. There, changes to clear are part 0 and
+    come before those of part 1 in all its buckets. `net` has what the changes of a bucket's part add up to.
     """
-    down, up = (F.sum(F.when(F.col("delta") == d, 1).otherwise(0)).cast("bigint").alias(a) for d, a in ((-1, "__down"), (1, "__up")))
-    instants = changes.groupBy("at").agg(down, up)
-    level = running_sum(instants, F.col("__up") - F.col("__down"), ["at"], out="__before", inclusive=False, cuts=cuts)
-    level = level.select("at", F.coalesce("__before", F.lit(0)).alias("__before"), "__down")
-    placed = row_positions(changes, "unit", ["at", "delta"], "__nth", n)
-    within = F.when(F.col("delta") == -1, -(F.col("__nth") + 1)).otherwise(F.col("__nth") + 1 - F.col("__down"))
-    # one instant may have a large share of the rows: a merge join lets adaptive execution cut it up
-    found = placed.join(level.hint("merge"), "at")
-    return found.select("at", "unit", "delta", (F.col("__before") + within).cast("bigint").alias("busy"))
+    begins = cuts.one_value("__bucket") & (F.col("delta") > 0)
+    parts = changes.withColumn("__part", F.when(begins, 1).otherwise(0))
+    if net is None:
+        net = parts.groupBy("__bucket", "__part").agg(F.sum("delta").alias("__net"))
+    # one row per part of a bucket
+    earlier = W.orderBy(cuts.stretch("__bucket"), "__part", "__bucket").rowsBetween(W.unboundedPreceding, -1)
+    level = net.select("__bucket", "__part", F.coalesce(F.sum("__net").over(earlier), F.lit(0)).alias("__level"))
+    upto = W.partitionBy("__bucket", "__part").orderBy("at", "delta", "unit").rowsBetween(W.unboundedPreceding, 0)
+    summed = parts.withColumn("__busy", F.sum(F.col("delta").cast("bigint")).over(upto))
+    found = summed.join(F.broadcast(level), ["__bucket", "__part"])
+    return found.select("at", "unit", "delta", (F.col("__level") + F.col("__busy")).cast("bigint").alias("busy"))
 
 
 def saturation_episodes(conc: DataFrame, capacity: int, n: int | None = None) -> DataFrame:

@@ -23,6 +23,8 @@ BUCKET_BYTES_KEY = "spark.callgrid.bucketBytes"
 DEFAULT_BUCKET_BYTES = 128 * 1024 * 1024
 #: Cut points are literals in the plan. Beyond so many, buckets grow with the data and their windows spill.
 MOST_BUCKETS, MOST_TEXT_BUCKETS = 4096, 512
+#: Inputs without a file listing say that they are larger than this.
+UNKNOWN_BYTES = 1 << 60
 
 _BUCKET, _CARRIED, _SEED = "__bucket", "__carried", "__seed"
 
@@ -38,9 +40,16 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def bucket_count(df: DataFrame) -> int:
+def bucket_count(df: DataFrame, finer: int = 1) -> int:
+    """Buckets for a plan's inputs, `finer` times as many where a row of input becomes several rows to be sorted."""
     per_bucket = int(df.sparkSession.conf.get(BUCKET_BYTES_KEY, str(DEFAULT_BUCKET_BYTES)))
-    return max(1, min(MOST_BUCKETS, math.ceil(input_bytes(df) / per_bucket)))
+    return max(1, min(MOST_BUCKETS, math.ceil(finer * input_bytes(df) / per_bucket)))
+
+
+def task_count(df: DataFrame, buckets: int) -> int:
+    """Tasks for rows dealt by their buckets: the session's number, or one per bucket if these are more."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, buckets) if input_bytes(df) < UNKNOWN_BYTES else least
 
 
 def _kind(df: DataFrame, c: Col) -> str:
@@ -96,6 +105,23 @@ class Cuts:
     heavy: tuple[float | str, ...] = ()
     second: tuple[float | str, ...] = ()
 
+    @property
+    def width(self) -> int:
+        """Numbers that `with_buckets` keeps for each stretch of the first column."""
+        return len(self.second) + 2 if self.heavy else 1
+
+    @property
+    def buckets(self) -> int:
+        return len(self.first) + 1 + len(self.heavy) * len(self.second)
+
+    def stretch(self, bucket: Col) -> Column:
+        """The number of a bucket's stretch of the first column."""
+        return F.floor(col(bucket) / F.lit(self.width)).cast("int")
+
+    def one_value(self, bucket: Col) -> Column:
+        """Whether a bucket holds (a part of) a heavy value alone."""
+        return self.stretch(bucket).isin([self.first.index(x) + 1 for x in self.heavy])
+
 
 def plan_cuts(df: DataFrame, order, n: int | None = None) -> Cuts:
     """Cut points that spread the rows over about n buckets; a job reads the order columns only.
@@ -120,6 +146,12 @@ def _in_order(values) -> list:
     return sorted(values, key=lambda v: v.encode() if isinstance(v, str) else v)
 
 
+def is_heavy(df: DataFrame, c: Col, cuts: Cuts) -> Column:
+    """Whether a value of the first order column is one of the heavy ones; NULL is not."""
+    value = col(c) if cuts.heavy and isinstance(cuts.heavy[0], str) else _as_double(df, c)
+    return F.coalesce(value.isin(*cuts.heavy), F.lit(False))
+
+
 def with_buckets(df: DataFrame, order, cuts: Cuts, out: str = _BUCKET) -> DataFrame:
     """Add a bucket number that never decreases along the order."""
     order = as_list(order)
@@ -128,8 +160,7 @@ def with_buckets(df: DataFrame, order, cuts: Cuts, out: str = _BUCKET) -> DataFr
         return first
     second = out + "_2"
     both = _bucketed(first, order[1], list(cuts.second), second)
-    value = col(order[0]) if isinstance(cuts.heavy[0], str) else _as_double(df, order[0])
-    inside = F.when(value.isin(*cuts.heavy), F.col(second)).otherwise(F.lit(0))
+    inside = F.when(is_heavy(df, order[0], cuts), F.col(second)).otherwise(F.lit(0))
     return both.withColumn(out, F.col(out) * F.lit(len(cuts.second) + 2) + inside).drop(second)
 
 
