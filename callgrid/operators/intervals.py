@@ -170,10 +170,15 @@ def load_band_share(conc: DataFrame, bounds=(4, 8), load: str = "during", n: int
     `load="during"` weights each stretch by the units busy in it; `"after"` by those busy at its end.
     """
     low, high = bounds
-    order = ["at", "delta", "unit"]
-    # whether rows see the stretch before them or after them, busy is that of the stretch's near end
+    # whether instants see the stretch before them or after them, busy is that of the stretch's near end: after an
+    # instant's last change, or after its first. Units become clear first, and only they make busy fall.
     later = load == "during"
-    stretch = neighbour(conc, {"__at": "at"}, order, following=later, n=n)
+    fallen, risen = (F.when(F.col("delta") == d, F.col("busy")) for d in (-1, 1))
+    near = F.coalesce(F.max(risen), F.min(fallen)) if later else F.coalesce(F.max(fallen), F.min(risen))
+    instants = conc.groupBy("at").agg(near.alias("busy"))
+    if (n or bucket_count(conc, _FINER)) > 1:
+        instants = checkpointed(instants)
+    stretch = neighbour(instants, {"__at": "at"}, ["at"], following=later, n=n or bucket_count(instants, _FINER))
     length = F.coalesce(F.abs(F.col("__at") - F.col("at")), F.lit(0))
     busy = F.col("busy")
     total = F.sum(length)

@@ -58,3 +58,20 @@ def test_crowded_instant_is_spread(spark):
     cuts = o.plan_cuts(df.select(F.explode(F.array(F.unix_micros("s"), F.unix_micros("e"))).alias("at"), "unit"), ["at", "unit"], 8)
     sizes = o.with_buckets(df.select(F.unix_micros("s").alias("at"), "unit"), ["at", "unit"], cuts, "b").groupBy("b").count().collect()
     assert max(x["count"] for x in sizes) < 4000
+
+
+@pytest.mark.parametrize("load", ["during", "after"])
+def test_load_bands_weigh_instants(spark, monkeypatch, load):
+    """Changes of an instant become one row before they are put in order."""
+    conc = iv.concurrency(dispatched(spark, 3), "unit", "s", "e", 1).cache()
+    inorder = W.orderBy("at", "delta", "unit")
+    near = F.lead("at").over(inorder) - F.col("at") if load == "during" else F.col("at") - F.lag("at").over(inorder)
+    length = F.sum("length")
+    share = [F.coalesce(F.sum(F.when(c, F.col("length"))), F.lit(0)) / length for c in (F.col("busy") <= 5, F.col("busy").between(6, 9), F.col("busy") > 9)]
+    want = tuple(conc.withColumn("length", near).agg(*share).first())
+    seen = []
+    plain = iv.neighbour
+    monkeypatch.setattr(iv, "neighbour", lambda df, *a, **k: seen.append(df.count()) or plain(df, *a, **k))
+    for n in (1, 6):
+        assert tuple(iv.load_band_share(conc, (5, 9), load, n).first()) == pytest.approx(want)
+    assert set(seen) == {conc.select("at").distinct().count()} and seen[0] < conc.count()
