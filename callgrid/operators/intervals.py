@@ -199,8 +199,10 @@ def created_while_saturated(
     names = df.columns
     asked = df.select("*", micros(created).alias("__at"), F.lit(0).alias("__phase"))
     steps = conc.groupBy(F.col("at").alias("__at")).agg(F.sum("delta").alias("__delta")).withColumn("__phase", F.lit(1))
+    if bucket_count(conc, _FINER) > 1:
+        steps = checkpointed(steps)
     both = asked.unionByName(steps, allowMissingColumns=True)
-    cuts = plan_cuts(df.select(micros(created).alias("__at")), "__at", n or bucket_count(both))
+    cuts = plan_cuts(df.select(micros(created).alias("__at")), "__at", n or bucket_count(both, _FINER))
     level_before = running_sum(both, "__delta", ["__at", "__phase"], out="__busy", cuts=cuts)
     return level_before.where("__phase = 0").select(*names, (F.col("__busy") >= level).alias(out))
 
