@@ -157,6 +157,8 @@ def saturation_episodes(conc: DataFrame, capacity: int, n: int | None = None) ->
     begins = (F.col("busy") >= capacity) & (before < capacity)
     ends = (F.col("busy") < capacity) & (before >= capacity)
     turns = conc.where(begins | ends).withColumn("__begin", F.when(begins, 1).otherwise(0))
+    if bucket_count(conc, _FINER) > 1:
+        turns = checkpointed(turns)
     numbered = running_sum(turns, F.col("__begin").cast("bigint"), ["at", "delta", "unit"], out="episode", n=n)
     at = F.col("at")
     return numbered.groupBy("episode").agg(

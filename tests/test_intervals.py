@@ -75,3 +75,16 @@ def test_load_bands_weigh_instants(spark, monkeypatch, load):
     for n in (1, 6):
         assert tuple(iv.load_band_share(conc, (5, 9), load, n).first()) == pytest.approx(want)
     assert set(seen) == {conc.select("at").distinct().count()} and seen[0] < conc.count()
+
+
+def test_what_follows_large_inputs_reads_them_once(spark, monkeypatch, small_buckets):
+    """The few rows that episodes and levels need are written before they are read several times."""
+    df = dispatched(spark, 4)
+    conc = iv.concurrency(df, "unit", "s", "e", 1)
+    want = {1: rows(iv.saturation_episodes(conc, 6, 1)), 2: rows(iv.created_while_saturated(df.select("s"), "s", conc, 6, n=1))}
+    seen = []
+    plain = iv.running_sum
+    monkeypatch.setattr(iv, "running_sum", lambda df, *a, **k: seen.append(plan_of(df)) or plain(df, *a, **k))
+    assert rows(iv.saturation_episodes(conc, 6, 5)) == want[1]
+    assert rows(iv.created_while_saturated(df.select("s"), "s", conc, 6, n=5)) == want[2]
+    assert len(seen) == 2 and not any("Window" in x or "__bucket" in x for x in seen)
