@@ -6,6 +6,7 @@ once the watermark has passed its time, so that nothing before it can still arri
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,11 +15,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.base import as_list, micros
-from ..operators.ordered import running_sum
+from ..operators.intervals import busy_after
+from ..operators.ordered import plan_cuts, running_sum, with_buckets
 from ..sources.scratch import scratch_path
 
 #: Rows of this time or later only say that nothing earlier will come.
 END_OF_TIME = "9999-01-01 00:00:00"
+#: Changes of units' states that one task puts in order.
+BUCKET_ROWS = 1 << 20
 
 
 def with_end(stream: DataFrame, ts) -> DataFrame:
@@ -124,17 +128,24 @@ def write_busy_units(changes: DataFrame, path: str):
     """A stream writer that adds the number of busy units after each change, in a folder per batch: (at, unit, delta, busy).
 
     A batch has the changes between two watermarks, so all of them come after those of earlier batches: within a
-    batch it is a running sum over all tasks, and one number goes from batch to batch. It is kept with the batch's rows,
+    batch it is a running sum over all tasks, in buckets of so many changes that each fits into one, and one number goes from batch to batch. It is kept with the batch's rows,
     so a batch that is run again gives the same.
     """
     spark = changes.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batch: DataFrame, number: int) -> None:
         rows = batch.persist()
         before = 0
         try:
             before = _left_by(spark, path, number)
-            summed = running_sum(rows, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy")
+            # the size of a batch is known by its rows alone
+            cuts = plan_cuts(rows, ["at", "unit"], math.ceil(rows.count() / BUCKET_ROWS))
+            if cuts.first:
+                placed = with_buckets(rows, ["at", "unit"], cuts, "__bucket")
+                summed = busy_after(placed.repartition(max(tasks, cuts.buckets), "__bucket"), cuts)
+            else:
+                summed = running_sum(rows, F.col("delta").cast("bigint"), ["at", "delta", "unit"], out="busy", cuts=cuts)
             summed = summed.withColumn("busy", F.col("busy") + F.lit(before)).select("at", "unit", "delta", "busy")
             summed.write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
             after = rows.agg((F.coalesce(F.sum("delta"), F.lit(0)) + F.lit(before)).cast("bigint").alias("busy"))

@@ -77,3 +77,18 @@ def test_busy_units_in_batches_and_after_a_restart(spark, tmp_path):
     want = iv.concurrency(spark.createDataFrame(given, schema), "unit", "sent", "clear").select("at", "unit", "delta", "busy")
     assert rows(got) == rows(want)
     assert 0 < len(part) < got.count() and set(part) <= set(rows(got)), "what was written first stands"
+
+
+def test_busy_units_of_a_batch_in_buckets(spark, tmp_path, monkeypatch):
+    """A batch is cut by the number of its changes, so that no task has all of them; the sums are the same."""
+    given, schema = dispatched(4), "unit int, sent timestamp, clear timestamp"
+    stream = files(spark, str(tmp_path / "in"), schema, [given, [(None, END, END)]])
+    monkeypatch.setattr(tr, "BUCKET_ROWS", 40)
+    used = []
+    plain = tr.busy_after
+    monkeypatch.setattr(tr, "busy_after", lambda *a: used.append(1) or plain(*a))
+    path = str(tmp_path / "out")
+    tr.run_to_end(tr.write_busy_units(tr.unit_changes_stream(stream, "unit", "sent", "clear", "9000 days"), path), path)
+    got = spark.read.parquet(f"{path}/changes").select("at", "unit", "delta", "busy")
+    want = iv.concurrency(spark.createDataFrame(given, schema), "unit", "sent", "clear", 1).select("at", "unit", "delta", "busy")
+    assert rows(got) == rows(want) and used
