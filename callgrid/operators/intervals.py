@@ -41,9 +41,38 @@ def idle_time(df: DataFrame, unit: str, start: str, end: str, shift0) -> DataFra
     times a clear comes before a dispatch.
     """
     shifted = df.withColumn("shift", shift_number(start, shift0)).where("shift > 0")
-    events = unit_events(shifted, unit, start, end, ["shift"])
-    cuts = plan_cuts(df.select(micros(start).alias("at")), "at")
-    seen = neighbour(events, {"__at": "at", "__state": "state"}, ["at", "state"], ["unit", "shift"], cuts=cuts)
+    n = bucket_count(df, _FINER)
+    cuts = plan_cuts(shifted.select(F.col(unit).alias("unit"), micros(start).alias("at")), ["unit", "at"], n)
+    hot = is_heavy(shifted, unit, cuts)
+    if n > 1 and not shifted.where(F.col(unit).isNull()).isEmpty():
+        hot = hot | F.col(unit).isNull()
+    elif not cuts.heavy:
+        return _idle_in_shifts(shifted, unit, start, end, shift0, task_count(df, n))
+    # only shifts of units with a large share of the rows are cut along time
+    few = shifted.where(hot)
+    times = plan_cuts(few.select(micros(start).alias("at")), "at", n)
+    seen = neighbour(
+        unit_events(few, unit, start, end, ["shift"]), {"__at": "at", "__state": "state"}, ["at", "state"], ["unit", "shift"], cuts=times
+    )
+    rest = _idle_in_shifts(shifted.where(~hot), unit, start, end, shift0, task_count(df, n))
+    return rest.unionByName(_idle_hours(seen, shift0))
+
+
+def _idle_in_shifts(shifted: DataFrame, unit: str, start: str, end: str, shift0, tasks: int) -> DataFrame:
+    """Idle hours where a shift of a unit fits into a task: rows are dealt once, before they become two events each."""
+    rows = shifted.select(F.col(unit).alias("unit"), "shift", micros(start).alias("__sent"), micros(end).alias("__clear"))
+    pair = F.array(
+        F.struct(F.col("__sent").alias("at"), F.lit(1).alias("state")), F.struct(F.col("__clear").alias("at"), F.lit(0).alias("state"))
+    )
+    events = rows.repartition(tasks, "unit", "shift").select("unit", "shift", F.inline(pair)).where("at is not null")
+    # a repeated event adds nothing: its copy says that the unit is in that state already
+    before = W.partitionBy("unit", "shift").orderBy("at", "state")
+    seen = events.select("*", F.lag("at").over(before).alias("__at"), F.lag("state").over(before).alias("__state"))
+    return _idle_hours(seen, shift0)
+
+
+def _idle_hours(seen: DataFrame, shift0) -> DataFrame:
+    """(unit, shift, idle_hours) from events that see the one before them."""
     began = micros(F.lit(shift0).cast("timestamp")) + (F.col("shift") - 1) * F.lit(_DAY)
     free_since = F.when(F.col("__state").isNull(), began).when(F.col("__state") == 0, F.col("__at"))
     idle = F.when(F.col("state") == 1, F.col("at") - free_since)

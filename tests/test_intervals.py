@@ -88,3 +88,26 @@ def test_what_follows_large_inputs_reads_them_once(spark, monkeypatch, small_buc
     assert rows(iv.saturation_episodes(conc, 6, 5)) == want[1]
     assert rows(iv.created_while_saturated(df.select("s"), "s", conc, 6, n=5)) == want[2]
     assert len(seen) == 2 and not any("Window" in x or "__bucket" in x for x in seen)
+
+
+def test_idle_time_deals_rows_once(spark):
+    """One exchange for the rows of all units that are not hot, before a row becomes two events."""
+    df = dispatched(spark, 5, hot=0.0)
+    plan = plan_of(iv._idle_in_shifts(df.withColumn("shift", iv.shift_number("s", "2023-11-14 07:00:00")), "unit", "s", "e", "2023-11-14 07:00:00", 8))
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate") < plan.index("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("hot", [0.0, 0.7])
+def test_idle_time_of_hot_units_and_repeated_rows(spark, tmp_path, hot):
+    """Cut or not, idle hours are those of plain windows over distinct events."""
+    dispatched(spark, 6, hot=hot).write.parquet(f"{tmp_path}/d")
+    df, shift0 = spark.read.parquet(f"{tmp_path}/d"), "2023-11-14 07:00:00"
+    before = W.partitionBy("unit", "shift").orderBy("at", "state")
+    events = iv.unit_events(df.withColumn("shift", iv.shift_number("s", shift0)).where("shift > 0"), "unit", "s", "e", ["shift"])
+    want = rows(iv._idle_hours(events.select("*", F.lag("at").over(before).alias("__at"), F.lag("state").over(before).alias("__state")), shift0))
+    assert rows(iv.idle_time(df, "unit", "s", "e", shift0)) == want
+    spark.conf.set(o.BUCKET_BYTES_KEY, "9000")
+    try:
+        assert rows(iv.idle_time(df, "unit", "s", "e", shift0)) == want
+    finally:
+        spark.conf.unset(o.BUCKET_BYTES_KEY)
