@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.base import Col, as_list, col, micros
-from .ordered import exact_quantiles, row_positions
+from .ordered import bucket_count, exact_quantiles, is_heavy, plan_cuts, row_positions, task_count, with_buckets
+
+#: An instant is two rows for each span, with all its sums, sorted in both directions.
+_FINER = 64
 
 
 def _daily(df: DataFrame, day: Column, feature: str, agg: str, group: list[str]) -> DataFrame:
@@ -64,7 +67,7 @@ def prior_count(df: DataFrame, key: str, order, out: str = "prior", n: int | Non
     return counted.withColumn(out, F.when(F.col(key).isNotNull(), F.col(out)))
 
 
-def sums_last(df: DataFrame, key, ts: str, sums: dict[str, tuple[Col, int]]) -> DataFrame:
+def sums_last(df: DataFrame, key, ts: str, sums: dict[str, tuple[Col, int]], n: int | None = None) -> DataFrame:
     """Trailing sums: `sums` maps each new column to (value, seconds).
 
     Each is the sum over the same key's rows from that many seconds before a row up to, but without, its own instant; 0 if
@@ -73,7 +76,8 @@ def sums_last(df: DataFrame, key, ts: str, sums: dict[str, tuple[Col, int]]) ->
     Rows of an instant merge first. Time is cut into stretches as long as the sum looks back, so that what a row looks back
     on is the end of one stretch and the start of the next. Both are sums that only grow, one backwards and one
     forwards: nothing is subtracted, so that large values, NaN and infinity leave no trace once they are out of sight. A
-    key with many rows is spread over its stretches.
+    key with many rows is spread over its stretches, and they are cut into buckets of time: each of these starts, in
+    either direction, with what those behind it add up to.
     """
     keys = as_list(key)
     names = df.columns
@@ -96,16 +100,38 @@ def sums_last(df: DataFrame, key, ts: str, sums: dict[str, tuple[Col, int]]) ->
         )
     )
     rows = at.withColumn("__p", places).select("*", "__p.*").drop("__p").withColumn("__part", F.floor(F.col("at") / F.col("span")))
-    part = W.partitionBy(*inner, "span", "__part")
-    ahead = part.orderBy("at").rangeBetween(W.unboundedPreceding, -1)
-    back = part.orderBy(F.col("at").desc(), "asks").rowsBetween(W.unboundedPreceding, 0)
+    stretch, first, behind = [*inner, "span", "__part"], [], {}
+    order = [*inner[:1], "at"]
+    given = df.where(F.col(ts).isNotNull()).select(*renamed[:1], micros(ts).alias("at"))
+    cuts = plan_cuts(given, order, n or bucket_count(df, _FINER))
+    if cuts.heavy or (cuts.first and not keys):
+        rows = with_buckets(rows, order, cuts)
+        cut_up = rows.where(is_heavy(rows, inner[0], cuts)) if keys else rows
+        values = [F.sum(F.when(~F.col("asks"), F.col(f"__v_{out}"))).alias(f"__v_{out}") for out in sums]
+        pieces = cut_up.groupBy(*stretch, "__bucket").agg(*values)
+        along = W.partitionBy(*stretch).orderBy("__bucket")
+        below, above = along.rowsBetween(W.unboundedPreceding, -1), along.rowsBetween(1, W.unboundedFollowing)
+        seeds = pieces.select(
+            *stretch,
+            "__bucket",
+            F.lit(True).alias("__seed"),
+            *[F.sum(f"__v_{out}").over(w).alias(f"__{d}_{out}") for out in sums for d, w in (("below", below), ("above", above))],
+        )
+        rows = rows.withColumn("__seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+        stretch, first = [*stretch, "__bucket"], [F.col("__seed").desc()]
+        rows = rows.repartition(task_count(df, cuts.buckets), *stretch)
+    part = W.partitionBy(*stretch)
+    ahead = part.orderBy(*first, "at", "asks").rowsBetween(W.unboundedPreceding, -1)
+    back = part.orderBy(*first, F.col("at").desc(), "asks").rowsBetween(W.unboundedPreceding, 0)
     found = []
     for span, outs in by_span.items():
         for out in outs:
             v = F.when(~F.col("asks"), F.col(f"__v_{out}"))
-            seen = F.when(F.col("asks"), F.sum(v).over(back)).otherwise(F.sum(v).over(ahead))
+            up, down = (F.when(F.col("__seed"), F.col(f"__{d}_{out}")).otherwise(v) if first else v for d in ("below", "above"))
+            seen = F.when(F.col("asks"), F.sum(down).over(back)).otherwise(F.sum(up).over(ahead))
             found.append(F.when(F.col("span") == span, seen).alias(f"__s_{out}"))
-    parts = rows.select(*inner, "__at", *found).groupBy(*inner, "__at")
+    seen = rows.select(*inner, "__at", *(["__seed"] if first else []), *found)
+    parts = (seen.where(~F.col("__seed")) if first else seen).groupBy(*inner, "__at")
     trailing = parts.agg(*[F.coalesce(F.sum(f"__s_{out}"), F.lit(0)).alias(f"__t_{out}") for out in sums])
     same = micros(ts) == F.col("__at")
     for k, i in zip(keys, inner, strict=True):

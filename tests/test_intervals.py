@@ -111,3 +111,14 @@ def test_idle_time_of_hot_units_and_repeated_rows(spark, tmp_path, hot):
         assert rows(iv.idle_time(df, "unit", "s", "e", shift0)) == want
     finally:
         spark.conf.unset(o.BUCKET_BYTES_KEY)
+
+
+@pytest.mark.parametrize("keys", ["unit", ["unit", "odd"], []])
+def test_trailing_sums_of_hot_keys_in_buckets(spark, keys):
+    """A stretch of a hot key is cut along time, and its sums stay those of the whole stretch."""
+    df = dispatched(spark, 7, n=300, hot=0.5, crowd=0.1).select("unit", (F.col("unit") % 2).alias("odd"), F.col("s").alias("ts"), F.monotonically_increasing_id().alias("id"))
+    sums = {"a": (F.lit(1).cast("bigint"), 3600), "b": (F.col("id") % 5, 20000), "c": (F.when(F.col("id") % 50 == 0, float("inf")).otherwise(0.5), 1800)}
+    df = df.cache()
+    got = w.sums_last(df, keys, "ts", sums, n=12)
+    assert rows(got) == rows(w.sums_last(df, keys, "ts", sums, n=1))
+    assert "__seed" in plan_of(got)
