@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .graph import components
-from .tables import small_batches, written
+from .tables import KeyFilter, small_batches, written
 from .textbytes import LOWER, U, mixed, pieces, run_hashes, shingles, words
 from .tokens import release
 
@@ -301,15 +301,72 @@ def local_roots(linked: np.ndarray) -> np.ndarray:
         roots = new
 
 
+def _parities(sets: list[np.ndarray], width: int) -> np.ndarray:
+    """A row of signs for each set: whether the number of its tokens in each of `width` classes is even."""
+    row = np.repeat(np.arange(len(sets)) * width, [len(s) for s in sets])
+    place = (np.concatenate(sets) & U(width - 1)).astype(np.int64)
+    odd = np.bincount(row + place, minlength=len(sets) * width) & 1
+    return (1 - 2 * odd).astype(np.float32).reshape(len(sets), width)
+
+
+def links_across(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
+    """Rows (i, j) of links that hold together what links between `a` and `b` hold together; `b` is numbered on from `a`.
+
+    Two sets differ in at least as many tokens as classes in which their parities differ. Few pairs are left by that; sets
+    with many of them are compared all with all.
+    """
+    na, nb = np.array([len(s) for s in a]), np.array([len(s) for s in b])
+    width = 1 << min(13, max(7, int(max(na.max(), nb.max()) - 1).bit_length()))
+    differ = (width - (_parities(a, width) @ _parities(b, width).T).astype(np.int64)) // 2
+    at = np.argwhere(differ * (100 + percent) <= (na[:, None] + nb[None, :]) * (100 - percent))
+    i, j = np.unique(at[:, 0]), np.unique(at[:, 1])
+    if len(at) <= 4 * (len(i) + len(j)):
+        both = np.array([len(np.intersect1d(a[x], b[y], assume_unique=True)) for x, y in at.tolist()], np.int64)
+        return at[100 * both >= percent * (na[at[:, 0]] + nb[at[:, 1]] - both)] + [0, len(a)]
+    roots = local_roots(linked_pairs([*(a[x] for x in i), *(b[y] for y in j)], percent))
+    ids = np.concatenate([i, j + len(a)])
+    return np.stack([ids, ids[roots]], axis=1)[roots != np.arange(len(roots))]
+
+
+def spanning_links(a: list[np.ndarray], b: list[np.ndarray] | None, percent: int, step: int = 512) -> list[tuple[int, int]]:
+    """(i, root of i) for what links between `a` and `b`, numbered on from `a`, hold together; b None: links within `a`."""
+    sets = a if b is None else a + b
+    n = np.array([len(s) for s in sets])
+    rows = np.argsort(n[: len(a)], kind="stable")
+    columns = rows if b is None else len(a) + np.argsort(n[len(a) :], kind="stable")
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for low in range(0, len(rows), step):
+        p = rows[low : low + step]
+        for at in range(low if b is None else 0, len(columns), step):
+            q = columns[at : at + step]
+            if 100 * n[p[-1]] < percent * n[q[0]] or 100 * n[q[-1]] < percent * n[p[0]]:
+                continue
+            ids = np.concatenate([p, q])
+            for x, y in ids[links_across([sets[x] for x in p], [sets[x] for x in q], percent)].tolist():
+                x, y = find(x), find(y)
+                parent[max(x, y)] = min(x, y)
+    return [(x, find(x)) for x in range(len(sets)) if parent[x] != x]
+
+
 def _verified(batches: Iterator[pa.RecordBatch], percent: int):
-    """Rows sorted by (root, b1, b2): for each such block pair the spanning links of what it holds."""
+    """Rows sorted by (family, b1, b2): for each such block pair the spanning links between its blocks."""
     key, held = None, []
 
     def flush():
         if len(held) > 1:
-            roots = local_roots(linked_pairs([np.frombuffer(x[2], U) for x in held], percent))
-            for i in np.flatnonzero(roots != np.arange(len(roots))):
-                yield (*held[i][:2], *held[roots[i]][:2])
+            _, b1, b2 = key
+            held.sort(key=lambda x: x[0])
+            sets = [np.frombuffer(x[3], U) for x in held]
+            m = sum(x[0] == b1 for x in held)
+            for i, root in spanning_links(sets[:m], None if b1 == b2 else sets[m:], percent):
+                yield (*held[i][1:3], *held[root][1:3])
 
     def batch(links):
         columns = list(zip(*links, strict=True)) if links else [[]] * 4
@@ -317,12 +374,12 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int):
 
     for rows in batches:
         out = []
-        for root, b1, b2, h1, h2, tokens in zip(*(rows.column(i).to_pylist() for i in range(6)), strict=True):
-            if (root, b1, b2) != key:
+        for family, b1, b2, block, h1, h2, tokens in zip(*(rows.column(i).to_pylist() for i in range(7)), strict=True):
+            if (family, b1, b2) != key:
                 out += flush()
-                key, held = (root, b1, b2), []
-            if not held or held[-1][:2] != (h1, h2):
-                held.append((h1, h2, tokens))
+                key, held = (family, b1, b2), []
+            if not held or held[-1][1:3] != (h1, h2):
+                held.append((block, h1, h2, tokens))
         yield batch(out)
     yield batch(list(flush()))
 
@@ -338,8 +395,9 @@ def jaccard_components(
     only if all are null). Sets are told apart by 128 bits of hashes, shingles by 64.
 
     Which shingles are frequent is seen from about `sample` documents; that steers the load only.
-    Classes that meet in a signature form candidate families. Each family is cut, by size of set, into blocks of at most
-    `block_tokens` shingles; only block pairs whose sizes can match are compared, each in a task of its own.
+    Classes that meet in a signature form candidate families. Each family is cut, by size of set, into blocks of
+    `block_tokens` shingles, or a sixteenth of the family where that is more (up to eight times as much), so that a set goes
+    to few tasks; only block pairs whose sizes can match are compared, each in a task of its own.
     """
     docs = docs.select("doc_id", "text")
     table = written(shingle_sets(docs, k), "sets")
@@ -351,9 +409,12 @@ def jaccard_components(
     family = family.select(F.col("node").alias("short"), F.col("root").alias("family"))
 
     classes = table.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
-    weight = F.sum(F.greatest("n", F.lit(2048))).over(Window.partitionBy("family").orderBy("n", "h1", "h2"))
+    weight = F.greatest("n", F.lit(256))
+    before = F.sum(weight).over(Window.partitionBy("family").orderBy("n", "h1", "h2"))
+    whole = F.sum(weight).over(Window.partitionBy("family"))
+    size = F.greatest(F.lit(block_tokens), F.least(whole / 16, F.lit(8 * block_tokens)))
     members = written(
-        classes.withColumn("short", F.shiftrightunsigned("h1", 16)).join(family, "short").withColumn("block", F.floor((weight - 1) / block_tokens).cast("int")), "members"
+        classes.withColumn("short", F.shiftrightunsigned("h1", 16)).join(family, "short").withColumn("block", F.floor((before - 1) / size).cast("int")), "members"
     )
     ends = members.groupBy("family", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     other = ends.select("family", F.col("block").alias("b2"), F.col("lo").alias("lo2"))
@@ -364,26 +425,28 @@ def jaccard_components(
         .select("family", "b1", "b2")
     )
     sides = pairs.select("family", F.explode(F.array_distinct(F.array("b1", "b2"))).alias("block"), "b1", "b2")
+    sides = sides.groupBy("family", "block").agg(F.collect_list(F.struct("b1", "b2")).alias("pairs"))
 
     def fetched(batches):
         for rows, sets in _sets(batches, "text", k):
             names = [_names(s) if len(s) else (0, 0) for s in sets]
             at = [i for i, x in enumerate(zip(rows["h1"].to_pylist(), rows["h2"].to_pylist(), strict=True)) if x == names[i]]
-            kept = rows.select(["family", "block", "h1", "h2"]).take(pa.array(at, pa.int64()))
+            kept = rows.select(["family", "block", "pairs", "h1", "h2"]).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array([sets[i].tobytes() for i in at], pa.binary())],
-                names=["family", "block", "h1", "h2", "tokens"],
+                names=["family", "block", "pairs", "h1", "h2", "tokens"],
             )
 
-    wanted = members.select(F.col("first").alias("first_id"), "family", "block", "h1", "h2")
-    # every document moves once, whatever the number of candidates: the same plan at every size
-    texts = docs.join(wanted.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(F.col("first_id")))
-    sets = texts.select("family", "block", "h1", "h2", "text").mapInArrow(
-        fetched, "family long, block int, h1 long, h2 long, tokens binary"
+    wanted = members.join(sides, ["family", "block"]).select(F.col("first").alias("first_id"), "family", "block", "pairs", "h1", "h2")
+    # texts of no family stay where they are, the others move once: the same plan at every size
+    near, _ = KeyFilter(members.select("first")).split(docs, "doc_id")
+    texts = near.join(wanted.hint("merge"), near["doc_id"].cast("long").eqNullSafe(F.col("first_id")))
+    sets = texts.select("family", "block", "pairs", "h1", "h2", "text").mapInArrow(
+        fetched, "family long, block int, pairs array<struct<b1:int,b2:int>>, h1 long, h2 long, tokens binary"
     )
     grouped = (
-        sets.join(sides, ["family", "block"])
-        .select("family", "b1", "b2", "h1", "h2", "tokens")
+        sets.select("family", "block", F.explode("pairs").alias("pair"), "h1", "h2", "tokens")
+        .select("family", "pair.b1", "pair.b2", "block", "h1", "h2", "tokens")
         .repartition("family", "b1", "b2")
         .sortWithinPartitions("family", "b1", "b2", "h1", "h2")
     )

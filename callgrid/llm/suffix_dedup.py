@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import written
+from .tables import KeyFilter, written
 from .textbytes import BYTE_HASH, PIECE_BYTES, U, mixed, pieces, powers
 from .tokens import release
 
@@ -235,7 +235,7 @@ def _merged(runs: list[tuple]) -> list[tuple]:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int):
-    """Per text the hashes of its anchors; one that occurs again in the text is there twice."""
+    """Per text 48 bits of the hashes of its anchors; one that occurs again in the text is there twice."""
     release()
     for rows, buf, bounds in pieces(batches, "text"):
         row, _, _, _, h = anchors(buf, bounds, length)
@@ -245,14 +245,14 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int):
         keep[2:] = (row[2:] != row[:-2]) | (h[2:] != h[:-2])
         row, h = row[keep], h[keep]
         at = np.searchsorted(row, np.arange(rows.num_rows + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(at, pa.array(h.view(np.int64)))
+        lists = pa.ListArray.from_arrays(at, pa.array((h >> U(16)).view(np.int64)))
         yield pa.RecordBatch.from_arrays([rows.column("e"), lists], names=["e", "hs"])
 
 
 def _bucketed(batches: Iterator[pa.RecordBatch], buckets: int):
-    """48 bits of each anchor hash, six bytes apiece, by bucket. What a batch has more than once is there twice."""
+    """The 48 bits of each anchor hash, six bytes apiece, by bucket. What a batch has more than once is there twice."""
     for batch in batches:
-        h, count = np.unique(batch.column("hs").flatten().to_numpy().view(U) >> U(16), return_counts=True)
+        h, count = np.unique(batch.column("hs").flatten().to_numpy().view(U), return_counts=True)
         h = np.repeat(h, np.minimum(count, 2))
         bucket = ((h >> U(16)) * U(buckets) >> U(32)).astype(np.int32)  # ascending, as h is
         entries = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
@@ -345,16 +345,19 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
     size = F.octet_length(F.encode("text", "UTF-8"))
     texts = plain.select("doc", "e", F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(1)).alias("t2"), size.alias("size"))
     first = texts.groupBy("t1", "t2").agg(F.min("doc").alias("first"))
-    copies = texts.join(first, ["t1", "t2"]).where("doc > first").select("doc", "e", "size")
-    found = plain.select("e", "text").mapInArrow(lambda it: _anchor_rows(it, length), "e long, hs array<long>")
-    found = written(found.join(copies.select("e").hint("merge"), "e", "left_anti"), "anchors", "none")
+    copies = written(texts.join(first, ["t1", "t2"]).where("doc > first").select("doc", "e", "size"), "copies")
+    # of texts and anchors only those move that a filter of the other side lets through
+    near, far = KeyFilter(copies.select("e")).split(plain.select("e", "text"), "e")
+    found = far.union(near.join(copies.select("e").hint("merge"), "e", "left_anti"))
+    found = written(found.mapInArrow(lambda it: _anchor_rows(it, length), "e long, hs array<long>"), "anchors")
     buckets = max(64, found.count() // DOCS_A_BUCKET)
     counted = found.select("hs").mapInArrow(lambda it: _bucketed(it, buckets), "bucket int, entries binary")
     counted = counted.repartition("bucket").sortWithinPartitions("bucket")
-    repeated = counted.mapInArrow(_repeated, "short long")
-    single = found.select("e", F.explode("hs").alias("h")).select("e", F.shiftrightunsigned("h", 16).alias("short"))
-    wanted = single.join(repeated, "short").groupBy("e").agg(F.collect_set("short").alias("hs"))
-    parts = plain.join(wanted, "e").select("doc", "e", "text", "hs")
+    repeated = written(counted.mapInArrow(_repeated, "short long"), "repeated")
+    single, _ = KeyFilter(repeated).split(found.select("e", F.explode("hs").alias("short")), "short")
+    wanted = written(single.join(repeated, "short").groupBy("e").agg(F.collect_set("short").alias("hs")), "wanted")
+    near, _ = KeyFilter(wanted.select("e")).split(plain, "e")
+    parts = near.join(wanted, "e").select("doc", "e", "text", "hs")
     parts = parts.mapInArrow(lambda it: _candidate_segments(it, length), PART_SCHEMA)
     parts = parts.repartition("h").sortWithinPartitions("h", "doc", "low")
     parts = parts.mapInArrow(lambda it: _final_repeats(it, length), PART_SCHEMA)
@@ -362,6 +365,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
         "doc", "e", F.lit(0).cast("long").alias("low"), (F.col("size") - length).cast("long").alias("high")
     )
     runs = parts.select("doc", "e", "low", "high").union(whole_texts).groupBy("e").agg(F.collect_list(F.struct("doc", "low", "high")).alias("runs"))
+    runs = written(runs, "runs")
 
     def cut(batches):
         for batch in batches:
@@ -388,6 +392,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, as_text: bool = False) ->
 
     doc_id = F.expr("nullif(doc, -9223372036854775807 - 1)").alias("doc_id")
     row = F.struct(doc_id, *[F.col(f"other{i}").alias(c) for i, c in enumerate(others)])
-    joined = whole.join(runs, "e", "left").select(row.alias("row"), "doc", "text", "runs")
+    near, far = KeyFilter(runs.select("e")).split(whole, "e")
+    joined = near.join(runs, "e", "left").unionByName(far, allowMissingColumns=True).select(row.alias("row"), "doc", "text", "runs")
     schema = joined.select("row").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
     return joined.mapInArrow(cut, schema.add("kept_sha256", "string").add("kept", "string" if as_text else "binary")).select("row.*", *made)

@@ -9,8 +9,9 @@ from llm.helpers import WORD, Groups, edge_docs, given, no_docs, prose, thue_mor
 
 from callgrid.llm.graph import components
 from callgrid.llm.grid_order_join import similar_vectors
-from callgrid.llm.jaccard_join import Scheme, jaccard_components
+from callgrid.llm.jaccard_join import Scheme, jaccard_components, linked_pairs, local_roots, spanning_links
 from callgrid.llm.suffix_dedup import equal_groups, remove_repeats
+from callgrid.llm.tables import KeyFilter
 
 LOW = {i: i + 32 for i in range(65, 91)}
 
@@ -102,6 +103,85 @@ def test_jaccard_empty(spark):
     assert jaccard_components(no_docs(spark)).collect() == []
 
 
+def test_a_set_of_a_large_family_goes_to_few_tasks(spark, monkeypatch):
+    import callgrid.llm.jaccard_join as j
+
+    tables = {}
+    monkeypatch.setattr(j, "written", lambda df, name, *args, write=j.written: tables.setdefault(name, write(df, name, *args)))
+    r, rows = random.Random(4), []
+    for i in range(400):
+        words = prose(40, 21).split(" ")
+        words[r.randrange(40)] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_components(docs, 3, 80, block_tokens=4000).select("doc_id", "n_shingles", "component_id").collect()
+    assert tables["members"].selectExpr("max(block) + 1", "count(*)").first() == (16, 400)
+    assert sorted(map(tuple, got), key=repr) == jaccard_truth(rows, 3, 80)
+
+
+@pytest.mark.parametrize("copies", [3, 30])
+@pytest.mark.parametrize("percent", [60, 80])
+def test_links_within_and_across_blocks(copies, percent):
+    """Few and many links in a block, against all pairs at once."""
+    r = np.random.default_rng(copies)
+    for _ in range(8):
+        sets = []
+        for _ in range(int(r.integers(1, 20))):
+            base = r.integers(0, 1 << 64, int(r.integers(1, 200)), dtype=np.uint64)
+            for _ in range(int(r.integers(1, copies))):
+                s = base.copy()
+                change = int(r.integers(0, len(s) // 5 + 1))
+                s[:change] = r.integers(0, 1 << 64, change, dtype=np.uint64)
+                r.shuffle(s)
+                sets.append(np.unique(s[int(r.integers(0, len(s) // 10 + 1)) :]))
+        sets = [sets[i] for i in r.permutation(len(sets))]
+        linked, m, step = linked_pairs(sets, percent), len(sets) // 2, int(r.integers(3, 70))
+
+        def groups(*links, n=len(sets)):
+            found = np.eye(n, dtype=bool)
+            for i, j in (pair for pairs in links for pair in pairs):
+                found[i, j] = found[j, i] = True
+            return local_roots(found).tolist()
+
+        everything = np.argwhere(linked).tolist()
+        assert groups(spanning_links(sets, None, percent, step)) == groups(everything)
+        across = spanning_links(sets[:m], sets[m:], percent, step)
+        between = [(i, j) for i, j in everything if i < m <= j]
+        assert groups(across, between) == groups(across) and groups(across, everything) == groups(everything)
+
+
+@pytest.mark.parametrize("most", [1 << 20, 16])
+def test_key_filter(spark, monkeypatch, most):
+    monkeypatch.setattr(KeyFilter, "MOST_WORDS", most)
+    rows = spark.range(-3000, 3000).selectExpr("nullif(id, 7) as k", "id as filter_word")
+    keys = rows.where("k is null or k % 10 = 0").select("k")
+    near, far = KeyFilter(keys).split(rows, "k")
+    near, far = near.collect(), far.collect()
+    assert len(near) + len(far) == 6000 and {r.k for r in near} >= {r.k for r in keys.collect()}
+    assert len(near) < 1000 or most == 16
+    near, far = KeyFilter(keys.limit(0)).split(rows, "k")
+    assert near.count() == 0 and far.count() == 6000
+
+
+def test_texts_without_a_match_do_not_move(spark, monkeypatch):
+    shares = []
+
+    def split(self, rows, key, whole=KeyFilter.split):
+        near, far = whole(self, rows, key)
+        if "text" in rows.columns:
+            shares.append(near.count() / rows.count())
+        return near, far
+
+    monkeypatch.setattr(KeyFilter, "split", split)
+    rows = [(i, prose(60, 1000 + i, words=4000)) for i in range(300)]
+    rows += [(300, rows[5][1]), (301, rows[6][1] + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    jaccard_components(docs, 3, 80).collect()
+    assert len(shares) == 1 and 0 < shares[0] < 0.1
+    remove_repeats(docs).collect()
+    assert len(shares) == 4 and max(shares) < 0.1 and min(shares) > 0
+
+
 def removal_truth(rows, length):
     """Rows equal in doc_id and text are one document."""
     out, seen = {}, set()
