@@ -3,26 +3,32 @@
 Unit vectors with cosine c are sqrt(2 - 2 c) apart: epsilon. Vectors are sorted by the grid cells, epsilon wide, that they fall into
 on the leading principal dimensions, and the sequence is cut into intervals, leaves of a tree of fan-out 16. Pairs of
 intervals are joined from the root down, a level at a time; a pair whose bounding boxes on those dimensions are more than
-epsilon apart is skipped with all below it. Pairs of leaves go on in halves inside a task until blocks are small, and
-blocks are compared as a matrix product in double precision.
+epsilon apart is skipped with all below it. Pairs of leaves are read where the leaves lie, as a product of the table's
+partitions, so no leaf is written again for the pairs it is in. They go on in halves inside a task until blocks are small. Blocks
+are compared as matrix products in single precision, first of leading dimensions with a bound for the others, and what comes
+near the threshold in double precision.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 from .graph import components
 from .tables import written
 
 FANOUT_BITS = 4
 BLOCK = 256
+NEAR_BLOCK = 1024
+LEADING = 31
+#: Vectors of a file of intervals, and pairs of intervals that Spark hands to Python at once.
+VECTORS_A_FILE, PAIRS_A_BATCH = 1 << 14, 4
+CELL_SCHEMA = "dim int, vector binary, h1 long, h2 long, n long, cell binary"
 INTERVAL_SCHEMA = (
-    "dim int, part int, seq int, lows array<float>, highs array<float>, vectors binary, first binary, h binary, n binary"
+    "dim int, part int, seq int, lows array<float>, highs array<float>, vectors binary, h1 binary, h2 binary, n binary"
 )
 
 
@@ -36,40 +42,55 @@ def _axes(sample: list, dims: int) -> np.ndarray:
     """The leading principal dimensions of a sample, as columns."""
     x = unit(np.array(sample))
     _, _, v = np.linalg.svd(x - x.mean(axis=0), full_matrices=True)
-    return v[:dims].T.copy()
+    return v[: max(dims, LEADING)].T.copy()
 
 
 def _with_cells(batches, axes: dict[int, np.ndarray], eps: float):
+    """Vectors as bytes with their grid cells; equal ones of a batch are one row."""
     for rows in batches:
-        keys = [b""] * rows.num_rows
+        if not rows.num_rows:
+            continue
+        h1, h2 = (rows.column(c).to_numpy() for c in ("h1", "h2"))
+        order = np.lexsort((h2, h1))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)
+        first = np.flatnonzero(new)
+        n = np.diff(np.append(first, len(order)))
+        rows = rows.take(pa.array(order[first]))
         dims = rows.column("dim").to_numpy()
-        vectors = rows.column("embedding").to_pylist()
+        values = rows.column("embedding").flatten().to_numpy()
+        starts = np.cumsum(dims) - dims
+        keys = [b""] * len(dims)
         for dim in np.unique(dims):
             at = np.flatnonzero(dims == dim)
-            cells = np.floor(unit(np.array([vectors[i] for i in at])) @ axes[int(dim)] / eps)
+            cells = np.floor(unit(values[starts[at][:, None] + np.arange(dim)]) @ axes[int(dim)] / eps)
             for i, key in zip(at, (cells + 32768).astype(">u2"), strict=True):
                 keys[i] = key.tobytes()
-        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(keys, pa.binary())], names=[*rows.schema.names, "cell"])
+        vectors = [values[a : a + d].tobytes() for a, d in zip(starts, dims, strict=True)]
+        columns = [rows.column("dim"), pa.array(vectors, pa.binary()), rows.column("h1"), rows.column("h2"), pa.array(n, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(keys, pa.binary())], names=["dim", "vector", "h1", "h2", "n", "cell"])
 
 
-def _intervals(batches, axes: dict[int, np.ndarray], size: int):
-    """Consecutive rows of a sorted partition with their bounding box."""
+def _intervals(batches, axes: dict[int, np.ndarray], size: int, kind: str):
+    """Consecutive vectors of a sorted partition with their bounding box; equal ones, which come together, are one."""
     part, seq, held, dim0 = TaskContext.get().partitionId(), 0, [], None
 
     def interval():
-        x = np.array([r[0] for r in held], np.float64)
-        y = unit(x) @ axes[dim0]
+        vectors = b"".join(r[0] for r in held)
+        y = unit(np.frombuffer(vectors, kind).reshape(-1, dim0)) @ axes[dim0]
         lows, highs = y.min(axis=0) - 1e-6, y.max(axis=0) + 1e-6
-        first = np.array([r[1] for r in held], np.int64)
-        more = [np.array([r[k] for r in held], np.int64).tobytes() for k in (2, 3)]
-        values = [dim0, part, seq, lows.tolist(), highs.tolist(), x.tobytes(), first.tobytes(), *more]
+        more = [np.array([r[k] for r in held], np.int64).tobytes() for k in (1, 2, 3)]
+        values = [dim0, part, seq, lows.tolist(), highs.tolist(), vectors, *more]
         kinds = [pa.int32()] * 3 + [pa.list_(pa.float32())] * 2 + [pa.binary()] * 4
-        names = ["dim", "part", "seq", "lows", "highs", "vectors", "first", "h", "n"]
+        names = ["dim", "part", "seq", "lows", "highs", "vectors", "h1", "h2", "n"]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
     for rows in batches:
-        columns = (rows.column(c).to_pylist() for c in ("dim", "embedding", "first", "h1", "n"))
+        columns = (rows.column(c).to_pylist() for c in ("dim", "vector", "h1", "h2", "n"))
         for dim, *row in zip(*columns, strict=True):
+            if held and dim == dim0 and held[-1][1:3] == row[1:3]:
+                held[-1][3] += row[3]
+                continue
             if held and (dim != dim0 or len(held) == size):
                 yield interval()
                 seq, held = seq + 1, []
@@ -85,13 +106,20 @@ def _box_apart(a: tuple, b: tuple, eps2: float) -> bool:
 
 
 class _Side:
-    def __init__(self, vectors: bytes, first: bytes, h: bytes, n: bytes, dim: int, axes: np.ndarray):
-        self.u = unit(np.frombuffer(vectors).reshape(-1, dim))
-        self.y = self.u @ axes
-        self.first, self.h, self.n = (np.frombuffer(x, np.int64) for x in (first, h, n))
+    def __init__(self, vectors: bytes, h1: bytes, h2: bytes, n: bytes, dim: int, axes: np.ndarray, dims: int, kind: str):
+        self.u = unit(np.frombuffer(vectors, kind).reshape(-1, dim))
+        y = self.u @ axes
+        self.y = y[:, :dims]
+        rest = np.sqrt(np.maximum(0, 1 - (y * y).sum(axis=1, keepdims=True)))
+        # products of what is here are as large as those of the vectors, or larger
+        self.near = [np.hstack([y, rest]).astype(np.float32)] * (y.shape[1] + 1 < dim) + [self.u.astype(np.float32)]
+        self.h1, self.h2, self.n = (np.frombuffer(x, np.int64) for x in (h1, h2, n))
+        self.boxes: dict = {}
 
     def box(self, a: int, b: int) -> tuple:
-        return self.y[a:b].min(axis=0) - 1e-6, self.y[a:b].max(axis=0) + 1e-6
+        if (a, b) not in self.boxes:
+            self.boxes[a, b] = self.y[a:b].min(axis=0) - 1e-6, self.y[a:b].max(axis=0) + 1e-6
+        return self.boxes[a, b]
 
 
 def _roots_of_block(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,13 +134,16 @@ def _roots_of_block(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows, columns = r, c
 
 
-def _join_intervals(batches, axes: dict[int, np.ndarray], cosine: float, eps2: float):
+def _join_intervals(batches, axes: dict[int, np.ndarray], dims: int, cosine: float, eps2: float, kind: str):
+    a = held = None
     for rows in batches:
         for i in range(rows.num_rows):
             r = {c: rows.column(c)[i].as_py() for c in rows.schema.names}
             dim, same = r["dim"], r["a"] == r["b"]
-            a = _Side(r["vectors"], r["first"], r["h"], r["n"], dim, axes[dim])
-            b = a if same else _Side(r["vectors2"], r["first2"], r["h2"], r["n2"], dim, axes[dim])
+            near = cosine - (dim + 8) * 1.2e-7  # single precision is off by less
+            if r["a"] != held:
+                held, a = r["a"], _Side(r["vectors"], r["h1"], r["h2"], r["n"], dim, axes[dim], dims, kind)
+            b = a if same else _Side(r["vectors2"], r["h12"], r["h22"], r["n2"], dim, axes[dim], dims, kind)
             na, nb = len(a.u), len(b.u)
             count_a = np.zeros(na, np.int64)
             count_b = count_a if same else np.zeros(nb, np.int64)
@@ -124,12 +155,37 @@ def _join_intervals(batches, axes: dict[int, np.ndarray], cosine: float, eps2: f
                     x = parent[x]
                 return x
 
+            def join(x, y, parent=parent, find=find):
+                p, q = find(x), find(y)
+                if p != q:
+                    parent[max(p, q)] = min(p, q)
+
             todo = [(0, na, 0, nb)]
             while todo:
                 a0, a1, b0, b1 = todo.pop()
                 if same and b1 <= a0 or _box_apart(a.box(a0, a1), b.box(b0, b1), eps2):
                     continue
-                if max(a1 - a0, b1 - b0) > BLOCK:
+                small = max(a1 - a0, b1 - b0) <= BLOCK
+                if max(a1 - a0, b1 - b0) <= NEAR_BLOCK:
+                    for p, q in zip(a.near, b.near, strict=True):
+                        products = p[a0:a1] @ q[b0:b1].T
+                        at = np.flatnonzero(products >= near) if products.max() >= near else ()
+                        if len(at) <= 4 * (a1 - a0 + b1 - b0):
+                            break
+                    if not len(at):
+                        continue
+                    if len(at) <= 4 * (a1 - a0 + b1 - b0):  # few: one by one
+                        x, y = at // (b1 - b0) + a0, at % (b1 - b0) + b0
+                        linked = np.einsum("ij,ij->i", a.u[x], b.u[y]) >= cosine
+                        if same:  # each pair once
+                            linked &= x < y
+                        x, y = x[linked], y[linked]
+                        np.add.at(count_a, x, b.n[y])
+                        np.add.at(count_b, y, a.n[x])
+                        for p, q in zip(x.tolist(), (y if same else y + na).tolist(), strict=True):
+                            join(p, q)
+                        continue
+                if not small:
                     if a1 - a0 >= b1 - b0:
                         mid = (a0 + a1) // 2
                         todo += [(a0, mid, b0, b1), (mid, a1, b0, b1)]
@@ -138,7 +194,7 @@ def _join_intervals(batches, axes: dict[int, np.ndarray], cosine: float, eps2: f
                         todo += [(a0, a1, b0, mid), (a0, a1, mid, b1)]
                     continue
                 linked = a.u[a0:a1] @ b.u[b0:b1].T >= cosine
-                if same:  # each pair once
+                if same:
                     linked &= np.arange(a0, a1)[:, None] < np.arange(b0, b1)[None, :]
                 if not linked.any():
                     continue
@@ -147,16 +203,13 @@ def _join_intervals(batches, axes: dict[int, np.ndarray], cosine: float, eps2: f
                 place = np.concatenate([np.arange(a0, a1), np.arange(b0, b1) + (0 if same else na)])
                 for x, root in enumerate(np.concatenate(_roots_of_block(linked)).tolist()):
                     if root != x:
-                        p, q = find(int(place[x])), find(int(place[root]))
-                        if p != q:
-                            parent[max(p, q)] = min(p, q)
-            first = a.first if same else np.concatenate([a.first, b.first])
-            h = a.h if same else np.concatenate([a.h, b.h])
+                        join(int(place[x]), int(place[root]))
+            h1, h2 = (a.h1, a.h2) if same else (np.concatenate([a.h1, b.h1]), np.concatenate([a.h2, b.h2]))
             count = count_a if same else np.concatenate([count_a, count_b])
             at = np.flatnonzero(count)
             root = np.array([find(x) for x in at.tolist()], np.int64)
-            columns = (first[at], h[at], count[at], first[root], h[root]) if len(at) else [np.zeros(0, np.int64)] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["first", "h1", "links", "root_first", "root_h1"])
+            columns = (h1[at], h2[at], count[at], h1[root], h2[root])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["h1", "h2", "links", "root_h1", "root_h2"])
 
 
 def similar_vectors(
@@ -174,27 +227,25 @@ def similar_vectors(
     x = F.col("embedding")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     valid = F.coalesce((F.size(x) > 0) & finite & F.exists(x, lambda v: v != 0), F.lit(False))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding"))
-    names = [F.when(valid, F.xxhash64(x, F.lit(i))).alias(f"h{i}") for i in (1, 2)]
-    named = rows.select("vec_id", *names, F.when(valid, x).alias("embedding"))
-    classes = named.where("h1 is not null").groupBy("h1", "h2")
-    classes = classes.agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
-    lowest = -(1 << 63)
-    classes = written(
-        classes.select("h1", "h2", "n", "id", F.coalesce("id", F.lit(lowest)).alias("first"), "embedding", F.size("embedding").alias("dim")),
-        "vectors",
-    )
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
+    element, kind = ("float", "<f4") if single else ("double", "<f8")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast(f"array<{element}>").alias("embedding"))
+    names = [F.when(valid, F.xxhash64(x.cast("array<double>"), F.lit(i))).alias(f"h{i}") for i in (1, 2)]
+    named = rows.select("vec_id", *names, F.when(valid, x).alias("embedding"), F.when(valid, F.size(x)).alias("dim"))
+    some = named.where("h1 is not null")
+    classes = some.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.max("dim").alias("dim"))
+    classes = written(classes, "vectors")
     axes = {}
     for (dim,) in classes.select("dim").distinct().collect():
-        some = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("h1")).limit(sample).select("embedding").collect()
-        axes[dim] = _axes([r[0] for r in some], dims)
-
-    cells = classes.select("dim", "embedding", "first", "h1", "n").mapInArrow(
-        lambda it: _with_cells(it, axes, eps), "dim int, embedding array<double>, first long, h1 long, n long, cell binary"
-    )
-    order = ["dim", "cell", "first", "h1"]
-    cut = cells.repartitionByRange(*order).sortWithinPartitions(*order)
-    leaves = written(cut.mapInArrow(lambda it: _intervals(it, axes, interval), INTERVAL_SCHEMA), "intervals", "none")
+        few = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("h1"), "h1", "h2").limit(sample).select("h1", "h2")
+        few = some.join(F.broadcast(few), ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("embedding").alias("embedding"))
+        axes[dim] = _axes([r[0] for r in few.orderBy("h1", "h2").select("embedding").collect()], dims)
+
+    cut_by = {dim: v[:, :dims] for dim, v in axes.items()}
+    cells = some.select("dim", "embedding", "h1", "h2").mapInArrow(lambda it: _with_cells(it, cut_by, eps), CELL_SCHEMA)
+    order = ["dim", "cell", "h1", "h2"]
+    cut = cells.repartitionByRange(-(-classes.count() // VECTORS_A_FILE) or 1, *order).sortWithinPartitions(*order)
+    leaves = written(cut.mapInArrow(lambda it: _intervals(it, cut_by, interval, kind), INTERVAL_SCHEMA), "intervals", "none")
     most_part, most_seq = leaves.agg(F.max("part"), F.max("seq")).first()
     if most_part is None:
         return named.select(
@@ -221,23 +272,23 @@ def similar_vectors(
         gap2 = sum(F.pow(F.greatest(F.lit(0.0), F.coalesce(F.col(f"a_lows{i}") - F.col(f"b_highs{i}"), F.lit(0.0)), F.coalesce(F.col(f"b_lows{i}") - F.col(f"a_highs{i}"), F.lit(0.0))), F.lit(2.0)) for i in range(dims))
         pairs = pairs.join(one, ["dim", "a"]).join(two, ["dim", "b"]).where((F.col("x") <= F.col("y")) & (gap2 <= eps2))
         pairs = pairs.select("dim", F.col("x").alias("a"), F.col("y").alias("b"))
-    blobs = leaves.select("dim", "id", "vectors", "first", "h", "n")
-    others = blobs.select("dim", F.col("id").alias("b"), *[F.col(c).alias(f"{c}2") for c in ("vectors", "first", "h", "n")])
-    joined = pairs.join(blobs.withColumnRenamed("id", "a"), ["dim", "a"]).join(others, ["dim", "b"])
+    partners = pairs.groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("partners"))
+    blobs = ["vectors", "h1", "h2", "n"]
+    one = leaves.join(F.broadcast(partners), "id").select("dim", F.col("id").alias("a"), "partners", *blobs)
+    two = leaves.select(F.col("id").alias("b"), *[F.col(c).alias(f"{c}2") for c in blobs])
+    joined = one.join(two.hint("shuffle_replicate_nl"), F.array_contains("partners", F.col("b"))).drop("partners")
     found = written(
-        joined.repartition("a", "b").mapInArrow(
-            lambda it: _join_intervals(it, axes, cosine, eps2),
-            "first long, h1 long, links long, root_first long, root_h1 long",
+        joined.mapInArrow(
+            lambda it: _join_intervals(it, axes, dims, cosine, eps2, kind), "h1 long, h2 long, links long, root_h1 long, root_h2 long"
         ),
         "found",
+        rows=PAIRS_A_BATCH,
     )
-    edges = found.select(
-        F.struct(F.col("first"), F.col("h1")).alias("a"), F.struct(F.col("root_first").alias("first"), F.col("root_h1").alias("h1")).alias("b")
-    )
-    roots = components(edges).select("node.first", "node.h1", "root")
-    links = found.groupBy("first", "h1").agg(F.sum("links").alias("links"))
-    known = classes.select("h1", "h2", "n", "id", "first").join(links, ["first", "h1"], "left")
-    known = known.join(roots, ["first", "h1"], "left").withColumn("root", F.coalesce("root", F.struct("first", "h1")))
+    edges = found.select(F.struct("h1", "h2").alias("a"), F.struct(F.col("root_h1").alias("h1"), F.col("root_h2").alias("h2")).alias("b"))
+    roots = components(edges).select("node.h1", "node.h2", "root")
+    links = found.groupBy("h1", "h2").agg(F.sum("links").alias("links"))
+    known = classes.select("h1", "h2", "n", "id").join(links, ["h1", "h2"], "left")
+    known = known.join(roots, ["h1", "h2"], "left").withColumn("root", F.coalesce("root", F.struct("h1", "h2")))
     smallest = known.groupBy("root").agg(F.min("id").alias("component_id"))
     known = known.join(smallest, "root").select(
         "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"

@@ -287,6 +287,65 @@ def test_similar_vectors(spark, interval):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def test_similar_vectors_in_doubles_as_in_floats(spark):
+    frame = vectors(spark)
+    wide = frame.withColumn("embedding", frame["embedding"].cast("array<double>"))
+    assert sorted(map(tuple, similar_vectors(wide, dims=4).collect()), key=repr) == sorted(map(tuple, similar_vectors(frame, dims=4).collect()), key=repr)
+
+
+def test_pairs_of_intervals_are_read_where_they_lie(spark, monkeypatch):
+    """No interval is dealt out again for the pairs it is in."""
+    import callgrid.llm.grid_order_join as g
+
+    plans = {}
+
+    def written(df, name, *args, write=g.written, **more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, *args, **more)
+
+    monkeypatch.setattr(g, "written", written)
+    monkeypatch.setattr(g, "VECTORS_A_FILE", 20, raising=False)
+    frame = vectors(spark)
+    got = sorted(map(tuple, similar_vectors(frame, 0.95, dims=4, interval=8).collect()), key=repr)
+    assert "CartesianProduct" in plans["found"] and "REPARTITION" not in plans["found"]
+    monkeypatch.undo()
+    assert got == sorted(map(tuple, similar_vectors(frame, 0.95, dims=4).collect()), key=repr)
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.09, 0.12])
+def test_pairs_of_two_intervals(monkeypatch, spread):
+    """Blocks with few and with many links, against all pairs at once."""
+    import pyarrow as pa
+
+    import callgrid.llm.grid_order_join as g
+
+    monkeypatch.setattr(g, "NEAR_BLOCK", 32)
+    monkeypatch.setattr(g, "BLOCK", 8)
+    r = np.random.default_rng(3)
+    dim, dims = 40, 4
+    x = r.normal(size=(9, dim))[r.integers(0, 9, 150)] / dim**0.5 + r.normal(size=(150, dim)) * spread / dim**0.5 * r.choice([1, 30], (150, 1))
+    axes = {dim: g._axes(list(x), dims)}
+    u, n = g.unit(x), r.integers(1, 5, 150)
+    for ids, more in ((np.arange(90), np.arange(90, 150)), (np.arange(90), np.arange(90))):
+        same = ids is more or ids[-1] == more[-1]
+        side = lambda i: [a.astype(t).tobytes() for a, t in ((x[i], "<f8"), (i, "<i8"), (-i, "<i8"), (n[i], "<i8"))]
+        row = dict(zip(["dim", "a", "vectors", "h1", "h2", "n", "b", "vectors2", "h12", "h22", "n2"], [dim, 0, *side(ids), 0 if same else 1, *side(more)], strict=True))
+        [got] = g._join_intervals([pa.RecordBatch.from_pylist([row])], axes, dims, 0.95, 0.1 + 1e-9, "<f8")
+        links, groups, want = u[ids] @ u[more].T >= 0.95, Groups(), Groups()
+        if same:
+            np.fill_diagonal(links, False)
+        count = dict(zip(ids.tolist(), (links @ n[more]).tolist(), strict=True))
+        if not same:
+            count |= dict(zip(more.tolist(), (n[ids] @ links).tolist(), strict=True))
+        assert {h: c for h, c in count.items() if c} == dict(zip(got["h1"].to_pylist(), got["links"].to_pylist(), strict=True))
+        for i, j in np.argwhere(links).tolist():
+            want.join(int(ids[i]), int(more[j]))
+        for i, j in zip(got["h1"].to_pylist(), got["root_h1"].to_pylist(), strict=True):
+            groups.join(i, j)
+        assert all((groups.find(i) == groups.find(j)) == (want.find(i) == want.find(j)) for i in range(150) for j in range(i))
+        assert links.any()
+
+
 def test_similar_vectors_empty(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert similar_vectors(empty).collect() == []
